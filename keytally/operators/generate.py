@@ -15,11 +15,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from keytally import fixed_values as fv
 from keytally.functions import codecs, seeded
-from keytally.operators.running_sum import running_sum
+from keytally.operators.running_sum import DEFAULT_BLOCK_SIZE, running_sum
 from keytally.schemas import CITY_INFO
 
 SEED = seeded.DEFAULT_SEED
 MAX_IDS_PER_ACTION = 5  # order/pay id lists hold 1..5 ids
+# Sessions hold ~9 actions on average, so the walk over sessions uses smaller key
+# blocks to keep about DEFAULT_BLOCK_SIZE rows per block.
+SESSION_BLOCK_SIZE = 1024
 
 
 def _day_millis(day: str) -> int:
@@ -38,7 +41,7 @@ def walk_max_step(start_day: str = fv.WALK_START_DATE, end_day: str = fv.WALK_EN
 def event_time_walk(df: DataFrame, order_col: str, tie_cols: tuple[str, ...] = (),
                     seed: int = SEED, salt: str = "step", start_day: str = fv.WALK_START_DATE,
                     end_day: str = fv.WALK_END_DATE, approx_count: int = fv.LOG_ABOUT_NUM,
-                    out_col: str = "event_ts") -> DataFrame:
+                    out_col: str = "event_ts", block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """Monotone random event times, one per row in ``(order_col, *tie_cols)`` order.
 
     Each row advances one clock by a uniform step in ``[0, walk_max_step)`` ms; the
@@ -48,7 +51,8 @@ def event_time_walk(df: DataFrame, order_col: str, tie_cols: tuple[str, ...] = (
     max_step = walk_max_step(start_day, end_day, approx_count)
     keys = [order_col, *tie_cols]
     stepped = df.withColumn("step_ms", seeded.draw(seed, salt, *keys) % F.lit(max_step))
-    walked = running_sum(stepped, "step_ms", order_col, "_kt_elapsed", tie_cols=tie_cols)
+    walked = running_sum(stepped, "step_ms", order_col, "_kt_elapsed", tie_cols=tie_cols,
+                         block_size=block_size)
     return (walked.withColumn(out_col, codecs.millis_to_ntz(F.lit(_day_millis(start_day))
                                                             + F.col("_kt_elapsed")))
             .drop("_kt_elapsed"))
@@ -116,7 +120,7 @@ def user_visit_actions(sessions: DataFrame, key_col: str, seed: int = SEED,
     """
     acts = (expand_sessions(sessions.select(key_col), key_col, seed)
             .withColumn("user_id", seeded.uniform_int(1, user_num, seed, "user", key_col)))
-    timed = event_time_walk(acts, key_col, ("action_index",), seed=seed)
+    timed = event_time_walk(acts, key_col, ("action_index",), seed=seed, block_size=SESSION_BLOCK_SIZE)
     keys = (key_col, "action_index")
     action = seeded.weighted_choice(non_quit_actions(), seed, "action", *keys)
     return timed.select(

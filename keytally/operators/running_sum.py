@@ -3,21 +3,22 @@
 ``sum(v) over (order by k)`` with no ``partitionBy`` sends every row to one task.
 Here the order key is cut into blocks of ``block_size`` consecutive key values:
 
-1. per-block totals (partial aggregation; a tiny table),
-2. exclusive prefix of the block totals — the same operator, recursively, on the
-   block table (keyed by block number),
-3. the in-block running sum (``Window.partitionBy(block)``) plus the block's prefix.
-
-After ``levels`` recursions the remaining table is keyed by
-``floor(key / block_size ** levels)``. With the defaults (2**16, 3 levels) that has at
-most 2**16 distinct values for any 64-bit key, so the one single-partition window
-runs on a table of at most 65,536 rows whatever the input size. Only the first level
-touches the data: one aggregation pass and one hash exchange on the block number,
-which the join and the window share.
-
-The order must be total: ``order_col`` plus ``tie_cols`` identify a row. Many rows
-under one ``order_col`` value land in one block, so ``order_col`` should be (close
-to) unique — a sequence number or a session key with a bounded number of rows each.
+1. **pass 1** — per-block totals by partial aggregation (no large shuffle: each map
+   task emits one row per block it saw). The block table is small (one row per
+   block) and is checkpointed to the shared checkpoint folder, which cuts its
+   lineage so that later steps never recompute pass 1;
+2. exclusive prefix of the block totals in block order. If there are at most
+   ``max_top_rows`` blocks this is one window over that bounded table; otherwise the
+   same operator runs on the block table (blocks of blocks), recursively;
+3. **pass 2** — the in-block running sum (``Window.partitionBy(block)``: one hash
+   exchange of the data on the block number) plus the block's prefix, joined by
+   block. The prefix table is broadcast only when its row count is known to be
+   at most ``max_top_rows``; otherwise the join shares the window's exchange.
+
+The data is read twice and shuffled once. The order must be total: ``order_col``
+plus ``tie_cols`` identify a row. All rows with one ``order_col`` value share a
+block, so ``order_col`` should be (close to) unique — a sequence number, or a
+session key with a bounded number of rows per session.
 """
 
 from __future__ import annotations
@@ -26,8 +27,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-DEFAULT_BLOCK_SIZE = 1 << 16
-DEFAULT_LEVELS = 3
+from keytally.session import checkpoint_root
+
+DEFAULT_BLOCK_SIZE = 1 << 13
+DEFAULT_MAX_TOP_ROWS = 1 << 16
 
 
 def block_of(key: Column, block_size: int) -> Column:
@@ -35,26 +38,42 @@ def block_of(key: Column, block_size: int) -> Column:
     return F.call_function("div", key - F.pmod(key, F.lit(block_size)), F.lit(block_size))
 
 
+def _materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of a small table to the shared checkpoint folder (eager)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def running_sum(df: DataFrame, value_col: str, order_col: str, out_col: str = "running",
                 tie_cols: Sequence[str] = (), block_size: int = DEFAULT_BLOCK_SIZE,
-                levels: int = DEFAULT_LEVELS) -> DataFrame:
+                max_top_rows: int = DEFAULT_MAX_TOP_ROWS, _depth: int = 0) -> DataFrame:
     """``df`` plus ``out_col`` = inclusive running sum of ``value_col`` in
-    ``(order_col, *tie_cols)`` order over all rows."""
-    order = [F.col(order_col), *[F.col(c) for c in tie_cols]]
-    upto_here = Window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if levels <= 0:
-        # Bounded by construction (see module docstring): the top-level block table.
-        return df.withColumn(out_col, F.sum(value_col).over(upto_here.orderBy(*order)))
-
-    blk = f"_kt_block{levels}"
-    total = f"_kt_total{levels}"
-    before = f"_kt_before{levels}"
+    ``(order_col, *tie_cols)`` order over all rows.
+
+    Runs pass 1 eagerly (a Spark job) to size the block table; the returned frame
+    is lazy for pass 2.
+    """
+    if block_size < 2 or max_top_rows < 1:
+        raise ValueError("block_size must be >= 2 and max_top_rows >= 1")
+    blk, total, incl, before = (f"_kt_{name}{_depth}" for name in ("block", "total", "incl", "before"))
     blocked = df.withColumn(blk, block_of(F.col(order_col), block_size))
-    totals = blocked.groupBy(blk).agg(F.sum(value_col).alias(total))
-    prefix = running_sum(totals, total, blk, f"{total}_incl", block_size=block_size,
-                         levels=levels - 1)
-    offsets = prefix.select(blk, (F.col(f"{total}_incl") - F.col(total)).alias(before))
-    in_block = upto_here.partitionBy(blk).orderBy(*order)
+    totals = _materialize(blocked.groupBy(blk).agg(F.sum(value_col).alias(total)))
+    n_blocks = totals.count()
+    # The key range shrinks by block_size per level, so this terminates; 2 blocks
+    # can straddle zero ({-1, 0}) and never merge, so they always count as small.
+    small = n_blocks <= max(max_top_rows, 2)
+    if small:
+        # Bounded: at most max_top_rows rows in this one window partition.
+        prefix = totals.withColumn(incl, F.sum(total).over(
+            Window.orderBy(blk).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    else:
+        prefix = running_sum(totals, total, blk, incl, block_size=block_size,
+                             max_top_rows=max_top_rows, _depth=_depth + 1)
+    offsets = prefix.select(blk, (F.col(incl) - F.col(total)).alias(before))
+    if small:
+        offsets = F.broadcast(offsets)
+    in_block = (Window.partitionBy(blk).orderBy(F.col(order_col), *[F.col(c) for c in tie_cols])
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (blocked.join(offsets, blk)
             .withColumn(out_col, F.col(before) + F.sum(value_col).over(in_block))
             .drop(blk, before))

@@ -23,7 +23,7 @@ from keytally import fixed_values as fv
 from keytally.functions import codecs, seeded
 from keytally.functions.tokens import token_count
 from keytally.operators import counting, generate, offsets
-from keytally.sources import recordlog
+from keytally.sources import recordlog, tables
 
 LOG_PARTITIONS = 4
 LOG_BATCH_SIZE = 500
@@ -32,12 +32,13 @@ UNSAVED_PARTITION = 3  # resume_filter: this partition has no saved position (ea
 SEED = seeded.DEFAULT_SEED
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A whole input table (only ``columns`` if given), spread if under-split."""
+    return tables.read_table(spark, f"{sf_dir}/{name}.parquet", list(columns) or None)
 
 
 def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recordlog.log_view(table(spark, sf_dir, "events"), "event_id", "event_type",
+    return recordlog.log_view(table(spark, sf_dir, "events", "event_id", "event_type"), "event_id", "event_type",
                               topic=fv.TOPIC, partitions=LOG_PARTITIONS)
 
 
@@ -59,11 +60,11 @@ def group_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- A: keyed counting ---------------------------------------------------------------------
 
 def q_word_count(spark, sf_dir):
-    return counting.word_count(table(spark, sf_dir, "documents"), "text")
+    return counting.word_count(table(spark, sf_dir, "documents", "text"), "text")
 
 
 def q_tokenize_counts(spark, sf_dir):
-    conv = table(spark, sf_dir, "conversations")
+    conv = table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
     return conv.select("conv_id", "turn", token_count(F.col("text")).alias("n_tokens"))
 
 
@@ -83,11 +84,11 @@ def q_record_projection(spark, sf_dir):
 
 
 def q_to_records_unkeyed(spark, sf_dir):
-    return recordlog.to_records(table(spark, sf_dir, "events"), "event_type", keyed=False)
+    return recordlog.to_records(table(spark, sf_dir, "events", "event_type"), "event_type", keyed=False)
 
 
 def q_to_records_keyed(spark, sf_dir):
-    return recordlog.to_records(table(spark, sf_dir, "events"), "event_type", keyed=True)
+    return recordlog.to_records(table(spark, sf_dir, "events", "event_type"), "event_type", keyed=True)
 
 
 def q_offset_ranges(spark, sf_dir):
@@ -113,7 +114,7 @@ def q_resume_filter(spark, sf_dir):
 # --- P: line codec, time formats, messages ----------------------------------------------------
 
 def _ad_clicks_of_events(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
+    ev = table(spark, sf_dir, "events", "event_id", "ts")
     return generate.ad_clicks(ev, "event_id", codecs.ntz_to_millis("ts"), SEED)
 
 
@@ -127,20 +128,20 @@ def q_ad_line_decode(spark, sf_dir):
 
 
 def q_format_event_time(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
+    ev = table(spark, sf_dir, "events", "event_id", "ts")
     return ev.select("event_id", codecs.format_date("ts").alias("date"),
                      codecs.format_datetime("ts").alias("action_time"))
 
 
 def q_message_template(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders", "o_orderkey")
     message = codecs.message_text(F.col("o_orderkey") + F.lit(1))
     return orders.select("o_orderkey", F.lit(fv.TOPIC).alias("topic"),
                          F.lit(None).cast("string").alias("key"), message.alias("value"))
 
 
 def q_random_letter(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders", "o_orderkey")
     code = seeded.uniform_int(fv.LETTER_FROM, fv.LETTER_TO, SEED, "letter", "o_orderkey")
     value = codecs.letter(code)
     return orders.select("o_orderkey", F.lit(fv.TOPIC).alias("topic"), value.alias("key"),
@@ -150,13 +151,13 @@ def q_random_letter(spark, sf_dir):
 # --- G: seeded generators ---------------------------------------------------------------------
 
 def q_uniform_int(spark, sf_dir):
-    cust = table(spark, sf_dir, "customer")
+    cust = table(spark, sf_dir, "customer", "c_custkey")
     return cust.select("c_custkey", seeded.uniform_int(fv.AGE_FROM, fv.AGE_TO, SEED, "age", "c_custkey")
                        .alias("age"))
 
 
 def q_weighted_choice(spark, sf_dir):
-    cust = table(spark, sf_dir, "customer")
+    cust = table(spark, sf_dir, "customer", "c_custkey")
     return cust.select("c_custkey",
                        seeded.weighted_choice(fv.PROFESSIONS, SEED, "professional", "c_custkey")
                        .alias("professional"),
@@ -168,46 +169,46 @@ def _sample_amount():
 
 
 def q_sample_ids(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
+    part = table(spark, sf_dir, "part", "p_partkey")
     ids = seeded.distinct_sample(1, fv.CATEGORY_NUM, _sample_amount(), SEED, "ids", "p_partkey")
     return part.select("p_partkey", _sample_amount().alias("amount"), seeded.join_ids(ids).alias("ids"))
 
 
 def q_sample_ids_repeat(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
+    part = table(spark, sf_dir, "part", "p_partkey")
     ids = seeded.repeat_sample(1, fv.CATEGORY_NUM, _sample_amount(), SEED, "ids", "p_partkey")
     return part.select("p_partkey", _sample_amount().alias("amount"), seeded.join_ids(ids).alias("ids"))
 
 
 def q_event_time_walk(spark, sf_dir):
-    keys = table(spark, sf_dir, "orders").select("o_orderkey")
+    keys = table(spark, sf_dir, "orders", "o_orderkey")
     walked = generate.event_time_walk(keys, "o_orderkey", seed=SEED)
     return walked.select("o_orderkey", "step_ms", codecs.format_datetime("event_ts").alias("action_time"),
                          codecs.format_date("event_ts").alias("date"))
 
 
 def q_session_expand(spark, sf_dir):
-    cust = table(spark, sf_dir, "customer").select("c_custkey")
+    cust = table(spark, sf_dir, "customer", "c_custkey")
     return generate.expand_sessions(cust, "c_custkey", SEED).select("c_custkey", "session_id", "action_index") \
         .withColumn("action_index", F.col("action_index").cast("bigint"))
 
 
 def q_action_dispatch(spark, sf_dir):
-    ev = table(spark, sf_dir, "events").select("event_id")
+    ev = table(spark, sf_dir, "events", "event_id")
     action = seeded.weighted_choice(generate.non_quit_actions(), SEED, "action", "event_id")
     return ev.select("event_id", action.alias("action"), *generate.action_columns(action, SEED, "event_id"))
 
 
 def q_gen_user_info(spark, sf_dir):
-    return generate.user_info(table(spark, sf_dir, "customer"), "c_custkey", SEED)
+    return generate.user_info(table(spark, sf_dir, "customer", "c_custkey"), "c_custkey", SEED)
 
 
 def q_gen_product_info(spark, sf_dir):
-    return generate.product_info(table(spark, sf_dir, "part"), "p_partkey", SEED)
+    return generate.product_info(table(spark, sf_dir, "part", "p_partkey"), "p_partkey", SEED)
 
 
 def q_city_dim(spark, sf_dir):
-    cust = table(spark, sf_dir, "customer")
+    cust = table(spark, sf_dir, "customer", "c_custkey")
     homes = cust.select("c_custkey", seeded.uniform_int(1, len(fv.CITIES), SEED, "home_city", "c_custkey")
                         .alias("city_id"))
     return generate.with_city(homes, "city_id")
@@ -221,13 +222,13 @@ def q_gen_ad_clicks(spark, sf_dir):
 
 
 def q_gen_user_visit_action(spark, sf_dir):
-    return generate.user_visit_actions(table(spark, sf_dir, "customer"), "c_custkey", SEED)
+    return generate.user_visit_actions(table(spark, sf_dir, "customer", "c_custkey"), "c_custkey", SEED)
 
 
 # --- K: preview -----------------------------------------------------------------------------
 
 def q_preview_100(spark, sf_dir):
-    return table(spark, sf_dir, "orders").orderBy("o_orderkey").limit(100)
+    return tables.preview(table(spark, sf_dir, "orders"), 100, order_by=["o_orderkey"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

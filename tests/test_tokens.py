@@ -1,0 +1,76 @@
+"""Tokeniser: FIXTURES.md golden cases and a property test against JVM split rules."""
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from keytally.functions.tokens import split_tokens, token_count
+
+GOLDEN = [
+    ("a b", ["a", "b"]),
+    ("a b  ", ["a", "b"]),
+    (" a", ["", "a"]),
+    ("a  b", ["a", "", "b"]),
+    ("", [""]),
+    (" ", []),
+    ("  ", []),
+    ("   ", []),
+    ("a\tb", ["a\tb"]),
+    ("a \n", ["a", "\n"]),
+    ("é ü ", ["é", "ü"]),
+]
+
+
+def jvm_split_space(s: str) -> list[str]:
+    """``java.lang.String.split(" ")``: trailing empty strings removed; no match -> [s]."""
+    if " " not in s:
+        return [s]
+    parts = s.split(" ")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def _tokens(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    rows = df.select("i", split_tokens(F.col("text")).alias("t"), token_count(F.col("text")).alias("n")) \
+        .orderBy("i").collect()
+    return [(r["t"], r["n"]) for r in rows]
+
+
+def test_golden_cases(spark):
+    got = _tokens(spark, [t for t, _ in GOLDEN])
+    for (text, want), (tokens, n) in zip(GOLDEN, got):
+        assert tokens == want, repr(text)
+        assert n == len(want)
+
+
+def test_golden_cases_match_reference_rule():
+    for text, want in GOLDEN:
+        assert jvm_split_space(text) == want
+
+
+def test_null_gives_no_tokens(spark):
+    df = spark.createDataFrame([(None,)], "text string")
+    row = df.select(split_tokens(F.col("text")).alias("t"), token_count(F.col("text")).alias("n")).first()
+    assert row["t"] is None and row["n"] is None
+    assert df.select(F.explode(split_tokens(F.col("text")))).count() == 0
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.lists(st.text(alphabet=" ab\t\né", max_size=12), min_size=200, max_size=200))
+def test_property_matches_jvm_split(spark, texts):
+    got = _tokens(spark, texts)
+    for text, (tokens, _) in zip(texts, got):
+        assert tokens == jvm_split_space(text), repr(text)
+
+
+@pytest.mark.parametrize("text", ["x", "x y z", "  lead", "trail   "])
+def test_word_count_matches_python(spark, text):
+    from keytally.operators.counting import word_count
+    df = spark.createDataFrame([(text,), (text,)], "text string")
+    got = {r["word"]: r["cnt"] for r in word_count(df).collect()}
+    want = {}
+    for w in jvm_split_space(text) * 2:
+        want[w] = want.get(w, 0) + 1
+    assert got == want
