@@ -1,0 +1,115 @@
+"""Stream jobs: commit after output, stateful totals, rate feeds."""
+
+import json
+import os
+import time
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from keytally import fixed_values as fv
+from keytally.functions.codecs import decode_ad_line
+from keytally.sources.recordlog import read_record_stream
+from keytally.streaming import feeds, jobs
+
+
+def _write_log(log_dir, name, records):
+    os.makedirs(log_dir, exist_ok=True)
+    with open(os.path.join(log_dir, name), "w") as fh:
+        for offset, value in records:
+            fh.write(json.dumps({"topic": "wc", "partition": 0, "offset": offset, "key": None,
+                                 "value": value}) + "\n")
+
+
+def test_commit_after_output_replays_batch(spark, scratch_dir):
+    """Output happens before Spark commits the batch: a crash in between repeats it."""
+    log_dir = os.path.join(scratch_dir, "log")
+    _write_log(log_dir, "a.json", [(0, "x y"), (1, "x")])
+    seen = []
+
+    def crash_once(counts, batch_id):
+        seen.append((batch_id, sorted((r["word"], r["cnt"]) for r in counts.collect())))
+        if len(seen) == 1:
+            raise RuntimeError("crash after output, before commit")
+
+    ckpt = os.path.join(scratch_dir, "ckpt")
+    for expect_crash in (True, False):
+        stream = read_record_stream(spark, "json", log_dir)
+        q = jobs.print_batch_counts(stream, ckpt, trigger={"availableNow": True}, sink=crash_once)
+        if expect_crash:
+            with pytest.raises(StreamingQueryException):
+                q.awaitTermination(120)
+        else:
+            q.awaitTermination(120)
+        q.stop()
+    assert seen == [(0, [("x", 2), ("y", 1)]), (0, [("x", 2), ("y", 1)])]
+
+
+def test_print_batch_counts_console(spark, scratch_dir, capsys):
+    log_dir = os.path.join(scratch_dir, "log")
+    _write_log(log_dir, "a.json", [(0, "hello world")])
+    q = jobs.print_batch_counts(read_record_stream(spark, "json", log_dir), os.path.join(scratch_dir, "c"),
+                                trigger={"availableNow": True})
+    q.awaitTermination(120)
+    q.stop()
+    assert "hello" in capsys.readouterr().out
+
+
+def test_stateful_word_totals(spark, scratch_dir):
+    log_dir = os.path.join(scratch_dir, "log")
+    _write_log(log_dir, "a.json", [(0, "a b"), (1, "a")])
+    _write_log(log_dir, "b.json", [(2, "b  c")])
+    totals = jobs.stateful_word_totals(read_record_stream(spark, "json", log_dir, {"maxFilesPerTrigger": "1"}))
+    q = (totals.writeStream.format("memory").queryName("kt_totals").outputMode("complete")
+         .option("checkpointLocation", os.path.join(scratch_dir, "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    q.stop()
+    got = {r["word"]: r["cnt"] for r in spark.table("kt_totals").collect()}
+    assert got == {"a": 2, "b": 2, "": 1, "c": 1}
+
+
+def test_hash_counter_job(spark, scratch_dir):
+    log_dir = os.path.join(scratch_dir, "log")
+    _write_log(log_dir, "a.json", [(0, "k"), (1, "k"), (2, "v")])
+    counter = jobs.hash_counter(os.path.join(scratch_dir, "store"))
+    q = counter.start(read_record_stream(spark, "json", log_dir), os.path.join(scratch_dir, "ckpt"),
+                      trigger={"availableNow": True})
+    q.awaitTermination(120)
+    q.stop()
+    assert {r["word"]: r["cnt"] for r in counter.totals(spark).collect()} == {"k": 2, "v": 1}
+    assert json.loads(jobs.kafka_resume_offsets(spark, counter)) == {"wc": {"0": 3}}
+
+
+def _run_feed(spark, df, name, scratch_dir, min_rows):
+    q = (df.writeStream.format("memory").queryName(name)
+         .option("checkpointLocation", os.path.join(scratch_dir, name))
+         .trigger(processingTime="200 milliseconds").start())
+    deadline = time.time() + 90
+    try:
+        while time.time() < deadline and spark.table(name).count() < min_rows:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    return spark.table(name)
+
+
+def test_ad_click_feed(spark, scratch_dir):
+    got = _run_feed(spark, feeds.ad_click_feed(spark), "kt_ad_feed", scratch_dir, 2 * fv.AD_BATCH_SIZE)
+    assert got.count() >= 2 * fv.AD_BATCH_SIZE
+    assert got.count() % fv.AD_BATCH_SIZE == 0  # whole batches of 51
+    fields = got.select(decode_ad_line("value").alias("f")).select("f.*")
+    assert fields.filter(F.col("_corrupt").isNotNull()).count() == 0
+    row = fields.agg(F.min("user_id"), F.max("user_id"), F.min("ad_id"), F.max("ad_id")).first()
+    assert row[0] >= 1 and row[1] <= 6 and row[2] >= 1 and row[3] <= 6
+    assert {r[0] for r in fields.select("city").distinct().collect()} <= {c for c, _, _ in fv.AD_CITIES}
+    assert got.filter(F.col("key").isNotNull() | (F.col("topic") != fv.AD_TOPIC)).count() == 0
+
+
+def test_message_and_letter_feeds(spark, scratch_dir):
+    msgs = _run_feed(spark, feeds.message_feed(spark), "kt_msgs", scratch_dir, 3)
+    values = {r["value"] for r in msgs.collect()}
+    assert "1: this is a linys 1 kafka data" in values
+    letters = _run_feed(spark, feeds.letter_feed(spark), "kt_letters", scratch_dir, 3)
+    rows = letters.collect()
+    assert all(r["key"] == r["value"] and len(r["value"]) == 1 and "a" <= r["value"] <= "z" for r in rows)
