@@ -28,8 +28,9 @@ a Kafka partition; a file source must be fed in order).
 Scale: the batch is never shuffled on (topic, partition) — a hot partition can hold
 a third of a batch. The positions side of the resume join is broadcast after a size
 check; counting uses partial aggregation; the progress rows are one per partition.
-Many small epochs are folded by :meth:`ExactlyOnceCounter.compact` into a base
-snapshot, read as ``base ∪ epochs after it``.
+Many small epochs are folded by :meth:`ExactlyOnceCounter.compact` into snapshots of
+the totals and of the positions, read as ``snapshot ∪ epochs after it``; epoch
+folders before a snapshot are skipped by partition pruning.
 """
 
 from __future__ import annotations
@@ -49,6 +50,7 @@ CountFn = Callable[[DataFrame], DataFrame]
 
 SNAPSHOT_SCHEMA = "word string, cnt bigint"
 SNAPSHOT_COMMITS = "committed bigint, version bigint"
+POSITION_SNAPSHOT_SCHEMA = "group_id string, topic string, partition int, until_offset bigint, epoch bigint"
 
 
 def word_counts(records: DataFrame) -> DataFrame:
@@ -74,6 +76,7 @@ class ExactlyOnceCounter:
         self.progress_path = f"{self.root}/progress"
         self.base_path = f"{self.root}/base"
         self.base_commits_path = f"{self.root}/base_commits"
+        self.progress_base_path = f"{self.root}/progress_base"
         self._initialised = False
 
     # --- storage ---------------------------------------------------------------------------
@@ -93,28 +96,42 @@ class ExactlyOnceCounter:
         return spark.read.schema(schema).option("basePath", path).parquet(path)
 
     def progress(self, spark: SparkSession) -> DataFrame:
-        """All committed progress rows of this root."""
+        """All committed progress rows of this root (every epoch, including compacted ones)."""
         return self._read(spark, self.progress_path, PROGRESS)
 
+    def _base_version(self, spark: SparkSession) -> int | None:
+        commits = self._read(spark, self.base_commits_path, SNAPSHOT_COMMITS)
+        return commits.agg(F.max("version")).first()[0]
+
+    def _recent_progress(self, spark: SparkSession, version: int | None) -> DataFrame:
+        """Progress epochs after the snapshot (older epoch folders are partition-pruned)."""
+        rows = self.progress(spark)
+        return rows if version is None else rows.filter(F.col("epoch") > F.lit(version))
+
     def committed_epoch(self, spark: SparkSession) -> int | None:
         """Last committed epoch, or None before the first commit (one scalar)."""
-        return self.progress(spark).agg(F.max("epoch")).first()[0]
+        version = self._base_version(spark)
+        last = self._recent_progress(spark, version).agg(F.max("epoch")).first()[0]
+        return last if last is not None else version
 
     def positions(self, spark: SparkSession) -> DataFrame:
         """Saved position per (group, topic, partition): exclusive end offset."""
-        mine = self.progress(spark).filter(F.col("group_id") == F.lit(self.group_id))
+        version = self._base_version(spark)
+        recent = self._recent_progress(spark, version).select(
+            "group_id", "topic", "partition", "until_offset", "epoch")
+        if version is not None:
+            snapshot = spark.read.schema(POSITION_SNAPSHOT_SCHEMA).parquet(
+                f"{self.progress_base_path}/version={version}")
+            recent = recent.unionByName(snapshot)
+        mine = recent.filter(F.col("group_id") == F.lit(self.group_id))
         return offsets.latest_offsets(mine).select("group_id", "topic", "partition", "until_offset")
 
-    def _base_version(self, spark: SparkSession) -> int | None:
-        commits = self._read(spark, self.base_commits_path, SNAPSHOT_COMMITS)
-        return commits.agg(F.max("version")).first()[0]
-
     def totals(self, spark: SparkSession) -> DataFrame:
         """Current totals ``(word, cnt)``: newest committed snapshot + committed deltas after it."""
+        version = self._base_version(spark)
         last = self.committed_epoch(spark)
         if last is None:
             return spark.createDataFrame([], SNAPSHOT_SCHEMA)
-        version = self._base_version(spark)
         deltas = self._read(spark, self.counts_path, COUNT_DELTAS).filter(F.col("epoch") <= F.lit(last))
         parts = deltas.select("word", "cnt")
         if version is not None:
@@ -123,16 +140,20 @@ class ExactlyOnceCounter:
         return counting.accumulate_counts(parts, ("word",), "cnt")
 
     def compact(self, spark: SparkSession) -> int | None:
-        """Fold all committed epochs into a snapshot ``base/version=<last epoch>``.
+        """Fold all committed epochs into snapshots at ``version = <last epoch>``.
 
-        The snapshot is written first and committed by a marker row written last, so
-        a crash mid-write leaves the previous view in force; the next compaction of
-        the same epoch overwrites the partial snapshot.
+        Two snapshots — totals (``base/``) and positions (``progress_base/``) — are
+        written first and committed together by a marker row written last, so a crash
+        mid-write leaves the previous view in force; the next compaction of the same
+        epoch overwrites the partial snapshots. Afterwards each micro-batch reads only
+        the position snapshot and the epochs after it.
         """
         last = self.committed_epoch(spark)
         if last is None:
             return None
         self.totals(spark).write.mode("overwrite").parquet(f"{self.base_path}/version={last}")
+        (self.positions(spark).withColumn("epoch", F.lit(last).cast("bigint"))
+         .coalesce(1).write.mode("overwrite").parquet(f"{self.progress_base_path}/version={last}"))
         spark.createDataFrame([(last,)], "committed bigint").write.mode("overwrite") \
             .parquet(f"{self.base_commits_path}/version={last}")
         return last

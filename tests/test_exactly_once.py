@@ -137,6 +137,13 @@ def test_exactly_once_replay(spark, scratch_dir):
     _run(spark, counter, log_dir, ckpt[0])
     assert _totals(spark, counter) == {"a": 4, "b": 1, "c": 1, "z": 2}
 
+    # checkpoint lost after a compaction: positions come from the snapshot + later epochs
+    assert counter.compact(spark) is not None
+    new_checkpoint()
+    _run(spark, counter, log_dir, ckpt[0])
+    assert _totals(spark, counter) == {"a": 4, "b": 1, "c": 1, "z": 2}
+    assert _until(spark, counter) == {0: 7}
+
 
 def test_stream_equals_batch_answer(spark, scratch_dir):
     """Totals of a multi-partition stream equal one batch word count of the same records."""
