@@ -37,22 +37,23 @@ POSITIONS = _s(("group_id", StringType(), False), ("topic", StringType(), False)
                ("partition", IntegerType(), False), ("until_offset", LongType(), False))
 
 # E-commerce data model (reference-compatible column names and types; counts widened).
+# Declared nullable: generated columns are expressions Spark cannot prove non-null.
 USER_VISIT_ACTION = _s(
-    ("date", StringType(), True), ("user_id", LongType(), False), ("session_id", StringType(), True),
-    ("page_id", LongType(), False), ("action_time", StringType(), True),
-    ("search_keyword", StringType(), True), ("click_category_id", LongType(), False),
-    ("click_product_id", LongType(), False), ("order_category_ids", StringType(), True),
+    ("date", StringType(), True), ("user_id", LongType(), True), ("session_id", StringType(), True),
+    ("page_id", LongType(), True), ("action_time", StringType(), True),
+    ("search_keyword", StringType(), True), ("click_category_id", LongType(), True),
+    ("click_product_id", LongType(), True), ("order_category_ids", StringType(), True),
     ("order_product_ids", StringType(), True), ("pay_category_ids", StringType(), True),
-    ("pay_product_ids", StringType(), True), ("city_id", LongType(), False))
+    ("pay_product_ids", StringType(), True), ("city_id", LongType(), True))
 
-USER_INFO = _s(("user_id", LongType(), False), ("username", StringType(), True),
-               ("name", StringType(), True), ("age", IntegerType(), False),
+USER_INFO = _s(("user_id", LongType(), True), ("username", StringType(), True),
+               ("name", StringType(), True), ("age", IntegerType(), True),
                ("professional", StringType(), True), ("gender", StringType(), True))
 
-PRODUCT_INFO = _s(("product_id", LongType(), False), ("product_name", StringType(), True),
+PRODUCT_INFO = _s(("product_id", LongType(), True), ("product_name", StringType(), True),
                   ("extend_info", StringType(), True))
 
-CITY_INFO = _s(("city_id", LongType(), False), ("city_name", StringType(), True),
+CITY_INFO = _s(("city_id", LongType(), True), ("city_name", StringType(), True),
                ("area", StringType(), True))
 
 AD_CLICK = _s(("timestamp_ms", LongType(), True), ("area", StringType(), True),

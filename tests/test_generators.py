@@ -147,3 +147,25 @@ def test_city_info_literal(spark):
     cities = generate.city_info(spark)
     assert cities.count() == 26
     assert cities.filter(F.col("city_id") == 9).first()["city_name"] == "哈尔滨"
+
+
+def test_generated_tables_conform_to_declared_schemas(spark):
+    """``df.to(schema)`` (the typed ``toDF``): names, order and types as declared."""
+    from keytally import schemas
+    keys = spark.range(300).withColumnRenamed("id", "k")
+    for df, schema in [(generate.user_visit_actions(keys, "k"), schemas.USER_VISIT_ACTION),
+                       (generate.user_info(keys, "k"), schemas.USER_INFO),
+                       (generate.product_info(keys, "k"), schemas.PRODUCT_INFO),
+                       (generate.city_info(spark), schemas.CITY_INFO)]:
+        typed = df.to(schema)
+        assert [f.name for f in typed.schema] == [f.name for f in schema]
+        assert [f.dataType for f in typed.schema] == [f.dataType for f in schema]
+        assert typed.count() == df.count()
+
+
+def test_parse_date_is_midnight(spark):
+    from keytally.functions.codecs import format_datetime, ntz_to_millis, parse_date
+    row = spark.range(1).select(format_datetime(parse_date(fv.WALK_START_DATE)).alias("s"),
+                                ntz_to_millis(parse_date(fv.WALK_START_DATE)).alias("ms")).first()
+    assert row["s"] == "2019-11-26 00:00:00"
+    assert row["ms"] == generate._day_millis(fv.WALK_START_DATE)
