@@ -13,9 +13,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scan_partitions(df: DataFrame) -> int:
-    """Number of partitions the plan of ``df`` produces (plans, does not run)."""
-    return df.rdd.getNumPartitions()
+def scan_partitions(df: DataFrame) -> int | None:
+    """Number of partitions the plan of ``df`` produces (plans, does not run).
+
+    None where the session cannot tell (e.g. a Spark Connect client has no RDDs).
+    """
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - unsupported in this session type
+        return None
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -25,7 +31,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    if scan_partitions(df) >= target:
+    current = scan_partitions(df)
+    if current is None or current >= target:
         return df
     return df.repartition(target)
 
