@@ -19,6 +19,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Remove checkpoint files (running-sum block tables) once their frames are gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Streaming state (only used by the pure-Spark totals alternative) lives in RocksDB
     # so that large key sets do not sit on the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":

@@ -1,42 +1,50 @@
 """Exactly-once keyed totals from a record-log stream.
 
-Storage (all parquet, under one root per consumer group):
+Storage (parquet, one root per consumer group), organised in **generations**:
 
-* ``counts/epoch=N``   — the count deltas of micro-batch N, one row per key;
-* ``progress/epoch=N`` — the offset ranges of micro-batch N, one row per
-  (topic, partition); written **last**, so its presence commits epoch N.
+* ``gen=G/counts/epoch=N``   — the count deltas of micro-batch N, one row per key;
+* ``gen=G/progress/epoch=N`` — the offset ranges of micro-batch N, one row per
+  (topic, partition); written **last**, so its presence commits epoch N;
+* ``gen=G/base``, ``gen=G/positions`` — snapshots of the totals and the saved
+  positions as of the last epoch before generation G (absent for G = 0);
+* ``generations/gen=G``      — the marker committing generation G (written last).
 
-Readers only see ``counts`` with ``epoch <= max(progress.epoch)``. Per micro-batch:
+Readers and the writer use the newest committed generation only, so a micro-batch
+lists that generation's epoch folders, never the whole history.
+
+Per micro-batch:
 
 1. read the saved positions (tiny: one row per topic partition) and the next epoch
-   ``max(progress.epoch) + 1`` — never Spark's ``batch_id``, which restarts at 0
+   ``last committed epoch + 1`` — never Spark's ``batch_id``, which restarts at 0
    with a new checkpoint;
 2. drop records before their partition's saved position (``offset >= until_offset``;
    a partition with no position starts at 0); return if nothing is left;
 3. overwrite ``counts/epoch=N`` with the counts of what is left;
 4. overwrite ``progress/epoch=N`` with the offset ranges of what is left.
 
-A crash between 3 and 4 leaves an invisible epoch that the retry overwrites; a crash
-after 4 (before Spark commits the batch) replays records that step 2 then drops; a
-lost checkpoint re-reads the whole log and step 2 drops everything already counted.
-The unit of atomicity is the whole micro-batch, so counts and positions always
-describe the same records, whatever the shuffle's partitioning.
+Readers see ``counts`` only for epochs with a progress folder. A crash between 3 and 4
+leaves an invisible epoch that the retry overwrites; a crash after 4 (before Spark
+commits the batch) replays records that step 2 then drops; a lost checkpoint re-reads
+the whole log and step 2 drops everything already counted. The unit of atomicity is
+the whole micro-batch, so counts and positions always describe the same records,
+whatever the shuffle's partitioning.
 
-Assumptions: one writer per root; offsets of a partition arrive in order (true for
-a Kafka partition; a file source must be fed in order).
+Assumptions: one writer per root (compaction included: run it from the writer, between
+batches, or while the stream is stopped); offsets of a partition arrive in order (true
+for a Kafka partition; a file source must be fed in order).
 
 Scale: the batch is never shuffled on (topic, partition) — a hot partition can hold
 a third of a batch. The positions side of the resume join is broadcast after a size
 check; counting uses partial aggregation; the progress rows are one per partition.
-Many small epochs are folded by :meth:`ExactlyOnceCounter.compact` into snapshots of
-the totals and of the positions, read as ``snapshot ∪ epochs after it``; epoch
-folders before a snapshot are skipped by partition pruning.
+Old generations stay on storage untouched and unlisted; removing them is a storage
+lifecycle task.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -48,9 +56,9 @@ from keytally.schemas import COUNT_DELTAS, PROGRESS
 
 CountFn = Callable[[DataFrame], DataFrame]
 
-SNAPSHOT_SCHEMA = "word string, cnt bigint"
-SNAPSHOT_COMMITS = "committed bigint, version bigint"
-POSITION_SNAPSHOT_SCHEMA = "group_id string, topic string, partition int, until_offset bigint, epoch bigint"
+TOTALS_SCHEMA = "word string, cnt bigint"
+GENERATIONS_SCHEMA = "base_epoch bigint, gen bigint"
+POSITIONS_SCHEMA = "group_id string, topic string, partition int, until_offset bigint, epoch bigint"
 
 
 def word_counts(records: DataFrame) -> DataFrame:
@@ -63,6 +71,13 @@ def value_counts(records: DataFrame) -> DataFrame:
     return counting.value_count(records, "value", "cnt").withColumnRenamed("value", "word")
 
 
+@dataclass(frozen=True)
+class Generation:
+    """A committed generation: its number and the last epoch folded into its snapshots."""
+    gen: int
+    base_epoch: int | None
+
+
 class ExactlyOnceCounter:
     """Keyed counts of a record-log stream, added to totals exactly once."""
 
@@ -72,121 +87,127 @@ class ExactlyOnceCounter:
         self.group_id = group_id
         self.count_fn = count_fn
         self.max_broadcast_positions = max_broadcast_positions
-        self.counts_path = f"{self.root}/counts"
-        self.progress_path = f"{self.root}/progress"
-        self.base_path = f"{self.root}/base"
-        self.base_commits_path = f"{self.root}/base_commits"
-        self.progress_base_path = f"{self.root}/progress_base"
+        self.generations_path = f"{self.root}/generations"
         self._initialised = False
 
-    # --- storage ---------------------------------------------------------------------------
+    # --- layout ----------------------------------------------------------------------------
+
+    def _gen_path(self, gen: int, table: str) -> str:
+        return f"{self.root}/gen={gen}/{table}"
+
+    def _ensure_generation(self, spark: SparkSession, gen: int) -> None:
+        """Create a generation's table roots (empty) so that a first read works."""
+        for table, schema in (("counts", COUNT_DELTAS), ("progress", PROGRESS)):
+            spark.createDataFrame([], schema).write.mode("append").partitionBy("epoch") \
+                .parquet(self._gen_path(gen, table))
 
     def _ensure_tables(self, spark: SparkSession) -> None:
-        """Create the three table roots (empty) so that a first read works."""
         if self._initialised:
             return
-        for path, schema, part in ((self.counts_path, COUNT_DELTAS, "epoch"),
-                                   (self.progress_path, PROGRESS, "epoch"),
-                                   (self.base_commits_path, SNAPSHOT_COMMITS, "version")):
-            spark.createDataFrame([], schema).write.mode("append").partitionBy(part).parquet(path)
+        spark.createDataFrame([], GENERATIONS_SCHEMA).write.mode("append").partitionBy("gen") \
+            .parquet(self.generations_path)
+        self._ensure_generation(spark, 0)
         self._initialised = True
 
-    def _read(self, spark: SparkSession, path: str, schema) -> DataFrame:
-        self._ensure_tables(spark)
+    def _read_epochs(self, spark: SparkSession, gen: int, table: str, schema) -> DataFrame:
+        path = self._gen_path(gen, table)
         return spark.read.schema(schema).option("basePath", path).parquet(path)
 
-    def progress(self, spark: SparkSession) -> DataFrame:
-        """All committed progress rows of this root (every epoch, including compacted ones)."""
-        return self._read(spark, self.progress_path, PROGRESS)
+    # --- readers -----------------------------------------------------------------------------
 
-    def _base_version(self, spark: SparkSession) -> int | None:
-        commits = self._read(spark, self.base_commits_path, SNAPSHOT_COMMITS)
-        return commits.agg(F.max("version")).first()[0]
+    def generation(self, spark: SparkSession) -> Generation:
+        """The newest committed generation (generation 0 before any compaction)."""
+        self._ensure_tables(spark)
+        markers = spark.read.schema(GENERATIONS_SCHEMA).option("basePath", self.generations_path) \
+            .parquet(self.generations_path)
+        row = markers.orderBy(F.col("gen").desc()).select("gen", "base_epoch").first()
+        return Generation(0, None) if row is None else Generation(row["gen"], row["base_epoch"])
 
-    def _recent_progress(self, spark: SparkSession, version: int | None) -> DataFrame:
-        """Progress epochs after the snapshot (older epoch folders are partition-pruned)."""
-        rows = self.progress(spark)
-        return rows if version is None else rows.filter(F.col("epoch") > F.lit(version))
+    def progress(self, spark: SparkSession, generation: Generation | None = None) -> DataFrame:
+        """Committed progress rows of the current generation (epochs after its snapshot)."""
+        g = generation or self.generation(spark)
+        return self._read_epochs(spark, g.gen, "progress", PROGRESS)
 
-    def committed_epoch(self, spark: SparkSession) -> int | None:
+    def committed_epoch(self, spark: SparkSession, generation: Generation | None = None) -> int | None:
         """Last committed epoch, or None before the first commit (one scalar)."""
-        version = self._base_version(spark)
-        last = self._recent_progress(spark, version).agg(F.max("epoch")).first()[0]
-        return last if last is not None else version
+        g = generation or self.generation(spark)
+        last = self.progress(spark, g).agg(F.max("epoch")).first()[0]
+        return last if last is not None else g.base_epoch
 
-    def positions(self, spark: SparkSession) -> DataFrame:
+    def positions(self, spark: SparkSession, generation: Generation | None = None) -> DataFrame:
         """Saved position per (group, topic, partition): exclusive end offset."""
-        version = self._base_version(spark)
-        recent = self._recent_progress(spark, version).select(
-            "group_id", "topic", "partition", "until_offset", "epoch")
-        if version is not None:
-            snapshot = spark.read.schema(POSITION_SNAPSHOT_SCHEMA).parquet(
-                f"{self.progress_base_path}/version={version}")
-            recent = recent.unionByName(snapshot)
-        mine = recent.filter(F.col("group_id") == F.lit(self.group_id))
+        g = generation or self.generation(spark)
+        rows = self.progress(spark, g).select("group_id", "topic", "partition", "until_offset", "epoch")
+        if g.base_epoch is not None:
+            rows = rows.unionByName(spark.read.schema(POSITIONS_SCHEMA).parquet(self._gen_path(g.gen, "positions")))
+        mine = rows.filter(F.col("group_id") == F.lit(self.group_id))
         return offsets.latest_offsets(mine).select("group_id", "topic", "partition", "until_offset")
 
-    def totals(self, spark: SparkSession) -> DataFrame:
-        """Current totals ``(word, cnt)``: newest committed snapshot + committed deltas after it."""
-        version = self._base_version(spark)
-        last = self.committed_epoch(spark)
+    def totals(self, spark: SparkSession, generation: Generation | None = None) -> DataFrame:
+        """Current totals ``(word, cnt)``: the generation's snapshot plus its committed deltas."""
+        g = generation or self.generation(spark)
+        last = self.committed_epoch(spark, g)
         if last is None:
-            return spark.createDataFrame([], SNAPSHOT_SCHEMA)
-        deltas = self._read(spark, self.counts_path, COUNT_DELTAS).filter(F.col("epoch") <= F.lit(last))
-        parts = deltas.select("word", "cnt")
-        if version is not None:
-            base = spark.read.schema(SNAPSHOT_SCHEMA).parquet(f"{self.base_path}/version={version}")
-            parts = deltas.filter(F.col("epoch") > F.lit(version)).select("word", "cnt").unionByName(base)
+            return spark.createDataFrame([], TOTALS_SCHEMA)
+        parts = (self._read_epochs(spark, g.gen, "counts", COUNT_DELTAS)
+                 .filter(F.col("epoch") <= F.lit(last)).select("word", "cnt"))
+        if g.base_epoch is not None:
+            parts = parts.unionByName(spark.read.schema(TOTALS_SCHEMA).parquet(self._gen_path(g.gen, "base")))
         return counting.accumulate_counts(parts, ("word",), "cnt")
 
+    # --- compaction ---------------------------------------------------------------------------
+
     def compact(self, spark: SparkSession) -> int | None:
-        """Fold all committed epochs into snapshots at ``version = <last epoch>``.
+        """Start a new generation whose snapshots hold everything committed so far.
 
-        Two snapshots — totals (``base/``) and positions (``progress_base/``) — are
-        written first and committed together by a marker row written last, so a crash
-        mid-write leaves the previous view in force; the next compaction of the same
-        epoch overwrites the partial snapshots. Afterwards each micro-batch reads only
-        the position snapshot and the epochs after it.
+        The snapshots of generation G+1 are written first and the generation marker
+        last; until the marker exists, readers and the writer keep using generation G,
+        and a retried compaction overwrites the partial snapshots. Returns the last
+        epoch folded in, or None if nothing is committed.
         """
-        last = self.committed_epoch(spark)
+        g = self.generation(spark)
+        last = self.committed_epoch(spark, g)
         if last is None:
             return None
-        self.totals(spark).write.mode("overwrite").parquet(f"{self.base_path}/version={last}")
-        (self.positions(spark).withColumn("epoch", F.lit(last).cast("bigint"))
-         .coalesce(1).write.mode("overwrite").parquet(f"{self.progress_base_path}/version={last}"))
-        spark.createDataFrame([(last,)], "committed bigint").write.mode("overwrite") \
-            .parquet(f"{self.base_commits_path}/version={last}")
+        nxt = g.gen + 1
+        self.totals(spark, g).write.mode("overwrite").parquet(self._gen_path(nxt, "base"))
+        (self.positions(spark, g).withColumn("epoch", F.lit(last).cast("bigint"))
+         .coalesce(1).write.mode("overwrite").parquet(self._gen_path(nxt, "positions")))
+        # a failed earlier attempt may have left no tables; recreate them empty
+        for table, schema in (("counts", COUNT_DELTAS), ("progress", PROGRESS)):
+            spark.createDataFrame([], schema).write.mode("overwrite").partitionBy("epoch") \
+                .parquet(self._gen_path(nxt, table))
+        spark.createDataFrame([(last,)], "base_epoch bigint").write.mode("overwrite") \
+            .parquet(f"{self.generations_path}/gen={nxt}")
         return last
 
     # --- per-batch body ----------------------------------------------------------------------
 
-    def _next_epoch(self, spark: SparkSession) -> int:
-        last = self.committed_epoch(spark)
-        return 0 if last is None else last + 1
-
-    def _write_counts(self, counts: DataFrame, epoch: int) -> None:
+    def _write_counts(self, counts: DataFrame, gen: int, epoch: int) -> None:
         counts.select("word", F.col("cnt").cast("bigint").alias("cnt")) \
-            .write.mode("overwrite").parquet(f"{self.counts_path}/epoch={epoch}")
+            .write.mode("overwrite").parquet(f"{self._gen_path(gen, 'counts')}/epoch={epoch}")
 
-    def _write_progress(self, fresh: DataFrame, epoch: int) -> None:
+    def _write_progress(self, fresh: DataFrame, gen: int, epoch: int) -> None:
         ranges = offsets.offset_ranges(fresh.withColumn("epoch", F.lit(epoch).cast("bigint")))
         (ranges.select(F.lit(self.group_id).alias("group_id"), "topic", "partition", "from_offset",
                        "until_offset", "n_records")
          .coalesce(1)  # one row per topic partition: keep it one file
-         .write.mode("overwrite").parquet(f"{self.progress_path}/epoch={epoch}"))
+         .write.mode("overwrite").parquet(f"{self._gen_path(gen, 'progress')}/epoch={epoch}"))
 
     def process_batch(self, batch: DataFrame, batch_id: int | None = None) -> int | None:
         """``foreachBatch`` body. Returns the committed epoch, or None if nothing was new."""
         spark = batch.sparkSession
-        epoch = self._next_epoch(spark)
+        g = self.generation(spark)
+        last = self.committed_epoch(spark, g)
+        epoch = 0 if last is None else last + 1
         fresh = offsets.resume_filter(batch.select("topic", "partition", "offset", "key", "value"),
-                                      self.positions(spark), self.max_broadcast_positions)
+                                      self.positions(spark, g), self.max_broadcast_positions)
         fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if fresh.isEmpty():
                 return None
-            self._write_counts(self.count_fn(fresh), epoch)
-            self._write_progress(fresh, epoch)
+            self._write_counts(self.count_fn(fresh), g.gen, epoch)
+            self._write_progress(fresh, g.gen, epoch)
             return epoch
         finally:
             fresh.unpersist()

@@ -29,8 +29,8 @@ class FlakyCounter(ExactlyOnceCounter):
 
     crash = None  # None | "after_counts" | "after_progress"
 
-    def _write_counts(self, counts, epoch):
-        super()._write_counts(counts, epoch)
+    def _write_counts(self, counts, gen, epoch):
+        super()._write_counts(counts, gen, epoch)
         if self.crash == "after_counts":
             self.crash = None
             raise CrashAfterCounts(epoch)
@@ -138,12 +138,41 @@ def test_exactly_once_replay(spark, scratch_dir):
     assert _totals(spark, counter) == {"a": 4, "b": 1, "c": 1, "z": 2}
 
     # checkpoint lost after a compaction: positions come from the snapshot + later epochs
-    assert counter.compact(spark) is not None
+    assert counter.compact(spark) == 5  # epochs 0..5 so far
+    assert counter.generation(spark).gen == 2
+    assert counter.progress(spark).count() == 0  # the new generation lists no old epochs
     new_checkpoint()
     _run(spark, counter, log_dir, ckpt[0])
     assert _totals(spark, counter) == {"a": 4, "b": 1, "c": 1, "z": 2}
     assert _until(spark, counter) == {0: 7}
 
+    # new epochs land in the new generation and continue the epoch numbering
+    _add_records(log_dir, 10, [(7, "q")])
+    _run(spark, counter, log_dir, ckpt[0])
+    assert [r["epoch"] for r in counter.progress(spark).collect()] == [6]
+    assert _totals(spark, counter) == {"a": 4, "b": 1, "c": 1, "z": 2, "q": 1}
+
+
+def test_interrupted_compaction_is_invisible(spark, scratch_dir):
+    log_dir = os.path.join(scratch_dir, "log")
+    os.makedirs(log_dir)
+    counter = ExactlyOnceCounter(os.path.join(scratch_dir, "store"), group_id="g")
+    _add_records(log_dir, 1, [(0, "a b"), (1, "a")])
+    _run(spark, counter, log_dir, os.path.join(scratch_dir, "ckpt"))
+    # a compaction that died after writing a (wrong) snapshot but before its marker
+    spark.createDataFrame([("zzz", 99)], "word string, cnt bigint").write.parquet(
+        os.path.join(scratch_dir, "store", "gen=1", "base"))
+    assert counter.generation(spark).gen == 0
+    assert _totals(spark, counter) == {"a": 2, "b": 1}
+    _add_records(log_dir, 2, [(2, "b")])
+    _run(spark, counter, log_dir, os.path.join(scratch_dir, "ckpt"))
+    assert _totals(spark, counter) == {"a": 2, "b": 2}
+    # the retried compaction overwrites the partial snapshot
+    assert counter.compact(spark) == 1
+    assert counter.generation(spark).gen == 1
+    assert _totals(spark, counter) == {"a": 2, "b": 2}
+    assert _until(spark, counter) == {0: 3}
+
 
 def test_stream_equals_batch_answer(spark, scratch_dir):
     """Totals of a multi-partition stream equal one batch word count of the same records."""
