@@ -60,19 +60,26 @@ def event_time_walk(df: DataFrame, order_col: str, tie_cols: tuple[str, ...] = (
 
 def expand_sessions(df: DataFrame, key_col: str, seed: int = SEED,
                     actions: list[tuple[str, int]] = fv.ACTIONS, quit_action: str = "quit",
-                    index_col: str = "action_index") -> DataFrame:
+                    index_col: str = "action_index", with_session_id: bool = True) -> DataFrame:
     """One row per action of each session (``key_col`` = session key).
 
     A session draws actions until ``quit``, so its length is geometric with
     continue-probability ``1 - w(quit) / total``; zero-length sessions vanish. The
     length is bounded (see :func:`keytally.functions.seeded.geometric_length`), so no
-    session expands without limit. Adds ``session_id`` and ``index_col`` (1-based).
+    session expands without limit. Adds ``index_col`` (1-based) and, unless
+    ``with_session_id`` is false, ``session_id`` (see :func:`session_id`).
     """
     total = sum(w for _, w in actions)
     quit_weight = sum(w for a, w in actions if a == quit_action)
     length = seeded.geometric_length(1.0 - quit_weight / total, seed, "length", key_col)
-    return (df.withColumn("session_id", seeded.uuid_like(seed, "session", key_col))
-            .withColumn(index_col, F.explode(F.when(length > 0, F.sequence(F.lit(1), length)))))
+    if with_session_id:
+        df = df.withColumn("session_id", session_id(key_col, seed))
+    return df.withColumn(index_col, F.explode(F.when(length > 0, F.sequence(F.lit(1), length))))
+
+
+def session_id(key_col: str, seed: int = SEED) -> Column:
+    """The session's identifier: a function of the session key alone."""
+    return seeded.uuid_like(seed, "session", key_col)
 
 
 def _ids(seed: int, salt: str, *keys: str) -> Column:
@@ -118,15 +125,16 @@ def user_visit_actions(sessions: DataFrame, key_col: str, seed: int = SEED,
     columns, and a time from one clock shared by all sessions in key order, so
     sessions never overlap.
     """
-    acts = (expand_sessions(sessions.select(key_col), key_col, seed)
-            .withColumn("user_id", seeded.uniform_int(1, user_num, seed, "user", key_col)))
+    # Only the keys and the step cross the walk's exchange; every other column is a
+    # function of (session key, action index) and is drawn after it, in the block's task.
+    acts = expand_sessions(sessions.select(key_col), key_col, seed, with_session_id=False)
     timed = event_time_walk(acts, key_col, ("action_index",), seed=seed, block_size=SESSION_BLOCK_SIZE)
     keys = (key_col, "action_index")
     action = seeded.weighted_choice(non_quit_actions(), seed, "action", *keys)
     return timed.select(
         codecs.format_date("event_ts").alias("date"),
-        F.col("user_id"),
-        F.col("session_id"),
+        seeded.uniform_int(1, user_num, seed, "user", key_col).alias("user_id"),
+        session_id(key_col, seed).alias("session_id"),
         seeded.uniform_int(1, fv.PAGE_NUM, seed, "page", *keys).alias("page_id"),
         codecs.format_datetime("event_ts").alias("action_time"),
         *action_columns(action, seed, *keys),
