@@ -32,14 +32,23 @@ UNSAVED_PARTITION = 3  # resume_filter: this partition has no saved position (ea
 SEED = seeded.DEFAULT_SEED
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """A whole input table (only ``columns`` if given), spread if under-split."""
-    return tables.read_table(spark, f"{sf_dir}/{name}.parquet", list(columns) or None)
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str, spread: bool = False) -> DataFrame:
+    """A whole input table (only ``columns`` if given).
+
+    ``spread=True`` is for queries whose per-row work is heavy relative to the bytes
+    read (tokenising, many md5 draws per row, session expansion): an under-split
+    input is then spread over the cluster first. Light projections read as is.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    if spread:
+        return tables.read_table(spark, path, list(columns) or None)
+    df = spark.read.parquet(path)
+    return df.select(*columns) if columns else df
 
 
 def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recordlog.log_view(table(spark, sf_dir, "events", "event_id", "event_type"), "event_id", "event_type",
-                              topic=fv.TOPIC, partitions=LOG_PARTITIONS)
+    events = table(spark, sf_dir, "events", "event_id", "event_type")
+    return recordlog.log_view(events, "event_id", "event_type", topic=fv.TOPIC, partitions=LOG_PARTITIONS)
 
 
 def batched_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,11 +69,11 @@ def group_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- A: keyed counting ---------------------------------------------------------------------
 
 def q_word_count(spark, sf_dir):
-    return counting.word_count(table(spark, sf_dir, "documents", "text"), "text")
+    return counting.word_count(table(spark, sf_dir, "documents", "text", spread=True), "text")
 
 
 def q_tokenize_counts(spark, sf_dir):
-    conv = table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
+    conv = table(spark, sf_dir, "conversations", "conv_id", "turn", "text", spread=True)
     return conv.select("conv_id", "turn", token_count(F.col("text")).alias("n_tokens"))
 
 
@@ -114,7 +123,7 @@ def q_resume_filter(spark, sf_dir):
 # --- P: line codec, time formats, messages ----------------------------------------------------
 
 def _ad_clicks_of_events(spark, sf_dir):
-    ev = table(spark, sf_dir, "events", "event_id", "ts")
+    ev = table(spark, sf_dir, "events", "event_id", "ts", spread=True)
     return generate.ad_clicks(ev, "event_id", codecs.ntz_to_millis("ts"), SEED)
 
 
@@ -169,13 +178,13 @@ def _sample_amount():
 
 
 def q_sample_ids(spark, sf_dir):
-    part = table(spark, sf_dir, "part", "p_partkey")
+    part = table(spark, sf_dir, "part", "p_partkey", spread=True)
     ids = seeded.distinct_sample(1, fv.CATEGORY_NUM, _sample_amount(), SEED, "ids", "p_partkey")
     return part.select("p_partkey", _sample_amount().alias("amount"), seeded.join_ids(ids).alias("ids"))
 
 
 def q_sample_ids_repeat(spark, sf_dir):
-    part = table(spark, sf_dir, "part", "p_partkey")
+    part = table(spark, sf_dir, "part", "p_partkey", spread=True)
     ids = seeded.repeat_sample(1, fv.CATEGORY_NUM, _sample_amount(), SEED, "ids", "p_partkey")
     return part.select("p_partkey", _sample_amount().alias("amount"), seeded.join_ids(ids).alias("ids"))
 
@@ -188,13 +197,13 @@ def q_event_time_walk(spark, sf_dir):
 
 
 def q_session_expand(spark, sf_dir):
-    cust = table(spark, sf_dir, "customer", "c_custkey")
+    cust = table(spark, sf_dir, "customer", "c_custkey", spread=True)
     return generate.expand_sessions(cust, "c_custkey", SEED).select("c_custkey", "session_id", "action_index") \
         .withColumn("action_index", F.col("action_index").cast("bigint"))
 
 
 def q_action_dispatch(spark, sf_dir):
-    ev = table(spark, sf_dir, "events", "event_id")
+    ev = table(spark, sf_dir, "events", "event_id", spread=True)
     action = seeded.weighted_choice(generate.non_quit_actions(), SEED, "action", "event_id")
     return ev.select("event_id", action.alias("action"), *generate.action_columns(action, SEED, "event_id"))
 
@@ -222,7 +231,8 @@ def q_gen_ad_clicks(spark, sf_dir):
 
 
 def q_gen_user_visit_action(spark, sf_dir):
-    return generate.user_visit_actions(table(spark, sf_dir, "customer", "c_custkey"), "c_custkey", SEED)
+    return generate.user_visit_actions(table(spark, sf_dir, "customer", "c_custkey", spread=True),
+                                       "c_custkey", SEED)
 
 
 # --- K: preview -----------------------------------------------------------------------------
