@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from keytally import fixed_values as fv
 from keytally.operators import counting, offsets
+from keytally.sources.kafka import kafka_source_options
 from keytally.streaming.exactly_once import ExactlyOnceCounter, value_counts, word_counts
 
 
@@ -65,6 +66,18 @@ def kafka_resume_offsets(spark: SparkSession, counter: ExactlyOnceCounter) -> st
     return offsets.starting_offsets_json(counter.positions(spark))
 
 
+def kafka_resume_options(spark: SparkSession, counter: ExactlyOnceCounter, bootstrap_servers: str,
+                         topics: list[str] | str = fv.TOPIC, **kwargs) -> dict[str, str]:
+    """Kafka source options that restart a subscription at the counter's saved positions.
+
+    With a fresh checkpoint, Kafka then skips already-counted records at the source;
+    the counter's own resume filter still guards the partitions it has no position
+    for and any replay.
+    """
+    return kafka_source_options(bootstrap_servers, topics,
+                                starting_offsets=kafka_resume_offsets(spark, counter), **kwargs)
+
+
 def stateful_word_totals(records: DataFrame) -> DataFrame:
     """Streaming running totals ``(word, cnt)`` kept in Spark's state store.
 

@@ -3,6 +3,7 @@
 import itertools
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from keytally import fixed_values as fv
@@ -169,3 +170,20 @@ def test_parse_date_is_midnight(spark):
                                 ntz_to_millis(parse_date(fv.WALK_START_DATE)).alias("ms")).first()
     assert row["s"] == "2019-11-26 00:00:00"
     assert row["ms"] == generate._day_millis(fv.WALK_START_DATE)
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.tuples(st.integers(-10 ** 6, 10 ** 6), st.integers(0, 3), st.integers(-50, 50)),
+                min_size=1, max_size=300, unique_by=lambda r: (r[0], r[1])),
+       st.sampled_from([2, 3, 16, 1000]), st.sampled_from([1, 2, 8]))
+def test_running_sum_property(spark, rows, block_size, max_top_rows):
+    """Random sparse keys with ties, any block size and top bound: equals a sequential sum."""
+    df = spark.createDataFrame(rows, "k long, t long, v long")
+    got = {(r["k"], r["t"]): r["running"] for r in
+           running_sum(df, "v", "k", "running", tie_cols=("t",), block_size=block_size,
+                       max_top_rows=max_top_rows).collect()}
+    acc, want = 0, {}
+    for k, t, v in sorted(rows):
+        acc += v
+        want[(k, t)] = acc
+    assert got == want
