@@ -84,13 +84,24 @@ def starting_offsets_frame(positions: DataFrame) -> DataFrame:
                             .alias("starting_offsets"))
 
 
-def starting_offsets_json(positions: DataFrame, default: str = "earliest") -> str:
+EARLIEST_OFFSET = -2  # Kafka startingOffsets JSON code for "earliest"
+
+
+def starting_offsets_json(positions: DataFrame, default: str = "earliest",
+                          partitions_per_topic: dict[str, int] | None = None) -> str:
     """Kafka ``startingOffsets`` option for the saved positions, or ``default`` if none.
 
-    The result holds one number per topic partition, so bringing it to the driver is
-    bounded by the partition count (it has to be a reader option string anyway).
+    A JSON position map must name every partition of the subscribed topics; pass
+    ``partitions_per_topic`` so that partitions without a saved position start at
+    the earliest offset (``-2``). The result holds one number per topic partition,
+    so bringing it to the driver is bounded by the partition count (it has to be a
+    reader option string anyway).
     """
     merged: dict[str, dict[str, int]] = {}
     for row in starting_offsets_frame(positions).toLocalIterator():
         merged.update(json.loads(row["starting_offsets"]))
+    for topic, n in (partitions_per_topic or {}).items():
+        saved = merged.setdefault(topic, {})
+        for p in range(n):
+            saved.setdefault(str(p), EARLIEST_OFFSET)
     return json.dumps(merged, sort_keys=True) if merged else default

@@ -61,21 +61,28 @@ def hash_counter(root: str, hash_name: str = fv.HASH_NAME,
     return ExactlyOnceCounter(os.path.join(root, hash_name), group_id=group_id, count_fn=value_counts)
 
 
-def kafka_resume_offsets(spark: SparkSession, counter: ExactlyOnceCounter) -> str:
-    """``startingOffsets`` for a new Kafka query: the counter's saved positions, else earliest."""
-    return offsets.starting_offsets_json(counter.positions(spark))
+def kafka_resume_offsets(spark: SparkSession, counter: ExactlyOnceCounter,
+                         partitions_per_topic: dict[str, int] | None = None) -> str:
+    """``startingOffsets`` for a new Kafka query: the counter's saved positions, else earliest.
+
+    ``partitions_per_topic`` (topic -> partition count) fills partitions without a
+    saved position with "earliest", as a JSON position map must name them all.
+    """
+    return offsets.starting_offsets_json(counter.positions(spark),
+                                         partitions_per_topic=partitions_per_topic)
 
 
 def kafka_resume_options(spark: SparkSession, counter: ExactlyOnceCounter, bootstrap_servers: str,
-                         topics: list[str] | str = fv.TOPIC, **kwargs) -> dict[str, str]:
+                         topics: list[str] | str = fv.TOPIC,
+                         partitions_per_topic: dict[str, int] | None = None, **kwargs) -> dict[str, str]:
     """Kafka source options that restart a subscription at the counter's saved positions.
 
     With a fresh checkpoint, Kafka then skips already-counted records at the source;
     the counter's own resume filter still guards the partitions it has no position
     for and any replay.
     """
-    return kafka_source_options(bootstrap_servers, topics,
-                                starting_offsets=kafka_resume_offsets(spark, counter), **kwargs)
+    start = kafka_resume_offsets(spark, counter, partitions_per_topic)
+    return kafka_source_options(bootstrap_servers, topics, starting_offsets=start, **kwargs)
 
 
 def stateful_word_totals(records: DataFrame) -> DataFrame:
