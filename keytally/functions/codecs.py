@@ -7,8 +7,6 @@ arithmetic on ``timestamp_ntz`` do not depend on the session time zone.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, functions as F
 
 from keytally import fixed_values as fv
@@ -108,9 +106,3 @@ def decode_ad_line(line: Column | str, delimiter: str = " ") -> Column:
     return F.struct(ts.alias("timestamp_ms"), area.alias("area"), city.alias("city"),
                     user.alias("user_id"), ad.alias("ad_id"),
                     F.when(bad | text.isNull(), text).alias("_corrupt"))
-
-
-def city_lookup_array(cities: Sequence[tuple[int, str, str]] = fv.CITIES) -> Column:
-    """Literal ``array<struct<city_id, city_name, area>>`` indexed by position."""
-    return F.array(*[F.struct(F.lit(i).cast("bigint").alias("city_id"), F.lit(n).alias("city_name"),
-                              F.lit(a).alias("area")) for i, n, a in cities])

@@ -102,3 +102,12 @@ def test_ad_line_codec_round_trip_and_corrupt_lines(spark):
 def test_console_prints(spark, capsys):
     sinks.console(spark.range(3), 3)
     assert "id" in capsys.readouterr().out
+
+
+def test_current_millis_is_wall_clock(spark):
+    import time
+    from keytally.functions.codecs import current_millis
+    before = int(time.time() * 1000)
+    got = spark.range(1).select(current_millis().alias("ms")).first()["ms"]
+    after = int(time.time() * 1000)
+    assert before - 1000 <= got <= after + 1000
