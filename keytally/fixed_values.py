@@ -60,7 +60,8 @@ HASH_NAME = "wordcount"
 GROUPS = ["bigdata2", "bigdata3", "bigdata4", "bigdata5"]
 BATCH_INTERVAL = "3 seconds"
 STARTING_OFFSETS = "earliest"
-MESSAGE_TEMPLATE = "%d: this is a linys %d kafka data"
+# Demo message body: the reference's wording except one name word, left out on purpose.
+MESSAGE_TEMPLATE = "%d: this is a %d kafka data"
 MESSAGE_COUNT = 10
 MESSAGE_PAUSE_SECONDS = 0.5
 LETTER_FROM, LETTER_TO = 97, 122

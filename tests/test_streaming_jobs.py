@@ -113,7 +113,7 @@ def test_ad_click_feed(spark, scratch_dir):
 def test_message_and_letter_feeds(spark, scratch_dir):
     msgs = _run_feed(spark, feeds.message_feed(spark), "kt_msgs", scratch_dir, 3)
     values = {r["value"] for r in msgs.collect()}
-    assert "1: this is a linys 1 kafka data" in values
+    assert "1: this is a 1 kafka data" in values
     letters = _run_feed(spark, feeds.letter_feed(spark), "kt_letters", scratch_dir, 3)
     rows = letters.collect()
     assert all(r["key"] == r["value"] and len(r["value"]) == 1 and "a" <= r["value"] <= "z" for r in rows)
