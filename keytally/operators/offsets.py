@@ -78,10 +78,10 @@ def resume_filter(records: DataFrame, positions: DataFrame,
 
 def starting_offsets_frame(positions: DataFrame) -> DataFrame:
     """One row per topic: ``{"topic": {"partition": offset, ...}}`` JSON (``startingOffsets``)."""
-    per_topic = (positions.groupBy("topic")
-                 .agg(F.map_from_entries(F.collect_list(
-                     F.struct(F.col("partition").cast("string"), F.col("until_offset"))))
-                     .alias("offsets")))
+    # Entries sorted by partition number so the JSON text is deterministic.
+    entries = F.array_sort(F.collect_list(F.struct(F.col("partition"), F.col("until_offset"))))
+    as_text = F.transform(entries, lambda e: F.struct(e["partition"].cast("string"), e["until_offset"]))
+    per_topic = positions.groupBy("topic").agg(F.map_from_entries(as_text).alias("offsets"))
     return per_topic.select("topic", F.to_json(F.create_map(F.col("topic"), F.col("offsets")))
                             .alias("starting_offsets"))
 

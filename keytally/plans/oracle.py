@@ -165,9 +165,20 @@ GROUP BY word""",
     "tokenize_counts": f"""
 SELECT conv_id, turn, CAST(len({tokens('text')}) AS BIGINT) AS n_tokens FROM conversations""",
 
+    "token_positions": f"""
+WITH t AS (SELECT conv_id, turn, {tokens('text')} AS tok FROM conversations)
+SELECT conv_id, turn, CAST(unnest(generate_series(1, len(tok))) AS BIGINT) AS idx, unnest(tok) AS token
+FROM t""",
+
     "value_count": """
 SELECT event_type AS value, count(*) AS cnt FROM events GROUP BY event_type""",
 
+    "batch_counts": f"""
+WITH {LOG}
+SELECT "offset" // {q.LOG_BATCH_SIZE} AS epoch, word, count(*) AS cnt
+FROM (SELECT "offset", unnest({tokens('value')}) AS word FROM log)
+GROUP BY ALL""",
+
     "accumulate_counts": f"""
 SELECT word, count(*) AS cnt
 FROM (SELECT unnest({tokens('event_type')}) AS word FROM events)
@@ -197,6 +208,14 @@ WITH {LOG}, {RANGES}, {PROGRESS}, {POSITIONS}
 SELECT topic, partition, until_offset FROM positions
 WHERE group_id = '{q.RESUME_GROUP}' AND topic = '{fv.TOPIC}'""",
 
+    "starting_offsets": f"""
+WITH {LOG}, {RANGES}, {PROGRESS}, {POSITIONS},
+saved AS (SELECT topic, partition, until_offset FROM positions
+          WHERE group_id = '{q.RESUME_GROUP}' AND topic = '{fv.TOPIC}')
+SELECT topic, '{{"' || topic || '":{{' || string_agg('"' || CAST(partition AS VARCHAR) || '":'
+       || CAST(until_offset AS VARCHAR), ',' ORDER BY partition) || '}}}}' AS starting_offsets
+FROM saved GROUP BY topic""",
+
     "resume_filter": f"""
 WITH {LOG}, {RANGES}, {PROGRESS}, {POSITIONS},
 saved AS (SELECT topic, partition, until_offset FROM positions

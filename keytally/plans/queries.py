@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from keytally import fixed_values as fv
 from keytally.functions import codecs, seeded
-from keytally.functions.tokens import token_count
+from keytally.functions.tokens import split_tokens, token_count
 from keytally.operators import counting, generate, offsets
 from keytally.sources import recordlog, tables
 
@@ -77,10 +77,20 @@ def q_tokenize_counts(spark, sf_dir):
     return conv.select("conv_id", "turn", token_count(F.col("text")).alias("n_tokens"))
 
 
+def q_token_positions(spark, sf_dir):
+    conv = table(spark, sf_dir, "conversations", "conv_id", "turn", "text", spread=True)
+    return conv.select("conv_id", "turn", F.posexplode(split_tokens(F.col("text"))).alias("pos", "token")) \
+        .select("conv_id", "turn", (F.col("pos") + F.lit(1)).cast("bigint").alias("idx"), "token")
+
+
 def q_value_count(spark, sf_dir):
     return counting.value_count(events_log(spark, sf_dir), "value")
 
 
+def q_batch_counts(spark, sf_dir):
+    return counting.batch_word_counts(batched_log(spark, sf_dir), "epoch", "value")
+
+
 def q_accumulate_counts(spark, sf_dir):
     deltas = counting.batch_word_counts(batched_log(spark, sf_dir), "epoch", "value")
     return counting.accumulate_counts(deltas, ("word",))
@@ -113,6 +123,12 @@ def q_progress_lookup(spark, sf_dir):
     return offsets.progress_lookup(positions, RESUME_GROUP, fv.TOPIC)
 
 
+def q_starting_offsets(spark, sf_dir):
+    positions = offsets.progress_lookup(offsets.latest_offsets(group_progress(spark, sf_dir)),
+                                        RESUME_GROUP, fv.TOPIC)
+    return offsets.starting_offsets_frame(positions)
+
+
 def q_resume_filter(spark, sf_dir):
     positions = offsets.progress_lookup(offsets.latest_offsets(group_progress(spark, sf_dir)),
                                         RESUME_GROUP, fv.TOPIC)
