@@ -31,6 +31,14 @@ from keytally.session import checkpoint_root
 
 DEFAULT_BLOCK_SIZE = 1 << 13
 DEFAULT_MAX_TOP_ROWS = 1 << 16
+# Rows one block may hold before the operator refuses to run: a block is one window
+# task. Unique keys give at most block_size rows per block; sessions of <= 342 rows
+# in blocks of 1,024 keys give at most ~350k.
+DEFAULT_MAX_BLOCK_ROWS = 1 << 24
+
+
+class HotBlockError(ValueError):
+    """A block holds too many rows: ``order_col`` is far from unique."""
 
 
 def block_of(key: Column, block_size: int) -> Column:
@@ -46,19 +54,27 @@ def _materialize(df: DataFrame) -> DataFrame:
 
 def running_sum(df: DataFrame, value_col: str, order_col: str, out_col: str = "running",
                 tie_cols: Sequence[str] = (), block_size: int = DEFAULT_BLOCK_SIZE,
-                max_top_rows: int = DEFAULT_MAX_TOP_ROWS, _depth: int = 0) -> DataFrame:
+                max_top_rows: int = DEFAULT_MAX_TOP_ROWS, max_block_rows: int = DEFAULT_MAX_BLOCK_ROWS,
+                _depth: int = 0) -> DataFrame:
     """``df`` plus ``out_col`` = inclusive running sum of ``value_col`` in
     ``(order_col, *tie_cols)`` order over all rows.
 
     Runs pass 1 eagerly (a Spark job) to size the block table; the returned frame
-    is lazy for pass 2.
+    is lazy for pass 2. Raises :class:`HotBlockError` if a block holds more than
+    ``max_block_rows`` rows (measured in pass 1), rather than running it in one task.
     """
     if block_size < 2 or max_top_rows < 1:
         raise ValueError("block_size must be >= 2 and max_top_rows >= 1")
-    blk, total, incl, before = (f"_kt_{name}{_depth}" for name in ("block", "total", "incl", "before"))
+    blk, total, incl, before, rows = (f"_kt_{name}{_depth}"
+                                      for name in ("block", "total", "incl", "before", "rows"))
     blocked = df.withColumn(blk, block_of(F.col(order_col), block_size))
-    totals = _materialize(blocked.groupBy(blk).agg(F.sum(value_col).alias(total)))
-    n_blocks = totals.count()
+    measured = _materialize(blocked.groupBy(blk).agg(F.sum(value_col).alias(total),
+                                                     F.count(F.lit(1)).alias(rows)))
+    n_blocks, hottest = measured.agg(F.count(F.lit(1)), F.max(rows)).first()
+    if hottest is not None and hottest > max_block_rows:
+        raise HotBlockError(f"a block of {block_size} keys of {order_col!r} holds {hottest} rows "
+                            f"(limit {max_block_rows}); use a near-unique order column")
+    totals = measured.drop(rows)
     # The key range shrinks by block_size per level, so this terminates; 2 blocks
     # can straddle zero ({-1, 0}) and never merge, so they always count as small.
     small = n_blocks <= max(max_top_rows, 2)
@@ -68,7 +84,8 @@ def running_sum(df: DataFrame, value_col: str, order_col: str, out_col: str = "r
             Window.orderBy(blk).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     else:
         prefix = running_sum(totals, total, blk, incl, block_size=block_size,
-                             max_top_rows=max_top_rows, _depth=_depth + 1)
+                             max_top_rows=max_top_rows, max_block_rows=max_block_rows,
+                             _depth=_depth + 1)
     offsets = prefix.select(blk, (F.col(incl) - F.col(total)).alias(before))
     if small:
         offsets = F.broadcast(offsets)

@@ -187,3 +187,13 @@ def test_running_sum_property(spark, rows, block_size, max_top_rows):
         acc += v
         want[(k, t)] = acc
     assert got == want
+
+
+def test_running_sum_refuses_hot_block(spark):
+    from keytally.operators.running_sum import HotBlockError
+    df = spark.range(5000).select(F.lit(7).cast("long").alias("k"), F.col("id").alias("t"),
+                                  F.lit(1).cast("long").alias("v"))
+    with pytest.raises(HotBlockError):
+        running_sum(df, "v", "k", tie_cols=("t",), max_block_rows=1000)
+    # the same data is fine under a limit that admits it
+    assert running_sum(df, "v", "k", tie_cols=("t",), max_block_rows=5000).agg(F.max("running")).first()[0] == 5000
