@@ -17,6 +17,7 @@ from keytally import fixed_values as fv
 from keytally.functions import codecs, seeded
 from keytally.operators.running_sum import DEFAULT_BLOCK_SIZE, running_sum
 from keytally.schemas import CITY_INFO
+from keytally.sources import tables as table_io
 
 SEED = seeded.DEFAULT_SEED
 MAX_IDS_PER_ACTION = 5  # order/pay id lists hold 1..5 ids
@@ -198,3 +199,31 @@ def ad_clicks(df: DataFrame, key_col: str, timestamp_ms: Column, seed: int = SEE
 def ad_line() -> Column:
     """The feed's line for an ad-click row (columns as produced by :func:`ad_clicks`)."""
     return codecs.encode_ad_line("timestamp_ms", "area", "city", "user_id", "ad_id")
+
+
+def write_ecommerce_tables(sessions: DataFrame, session_key: str, users: DataFrame, user_key: str,
+                           products: DataFrame, product_key: str, seed: int = SEED,
+                           database: str | None = None, preview_rows: int = 0) -> dict[str, int]:
+    """Generate and replace the four e-commerce tables; return their row counts.
+
+    One session per row of ``sessions``, one user per row of ``users``, one product
+    per row of ``products`` (key frames from existing tables or ``spark.range``).
+    Each table is dropped and rewritten as a managed table; ``preview_rows > 0``
+    prints that many rows of each afterwards.
+    """
+    spark = sessions.sparkSession
+    prefix = f"{database}." if database else ""
+    built = {
+        "user_visit_action": user_visit_actions(sessions, session_key, seed),
+        "user_info": user_info(users, user_key, seed),
+        "product_info": product_info(products, product_key, seed),
+        "city_info": city_info(spark),
+    }
+    counts = {}
+    for name, df in built.items():
+        table_io.replace_table(df, prefix + name)
+        stored = table_io.scan_table(spark, prefix + name)
+        counts[name] = stored.count()
+        if preview_rows:
+            table_io.show(stored, preview_rows)
+    return counts

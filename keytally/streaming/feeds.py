@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from keytally import fixed_values as fv
 from keytally.functions import codecs, seeded
 from keytally.operators import generate
+from keytally.sources.sinks import stream_records
 
 
 def sequence_stream(spark: SparkSession, rows_per_batch: int, num_partitions: int | None = None,
@@ -49,3 +50,12 @@ def letter_feed(spark: SparkSession, rows_per_batch: int = 1, seed: int = seeded
                           advance_millis_per_batch=int(fv.MESSAGE_PAUSE_SECONDS * 1000))
     letter = codecs.letter(seeded.uniform_int(fv.LETTER_FROM, fv.LETTER_TO, seed, "letter", "seq"))
     return seq.select(F.lit(fv.TOPIC).alias("topic"), letter.alias("key"), letter.alias("value"))
+
+
+def start_feed(records: DataFrame, fmt: str, checkpoint_location: str, path: str | None = None,
+               options: dict[str, str] | None = None, trigger: dict | None = None):
+    """Start writing a feed's records to a record log (``fmt="kafka"`` or a file format)."""
+    writer = stream_records(records, fmt, checkpoint_location, path, options)
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()

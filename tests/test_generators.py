@@ -197,3 +197,14 @@ def test_running_sum_refuses_hot_block(spark):
         running_sum(df, "v", "k", tie_cols=("t",), max_block_rows=1000)
     # the same data is fine under a limit that admits it
     assert running_sum(df, "v", "k", tie_cols=("t",), max_block_rows=5000).agg(F.max("running")).first()[0] == 5000
+
+
+def test_write_ecommerce_tables(spark, capsys):
+    sessions = spark.range(200).withColumnRenamed("id", "s")
+    users = spark.range(100).withColumnRenamed("id", "u")
+    products = spark.range(100).withColumnRenamed("id", "p")
+    counts = generate.write_ecommerce_tables(sessions, "s", users, "u", products, "p", preview_rows=3)
+    assert counts["user_info"] == 100 and counts["product_info"] == 100 and counts["city_info"] == 26
+    assert counts["user_visit_action"] == generate.user_visit_actions(sessions, "s").count() > 0
+    assert spark.table("user_visit_action").columns[0] == "date"
+    assert "city_name" in capsys.readouterr().out

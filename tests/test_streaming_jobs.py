@@ -117,3 +117,20 @@ def test_message_and_letter_feeds(spark, scratch_dir):
     letters = _run_feed(spark, feeds.letter_feed(spark), "kt_letters", scratch_dir, 3)
     rows = letters.collect()
     assert all(r["key"] == r["value"] and len(r["value"]) == 1 and "a" <= r["value"] <= "z" for r in rows)
+
+
+def test_ad_feed_to_record_log(spark, scratch_dir):
+    out = os.path.join(scratch_dir, "ads")
+    q = feeds.start_feed(feeds.ad_click_feed(spark), "json", os.path.join(scratch_dir, "ckpt"), path=out,
+                         trigger={"processingTime": "200 milliseconds"})
+    deadline = time.time() + 90
+    try:
+        while time.time() < deadline:
+            time.sleep(1)
+            if q.lastProgress and q.recentProgress and sum(p["numInputRows"] for p in q.recentProgress) >= 102:
+                break
+    finally:
+        q.stop()
+    back = spark.read.schema("topic string, key string, value string").json(out)
+    assert back.count() >= 102 and back.count() % fv.AD_BATCH_SIZE == 0
+    assert back.filter(F.col("topic") != fv.AD_TOPIC).count() == 0
