@@ -58,7 +58,8 @@ def bounded_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_POSITIONS)
 
 
 def resume_filter(records: DataFrame, positions: DataFrame,
-                  max_broadcast_rows: int = MAX_BROADCAST_POSITIONS) -> DataFrame:
+                  max_broadcast_rows: int = MAX_BROADCAST_POSITIONS,
+                  positions_rows: int | None = None) -> DataFrame:
     """Records at or after the saved position of their (topic, partition).
 
     A partition with no saved position starts from the earliest offset
@@ -68,10 +69,15 @@ def resume_filter(records: DataFrame, positions: DataFrame,
 
     Records of one topic partition can be a third of the log, so the join must not
     shuffle on (topic, partition): the positions side is broadcast (after a size
-    check) and the log streams through a map-side hash join.
+    check) and the log streams through a map-side hash join. ``positions_rows``
+    passes an already measured row count instead of counting again.
     """
     saved = positions.select(*PARTITION_KEYS, F.col("until_offset").alias("_saved_until"))
-    joined = records.join(bounded_broadcast(saved, max_broadcast_rows), list(PARTITION_KEYS), "left")
+    if positions_rows is None:
+        saved = bounded_broadcast(saved, max_broadcast_rows)
+    elif positions_rows <= max_broadcast_rows:
+        saved = F.broadcast(saved)
+    joined = records.join(saved, list(PARTITION_KEYS), "left")
     return (joined.filter(F.col("offset") >= F.coalesce(F.col("_saved_until"), F.lit(0)))
             .drop("_saved_until"))
 

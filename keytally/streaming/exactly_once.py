@@ -134,14 +134,18 @@ class ExactlyOnceCounter:
         last = self.progress(spark, g).agg(F.max("epoch")).first()[0]
         return last if last is not None else g.base_epoch
 
-    def positions(self, spark: SparkSession, generation: Generation | None = None) -> DataFrame:
-        """Saved position per (group, topic, partition): exclusive end offset."""
-        g = generation or self.generation(spark)
+    def _latest(self, spark: SparkSession, g: Generation) -> DataFrame:
+        """Latest ``(group_id, topic, partition, until_offset, epoch)`` per partition."""
         rows = self.progress(spark, g).select("group_id", "topic", "partition", "until_offset", "epoch")
         if g.base_epoch is not None:
             rows = rows.unionByName(spark.read.schema(POSITIONS_SCHEMA).parquet(self._gen_path(g.gen, "positions")))
         mine = rows.filter(F.col("group_id") == F.lit(self.group_id))
-        return offsets.latest_offsets(mine).select("group_id", "topic", "partition", "until_offset")
+        return offsets.latest_offsets(mine)
+
+    def positions(self, spark: SparkSession, generation: Generation | None = None) -> DataFrame:
+        """Saved position per (group, topic, partition): exclusive end offset."""
+        g = generation or self.generation(spark)
+        return self._latest(spark, g).select("group_id", "topic", "partition", "until_offset")
 
     def totals(self, spark: SparkSession, generation: Generation | None = None) -> DataFrame:
         """Current totals ``(word, cnt)``: the generation's snapshot plus its committed deltas."""
@@ -198,10 +202,14 @@ class ExactlyOnceCounter:
         """``foreachBatch`` body. Returns the committed epoch, or None if nothing was new."""
         spark = batch.sparkSession
         g = self.generation(spark)
-        last = self.committed_epoch(spark, g)
+        latest = self._latest(spark, g)
+        # One small job: the last committed epoch (the newest epoch of any partition's
+        # position) and the positions' row count for the broadcast decision.
+        newest, n_positions = latest.agg(F.max("epoch"), F.count(F.lit(1))).first()
+        last = newest if newest is not None else g.base_epoch
         epoch = 0 if last is None else last + 1
         fresh = offsets.resume_filter(batch.select("topic", "partition", "offset", "key", "value"),
-                                      self.positions(spark, g), self.max_broadcast_positions)
+                                      latest, self.max_broadcast_positions, positions_rows=n_positions)
         fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if fresh.isEmpty():
