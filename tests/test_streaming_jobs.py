@@ -134,3 +134,19 @@ def test_ad_feed_to_record_log(spark, scratch_dir):
     back = spark.read.schema("topic string, key string, value string").json(out)
     assert back.count() >= 102 and back.count() % fv.AD_BATCH_SIZE == 0
     assert back.filter(F.col("topic") != fv.AD_TOPIC).count() == 0
+
+
+def test_stateful_totals_update_sink(spark, scratch_dir):
+    log_dir = os.path.join(scratch_dir, "log")
+    _write_log(log_dir, "a.json", [(0, "a b"), (1, "a")])
+    _write_log(log_dir, "b.json", [(2, "b c")])
+    out, ckpt = os.path.join(scratch_dir, "totals"), os.path.join(scratch_dir, "ckpt")
+    stream = read_record_stream(spark, "json", log_dir, {"maxFilesPerTrigger": "1"})
+    q = jobs.start_stateful_word_totals(stream, out, ckpt, trigger={"availableNow": True})
+    q.awaitTermination(120)
+    q.stop()
+    got = {r["word"]: r["cnt"] for r in jobs.read_stateful_totals(spark, out).collect()}
+    assert got == {"a": 2, "b": 2, "c": 1}
+    # the second batch wrote only the words it changed
+    second = spark.read.parquet(os.path.join(out, "batch=1"))
+    assert {r["word"] for r in second.collect()} == {"b", "c"}
