@@ -16,9 +16,13 @@ Here the order key is cut into blocks of ``block_size`` consecutive key values:
    at most ``max_top_rows``; otherwise the join shares the window's exchange.
 
 The data is read twice and shuffled once. The order must be total: ``order_col``
-plus ``tie_cols`` identify a row. All rows with one ``order_col`` value share a
-block, so ``order_col`` should be (close to) unique — a sequence number, or a
-session key with a bounded number of rows per session.
+plus ``tie_cols`` identify a row.
+
+Hot keys: pass 1 counts rows per block. A block above ``max_block_rows`` (one order
+value holding a large share of the rows) is cut into segments
+``(block, order value, tie // max_block_rows)`` on the first, integral tie column.
+Segments are contiguous runs of the total order, so the same prefix-and-join scheme
+applies per segment (one more read of the data, only when a hot block exists).
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from keytally.operators.offsets import bounded_broadcast
 from keytally.session import checkpoint_root
 
 DEFAULT_BLOCK_SIZE = 1 << 13
@@ -38,7 +43,10 @@ DEFAULT_MAX_BLOCK_ROWS = 1 << 24
 
 
 class HotBlockError(ValueError):
-    """A block holds too many rows: ``order_col`` is far from unique."""
+    """A block or segment holds too many rows and cannot be split further."""
+
+
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 
 
 def block_of(key: Column, block_size: int) -> Column:
@@ -52,6 +60,44 @@ def _materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _names(depth: int) -> dict[str, str]:
+    return {n: f"_kt_{n}{depth}" for n in ("block", "sord", "stie", "total", "incl", "before", "rows", "hot")}
+
+
+def _split_hot_blocks(blocked: DataFrame, measured: DataFrame, value_col: str, order_col: str,
+                      tie_cols: Sequence[str], max_block_rows: int, n: dict[str, str]):
+    """Cut every block with more than ``max_block_rows`` rows into segments.
+
+    A hot block's rows get the segment ``(block, order value, tie // max_block_rows)``;
+    other rows keep ``(block, 0, 0)``. Segment keys compare in the same order as
+    ``(order_col, *tie_cols)``, so each segment is a contiguous run of the total order.
+    Needs an integral first tie column (e.g. an index within a key).
+    """
+    tie = tie_cols[0] if tie_cols else None
+    if tie is None or blocked.schema[tie].dataType.simpleString() not in _INTEGRAL:
+        raise HotBlockError(f"a block of {order_col!r} holds more than {max_block_rows} rows and "
+                            "there is no integral tie column to split it by")
+    hot_blocks = measured.filter(F.col(n["rows"]) > F.lit(max_block_rows)) \
+        .select(n["block"], F.lit(True).alias(n["hot"]))
+    # At most (rows / max_block_rows) hot blocks; broadcast only after counting them.
+    hot_side = bounded_broadcast(hot_blocks)
+    is_hot = F.coalesce(F.col(n["hot"]), F.lit(False))
+    zero = F.lit(0).cast("bigint")
+    keyed = (blocked.join(hot_side, n["block"], "left")
+             .withColumn(n["sord"], F.when(is_hot, F.col(order_col).cast("bigint")).otherwise(zero))
+             .withColumn(n["stie"], F.when(is_hot, block_of(F.col(tie).cast("bigint"), max_block_rows))
+                         .otherwise(zero))
+             .drop(n["hot"]))
+    seg_cols = [n["block"], n["sord"], n["stie"]]
+    seg = _materialize(keyed.groupBy(*seg_cols).agg(F.sum(value_col).alias(n["total"]),
+                                                    F.count(F.lit(1)).alias(n["rows"])))
+    n_segments, hottest = seg.agg(F.count(F.lit(1)), F.max(n["rows"])).first()
+    if hottest > max_block_rows:
+        raise HotBlockError(f"a segment of ({order_col!r}, {tie!r}) still holds {hottest} rows "
+                            f"(limit {max_block_rows}): the order is not total or ties are sparse")
+    return keyed, seg_cols, seg.drop(n["rows"]), n_segments
+
+
 def running_sum(df: DataFrame, value_col: str, order_col: str, out_col: str = "running",
                 tie_cols: Sequence[str] = (), block_size: int = DEFAULT_BLOCK_SIZE,
                 max_top_rows: int = DEFAULT_MAX_TOP_ROWS, max_block_rows: int = DEFAULT_MAX_BLOCK_ROWS,
@@ -60,37 +106,40 @@ def running_sum(df: DataFrame, value_col: str, order_col: str, out_col: str = "r
     ``(order_col, *tie_cols)`` order over all rows.
 
     Runs pass 1 eagerly (a Spark job) to size the block table; the returned frame
-    is lazy for pass 2. Raises :class:`HotBlockError` if a block holds more than
-    ``max_block_rows`` rows (measured in pass 1), rather than running it in one task.
+    is lazy for pass 2. A block with more than ``max_block_rows`` rows (a hot order
+    value) is split into segments by the first tie column before pass 2, so no
+    window task holds more than ``max_block_rows`` rows; :class:`HotBlockError` if
+    that is impossible.
     """
-    if block_size < 2 or max_top_rows < 1:
-        raise ValueError("block_size must be >= 2 and max_top_rows >= 1")
-    blk, total, incl, before, rows = (f"_kt_{name}{_depth}"
-                                      for name in ("block", "total", "incl", "before", "rows"))
-    blocked = df.withColumn(blk, block_of(F.col(order_col), block_size))
-    measured = _materialize(blocked.groupBy(blk).agg(F.sum(value_col).alias(total),
-                                                     F.count(F.lit(1)).alias(rows)))
-    n_blocks, hottest = measured.agg(F.count(F.lit(1)), F.max(rows)).first()
+    if block_size < 2 or max_top_rows < 1 or max_block_rows < 1:
+        raise ValueError("block_size must be >= 2, max_top_rows and max_block_rows >= 1")
+    n = _names(_depth)
+    blocked = df.withColumn(n["block"], block_of(F.col(order_col), block_size))
+    measured = _materialize(blocked.groupBy(n["block"]).agg(F.sum(value_col).alias(n["total"]),
+                                                            F.count(F.lit(1)).alias(n["rows"])))
+    n_segments, hottest = measured.agg(F.count(F.lit(1)), F.max(n["rows"])).first()
     if hottest is not None and hottest > max_block_rows:
-        raise HotBlockError(f"a block of {block_size} keys of {order_col!r} holds {hottest} rows "
-                            f"(limit {max_block_rows}); use a near-unique order column")
-    totals = measured.drop(rows)
-    # The key range shrinks by block_size per level, so this terminates; 2 blocks
+        keyed, seg_cols, seg_totals, n_segments = _split_hot_blocks(
+            blocked, measured, value_col, order_col, tie_cols, max_block_rows, n)
+    else:
+        keyed, seg_cols, seg_totals = blocked, [n["block"]], measured.drop(n["rows"])
+
+    # The key range shrinks by block_size per level, so this terminates; 2 segments
     # can straddle zero ({-1, 0}) and never merge, so they always count as small.
-    small = n_blocks <= max(max_top_rows, 2)
+    small = n_segments <= max(max_top_rows, 2)
     if small:
         # Bounded: at most max_top_rows rows in this one window partition.
-        prefix = totals.withColumn(incl, F.sum(total).over(
-            Window.orderBy(blk).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        prefix = seg_totals.withColumn(n["incl"], F.sum(n["total"]).over(
+            Window.orderBy(*seg_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     else:
-        prefix = running_sum(totals, total, blk, incl, block_size=block_size,
-                             max_top_rows=max_top_rows, max_block_rows=max_block_rows,
-                             _depth=_depth + 1)
-    offsets = prefix.select(blk, (F.col(incl) - F.col(total)).alias(before))
+        prefix = running_sum(seg_totals, n["total"], seg_cols[0], n["incl"], tie_cols=seg_cols[1:],
+                             block_size=block_size, max_top_rows=max_top_rows,
+                             max_block_rows=max_block_rows, _depth=_depth + 1)
+    offsets = prefix.select(*seg_cols, (F.col(n["incl"]) - F.col(n["total"])).alias(n["before"]))
     if small:
         offsets = F.broadcast(offsets)
-    in_block = (Window.partitionBy(blk).orderBy(F.col(order_col), *[F.col(c) for c in tie_cols])
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (blocked.join(offsets, blk)
-            .withColumn(out_col, F.col(before) + F.sum(value_col).over(in_block))
-            .drop(blk, before))
+    in_segment = (Window.partitionBy(*seg_cols).orderBy(F.col(order_col), *[F.col(c) for c in tie_cols])
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (keyed.join(offsets, seg_cols)
+            .withColumn(out_col, F.col(n["before"]) + F.sum(value_col).over(in_segment))
+            .drop(*seg_cols, n["before"]))

@@ -189,14 +189,31 @@ def test_running_sum_property(spark, rows, block_size, max_top_rows):
     assert got == want
 
 
-def test_running_sum_refuses_hot_block(spark):
+@pytest.mark.parametrize("max_top_rows", [1, 1 << 16])
+def test_running_sum_splits_hot_key(spark, max_top_rows):
+    """One order value holds most rows: its block is cut into segments by the tie column."""
+    hot = [(7, t, (t * 5) % 9 - 3) for t in range(3000)]
+    rest = [(k, t, (k + t) % 7 - 2) for k in range(-40, 60) if k != 7 for t in range(3)]
+    df = spark.createDataFrame(hot + rest, "k long, t int, v long")
+    out = running_sum(df, "v", "k", "running", tie_cols=("t",), block_size=16, max_block_rows=200,
+                      max_top_rows=max_top_rows)
+    got = {(r["k"], r["t"]): r["running"] for r in out.collect()}
+    acc, want = 0, {}
+    for k, t, v in sorted(hot + rest):
+        acc += v
+        want[(k, t)] = acc
+    assert got == want
+
+
+def test_running_sum_refuses_unsplittable_hot_key(spark):
     from keytally.operators.running_sum import HotBlockError
-    df = spark.range(5000).select(F.lit(7).cast("long").alias("k"), F.col("id").alias("t"),
-                                  F.lit(1).cast("long").alias("v"))
-    with pytest.raises(HotBlockError):
-        running_sum(df, "v", "k", tie_cols=("t",), max_block_rows=1000)
-    # the same data is fine under a limit that admits it
-    assert running_sum(df, "v", "k", tie_cols=("t",), max_block_rows=5000).agg(F.max("running")).first()[0] == 5000
+    dup = spark.range(5000).select(F.lit(7).cast("long").alias("k"), F.lit(1).cast("long").alias("v"))
+    with pytest.raises(HotBlockError):  # no tie column: the order is not total
+        running_sum(dup, "v", "k", max_block_rows=1000)
+    same_tie = dup.withColumn("t", F.lit(0))
+    with pytest.raises(HotBlockError):  # one (key, tie) pair holds every row
+        running_sum(same_tie, "v", "k", tie_cols=("t",), max_block_rows=1000)
+
 
 
 def test_write_ecommerce_tables(spark, capsys):
