@@ -90,7 +90,10 @@ def distinct_sample(low: int, high_exclusive: int, amount: Column | int, seed: i
     candidates = F.sequence(F.lit(low).cast("bigint"), F.lit(high_exclusive - 1).cast("bigint"))
     scored = F.transform(candidates, lambda x: F.struct(draw(seed, salt, *keys, x).alias("h"),
                                                         x.alias("x")))
-    chosen = F.slice(F.array_sort(scored), 1, F.least(amount.cast("int"), F.lit(width)))
+    # More distinct values than the range holds cannot be drawn: fail the row loudly.
+    take = F.when(amount.cast("int") <= F.lit(width), amount.cast("int")).otherwise(
+        F.raise_error(F.lit(f"distinct_sample: amount exceeds the {width} values of the range")))
+    chosen = F.slice(F.array_sort(scored), 1, take)
     return F.array_sort(F.transform(chosen, lambda s: s["x"]))
 
 

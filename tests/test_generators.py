@@ -48,9 +48,12 @@ def test_distinct_sample_shape(keys):
     assert values == set(range(1, fv.CATEGORY_NUM))
 
 
-def test_distinct_sample_rejects_impossible_amount():
+def test_distinct_sample_rejects_impossible_amount(spark):
     with pytest.raises(ValueError):
         seeded.distinct_sample(1, 3, 5, 1, "x", "k")
+    df = spark.range(3).withColumnRenamed("id", "k")
+    with pytest.raises(Exception, match="amount exceeds"):
+        df.select(seeded.distinct_sample(1, 3, F.col("k") + 1, 1, "x", "k")).collect()
 
 
 def test_repeat_sample_shape(keys):
