@@ -23,6 +23,7 @@ from keytally import fixed_values as fv
 from keytally.functions import codecs, seeded
 from keytally.functions.tokens import split_tokens, token_count
 from keytally.operators import counting, generate, offsets
+from keytally.schemas import INPUT_TABLES
 from keytally.sources import recordlog, tables
 
 LOG_PARTITIONS = 4
@@ -40,9 +41,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str, spread: bo
     input is then spread over the cluster first. Light projections read as is.
     """
     path = f"{sf_dir}/{name}.parquet"
+    schema = INPUT_TABLES.get(name)
     if spread:
-        return tables.read_table(spark, path, list(columns) or None)
-    df = spark.read.parquet(path)
+        return tables.read_table(spark, path, list(columns) or None, schema=schema)
+    df = (spark.read.schema(schema) if schema else spark.read).parquet(path)
     return df.select(*columns) if columns else df
 
 

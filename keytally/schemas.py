@@ -59,3 +59,14 @@ CITY_INFO = _s(("city_id", LongType(), True), ("city_name", StringType(), True),
 AD_CLICK = _s(("timestamp_ms", LongType(), True), ("area", StringType(), True),
               ("city", StringType(), True), ("user_id", IntegerType(), True),
               ("ad_id", IntegerType(), True))
+
+# Input tables read by the registered queries, declared rather than inferred on read.
+INPUT_TABLES = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}

@@ -38,9 +38,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None,
-               min_partitions: int | None = None) -> DataFrame:
+               min_partitions: int | None = None, schema: str | None = None) -> DataFrame:
     """Read a parquet table (only ``columns`` if given), spread over the cluster if under-split."""
-    df = spark.read.parquet(path)
+    reader = spark.read.schema(schema) if schema else spark.read
+    df = reader.parquet(path)
     if columns:
         df = df.select(*columns)
     return spread(df, min_partitions)

@@ -111,3 +111,13 @@ def test_current_millis_is_wall_clock(spark):
     got = spark.range(1).select(current_millis().alias("ms")).first()["ms"]
     after = int(time.time() * 1000)
     assert before - 1000 <= got <= after + 1000
+
+
+def test_declared_input_schemas_match_files(spark):
+    """The declared input schemas equal what the files hold (names, order, types)."""
+    from keytally.schemas import INPUT_TABLES
+    from pyspark.sql.types import StructType
+    for name, ddl in INPUT_TABLES.items():
+        inferred = spark.read.parquet(f"{SF_SMALL}/{name}.parquet").schema
+        declared = StructType.fromDDL(ddl)
+        assert [(f.name, f.dataType) for f in inferred] == [(f.name, f.dataType) for f in declared], name
