@@ -120,21 +120,22 @@ def q_latest_offsets(spark, sf_dir):
     return offsets.latest_offsets(group_progress(spark, sf_dir))
 
 
+def saved_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions of the resuming group on topic ``wc``: ``(topic, partition, until_offset)``."""
+    return offsets.progress_lookup(offsets.latest_offsets(group_progress(spark, sf_dir)),
+                                   RESUME_GROUP, fv.TOPIC)
+
+
 def q_progress_lookup(spark, sf_dir):
-    positions = offsets.latest_offsets(group_progress(spark, sf_dir))
-    return offsets.progress_lookup(positions, RESUME_GROUP, fv.TOPIC)
+    return saved_positions(spark, sf_dir)
 
 
 def q_starting_offsets(spark, sf_dir):
-    positions = offsets.progress_lookup(offsets.latest_offsets(group_progress(spark, sf_dir)),
-                                        RESUME_GROUP, fv.TOPIC)
-    return offsets.starting_offsets_frame(positions)
+    return offsets.starting_offsets_frame(saved_positions(spark, sf_dir))
 
 
 def q_resume_filter(spark, sf_dir):
-    positions = offsets.progress_lookup(offsets.latest_offsets(group_progress(spark, sf_dir)),
-                                        RESUME_GROUP, fv.TOPIC)
-    positions = positions.filter(F.col("partition") != F.lit(UNSAVED_PARTITION))
+    positions = saved_positions(spark, sf_dir).filter(F.col("partition") != F.lit(UNSAVED_PARTITION))
     return offsets.resume_filter(events_log(spark, sf_dir), positions)
 
 
