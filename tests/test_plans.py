@@ -66,3 +66,31 @@ def test_progress_lookup_filters_pushed(spark):
     assert re.search(r"PushedFilters: \[.*EqualTo\(group_id,g\).*EqualTo\(topic,wc\)", text) or \
         re.search(r"PushedFilters: \[.*EqualTo\(topic,wc\).*EqualTo\(group_id,g\)", text)
     assert F is not None
+
+
+RUNNING_SUM_QUERIES = {"event_time_walk", "gen_user_visit_action"}
+PER_ROW_QUERIES = {"tokenize_counts", "token_positions", "record_projection", "to_records_unkeyed",
+                   "to_records_keyed", "ad_line_encode", "ad_line_decode", "format_event_time",
+                   "message_template", "random_letter", "uniform_int", "weighted_choice", "sample_ids",
+                   "sample_ids_repeat", "session_expand", "action_dispatch", "gen_user_info",
+                   "gen_product_info", "city_dim", "gen_ad_clicks"}
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_single_partition_only_on_bounded_block_tables(spark, name):
+    """No window without partitionBy over the data: a single-partition exchange appears only
+    in the running sum, over its checkpointed block table."""
+    text = plan_text(queries()[name](spark, SF_SMALL))
+    singles = text.count("Arguments: SinglePartition")
+    if name in RUNNING_SUM_QUERIES:
+        assert singles <= 1
+    else:
+        assert singles == 0, name
+
+
+@pytest.mark.parametrize("name", sorted(PER_ROW_QUERIES))
+def test_per_row_queries_do_not_hash_shuffle(spark, name):
+    """Generators and projections are per-row expressions: no hash exchange (the only
+    exchange allowed is the round-robin spread of an under-split input)."""
+    text = plan_text(queries()[name](spark, SF_SMALL))
+    assert "Arguments: hashpartitioning(" not in text, name
