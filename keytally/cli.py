@@ -38,11 +38,15 @@ def _trigger(args) -> dict:
 
 def _records(spark: SparkSession, args, counter: ExactlyOnceCounter | None = None):
     if args.format == "kafka":
+        # Split large offset ranges over several tasks, so a hot topic partition is not
+        # read by one task per micro-batch.
+        min_partitions = args.min_partitions or 2 * spark.sparkContext.defaultParallelism
         if counter is not None:  # resume a new subscription at the saved positions
             opts = jobs.kafka_resume_options(spark, counter, args.bootstrap, args.topics,
-                                             partitions_per_topic=args.partitions_per_topic)
+                                             partitions_per_topic=args.partitions_per_topic,
+                                             min_partitions=min_partitions)
         else:
-            opts = kafka_source_options(args.bootstrap, args.topics)
+            opts = kafka_source_options(args.bootstrap, args.topics, min_partitions=min_partitions)
         return read_record_stream(spark, "kafka", options=opts)
     return read_record_stream(spark, args.format, args.path, {"maxFilesPerTrigger": str(args.max_files)})
 
@@ -116,6 +120,8 @@ def build_parser() -> argparse.ArgumentParser:
         p.add_argument("--topics", nargs="+", default=[fv.TOPIC])
         p.add_argument("--partitions-per-topic", type=json.loads, default=None,
                        help='JSON {"topic": partition count}: unsaved partitions start at earliest')
+        p.add_argument("--min-partitions", type=int, default=0,
+                       help="Kafka minPartitions (default: 2x the cluster's parallelism)")
         p.add_argument("--path", help="record-log folder for file formats")
         p.add_argument("--max-files", type=int, default=1)
         p.add_argument("--checkpoint", required=True, help="checkpoint folder (shared storage)")
