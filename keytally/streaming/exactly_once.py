@@ -36,8 +36,8 @@ for a Kafka partition; a file source must be fed in order).
 Scale: the batch is never shuffled on (topic, partition) — a hot partition can hold
 a third of a batch. The positions side of the resume join is broadcast after a size
 check; counting uses partial aggregation; the progress rows are one per partition.
-Old generations stay on storage untouched and unlisted; removing them is a storage
-lifecycle task.
+Old generations are never listed again; :meth:`ExactlyOnceCounter.vacuum` deletes
+them once no reader uses them.
 """
 
 from __future__ import annotations
@@ -185,6 +185,25 @@ class ExactlyOnceCounter:
             .parquet(f"{self.generations_path}/gen={nxt}")
         return last
 
+    def vacuum(self, spark: SparkSession) -> list[int]:
+        """Delete the folders of generations older than the newest committed one.
+
+        Only call it when no reader still uses an older generation (readers pick the
+        newest marker when they start). Uses the Hadoop file system of the root path,
+        so it works on HDFS and object stores alike. Returns the deleted generations.
+        """
+        current = self.generation(spark).gen
+        jvm = spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        deleted = []
+        for gen in range(current):
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/gen={gen}")
+            if fs.exists(path):
+                fs.delete(path, True)
+                deleted.append(gen)
+        return deleted
+
     # --- per-batch body ----------------------------------------------------------------------
 
     def _write_counts(self, counts: DataFrame, gen: int, epoch: int) -> None:

@@ -172,6 +172,12 @@ def test_interrupted_compaction_is_invisible(spark, scratch_dir):
     assert counter.generation(spark).gen == 1
     assert _totals(spark, counter) == {"a": 2, "b": 2}
     assert _until(spark, counter) == {0: 3}
+    # vacuum removes generation 0 only; the view is unchanged
+    assert counter.vacuum(spark) == [0]
+    assert not os.path.exists(os.path.join(scratch_dir, "store", "gen=0"))
+    assert os.path.exists(os.path.join(scratch_dir, "store", "gen=1"))
+    assert _totals(spark, counter) == {"a": 2, "b": 2}
+    assert counter.vacuum(spark) == []
 
 
 def test_stream_equals_batch_answer(spark, scratch_dir):
