@@ -240,3 +240,16 @@ def test_hot_partition_stream(spark, scratch_dir):
     until = {r["partition"]: r["until_offset"] for r in counter.positions(spark).collect()}
     sizes = {r["partition"]: r["count"] for r in log.groupBy("partition").count().collect()}
     assert until == sizes and sizes[0] > 800
+
+
+def test_counter_without_broadcast_positions(spark, scratch_dir):
+    """Forcing the positions join to shuffle (limit 0) gives the same exact totals."""
+    log_dir = os.path.join(scratch_dir, "log")
+    os.makedirs(log_dir)
+    counter = FlakyCounter(os.path.join(scratch_dir, "store"), group_id="g", max_broadcast_positions=0)
+    _add_records(log_dir, 1, [(0, "a"), (1, "b")])
+    _run(spark, counter, log_dir, os.path.join(scratch_dir, "c1"))
+    _add_records(log_dir, 2, [(2, "a c")])
+    _run(spark, counter, log_dir, os.path.join(scratch_dir, "c2"))  # new checkpoint: full re-read
+    assert _totals(spark, counter) == {"a": 2, "b": 1, "c": 1}
+    assert _until(spark, counter) == {0: 3}

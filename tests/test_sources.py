@@ -121,3 +121,17 @@ def test_declared_input_schemas_match_files(spark):
         inferred = spark.read.parquet(f"{SF_SMALL}/{name}.parquet").schema
         declared = StructType.fromDDL(ddl)
         assert [(f.name, f.dataType) for f in inferred] == [(f.name, f.dataType) for f in declared], name
+
+
+def test_resume_filter_unhinted_fallback_matches_broadcast(spark):
+    """Above the broadcast limit no hint is given (Spark chooses by its own size
+    estimate, or a shuffle join): the kept rows are the same."""
+    from keytally.operators.offsets import resume_filter
+    log = recordlog.log_view(spark.read.parquet(f"{SF_SMALL}/events.parquet"), "event_id", "event_type")
+    positions = spark.createDataFrame([("wc", 0, 100), ("wc", 1, 7)],
+                                      "topic string, partition int, until_offset bigint")
+    small = resume_filter(log, positions)
+    large = resume_filter(log, positions, max_broadcast_rows=0)
+    rows = lambda df: sorted((r["partition"], r["offset"]) for r in df.collect())
+    assert rows(small) == rows(large)
+    assert len(rows(small)) == log.count() - 100 - 7
