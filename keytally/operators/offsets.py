@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 # A topic rarely has more than a few thousand partitions; above this many saved
-# positions the join falls back to a shuffle join (with AQE skew splitting).
+# positions no broadcast hint is given and Spark's planner decides by its own size
+# estimate (a shuffle join with AQE skew splitting for a table too large to broadcast).
 MAX_BROADCAST_POSITIONS = 100_000
 
 PARTITION_KEYS = ("topic", "partition")
