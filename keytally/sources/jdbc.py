@@ -54,3 +54,15 @@ def append(df: DataFrame, options: dict[str, str], num_partitions: int | None =
     if num_partitions is not None:
         df = df.coalesce(num_partitions)
     df.write.format("jdbc").options(**options).mode("append").save()
+
+
+def replace(df: DataFrame, options: dict[str, str], num_partitions: int | None = None) -> None:
+    """Replace a JDBC table's rows with ``df`` (e.g. a counter's ``totals()``).
+
+    ``truncate`` keeps the table definition, keys and grants. One transaction per
+    partition: readers of the table may see it partly written, so export a finished
+    snapshot (totals are recomputed from the exactly-once store, never accumulated here).
+    """
+    if num_partitions is not None:
+        df = df.coalesce(num_partitions)
+    df.write.format("jdbc").options(**options).option("truncate", "true").mode("overwrite").save()
