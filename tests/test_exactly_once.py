@@ -253,3 +253,51 @@ def test_counter_without_broadcast_positions(spark, scratch_dir):
     _run(spark, counter, log_dir, os.path.join(scratch_dir, "c2"))  # new checkpoint: full re-read
     assert _totals(spark, counter) == {"a": 2, "b": 1, "c": 1}
     assert _until(spark, counter) == {0: 3}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_crash_schedule(spark, scratch_dir, seed):
+    """Random records, random crashes and checkpoint losses: totals equal a plain count."""
+    import random
+    from collections import Counter
+    rnd = random.Random(seed)
+    words = ["a", "b", "c", "", "dd"]
+    log_dir = os.path.join(scratch_dir, "log")
+    os.makedirs(log_dir)
+    counter = FlakyCounter(os.path.join(scratch_dir, "store"), group_id="g")
+    next_offset = {0: 0, 1: 0}
+    want = Counter()
+    ckpt = os.path.join(scratch_dir, "ckpt-0")
+    for step in range(6):
+        lines = []
+        for _ in range(rnd.randint(1, 4)):
+            p = rnd.randint(0, 1)
+            value = " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 3)))
+            lines.append({"topic": "wc", "partition": p, "offset": next_offset[p], "key": None, "value": value})
+            next_offset[p] += 1
+            for w in jvm_split(value):
+                want[w] += 1
+        with open(os.path.join(log_dir, f"step-{step:03d}.json"), "w") as fh:
+            fh.write("\n".join(json.dumps(r) for r in lines) + "\n")
+        event = rnd.choice(["normal", "after_counts", "after_progress", "lost"])
+        if event == "lost":
+            ckpt = os.path.join(scratch_dir, f"ckpt-{step + 1}")
+        elif event != "normal":
+            counter.crash = event
+            with pytest.raises(StreamingQueryException):
+                _run(spark, counter, log_dir, ckpt)
+        _run(spark, counter, log_dir, ckpt)
+        if rnd.random() < 0.3:
+            counter.compact(spark)
+    assert _totals(spark, counter) == dict(want)
+    assert _until(spark, counter) == {p: n for p, n in next_offset.items() if n > 0}
+
+
+def jvm_split(s):
+    """Python model of ``String.split(" ")`` (see tests/test_tokens.py)."""
+    if " " not in s:
+        return [s]
+    parts = s.split(" ")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
