@@ -244,3 +244,36 @@ def test_generation_is_independent_of_partitioning_and_block_size(spark):
     walk_small = generate.event_time_walk(many, "s", block_size=3).select("s", "event_ts").collect()
     walk_large = generate.event_time_walk(one, "s", block_size=1 << 20).select("s", "event_ts").collect()
     assert sorted(walk_small) == sorted(walk_large)
+
+
+def _py_draw(seed, salt, *keys):
+    import hashlib
+    text = "|".join([str(seed), salt, *[str(k) for k in keys]])
+    return int(hashlib.md5(text.encode()).hexdigest()[:13], 16)
+
+
+def test_primitives_match_a_pure_python_model(spark):
+    """Spark's seeded primitives equal a hashlib model of the same definition."""
+    import math
+    keys = spark.range(2000).withColumnRenamed("id", "k")
+    opts = [("search", 20), ("click", 60), ("order", 6), ("pay", 4)]
+    rows = keys.select(
+        "k", seeded.draw(42, "x", "k").alias("d"), seeded.uniform_int(10, 59, 42, "age", "k").alias("u"),
+        seeded.weighted_choice(opts, 42, "action", "k").alias("w"),
+        seeded.uuid_like(42, "session", "k").alias("id"),
+        seeded.geometric_length(0.9, 42, "length", "k").alias("g")).collect()
+    for r in rows:
+        k = r["k"]
+        assert r["d"] == _py_draw(42, "x", k)
+        assert r["u"] == 10 + _py_draw(42, "age", k) % 50
+        pick, bound = _py_draw(42, "action", k) % sum(w for _, w in opts), 0
+        for value, weight in opts:
+            bound += weight
+            if pick < bound:
+                assert r["w"] == value
+                break
+        import hashlib
+        h = hashlib.md5(f"42|session|{k}".encode()).hexdigest()
+        assert r["id"] == f"{h[:8]}-{h[8:12]}-{h[12:16]}-{h[16:20]}-{h[20:32]}"
+        u = _py_draw(42, "length", k) / float(1 << 52)
+        assert r["g"] == math.floor(math.log(1.0 - u) / math.log(0.9))
