@@ -150,3 +150,18 @@ def test_stateful_totals_update_sink(spark, scratch_dir):
     # the second batch wrote only the words it changed
     second = spark.read.parquet(os.path.join(out, "batch=1"))
     assert {r["word"] for r in second.collect()} == {"b", "c"}
+
+
+def test_console_stream_sink(spark, scratch_dir):
+    """The console sink prints from the JVM (not capturable here): check its progress."""
+    from keytally.sources.recordlog import project_records
+    from keytally.sources.sinks import console_stream
+    log_dir = os.path.join(scratch_dir, "log")
+    _write_log(log_dir, "a.json", [(0, "printed-value")])
+    stream = project_records(read_record_stream(spark, "json", log_dir))
+    q = console_stream(stream, os.path.join(scratch_dir, "ckpt")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    progress = q.recentProgress
+    q.stop()
+    assert sum(p["numInputRows"] for p in progress) == 1
+    assert "console" in progress[-1]["sink"]["description"].lower()
