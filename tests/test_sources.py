@@ -135,3 +135,11 @@ def test_resume_filter_unhinted_fallback_matches_broadcast(spark):
     rows = lambda df: sorted((r["partition"], r["offset"]) for r in df.collect())
     assert rows(small) == rows(large)
     assert len(rows(small)) == log.count() - 100 - 7
+
+
+def test_read_record_log_batch(spark, scratch_dir):
+    log = recordlog.log_view(spark.read.parquet(f"{SF_SMALL}/events.parquet"), "event_id", "event_type")
+    log.write.json(os.path.join(scratch_dir, "log"))
+    back = recordlog.read_record_log(spark, "json", os.path.join(scratch_dir, "log"))
+    assert back.columns == recordlog.RECORD_COLUMNS
+    assert back.exceptAll(log).count() == 0 and log.exceptAll(back).count() == 0
