@@ -32,3 +32,18 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.columns == ["word", "cnt"]
     assert df.count() > 0
+
+
+@pytest.fixture(scope="module")
+def con_oracle_scale():
+    from tests.conftest import SF_ORACLE
+    return duckdb_con(SF_ORACLE)
+
+
+@pytest.mark.parametrize("name", ["word_count", "accumulate_counts", "resume_filter", "event_time_walk",
+                                  "gen_user_visit_action", "starting_offsets"])
+def test_key_queries_match_oracle_at_driver_scale(spark, con_oracle_scale, name):
+    """The driver's correctness gate runs at sf0.01: check the headline queries there too."""
+    from tests.conftest import SF_ORACLE
+    result = compare(spark, name, SF_ORACLE, con_oracle_scale)
+    assert result["match"], result
