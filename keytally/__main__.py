@@ -1,8 +1,7 @@
 """``python -m keytally <job> ...`` — see :mod:`keytally.cli`."""
 
-import json
 import sys
 
-from keytally.cli import main
+from keytally.cli import run
 
-print(json.dumps(main(sys.argv[1:])))
+sys.exit(run())

@@ -168,5 +168,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     return _run_feed(spark, args)
 
 
+def run(argv: list[str] | None = None) -> int:
+    """Console entry point: run a job, print its JSON summary, return the exit status."""
+    print(json.dumps(main(sys.argv[1:] if argv is None else argv)))
+    return 0
+
+
 if __name__ == "__main__":
-    print(json.dumps(main(sys.argv[1:])))
+    sys.exit(run())
