@@ -68,3 +68,17 @@ def test_argument_checks():
     args = build_parser().parse_args(["count-exactly-once", "--bootstrap", "b:9092", "--root", "/r",
                                       "--checkpoint", "/c", "--partitions-per-topic", '{"wc": 4}'])
     assert args.partitions_per_topic == {"wc": 4} and args.topics == ["wc"]
+
+
+def test_module_entry_point_subprocess(scratch_dir):
+    """``python -m keytally tables`` end to end in its own Spark process: JSON summary, exit 0."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=root + os.pathsep + os.environ.get("PYTHONPATH", ""))
+    proc = subprocess.run([sys.executable, "-m", "keytally", "tables", "--sessions", "20", "--users", "5",
+                           "--products", "5"], cwd=scratch_dir, env=env, capture_output=True, text=True,
+                          timeout=300)
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    summary = json.loads(proc.stdout.strip().splitlines()[-1])
+    assert summary["user_info"] == 5 and summary["product_info"] == 5 and summary["city_info"] == 26
