@@ -134,7 +134,10 @@ def user_visit_actions(sessions: DataFrame, key_col: str, seed: int = SEED,
     acts = expand_sessions(per_session, key_col, seed, with_session_id=False)
     timed = event_time_walk(acts, key_col, ("action_index",), seed=seed, block_size=SESSION_BLOCK_SIZE)
     keys = (key_col, "action_index")
-    action = seeded.weighted_choice(non_quit_actions(), seed, "action", *keys)
+    # The action type feeds seven columns: draw it once as a column (measured ~10%
+    # faster than repeating the expression, which is not fully shared).
+    timed = timed.withColumn("_kt_action", seeded.weighted_choice(non_quit_actions(), seed, "action", *keys))
+    action = F.col("_kt_action")
     return timed.select(
         codecs.format_date("event_ts").alias("date"),
         F.col("user_id"),

@@ -223,8 +223,8 @@ def q_session_expand(spark, sf_dir):
 
 def q_action_dispatch(spark, sf_dir):
     ev = table(spark, sf_dir, "events", "event_id", spread=True)
-    action = seeded.weighted_choice(generate.non_quit_actions(), SEED, "action", "event_id")
-    return ev.select("event_id", action.alias("action"), *generate.action_columns(action, SEED, "event_id"))
+    drawn = ev.withColumn("action", seeded.weighted_choice(generate.non_quit_actions(), SEED, "action", "event_id"))
+    return drawn.select("event_id", "action", *generate.action_columns(F.col("action"), SEED, "event_id"))
 
 
 def q_gen_user_info(spark, sf_dir):
