@@ -13,7 +13,7 @@ gap)``. A round
 4. updates the gaps. No item fits any more: the largest items open new sequences, as many as
    the waiting tokens need at least.
 
-Pieces below ``capacity / 16`` are first bundled, neighbours in size order, up to that size, so
+Pieces below ``capacity / 32`` are first bundled, neighbours in size order, up to that size, so
 that the number of rounds does not grow with the number of tiny documents in a sequence.
 """
 
@@ -192,14 +192,13 @@ def numbered(df: DataFrame, runs: list[tuple[int, int, int, int, int, int]], gap
     return df.mapInArrow(add, SWEPT + ", pair long")
 
 
-def opening(sizes: dict[int, int], least: int) -> tuple[int, float]:
-    """``(size, share)``: items above the size open a sequence each, and so does that share of the size itself."""
-    left = least
+def opening(sizes: dict[int, int], least: int) -> tuple[int, int]:
+    """``(size, n)``: all items above the size open a sequence each, and ``n`` items of the size itself."""
     for size in sorted(sizes, reverse=True):
-        if sizes[size] >= left:
-            return size, min(1.0, max(left / sizes[size], 1e-6))
-        left -= sizes[size]
-    return 0, 0.0
+        if sizes[size] >= least:
+            return size, least
+        least -= sizes[size]
+    return 0, 0
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY, range_rows: int = RANGE_ROWS) -> DataFrame:
@@ -216,17 +215,21 @@ def pack(items: DataFrame, capacity: int = CAPACITY, range_rows: int = RANGE_ROW
             least = math.ceil(sum(s * n for s, n in sizes.items()) / capacity)
             if first:
                 least = max(least, sum(n for s, n in sizes.items() if 2 * s > capacity))
-            size, share = opening(sizes, least)
-            opens = (F.col("size") > size) | ((F.col("size") == size) & (F.pmod(hashed, F.lit(1_000_000)) < F.lit(math.ceil(share * 1_000_000))))
+            size, n = opening(sizes, least)
+            # Which items of that one size: the hash classes that hold n of them at most, or one class.
+            of_class = F.pmod(F.xxhash64("id", F.lit(len(placed))), F.lit(4096))
+            classes, last, held = waiting.filter(F.col("size") == size).groupBy(of_class.alias("c")).count().collect(), -1, 0
+            for r in sorted(classes):
+                held += r["count"]
+                if held > n and last >= 0:
+                    break
+                last = r["c"]
+            opens = (F.col("size") > size) | ((F.col("size") == size) & (of_class <= F.lit(last)))
             state = shared_table(waiting.withColumn("opens", opens), "opened")
             seeds = state.filter("opens")
-            if seeds.isEmpty():  # a share of few items can hit none
-                seeds, opens_all = state.filter(F.col("size") == size), F.col("size") == size
-            else:
-                opens_all = F.col("opens")
             placed.append(seeds.select("id", F.col("id").alias("bin"), F.lit(0).cast("long").alias("at")))
             gaps = seeds.select(F.col("id").alias("bin"), (F.lit(capacity) - F.col("size")).alias("gap"))
-            waiting = state.filter(~opens_all).select("id", "size")
+            waiting = state.filter(~F.col("opens")).select("id", "size")
             first = False
             smallest = min(sizes)
         events = (waiting.select("size", F.lit(0).alias("kind"), "id")
@@ -273,7 +276,7 @@ def best_fit_packing(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces with a unique ``uid`` and a ``length``."""
-    tiny = max(1, capacity // 16)
+    tiny = max(1, capacity // 32)
     counts = pieces.agg(F.count_if(F.col("length") <= tiny).alias("tiny")).first()["tiny"]
     bundled = shared_table(
         pieces.filter(F.col("length") <= tiny).select("uid", "length").withColumn("h", F.xxhash64("uid"))

@@ -30,7 +30,8 @@ SHARD_SLOTS = 4096
 BUCKET_ROWS = 50_000
 #: Slots that one row of the slot generator unfolds to.
 CHUNK_SLOTS = 16_384
-ROUNDS = 6
+#: Rounds of a permutation; an element has 2**rounds places it can go to.
+ROUNDS = 20
 SEED = 20240229
 
 

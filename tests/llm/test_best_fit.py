@@ -1,0 +1,92 @@
+import bisect
+import math
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from keytally.llm import best_fit
+from keytally.llm.common import tokenizer_from, tokenizer_json
+from tests.llm.helpers import awkward_texts, documents
+from tests.llm.test_token_counts import ODD
+
+
+def reference(lengths, capacity):
+    """Number of sequences of sequential best-fit decreasing."""
+    gaps, n = [], 0
+    for x in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(gaps, x)
+        if at < len(gaps):
+            gap = gaps.pop(at) - x
+        else:
+            n, gap = n + 1, capacity - x
+        if gap:
+            bisect.insort(gaps, gap)
+    return n
+
+
+def check_places(rows, capacity):
+    """Every sequence is filled from offset 0 without gaps or overlaps, within the capacity."""
+    filled = {}
+    for seq, offset, length in sorted((r.sequence_id, r.offset, r.length) for r in rows):
+        assert offset == filled.get(seq, 0)
+        filled[seq] = offset + length
+        assert filled[seq] <= capacity
+    return len(filled)
+
+
+def test_documents_are_tokenised_cut_and_placed(spark):
+    rows = awkward_texts() + [(1000 + i, t) for i, t in enumerate(ODD)] + [(None, "no id")]
+    tok = tokenizer_from(tokenizer_json("word_bpe_49k.json"))
+    got = best_fit.best_fit_packing(documents(spark, rows).repartition(3), capacity=64).collect()
+    want = []
+    for r in rows:
+        ids = np.array([*tok.encode(r[1] or "", add_special_tokens=False).ids, 0], "<u4")
+        want += [(r[0], p, at, len(ids[at:at + 64]), zlib.crc32(ids[at:at + 64].tobytes())) for p, at in enumerate(range(0, len(ids), 64))]
+    assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got), key=str) == sorted(want, key=str)
+    n = check_places(got, 64)
+    assert n <= 1.03 * reference([r.length for r in got], 64) + 1
+
+
+def test_ids_can_be_kept(spark):
+    got = best_fit.best_fit_packing(documents(spark, [(1, "some words here"), (2, None)]), keep_ids=True).collect()
+    assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in got)
+
+
+@pytest.mark.parametrize("kind", ["uniform", "small", "ones", "third", "large", "one size"])
+@pytest.mark.parametrize("range_rows", [200_000, 300])
+def test_packs_about_as_well_as_sequential_best_fit(spark, monkeypatch, kind, range_rows):
+    monkeypatch.setattr(best_fit, "RANGE_ROWS", range_rows)
+    rng = random.Random(kind)
+    capacity, n = 512, 1500
+    draw = {"uniform": lambda: rng.randrange(1, 513), "small": lambda: rng.randrange(1, 90), "ones": lambda: rng.choice((1, 1, 1, 400)),
+            "third": lambda: rng.choice((171, rng.randrange(1, 513))), "large": lambda: rng.randrange(257, 513), "one size": lambda: 130}[kind]
+    lengths = [draw() for _ in range(n)]
+    pieces = spark.createDataFrame([(i * 7 + 1, x) for i, x in enumerate(lengths)], "uid long, length long").repartition(4)
+    got = best_fit.place(pieces, capacity).collect()
+    assert sorted(r.uid for r in got) == sorted(i * 7 + 1 for i in range(n))
+    used = check_places(got, capacity)
+    assert used <= 1.03 * reference(lengths, capacity) + 1, (used, reference(lengths, capacity), math.ceil(sum(lengths) / capacity))
+
+
+def test_runs_across_pair_every_gap_with_the_largest_items_left_of_it():
+    rng = random.Random(0)
+    for _ in range(200):
+        free = {p: rng.randrange(5) for p in range(8)}
+        waiting = {p: rng.randrange(5) for p in range(8)}
+        runs = best_fit.runs_across({p: n for p, n in free.items() if n}, {p: n for p, n in waiting.items() if n})
+        stack, want = [], []
+        for p in range(8):
+            for g in range(free[p]):
+                if stack:
+                    want.append(((p, g), stack.pop()))
+            stack += [(p, i) for i in range(waiting[p])]
+        pairs = [((gp, ga + r), (ip, ie - 1 - r)) for gp, ga, ip, ie, n, _ in runs for r in range(n)]
+        assert sorted(pairs) == sorted(want)
+        numbers = [number + r for *_, n, number in runs for r in range(n)]
+        assert numbers == list(range(len(pairs)))
+
+
+def test_empty_table(spark):
+    assert best_fit.best_fit_packing(documents(spark, [])).collect() == []
