@@ -39,6 +39,8 @@ UNLIKELY = re.compile(
     r"notification|outbrain|overlay|pager|pagination|popup|promos?|recommended|related|remark|replies|respond|search|share|"
     r"sharing|sidebar|signup|social|sponsor|sponsored|subscribe|taboola|toolbar|widget|alert|login|skip)(?:$|[\s_-]|\d)", re.I)
 LIKELY = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|post|story|text)(?:$|[\s_-])", re.I)
+#: Marked sections, which pages treat as comments up to the next ``>``.
+ODD_DECLARATION = re.compile(r"<!\[[^>]*>?")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 #: Points by tag that a container starts with.
@@ -159,15 +161,10 @@ class TreeBuilder(HTMLParser):
 
 
 def parse(html: str) -> Node:
-    for text in (html, html.replace("<![", "<!-- [")):  # odd declarations are no comments to the parser
-        builder = TreeBuilder()
-        try:
-            builder.feed(text)
-            builder.close()
-            return builder.root
-        except AssertionError:
-            continue
-    return Node("html", None)
+    builder = TreeBuilder()
+    builder.feed(ODD_DECLARATION.sub("", html) if "<![" in html else html)
+    builder.close()
+    return builder.root
 
 
 def in_order(root: Node) -> Iterator[tuple[Node | str, Node, bool]]:

@@ -1,0 +1,63 @@
+import random
+import string
+
+from keytally.llm import secret_scan as ss
+from tests.llm.helpers import awkward_texts, documents, words
+
+
+def planted(seed, n):
+    """Texts with secrets and with look-alikes: ``(doc_id, text, path)``, and the secrets' spans."""
+    rng = random.Random(seed)
+    rows, secrets = [], set()
+    hexa = "0123456789abcdef"
+    for i in range(n):
+        kind = i % 4
+        left, right = words(rng, 8), words(rng, 8)
+        if kind == 0:
+            middle, secret = "password=", "".join(rng.choices(hexa, k=18))
+        elif kind == 1:
+            middle, secret = "", "AKIA" + "".join(rng.choices(string.ascii_uppercase + string.digits, k=16))
+        elif kind == 2:
+            middle, secret = 'token = "', "".join(rng.choices(hexa, k=40))
+        else:
+            middle, secret = rng.choice(("visited https://example.com/", "mail ", "version ")), f"page-{rng.randrange(10**4)}-of-section-four"
+        text = f"{left} {middle}{secret}{'' if kind != 2 else chr(34)} {right}"
+        at = len(left) + 1 + len(middle)
+        assert text[at:at + len(secret)] == secret
+        rows.append((i, text, f"src{i % 5}"))
+        if kind < 3:
+            secrets.add((i, at, at + len(secret)))
+    return rows, secrets
+
+
+def test_secrets_are_found_and_look_alikes_removed(spark):
+    rows, secrets = planted(1, 400)
+    got = ss.secret_scan(documents(spark, rows).repartition(4)).collect()
+    found = {(r.doc_id, r.start, r.end) for r in got if r.secret}
+    assert len(found & secrets) >= 0.98 * len(secrets)
+    assert len(found - secrets) <= 0.02 * len(secrets)
+    text = {r[0]: r[1] for r in rows}
+    assert all(text[r.doc_id][r.start:r.end] == r.candidate for r in got)
+
+
+def test_held_out_findings(spark):
+    """Trained on labelled findings of some documents, judged on others."""
+    rows, _ = planted(2, 400)
+    other, secrets = planted(3, 200)
+    labelled = ss.candidates(documents(spark, rows), set())
+    got = ss.secret_scan(documents(spark, other), labelled=labelled.filter("label is not null")).collect()
+    right = [(r.doc_id, r.start, r.end) in secrets for r in got]
+    assert sum(a == r.secret for a, r in zip(right, got)) >= 0.97 * len(got)
+
+
+def test_awkward_rows_and_no_labels(spark):
+    got = ss.secret_scan(documents(spark, awkward_texts())).collect()
+    assert all(r.probability is None and r.secret for r in got)  # nothing to learn from: nothing removed
+    assert ss.secret_scan(documents(spark, [])).collect() == []
+
+
+def test_features():
+    words_ = {"pass", "word", "password"}
+    assert ss.coverage("password1", words_) == 8 / 9 and ss.coverage("", words_) == 0
+    f = ss.features_of("AB12cd", None, "token =", "", words_)
+    assert len(f) == 3 + 16 + 1 + ss.AROUND + ss.PATHS and f[0] == 6 and abs(sum(f[3:19]) - 1) < 1e-9
