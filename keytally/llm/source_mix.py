@@ -27,7 +27,7 @@ from keytally.llm.common import WORD, parts_for, shared_table
 BLOCK_WORDS = 64
 MOST = 3
 SHARD_SLOTS = 4096
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 16_384
 #: Slots that one row of the slot generator unfolds to.
 CHUNK_SLOTS = 16_384
 #: Rounds of a permutation; an element has 2**rounds places it can go to.
@@ -131,16 +131,18 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     parts = (placed.select("row_id", "src", "start", "size", F.explode(F.sequence(first, last)).alias("block"))
              .select("row_id", "src", "block", from_word.alias("from_word"), (to_word - from_word).alias("words")))
 
+    n_slots = sources.agg(F.max("all_slots")).first()[0] or 1
     chunks = (sources.filter(F.col("slots") > 0)
               .select("src", "blocks", "slots", "first_slot", "all_slots",
                       F.explode(F.sequence(F.lit(0), F.floor((F.col("slots") - 1) / CHUNK_SLOTS))).alias("chunk"))
-              .repartition(F.col("src"), F.col("chunk")))
+              .repartition(parts_for(n_slots, 4 * CHUNK_SLOTS), "src", "chunk"))
     to = F.least((F.col("chunk") + 1) * CHUNK_SLOTS, F.col("slots")) - 1
     slots = chunks.withColumn("j", F.explode(F.sequence(F.col("chunk") * CHUNK_SLOTS, to)))
     slot = permuted(F.col("first_slot") + F.col("j"), F.col("all_slots"), F.lit(seed).cast("long"))
     block = permuted(F.pmod("j", "blocks"), F.col("blocks"), F.xxhash64(F.lit(seed), F.col("src")))
     slots = slots.select("src", block.alias("block"), slot.alias("slot"), F.floor(F.col("j") / F.col("blocks")).alias("epoch"))
-    taken = (parts.join(slots, ["src", "block"])
+    # Neither side is small, whatever the generator's few chunk rows suggest.
+    taken = (parts.join(slots.hint("merge"), ["src", "block"])
              .select("row_id", "from_word", "words", "slot", F.floor(F.col("slot") / shard_slots).alias("shard"), "epoch"))
     return Mix(sized.select("doc_id", "row_id", "src", "size"), sources, taken)
 
