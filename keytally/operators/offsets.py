@@ -66,7 +66,8 @@ def resume_filter(records: DataFrame, positions: DataFrame,
     A partition with no saved position starts from the earliest offset
     (``auto.offset.reset = earliest``). ``positions`` needs (topic, partition,
     until_offset); its end offset is exclusive, so the kept records are
-    ``offset >= until_offset``.
+    ``offset >= until_offset``. Records without topic, partition or offset have no
+    place in a log and fall out here; the stream store raises for them before.
 
     Records of one topic partition can be a third of the log, so the join must not
     shuffle on (topic, partition): the positions side is broadcast (after a size

@@ -1,64 +1,90 @@
 """Exactly-once keyed totals from a record-log stream.
 
-Storage (parquet, one root per consumer group), organised in **generations**:
-
-* ``gen=G/counts/epoch=N``   — the count deltas of micro-batch N, one row per key;
-* ``gen=G/progress/epoch=N`` — the offset ranges of micro-batch N, one row per
-  (topic, partition); written **last**, so its presence commits epoch N;
-* ``gen=G/base``, ``gen=G/positions`` — snapshots of the totals and the saved
-  positions as of the last epoch before generation G (absent for G = 0);
-* ``generations/gen=G``      — the marker committing generation G (written last).
-
-Readers and the writer use the newest committed generation only, so a micro-batch
-lists that generation's epoch folders, never the whole history.
+Storage (parquet), one folder per consumer group below the root, so that groups never meet:
+``root/group=<id>/gen=G/`` with
+
+* ``counts/epoch=N``   - the count deltas of micro-batch N, one row per key;
+* ``progress/epoch=N`` - the positions of **all** partitions after micro-batch N, with the range
+  and the number of records that N itself holds; written **last**, so it commits epoch N;
+* ``base``, ``positions`` - snapshots of the totals and positions as of the last epoch before
+  generation G (absent for G = 0);
+* ``_COMMITTED-<epoch>`` - the marker that commits generation G, written after its snapshots; it
+  names the last epoch before G (``none`` for G = 0).
+
+Readers and the writer use the newest committed generation. After ``compact_every`` epochs the
+writer starts a new one and deletes all but its predecessor, so a batch lists at most so many
+folders, and it reads the positions from one small file, whatever the stream's age. Readers
+never create anything; they raise :class:`NoSuchStore` where no group was counted.
 
 Per micro-batch:
 
-1. read the saved positions (tiny: one row per topic partition) and the next epoch
-   ``last committed epoch + 1`` — never Spark's ``batch_id``, which restarts at 0
-   with a new checkpoint;
-2. drop records before their partition's saved position (``offset >= until_offset``;
-   a partition with no position starts at 0); return if nothing is left;
-3. overwrite ``counts/epoch=N`` with the counts of what is left;
-4. overwrite ``progress/epoch=N`` with the offset ranges of what is left.
-
-Readers see ``counts`` only for epochs with a progress folder. A crash between 3 and 4
-leaves an invisible epoch that the retry overwrites; a crash after 4 (before Spark
-commits the batch) replays records that step 2 then drops; a lost checkpoint re-reads
-the whole log and step 2 drops everything already counted. The unit of atomicity is
-the whole micro-batch, so counts and positions always describe the same records,
-whatever the shuffle's partitioning.
-
-Assumptions: one writer per root (compaction included: run it from the writer, between
-batches, or while the stream is stopped); offsets of a partition arrive in order (true
-for a Kafka partition; a file source must be fed in order).
-
-Scale: the batch is never shuffled on (topic, partition) — a hot partition can hold
-a third of a batch. The positions side of the resume join is broadcast after a size
-check; counting uses partial aggregation; the progress rows are one per partition.
-Old generations are never listed again; :meth:`ExactlyOnceCounter.vacuum` deletes
-them once no reader uses them.
+1. read the saved positions (one row per topic partition) and take the next epoch, ``last
+   committed epoch + 1`` - never Spark's ``batch_id``, which restarts at 0 with a new checkpoint;
+2. look at the batch's offsets per partition (one small aggregation) and raise where records
+   cannot be placed: null partitions or offsets, records below the first offset ever counted
+   (late), a jump over the saved position or holes and repeats (``allow_gaps`` accepts jumps and
+   holes: compacted and transactional topics have them);
+3. drop records before their partition's saved position, which were counted; return if nothing
+   is left;
+4. overwrite ``counts/epoch=N`` with the counts of what is left, then ``progress/epoch=N``.
+
+A crash between the two writes leaves an invisible epoch that the retry overwrites; a crash
+after the second (before Spark commits the batch) replays records that step 3 then drops; a
+lost checkpoint re-reads the whole log and step 3 drops everything already counted. The unit of
+atomicity is the whole micro-batch.
+
+Assumption: one writer per group. Within a batch the order of records does not matter; batches
+must come in offset order, and step 2 raises if they do not.
+
+Scale: the batch is never shuffled on (topic, partition) - a hot partition can hold a third of a
+batch. The positions side of the joins is broadcast after a size check, the offsets' aggregation
+and the counting are partial first; progress is one row per partition.
 """
 
 from __future__ import annotations
 
-import os
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from keytally import fixed_values as fv
 from keytally.operators import counting, offsets
-from keytally.schemas import COUNT_DELTAS, PROGRESS
+from keytally.schemas import COUNT_DELTAS
 
 CountFn = Callable[[DataFrame], DataFrame]
 
 TOTALS_SCHEMA = "word string, cnt bigint"
-GENERATIONS_SCHEMA = "base_epoch bigint, gen bigint"
-POSITIONS_SCHEMA = "group_id string, topic string, partition int, until_offset bigint, epoch bigint"
+POSITIONS_SCHEMA = ("group_id string, topic string, partition int, start_offset bigint, from_offset bigint, "
+                    "until_offset bigint, n_records bigint")
+#: Epochs of a generation after which the writer starts the next one.
+COMPACT_EVERY = 64
+_MARKER = re.compile(r"_COMMITTED-(none|\d+)$")
+_SHOWN = 20  # partitions named in an error message
+
+
+class NoSuchStore(FileNotFoundError):
+    """A reader was given a root or a group that no counter has written."""
+
+
+class RecordLogError(ValueError):
+    """Records that cannot be counted exactly once; the message names partitions and offsets."""
+
+
+class NullPositionError(RecordLogError):
+    """Records without partition or offset."""
+
+
+class LateRecordError(RecordLogError):
+    """Records below the first offset that was ever counted in their partition."""
+
+
+class OffsetGapError(RecordLogError):
+    """Offsets that jump over the saved position, or holes and repeats inside a batch."""
 
 
 def word_counts(records: DataFrame) -> DataFrame:
@@ -71,6 +97,32 @@ def value_counts(records: DataFrame) -> DataFrame:
     return counting.value_count(records, "value", "cnt").withColumnRenamed("value", "word")
 
 
+class Folders:
+    """The few file-system calls of the store, on any Hadoop file system."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def names(self, path: str) -> list[str]:
+        """Names in a folder; empty if there is no such folder."""
+        at = self._path(path)
+        return [s.getPath().getName() for s in self._fs.listStatus(at)] if self._fs.exists(at) else []
+
+    def exists(self, path: str) -> bool:
+        return self._fs.exists(self._path(path))
+
+    def touch(self, path: str) -> None:
+        self._fs.create(self._path(path), True).close()
+
+    def delete(self, path: str) -> None:
+        self._fs.delete(self._path(path), True)
+
+
+def _numbers(names: list[str], prefix: str) -> list[int]:
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix) and n[len(prefix):].isdigit())
+
+
 @dataclass(frozen=True)
 class Generation:
     """A committed generation: its number and the last epoch folded into its snapshots."""
@@ -79,68 +131,75 @@ class Generation:
 
 
 class ExactlyOnceCounter:
-    """Keyed counts of a record-log stream, added to totals exactly once."""
+    """Keyed counts of a record-log stream, added to one consumer group's totals exactly once."""
 
     def __init__(self, root: str, group_id: str = fv.GROUPS[-1], count_fn: CountFn = word_counts,
-                 max_broadcast_positions: int = offsets.MAX_BROADCAST_POSITIONS):
+                 max_broadcast_positions: int = offsets.MAX_BROADCAST_POSITIONS, allow_gaps: bool = False,
+                 compact_every: int = COMPACT_EVERY):
         self.root = root.rstrip("/")
         self.group_id = group_id
+        self.group_path = f"{self.root}/group={quote(group_id, safe='')}"
         self.count_fn = count_fn
         self.max_broadcast_positions = max_broadcast_positions
-        self.generations_path = f"{self.root}/generations"
-        self._initialised = False
+        self.allow_gaps = allow_gaps
+        self.compact_every = compact_every
 
     # --- layout ----------------------------------------------------------------------------
 
     def _gen_path(self, gen: int, table: str) -> str:
-        return f"{self.root}/gen={gen}/{table}"
-
-    def _ensure_generation(self, spark: SparkSession, gen: int) -> None:
-        """Create a generation's table roots (empty) so that a first read works."""
-        for table, schema in (("counts", COUNT_DELTAS), ("progress", PROGRESS)):
-            spark.createDataFrame([], schema).write.mode("append").partitionBy("epoch") \
-                .parquet(self._gen_path(gen, table))
-
-    def _ensure_tables(self, spark: SparkSession) -> None:
-        if self._initialised:
-            return
-        spark.createDataFrame([], GENERATIONS_SCHEMA).write.mode("append").partitionBy("gen") \
-            .parquet(self.generations_path)
-        self._ensure_generation(spark, 0)
-        self._initialised = True
-
-    def _read_epochs(self, spark: SparkSession, gen: int, table: str, schema) -> DataFrame:
-        path = self._gen_path(gen, table)
-        return spark.read.schema(schema).option("basePath", path).parquet(path)
+        return f"{self.group_path}/gen={gen}/{table}"
 
-    # --- readers -----------------------------------------------------------------------------
+    def _newest(self, spark: SparkSession) -> Generation | None:
+        folders = Folders(spark, self.root)
+        for gen in reversed(_numbers(folders.names(self.group_path), "gen=")):
+            for name in folders.names(f"{self.group_path}/gen={gen}"):
+                if m := _MARKER.match(name):
+                    return Generation(gen, None if m[1] == "none" else int(m[1]))
+        return None
 
     def generation(self, spark: SparkSession) -> Generation:
         """The newest committed generation (generation 0 before any compaction)."""
-        self._ensure_tables(spark)
-        markers = spark.read.schema(GENERATIONS_SCHEMA).option("basePath", self.generations_path) \
-            .parquet(self.generations_path)
-        row = markers.orderBy(F.col("gen").desc()).select("gen", "base_epoch").first()
-        return Generation(0, None) if row is None else Generation(row["gen"], row["base_epoch"])
+        found = self._newest(spark)
+        if found is None:
+            raise NoSuchStore(f"no counts of group {self.group_id!r} under {self.root}")
+        return found
+
+    def _epochs(self, spark: SparkSession, g: Generation) -> list[int]:
+        """Committed epochs of a generation, at most ``compact_every`` and a few."""
+        folders, path = Folders(spark, self.root), self._gen_path(g.gen, "progress")
+        return [e for e in _numbers(folders.names(path), "epoch=") if folders.exists(f"{path}/epoch={e}/_SUCCESS")]
+
+    def _read(self, spark: SparkSession, gen: int, table: str, epochs: list[int], schema: str) -> DataFrame:
+        path = self._gen_path(gen, table)
+        if not epochs:
+            return spark.createDataFrame([], f"{schema}, epoch bigint")
+        return (spark.read.schema(f"{schema}, epoch bigint").option("basePath", path)
+                .parquet(*[f"{path}/epoch={e}" for e in epochs]))
+
+    # --- readers -----------------------------------------------------------------------------
 
     def progress(self, spark: SparkSession, generation: Generation | None = None) -> DataFrame:
-        """Committed progress rows of the current generation (epochs after its snapshot)."""
+        """Committed progress rows of the current generation (epochs after its snapshot).
+
+        An epoch names every partition; those without records in it have ``n_records`` 0.
+        """
         g = generation or self.generation(spark)
-        return self._read_epochs(spark, g.gen, "progress", PROGRESS)
+        return self._read(spark, g.gen, "progress", self._epochs(spark, g), POSITIONS_SCHEMA)
 
     def committed_epoch(self, spark: SparkSession, generation: Generation | None = None) -> int | None:
-        """Last committed epoch, or None before the first commit (one scalar)."""
+        """Last committed epoch, or None before the first commit."""
         g = generation or self.generation(spark)
-        last = self.progress(spark, g).agg(F.max("epoch")).first()[0]
-        return last if last is not None else g.base_epoch
+        epochs = self._epochs(spark, g)
+        return epochs[-1] if epochs else g.base_epoch
 
     def _latest(self, spark: SparkSession, g: Generation) -> DataFrame:
-        """Latest ``(group_id, topic, partition, until_offset, epoch)`` per partition."""
-        rows = self.progress(spark, g).select("group_id", "topic", "partition", "until_offset", "epoch")
+        """The positions after the last commit, from one small file."""
+        epochs = self._epochs(spark, g)
+        if epochs:
+            return self._read(spark, g.gen, "progress", epochs[-1:], POSITIONS_SCHEMA).drop("epoch")
         if g.base_epoch is not None:
-            rows = rows.unionByName(spark.read.schema(POSITIONS_SCHEMA).parquet(self._gen_path(g.gen, "positions")))
-        mine = rows.filter(F.col("group_id") == F.lit(self.group_id))
-        return offsets.latest_offsets(mine)
+            return spark.read.schema(POSITIONS_SCHEMA).parquet(self._gen_path(g.gen, "positions"))
+        return spark.createDataFrame([], POSITIONS_SCHEMA)
 
     def positions(self, spark: SparkSession, generation: Generation | None = None) -> DataFrame:
         """Saved position per (group, topic, partition): exclusive end offset."""
@@ -150,11 +209,8 @@ class ExactlyOnceCounter:
     def totals(self, spark: SparkSession, generation: Generation | None = None) -> DataFrame:
         """Current totals ``(word, cnt)``: the generation's snapshot plus its committed deltas."""
         g = generation or self.generation(spark)
-        last = self.committed_epoch(spark, g)
-        if last is None:
-            return spark.createDataFrame([], TOTALS_SCHEMA)
-        parts = (self._read_epochs(spark, g.gen, "counts", COUNT_DELTAS)
-                 .filter(F.col("epoch") <= F.lit(last)).select("word", "cnt"))
+        deltas = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in COUNT_DELTAS.fields if f.name != "epoch")
+        parts = self._read(spark, g.gen, "counts", self._epochs(spark, g), deltas).select("word", "cnt")
         if g.base_epoch is not None:
             parts = parts.unionByName(spark.read.schema(TOTALS_SCHEMA).parquet(self._gen_path(g.gen, "base")))
         return counting.accumulate_counts(parts, ("word",), "cnt")
@@ -164,80 +220,114 @@ class ExactlyOnceCounter:
     def compact(self, spark: SparkSession) -> int | None:
         """Start a new generation whose snapshots hold everything committed so far.
 
-        The snapshots of generation G+1 are written first and the generation marker
-        last; until the marker exists, readers and the writer keep using generation G,
-        and a retried compaction overwrites the partial snapshots. Returns the last
-        epoch folded in, or None if nothing is committed.
+        The snapshots of generation G+1 are written first and its marker last; until the
+        marker exists, readers and the writer keep using generation G, and a retried
+        compaction overwrites the partial snapshots. Returns the last epoch folded in, or
+        None if nothing is committed.
         """
         g = self.generation(spark)
         last = self.committed_epoch(spark, g)
         if last is None:
             return None
-        nxt = g.gen + 1
-        self.totals(spark, g).write.mode("overwrite").parquet(self._gen_path(nxt, "base"))
-        (self.positions(spark, g).withColumn("epoch", F.lit(last).cast("bigint"))
-         .coalesce(1).write.mode("overwrite").parquet(self._gen_path(nxt, "positions")))
-        # a failed earlier attempt may have left no tables; recreate them empty
-        for table, schema in (("counts", COUNT_DELTAS), ("progress", PROGRESS)):
-            spark.createDataFrame([], schema).write.mode("overwrite").partitionBy("epoch") \
-                .parquet(self._gen_path(nxt, table))
-        spark.createDataFrame([(last,)], "base_epoch bigint").write.mode("overwrite") \
-            .parquet(f"{self.generations_path}/gen={nxt}")
+        self.totals(spark, g).write.mode("overwrite").parquet(self._gen_path(g.gen + 1, "base"))
+        self._latest(spark, g).coalesce(1).write.mode("overwrite").parquet(self._gen_path(g.gen + 1, "positions"))
+        Folders(spark, self.root).touch(self._gen_path(g.gen + 1, f"_COMMITTED-{last}"))
         return last
 
-    def vacuum(self, spark: SparkSession) -> list[int]:
-        """Delete the folders of generations older than the newest committed one.
+    def vacuum(self, spark: SparkSession, keep: int = 0) -> list[int]:
+        """Delete generations older than the newest committed one, but for the ``keep`` before it.
 
-        Only call it when no reader still uses an older generation (readers pick the
-        newest marker when they start). Uses the Hadoop file system of the root path,
-        so it works on HDFS and object stores alike. Returns the deleted generations.
+        A reader uses the generation that was newest when it started. Returns the deleted ones.
         """
-        current = self.generation(spark).gen
-        jvm = spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        deleted = []
-        for gen in range(current):
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/gen={gen}")
-            if fs.exists(path):
-                fs.delete(path, True)
-                deleted.append(gen)
-        return deleted
+        current, folders = self.generation(spark).gen, Folders(spark, self.root)
+        old = [g for g in _numbers(folders.names(self.group_path), "gen=") if g < current - keep]
+        for gen in old:
+            folders.delete(f"{self.group_path}/gen={gen}")
+        return old
 
     # --- per-batch body ----------------------------------------------------------------------
 
+    def _open(self, spark: SparkSession) -> Generation:
+        """The newest generation; only the writer calls this, and only it creates a store."""
+        found = self._newest(spark)
+        if found is None:
+            Folders(spark, self.root).touch(self._gen_path(0, "_COMMITTED-none"))
+            found = Generation(0, None)
+        return found
+
     def _write_counts(self, counts: DataFrame, gen: int, epoch: int) -> None:
         counts.select("word", F.col("cnt").cast("bigint").alias("cnt")) \
             .write.mode("overwrite").parquet(f"{self._gen_path(gen, 'counts')}/epoch={epoch}")
 
-    def _write_progress(self, fresh: DataFrame, gen: int, epoch: int) -> None:
-        ranges = offsets.offset_ranges(fresh.withColumn("epoch", F.lit(epoch).cast("bigint")))
-        (ranges.select(F.lit(self.group_id).alias("group_id"), "topic", "partition", "from_offset",
-                       "until_offset", "n_records")
-         .coalesce(1)  # one row per topic partition: keep it one file
+    def _write_progress(self, positions: DataFrame, gen: int, epoch: int) -> None:
+        (positions.coalesce(1)  # one row per topic partition: keep it one file
          .write.mode("overwrite").parquet(f"{self._gen_path(gen, 'progress')}/epoch={epoch}"))
 
+    def _ranges(self, batch: DataFrame, saved: DataFrame) -> list[Row]:
+        """Per topic partition of the batch: what its offsets are, next to the saved position."""
+        known = saved.select("topic", "partition", "start_offset", F.col("until_offset").alias("saved_until"))
+        offset, new = F.col("offset"), F.col("offset") >= F.coalesce("saved_until", F.lit(0))
+        fresh = F.when(new, offset)
+        square = F.when(new, offset.cast("decimal(38,0)") * offset)
+        return (batch.join(known, ["topic", "partition"], "left")
+                .groupBy("topic", "partition", "start_offset", "saved_until")
+                .agg(F.count_if(offset.isNull()).alias("nulls"), F.min("offset").alias("lowest"),
+                     F.min(fresh).alias("from_offset"), (F.max(fresh) + 1).alias("until_offset"), F.count(fresh).alias("n_records"),
+                     F.sum(fresh.cast("decimal(38,0)")).alias("total"), F.sum(square).alias("squares")).collect())
+
+    def _check(self, ranges: list[Row]) -> None:
+        """Raise for records that cannot be counted exactly once."""
+        def fail(error, rows, what):
+            if rows:
+                named = ", ".join(f"{r.topic}/{r.partition} (offsets {r.lowest} to {(r.until_offset or 1) - 1}, saved {r.saved_until})"
+                                  for r in sorted(rows, key=lambda r: (str(r.topic), str(r.partition)))[:_SHOWN])
+                raise error(f"group {self.group_id!r}: {what}: {named}{' ...' if len(rows) > _SHOWN else ''}")
+
+        fail(NullPositionError, [r for r in ranges if r.topic is None or r.partition is None or r.nulls],
+             "records without topic, partition or offset")
+        fail(LateRecordError, [r for r in ranges if r.saved_until is not None and r.lowest < r.start_offset],
+             "records before the first offset that was counted")
+        fail(OffsetGapError, [r for r in ranges if r.n_records and r.n_records > r.until_offset - r.from_offset], "repeated offsets")
+        if not self.allow_gaps:
+            def dense(r: Row) -> bool:
+                """All offsets of the range once: their number, sum and sum of squares are those of the range."""
+                a, b = r.from_offset, r.until_offset
+                up_to = lambda n: (n - 1) * n * (2 * n - 1) // 6
+                return r.n_records == b - a and int(r.total) == (a + b - 1) * (b - a) // 2 and int(r.squares) == up_to(b) - up_to(a)
+
+            fail(OffsetGapError, [r for r in ranges if r.n_records and not (dense(r) and r.from_offset == (r.saved_until if r.saved_until is not None else r.from_offset))],
+                 "offsets are missing or repeated (allow_gaps accepts holes)")
+
     def process_batch(self, batch: DataFrame, batch_id: int | None = None) -> int | None:
         """``foreachBatch`` body. Returns the committed epoch, or None if nothing was new."""
         spark = batch.sparkSession
-        g = self.generation(spark)
-        latest = self._latest(spark, g)
-        # One small job: the last committed epoch (the newest epoch of any partition's
-        # position) and the positions' row count for the broadcast decision.
-        newest, n_positions = latest.agg(F.max("epoch"), F.count(F.lit(1))).first()
-        last = newest if newest is not None else g.base_epoch
+        g = self._open(spark)
+        last = self.committed_epoch(spark, g)
         epoch = 0 if last is None else last + 1
-        fresh = offsets.resume_filter(batch.select("topic", "partition", "offset", "key", "value"),
-                                      latest, self.max_broadcast_positions, positions_rows=n_positions)
-        fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+        latest = self._latest(spark, g)
+        n_positions = latest.count()
+        saved = F.broadcast(latest) if n_positions <= self.max_broadcast_positions else latest
+        batch = batch.select("topic", "partition", "offset", "key", "value").persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if fresh.isEmpty():
+            ranges = self._ranges(batch, saved)
+            self._check(ranges)
+            new = [r for r in ranges if r.n_records]
+            if not new:
                 return None
+            fresh = offsets.resume_filter(batch, latest, self.max_broadcast_positions, positions_rows=n_positions)
             self._write_counts(self.count_fn(fresh), g.gen, epoch)
-            self._write_progress(fresh, g.gen, epoch)
-            return epoch
+            moved = spark.createDataFrame(
+                [(self.group_id, r.topic, r.partition, r.from_offset if r.saved_until is None else r.start_offset, r.from_offset,
+                  r.until_offset, r.n_records) for r in new], POSITIONS_SCHEMA)
+            stayed = (latest.join(F.broadcast(moved.select("topic", "partition")), ["topic", "partition"], "left_anti")
+                      .withColumns({"from_offset": F.col("until_offset"), "n_records": F.lit(0).cast("bigint")}))
+            self._write_progress(moved.unionByName(stayed), g.gen, epoch)
         finally:
-            fresh.unpersist()
+            batch.unpersist()
+        if self.compact_every and epoch - (g.base_epoch if g.base_epoch is not None else -1) >= self.compact_every:
+            self.compact(spark)
+            self.vacuum(spark, keep=1)
+        return epoch
 
     def start(self, records: DataFrame, checkpoint_location: str,
               trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
@@ -250,7 +340,7 @@ class ExactlyOnceCounter:
         return writer.start()
 
 
-def default_root(spark: SparkSession, group_id: str) -> str:
-    """A counter root under the shared checkpoint folder."""
-    from keytally.session import checkpoint_root
-    return os.path.join(checkpoint_root(spark), "keytally", group_id)
+def groups(spark: SparkSession, root: str) -> list[str]:
+    """The consumer groups counted under a root."""
+    from urllib.parse import unquote
+    return sorted(unquote(n[6:]) for n in Folders(spark, root).names(root) if n.startswith("group="))

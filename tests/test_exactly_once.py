@@ -161,7 +161,7 @@ def test_interrupted_compaction_is_invisible(spark, scratch_dir):
     _run(spark, counter, log_dir, os.path.join(scratch_dir, "ckpt"))
     # a compaction that died after writing a (wrong) snapshot but before its marker
     spark.createDataFrame([("zzz", 99)], "word string, cnt bigint").write.parquet(
-        os.path.join(scratch_dir, "store", "gen=1", "base"))
+        os.path.join(scratch_dir, "store", "group=g", "gen=1", "base"))
     assert counter.generation(spark).gen == 0
     assert _totals(spark, counter) == {"a": 2, "b": 1}
     _add_records(log_dir, 2, [(2, "b")])
@@ -174,8 +174,8 @@ def test_interrupted_compaction_is_invisible(spark, scratch_dir):
     assert _until(spark, counter) == {0: 3}
     # vacuum removes generation 0 only; the view is unchanged
     assert counter.vacuum(spark) == [0]
-    assert not os.path.exists(os.path.join(scratch_dir, "store", "gen=0"))
-    assert os.path.exists(os.path.join(scratch_dir, "store", "gen=1"))
+    assert not os.path.exists(os.path.join(scratch_dir, "store", "group=g", "gen=0"))
+    assert os.path.exists(os.path.join(scratch_dir, "store", "group=g", "gen=1"))
     assert _totals(spark, counter) == {"a": 2, "b": 2}
     assert counter.vacuum(spark) == []
 
