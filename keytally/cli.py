@@ -6,7 +6,7 @@ Jobs:
 
 * ``tables``             — generate and replace the four e-commerce tables;
 * ``count-exactly-once`` — word totals of a record log, committed exactly once;
-* ``count-print``        — print each micro-batch's word counts (at-least-once);
+* ``count-print``        — put out each micro-batch's word counts, all of them (at-least-once);
 * ``hash-counter``       — whole-value counts into a named counter table;
 * ``feed``               — write the ad-click, message or letter feed to a record log.
 
@@ -29,7 +29,7 @@ from keytally.session import get_spark
 from keytally.sources.kafka import kafka_sink_options, kafka_source_options
 from keytally.sources.recordlog import read_record_stream
 from keytally.streaming import feeds, jobs
-from keytally.streaming.exactly_once import ExactlyOnceCounter
+from keytally.streaming.exactly_once import COMPACT_EVERY, ExactlyOnceCounter, NoSuchStore
 
 
 def _trigger(args) -> dict:
@@ -48,7 +48,8 @@ def _records(spark: SparkSession, args, counter: ExactlyOnceCounter | None = Non
         else:
             opts = kafka_source_options(args.bootstrap, args.topics, min_partitions=min_partitions)
         return read_record_stream(spark, "kafka", options=opts)
-    return read_record_stream(spark, args.format, args.path, {"maxFilesPerTrigger": str(args.max_files)})
+    options = {"maxFilesPerTrigger": str(args.max_files)} if args.max_files else {}
+    return read_record_stream(spark, args.format, args.path, options, topics=args.topics)
 
 
 def _wait(query, args) -> None:
@@ -66,15 +67,22 @@ def _run_tables(spark: SparkSession, args) -> dict:
                                            preview_rows=args.preview)
 
 
+def _store_options(args) -> dict:
+    return {"allow_gaps": args.allow_gaps, "compact_every": args.compact_every}
+
+
 def _run_counter(spark: SparkSession, args, counter: ExactlyOnceCounter) -> dict:
     query = counter.start(_records(spark, args, counter), args.checkpoint, _trigger(args))
     _wait(query, args)
-    return {"committed_epoch": counter.committed_epoch(spark)}
+    try:
+        return {"committed_epoch": counter.committed_epoch(spark)}
+    except NoSuchStore:  # there was no record to count
+        return {"committed_epoch": None}
 
 
 def _run_print(spark: SparkSession, args) -> dict:
-    query = jobs.print_batch_counts(_records(spark, args), args.checkpoint, _trigger(args),
-                                    num_rows=args.preview or 20)
+    query = jobs.print_batch_counts(_records(spark, args), args.checkpoint, _trigger(args), out=args.out,
+                                    out_format=args.out_format, sample=args.preview)
     _wait(query, args)
     return {}
 
@@ -114,7 +122,7 @@ def build_parser() -> argparse.ArgumentParser:
     t.add_argument("--seed", type=int, default=generate.SEED)
     t.add_argument("--preview", type=int, default=0, help="rows of each table to print")
 
-    def log_args(p, needs_root: bool):
+    def log_args(p, needs_root: bool, default_group: str = fv.GROUPS[-1]):
         p.add_argument("--format", default="kafka", choices=["kafka", "json", "parquet"])
         p.add_argument("--bootstrap", help="Kafka bootstrap servers")
         p.add_argument("--topics", nargs="+", default=[fv.TOPIC])
@@ -123,21 +131,28 @@ def build_parser() -> argparse.ArgumentParser:
         p.add_argument("--min-partitions", type=int, default=0,
                        help="Kafka minPartitions (default: 2x the cluster's parallelism)")
         p.add_argument("--path", help="record-log folder for file formats")
-        p.add_argument("--max-files", type=int, default=1)
+        p.add_argument("--max-files", type=int, default=0,
+                       help="most new files in a micro-batch (default: all there are)")
         p.add_argument("--checkpoint", required=True, help="checkpoint folder (shared storage)")
         p.add_argument("--interval", default=fv.BATCH_INTERVAL)
         p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
         if needs_root:
             p.add_argument("--root", required=True, help="counter table root (shared storage)")
-            p.add_argument("--group", default=fv.GROUPS[-1])
+            p.add_argument("--group", default=default_group)
+            p.add_argument("--allow-gaps", action="store_true",
+                           help="accept missing offsets (compacted or transactional topics)")
+            p.add_argument("--compact-every", type=int, default=COMPACT_EVERY,
+                           help="epochs after which totals and positions are folded into a snapshot (0: never)")
 
     log_args(sub.add_parser("count-exactly-once", help="word totals committed exactly once"), True)
     h = sub.add_parser("hash-counter", help="whole-value counts into a named counter table")
-    log_args(h, True)
+    log_args(h, True, fv.GROUPS[0])
     h.add_argument("--hash-name", default=fv.HASH_NAME)
-    c = sub.add_parser("count-print", help="print each micro-batch's word counts")
+    c = sub.add_parser("count-print", help="put out each micro-batch's word counts, all of them")
     log_args(c, False)
-    c.add_argument("--preview", type=int, default=20)
+    c.add_argument("--out", help="write the counts below this folder instead of printing them")
+    c.add_argument("--out-format", default="json", choices=["json", "parquet", "csv"])
+    c.add_argument("--preview", type=int, default=0, help="with --out: also print a sample of so many rows")
 
     f = sub.add_parser("feed", help="write a synthetic feed to a record log")
     f.add_argument("kind", choices=["ads", "messages", "letters"])
@@ -160,9 +175,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if args.job == "tables":
         return _run_tables(spark, args)
     if args.job == "count-exactly-once":
-        return _run_counter(spark, args, ExactlyOnceCounter(args.root, group_id=args.group))
+        return _run_counter(spark, args, ExactlyOnceCounter(args.root, group_id=args.group, **_store_options(args)))
     if args.job == "hash-counter":
-        return _run_counter(spark, args, jobs.hash_counter(args.root, args.hash_name, args.group))
+        return _run_counter(spark, args, jobs.hash_counter(args.root, args.hash_name, args.group, **_store_options(args)))
     if args.job == "count-print":
         return _run_print(spark, args)
     return _run_feed(spark, args)

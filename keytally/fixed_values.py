@@ -66,5 +66,8 @@ MESSAGE_COUNT = 10
 MESSAGE_PAUSE_SECONDS = 0.5
 LETTER_FROM, LETTER_TO = 97, 122
 PRODUCER_ACKS = "all"
+# Columns of the table of saved positions, and the names they have here.
+POSITION_COLUMNS = {"groupId": "group_id", "topic": "topic", "partitionId": "partition",
+                    "untilOffset": "until_offset"}
 
 # --- end of fixed values -------------------------------------------------------------

@@ -7,6 +7,8 @@ arithmetic on ``timestamp_ntz`` do not depend on the session time zone.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from keytally import fixed_values as fv
@@ -95,7 +97,7 @@ def decode_ad_line(line: Column | str, delimiter: str = " ") -> Column:
     line in ``_corrupt`` (null for a good line).
     """
     text = _col(line)
-    parts = F.split(text, delimiter, -1)
+    parts = F.split(text, re.escape(delimiter), -1)  # the delimiter is text, not a pattern
     ts = F.get(parts, 0).try_cast("bigint")
     area = F.get(parts, 1)
     city = F.get(parts, 2)

@@ -14,28 +14,10 @@ RECORD_LOG = _s(("topic", StringType(), False), ("partition", IntegerType(), Fal
                 ("offset", LongType(), False), ("key", StringType(), True),
                 ("value", StringType(), True))
 
-# Keyed counts: one row per word (or whole value).
-WORD_COUNTS = _s(("word", StringType(), True), ("cnt", LongType(), False))
-
 # Per-epoch count deltas as stored by the exactly-once sink (epoch is the partition column).
 COUNT_DELTAS = _s(("word", StringType(), True), ("cnt", LongType(), False),
                   ("epoch", LongType(), False))
 
-# Observed offset range of one (topic, partition) within one batch; end is exclusive.
-OFFSET_RANGES = _s(("epoch", LongType(), False), ("topic", StringType(), False),
-                   ("partition", IntegerType(), False), ("from_offset", LongType(), False),
-                   ("until_offset", LongType(), False), ("n_records", LongType(), False))
-
-# Progress rows as stored by the exactly-once sink (epoch is the partition column).
-PROGRESS = _s(("group_id", StringType(), False), ("topic", StringType(), False),
-              ("partition", IntegerType(), False), ("from_offset", LongType(), False),
-              ("until_offset", LongType(), False), ("n_records", LongType(), False),
-              ("epoch", LongType(), False))
-
-# Saved position per (group, topic, partition).
-POSITIONS = _s(("group_id", StringType(), False), ("topic", StringType(), False),
-               ("partition", IntegerType(), False), ("until_offset", LongType(), False))
-
 # E-commerce data model (reference-compatible column names and types; counts widened).
 # Declared nullable: generated columns are expressions Spark cannot prove non-null.
 USER_VISIT_ACTION = _s(

@@ -7,7 +7,7 @@ only fills gaps: anything already set by ``spark-submit`` / ``spark-defaults`` w
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -19,7 +19,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    # Remove checkpoint files (running-sum block tables) once their frames are gone.
+    # Remove checkpoint files once their frames are gone.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Streaming state (only used by the pure-Spark totals alternative) lives in RocksDB
     # so that large key sets do not sit on the JVM heap.
@@ -61,13 +61,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured
-    if not sc.master.startswith("local"):
+    if not re.match(r"local($|\[)", sc.master):  # local-cluster[...] has executors of its own
         raise RuntimeError("spark.checkpoint.dir is unset; point it at shared storage")
     path = tempfile.mkdtemp(prefix="keytally-ckpt-")
     sc.setCheckpointDir(path)
     return path
-
-
-def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the shared checkpoint folder."""
-    return os.path.join(checkpoint_root(spark), *parts)

@@ -4,17 +4,16 @@ Spark opens one connection per task and sends ``batchsize`` rows per round trip,
 pool or hand-written statements are needed. Equality filters on the loaded frame are
 pushed into the ``WHERE`` clause sent to the database.
 
-No database is started in this repository; these helpers build readers and writers
-and are exercised on option level in the tests.
+No database is started in this repository, so only the options are tested. Saved positions and
+totals live in :mod:`keytally.streaming.exactly_once`; these helpers read positions that another
+program keeps in a database and export finished totals to one.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Column names of the reference's position table, mapped to keytally's names.
-POSITION_COLUMNS = {"groupId": "group_id", "topic": "topic", "partitionId": "partition",
-                    "untilOffset": "until_offset"}
+from keytally.fixed_values import POSITION_COLUMNS
 
 
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,

@@ -51,3 +51,28 @@ def kafka_sink_options(bootstrap_servers: str, topic: str | None = None,
         opts["topic"] = topic
     opts.update(extra or {})
     return opts
+
+
+def kafka_partitions(spark, bootstrap_servers: str, topics: Sequence[str] | str) -> dict[str, int] | None:
+    """Partition count per topic, asked of the brokers through the connector's client; None without it."""
+    names = topics.split(",") if isinstance(topics, str) else list(topics)
+    jvm = spark.sparkContext._jvm
+    if not _on_classpath(jvm, "org.apache.kafka.clients.admin.AdminClient"):
+        return None
+    config = jvm.java.util.Properties()
+    config.put("bootstrap.servers", bootstrap_servers)
+    client = jvm.org.apache.kafka.clients.admin.AdminClient.create(config)
+    try:
+        found = client.describeTopics(jvm.java.util.ArrayList(names)).allTopicNames().get()
+        return {t: found.get(t).partitions().size() for t in names}
+    finally:
+        client.close()
+
+
+def _on_classpath(jvm, name: str) -> bool:
+    from py4j.protocol import Py4JJavaError
+    try:
+        jvm.java.lang.Class.forName(name, False, jvm.java.lang.Thread.currentThread().getContextClassLoader())
+        return True
+    except Py4JJavaError:
+        return False

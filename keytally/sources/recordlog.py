@@ -62,12 +62,13 @@ def to_records(df: DataFrame, value: Column | str, topic: str = fv.TOPIC,
 
 
 def read_record_stream(spark: SparkSession, fmt: str, path: str | None = None,
-                       options: dict[str, str] | None = None) -> DataFrame:
+                       options: dict[str, str] | None = None, topics: list[str] | None = None) -> DataFrame:
     """Streaming record log.
 
     ``fmt="kafka"``: ``options`` from :func:`keytally.sources.kafka.kafka_source_options`;
     key and value are cast to strings. Any file format (``parquet``, ``json``, ...):
-    files under ``path`` holding the record-log schema; new files are new records.
+    files under ``path`` holding the record-log schema; new files are new records. ``topics``
+    keeps the subscribed topics of a file log (Kafka's are in its options).
     """
     if fmt == "kafka":
         raw = spark.readStream.format("kafka").options(**(options or {})).load()
@@ -75,7 +76,8 @@ def read_record_stream(spark: SparkSession, fmt: str, path: str | None = None,
                           F.col("key").cast("string").alias("key"),
                           F.col("value").cast("string").alias("value"))
     reader = spark.readStream.format(fmt).schema(RECORD_LOG).options(**(options or {}))
-    return reader.load(path).select(*RECORD_COLUMNS)
+    records = reader.load(path).select(*RECORD_COLUMNS)
+    return records if topics is None else records.filter(F.col("topic").isNull() | F.col("topic").isin(list(topics)))
 
 
 def read_record_log(spark: SparkSession, fmt: str, path: str | None = None,

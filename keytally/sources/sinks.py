@@ -1,44 +1,103 @@
-"""Record-log and console sinks."""
+"""Record-log and console sinks.
+
+A broker assigns a record's partition and offset; files have none, so the file sink writes
+them: a task's rows are a partition of the log, numbered on from what the log holds. So what
+is written can be counted by the stream jobs.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from keytally.schemas import RECORD_LOG
+
+RECORDS = [f.name for f in RECORD_LOG.fields]
+_NEXT = "topic string, partition int, next bigint"
+
+
+def with_positions(records: DataFrame, after: DataFrame | None = None) -> DataFrame:
+    """Records with ``partition`` (the task's number) and dense offsets from ``after (topic, partition, next)``.
+
+    Records that have both columns are taken as they are. One topic per frame and call.
+    """
+    if {"partition", "offset"} <= set(records.columns):
+        return records.select(*RECORDS)
+    row = F.monotonically_increasing_id()  # the task's number above 33 bits of row number
+    placed = records.select("topic", "key", "value", F.shiftright(row, 33).cast("int").alias("partition"),
+                            row.bitwiseAND(F.lit((1 << 33) - 1)).alias("offset"))
+    if after is not None:  # one row per partition of the log
+        placed = (placed.join(F.broadcast(after), ["topic", "partition"], "left")
+                  .withColumn("offset", F.col("offset") + F.coalesce("next", F.lit(0))))
+    return placed.select(*RECORDS)
+
+
+def next_offsets(log: DataFrame) -> DataFrame:
+    """``(topic, partition, next)``: one past the last offset of each partition of a log."""
+    return log.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next"))
+
 
 def write_records(records: DataFrame, fmt: str, path: str | None = None,
                   options: dict[str, str] | None = None, mode: str = "append") -> None:
     """Write ``(topic, key, value)`` records (see :func:`keytally.sources.recordlog.to_records`).
 
     ``fmt="kafka"`` sends them with the given producer options (``kafka_sink_options``:
-    ``acks=all`` by default; each task flushes and awaits its sends before it
-    succeeds). Any file format appends record files under ``path``.
+    ``acks=all`` by default; each task flushes and awaits its sends before it succeeds). Any
+    file format appends record files with partitions and offsets under ``path``; one writer.
     """
-    out = records.select("topic", "key", "value")
     if fmt == "kafka":
-        out.write.format("kafka").options(**(options or {})).save()
-    else:
-        out.write.format(fmt).options(**(options or {})).mode(mode).save(path)
+        records.select("topic", "key", "value").write.format("kafka").options(**(options or {})).save()
+        return
+    after = None
+    if mode == "append" and _has_files(records.sparkSession, path):
+        log = records.sparkSession.read.format(fmt).schema(RECORD_LOG).options(**(options or {})).load(path)
+        after = records.sparkSession.createDataFrame(next_offsets(log).collect(), _NEXT)  # a row per partition
+    with_positions(records, after).write.format(fmt).options(**(options or {})).mode(mode).save(path)
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(at) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(at))
 
 
 def stream_records(records: DataFrame, fmt: str, checkpoint_location: str, path: str | None = None,
                    options: dict[str, str] | None = None) -> DataStreamWriter:
-    """Streaming writer of records (``fmt="kafka"`` or a file format); call ``.start()``."""
-    writer = (records.select("topic", "key", "value").writeStream.format(fmt)
-              .options(**(options or {})).option("checkpointLocation", checkpoint_location))
-    if path is not None:
-        writer = writer.option("path", path)
-    return writer
+    """Streaming writer of records (``fmt="kafka"`` or a file format); call ``.start()``.
+
+    Files go to ``path/batch=<id>`` (a replayed batch overwrites its own), next offsets to
+    ``path/_next/batch=<id>``; one query per path.
+    """
+    if fmt == "kafka":
+        return (records.select("topic", "key", "value").writeStream.format("kafka")
+                .options(**(options or {})).option("checkpointLocation", checkpoint_location))
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        after = spark.read.schema(_NEXT).parquet(f"{path}/_next/batch={batch_id - 1}") if batch_id else spark.createDataFrame([], _NEXT)
+        out = f"{path}/batch={batch_id}"
+        with_positions(batch, after).write.format(fmt).options(**(options or {})).mode("overwrite").save(out)
+        written = spark.read.format(fmt).schema(RECORD_LOG).options(**(options or {})).load(out)
+        ends = next_offsets(written).unionByName(after).groupBy("topic", "partition").agg(F.max("next").alias("next"))
+        ends.coalesce(1).write.mode("overwrite").parquet(f"{path}/_next/batch={batch_id}")
 
+    return records.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint_location)
 
-def console(df: DataFrame, n: int = 20) -> None:
-    """Print rows on the driver (bounded by ``n``)."""
-    df.show(n, truncate=False)
+
+def console(df: DataFrame, n: int | None = None) -> None:
+    """Print rows on the driver: every row, a partition at a time, or a sample of ``n``."""
+    if n is not None:
+        df.show(n, truncate=False)
+        return
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("null" if v is None else str(v) for v in row))
 
 
 def console_stream(df: DataFrame, checkpoint_location: str, output_mode: str = "append",
-                   num_rows: int = 20) -> DataStreamWriter:
-    """Console sink for a streaming frame; call ``.start()``."""
+                   num_rows: int | None = None) -> DataStreamWriter:
+    """Console sink for a streaming frame; call ``.start()``. Prints every row unless ``num_rows`` is given."""
     return (df.writeStream.format("console").outputMode(output_mode)
-            .option("numRows", str(num_rows)).option("truncate", "false")
+            .option("numRows", str(num_rows if num_rows is not None else (1 << 31) - 2)).option("truncate", "false")
             .option("checkpointLocation", checkpoint_location))
+

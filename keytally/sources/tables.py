@@ -16,12 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 def scan_partitions(df: DataFrame) -> int | None:
     """Number of partitions the plan of ``df`` produces (plans, does not run).
 
-    None where the session cannot tell (e.g. a Spark Connect client has no RDDs).
+    None on a Spark Connect client, which has no RDDs; planning errors are raised.
     """
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - unsupported in this session type
+    if not hasattr(df.sparkSession, "_jsparkSession"):
         return None
+    return df.rdd.getNumPartitions()
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -47,15 +46,67 @@ def read_table(spark: SparkSession, path: str, columns: list[str] | None = None,
     return spread(df, min_partitions)
 
 
-def replace_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
-    """Drop-and-write a managed table (the whole table is replaced, unpartitioned)."""
-    spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    df.write.mode("overwrite").format(fmt).saveAsTable(name)
+def _folders(spark: SparkSession):
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+
+    def at(path: str):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(conf)
+
+    return at
+
+
+def table_folder(spark: SparkSession, name: str) -> str:
+    """Folder of a replaceable table: ``<warehouse>/<database>.db/<table>.versions``."""
+    database, _, table = name.rpartition(".")
+    where = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{where}/{database + '.db/' if database and database != 'default' else ''}{table}.versions"
 
 
-def scan_table(spark: SparkSession, name: str) -> DataFrame:
-    """Whole-table scan of a managed table."""
+def _versions(spark: SparkSession, folder: str) -> list[int]:
+    """Finished versions in a table's folder."""
+    at = _folders(spark)
+    path, fs = at(folder)
+    if not fs.exists(path):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    found = [int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()]
+    return sorted(v for v in found if fs.exists(at(f"{folder}/v={v}/_SUCCESS")[0]))
+
+
+def replace_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
+    """Replace a whole table: write the new rows first, switch to them, then delete the old.
+
+    The rows go to a new version folder below the warehouse; the catalog entry is then pointed
+    at it. A write that fails leaves the old table as it was, and the newest finished version
+    is the table for any later session, whether or not its catalog outlives the process.
+    Versions but the newest and the one before it (readers may still use it) are deleted.
+    """
+    spark = df.sparkSession
+    folder = table_folder(spark, name)
+    done = _versions(spark, folder)
+    new = f"{folder}/v={(done[-1] if done else 0) + 1}"
+    df.write.mode("overwrite").format(fmt).save(new)  # overwrites what a failed write left
+    _point(spark, name, new, fmt)
+    at = _folders(spark)
+    for v in done[:-1]:
+        path, fs = at(f"{folder}/v={v}")
+        fs.delete(path, True)
+
+
+def _point(spark: SparkSession, name: str, location: str, fmt: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # an external table: only the entry goes
+    spark.catalog.createTable(name, path=location, source=fmt)
+
+
+def scan_table(spark: SparkSession, name: str, fmt: str = "parquet") -> DataFrame:
+    """Whole-table scan: the catalog's table, or the newest finished version in the warehouse."""
+    if not spark.catalog.tableExists(name):
+        folder = table_folder(spark, name)
+        done = _versions(spark, folder)
+        if done:
+            _point(spark, name, f"{folder}/v={done[-1]}", fmt)
     return spark.table(name)
 
 

@@ -22,6 +22,8 @@ def test_configured_folder_is_used():
 def test_cluster_without_shared_folder_refuses():
     with pytest.raises(RuntimeError):
         checkpoint_root(_stub("spark://master:7077"))
+    with pytest.raises(RuntimeError):
+        checkpoint_root(_stub("local-cluster[2,1,1024]"))
 
 
 def test_local_mode_gets_a_scratch_folder():
