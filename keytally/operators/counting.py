@@ -35,10 +35,10 @@ def value_count(df: DataFrame, value_col: str = "value", count_col: str = "cnt")
 
 
 def batch_word_counts(records: DataFrame, batch_col: str = "epoch", text_col: str = "value",
-                      word_col: str = "word", count_col: str = "cnt") -> DataFrame:
-    """Word counts of each batch: the deltas a micro-batch adds to the totals."""
-    return (tokens(records, text_col, word_col, keep=[batch_col])
-            .groupBy(batch_col, word_col)
+                      word_col: str = "word", count_col: str = "cnt", keys: Sequence[str] = ()) -> DataFrame:
+    """Word counts of each batch (and ``keys``): the deltas a micro-batch adds to the totals."""
+    return (tokens(records, text_col, word_col, keep=[*keys, batch_col])
+            .groupBy(*keys, batch_col, word_col)
             .agg(F.count(F.lit(1)).alias(count_col)))
 
 

@@ -1,145 +1,66 @@
 """Global running sum without moving the data into one partition.
 
-``sum(v) over (order by k)`` with no ``partitionBy`` sends every row to one task.
-Here the order key is cut into blocks of ``block_size`` consecutive key values:
-
-1. **pass 1** — per-block totals by partial aggregation (no large shuffle: each map
-   task emits one row per block it saw). The block table is small (one row per
-   block) and is checkpointed to the shared checkpoint folder, which cuts its
-   lineage so that later steps never recompute pass 1;
-2. exclusive prefix of the block totals in block order. If there are at most
-   ``max_top_rows`` blocks this is one window over that bounded table; otherwise the
-   same operator runs on the block table (blocks of blocks), recursively;
-3. **pass 2** — the in-block running sum (``Window.partitionBy(block)``: one hash
-   exchange of the data on the block number) plus the block's prefix, joined by
-   block. The prefix table is broadcast only when its row count is known to be
-   at most ``max_top_rows``; otherwise the join shares the window's exchange.
-
-The data is read twice and shuffled once. The order must be total: ``order_col``
-plus ``tie_cols`` identify a row.
-
-Hot keys: pass 1 counts rows per block. A block above ``max_block_rows`` (one order
-value holding a large share of the rows) is cut into segments
-``(block, order value, tie // max_block_rows)`` on the first, integral tie column.
-Segments are contiguous runs of the total order, so the same prefix-and-join scheme
-applies per segment (one more read of the data, only when a hot block exists).
+``sum(v) over (order by k)`` with no ``partitionBy`` sends every row to one task. Here
+
+1. the rows are range-partitioned by the whole order (order column, tie columns, and a hash of
+   the row where those tie, so that one value held by a third of all rows is still spread over
+   many ranges) and written once to the shared folder with the number of their range;
+2. the total of each range is one row; the exclusive prefix of these totals is a window over as
+   many rows as there are ranges, which is bounded by their number, not by the data;
+3. the running sum inside a range plus the range's prefix is the result.
+
+Any orderable type serves as order; null keys sort first, as in Spark. Rows that tie in all order
+columns follow each other in hash order. Null values add nothing; the sum is null until the
+first value that is not null, as SQL's is.
 """
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from keytally.operators.offsets import bounded_broadcast
 from keytally.session import checkpoint_root
 
-DEFAULT_BLOCK_SIZE = 1 << 13
-DEFAULT_MAX_TOP_ROWS = 1 << 16
-# Rows one block may hold before the operator refuses to run: a block is one window
-# task. Unique keys give at most block_size rows per block; sessions of <= 342 rows
-# in blocks of 1,024 keys give at most ~350k.
-DEFAULT_MAX_BLOCK_ROWS = 1 << 24
-
-
-class HotBlockError(ValueError):
-    """A block or segment holds too many rows and cannot be split further."""
-
-
-_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
-
+#: Rows of a range; a range is one window task.
+RANGE_ROWS = 1 << 20
+#: Most ranges, which bounds the table of range totals.
+MAX_RANGES = 1 << 16
 
-def block_of(key: Column, block_size: int) -> Column:
-    """``floor(key / block_size)`` exactly, for any sign (bigint)."""
-    return F.call_function("div", key - F.pmod(key, F.lit(block_size)), F.lit(block_size))
 
-
-def _materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a small table to the shared checkpoint folder (eager)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def _names(depth: int) -> dict[str, str]:
-    return {n: f"_kt_{n}{depth}" for n in ("block", "sord", "stie", "total", "incl", "before", "rows", "hot")}
-
-
-def _split_hot_blocks(blocked: DataFrame, measured: DataFrame, value_col: str, order_col: str,
-                      tie_cols: Sequence[str], max_block_rows: int, n: dict[str, str]):
-    """Cut every block with more than ``max_block_rows`` rows into segments.
-
-    A hot block's rows get the segment ``(block, order value, tie // max_block_rows)``;
-    other rows keep ``(block, 0, 0)``. Segment keys compare in the same order as
-    ``(order_col, *tie_cols)``, so each segment is a contiguous run of the total order.
-    Needs an integral first tie column (e.g. an index within a key).
-    """
-    tie = tie_cols[0] if tie_cols else None
-    if tie is None or blocked.schema[tie].dataType.simpleString() not in _INTEGRAL:
-        raise HotBlockError(f"a block of {order_col!r} holds more than {max_block_rows} rows and "
-                            "there is no integral tie column to split it by")
-    hot_blocks = measured.filter(F.col(n["rows"]) > F.lit(max_block_rows)) \
-        .select(n["block"], F.lit(True).alias(n["hot"]))
-    # At most (rows / max_block_rows) hot blocks; broadcast only after counting them.
-    hot_side = bounded_broadcast(hot_blocks)
-    is_hot = F.coalesce(F.col(n["hot"]), F.lit(False))
-    zero = F.lit(0).cast("bigint")
-    keyed = (blocked.join(hot_side, n["block"], "left")
-             .withColumn(n["sord"], F.when(is_hot, F.col(order_col).cast("bigint")).otherwise(zero))
-             .withColumn(n["stie"], F.when(is_hot, block_of(F.col(tie).cast("bigint"), max_block_rows))
-                         .otherwise(zero))
-             .drop(n["hot"]))
-    seg_cols = [n["block"], n["sord"], n["stie"]]
-    seg = _materialize(keyed.groupBy(*seg_cols).agg(F.sum(value_col).alias(n["total"]),
-                                                    F.count(F.lit(1)).alias(n["rows"])))
-    n_segments, hottest = seg.agg(F.count(F.lit(1)), F.max(n["rows"])).first()
-    if hottest > max_block_rows:
-        raise HotBlockError(f"a segment of ({order_col!r}, {tie!r}) still holds {hottest} rows "
-                            f"(limit {max_block_rows}): the order is not total or ties are sparse")
-    return keyed, seg_cols, seg.drop(n["rows"]), n_segments
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` written below the shared checkpoint folder, deleted when the driver's JVM ends."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/keytally-running-sum/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def running_sum(df: DataFrame, value_col: str, order_col: str, out_col: str = "running",
-                tie_cols: Sequence[str] = (), block_size: int = DEFAULT_BLOCK_SIZE,
-                max_top_rows: int = DEFAULT_MAX_TOP_ROWS, max_block_rows: int = DEFAULT_MAX_BLOCK_ROWS,
-                _depth: int = 0) -> DataFrame:
+                tie_cols: Sequence[str] = (), range_rows: int = RANGE_ROWS) -> DataFrame:
     """``df`` plus ``out_col`` = inclusive running sum of ``value_col`` in
     ``(order_col, *tie_cols)`` order over all rows.
 
-    Runs pass 1 eagerly (a Spark job) to size the block table; the returned frame
-    is lazy for pass 2. A block with more than ``max_block_rows`` rows (a hot order
-    value) is split into segments by the first tie column before pass 2, so no
-    window task holds more than ``max_block_rows`` rows; :class:`HotBlockError` if
-    that is impossible.
+    Counts and range-partitions the rows eagerly; the returned frame is lazy. The input is
+    shuffled once by range and, inside the window, once by range number.
     """
-    if block_size < 2 or max_top_rows < 1 or max_block_rows < 1:
-        raise ValueError("block_size must be >= 2, max_top_rows and max_block_rows >= 1")
-    n = _names(_depth)
-    blocked = df.withColumn(n["block"], block_of(F.col(order_col), block_size))
-    measured = _materialize(blocked.groupBy(n["block"]).agg(F.sum(value_col).alias(n["total"]),
-                                                            F.count(F.lit(1)).alias(n["rows"])))
-    n_segments, hottest = measured.agg(F.count(F.lit(1)), F.max(n["rows"])).first()
-    if hottest is not None and hottest > max_block_rows:
-        keyed, seg_cols, seg_totals, n_segments = _split_hot_blocks(
-            blocked, measured, value_col, order_col, tie_cols, max_block_rows, n)
-    else:
-        keyed, seg_cols, seg_totals = blocked, [n["block"]], measured.drop(n["rows"])
-
-    # The key range shrinks by block_size per level, so this terminates; 2 segments
-    # can straddle zero ({-1, 0}) and never merge, so they always count as small.
-    small = n_segments <= max(max_top_rows, 2)
-    if small:
-        # Bounded: at most max_top_rows rows in this one window partition.
-        prefix = seg_totals.withColumn(n["incl"], F.sum(n["total"]).over(
-            Window.orderBy(*seg_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    else:
-        prefix = running_sum(seg_totals, n["total"], seg_cols[0], n["incl"], tie_cols=seg_cols[1:],
-                             block_size=block_size, max_top_rows=max_top_rows,
-                             max_block_rows=max_block_rows, _depth=_depth + 1)
-    offsets = prefix.select(*seg_cols, (F.col(n["incl"]) - F.col(n["total"])).alias(n["before"]))
-    if small:
-        offsets = F.broadcast(offsets)
-    in_segment = (Window.partitionBy(*seg_cols).orderBy(F.col(order_col), *[F.col(c) for c in tie_cols])
-                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (keyed.join(offsets, seg_cols)
-            .withColumn(out_col, F.col(n["before"]) + F.sum(value_col).over(in_segment))
-            .drop(*seg_cols, n["before"]))
+    if range_rows < 1:
+        raise ValueError("range_rows must be >= 1")
+    rows = df.count()
+    ranges = min(MAX_RANGES, max(1, math.ceil(rows / range_rows)))
+    order = [F.col(order_col), *[F.col(c) for c in tie_cols]]
+    spread = df.withColumn("_kt_hash", F.xxhash64(*df.columns))
+    ranged = _written(spread.repartitionByRange(ranges, *order, "_kt_hash").withColumn("_kt_range", F.spark_partition_id()))
+    totals = ranged.groupBy("_kt_range").agg(F.sum(value_col).alias("_kt_total"))
+    before = totals.select("_kt_range", F.sum("_kt_total").over(
+        Window.orderBy("_kt_range").rowsBetween(Window.unboundedPreceding, -1)).alias("_kt_before"))
+    inside = Window.partitionBy("_kt_range").orderBy(*order, "_kt_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = F.sum(value_col).over(inside)
+    # One row per range, at most MAX_RANGES of two numbers: about 1 MB.
+    running = F.when(own.isNull(), F.col("_kt_before")).otherwise(own + F.coalesce("_kt_before", F.lit(0)))
+    return (ranged.join(F.broadcast(before), "_kt_range", "left")
+            .withColumn(out_col, running).drop("_kt_range", "_kt_before", "_kt_hash"))

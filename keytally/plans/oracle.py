@@ -97,10 +97,13 @@ RANGES = f"""ranges AS (
          max("offset") + 1 AS until_offset, count(*) AS n_records
   FROM log GROUP BY ALL)"""
 
-_GROUP_VALUES = ", ".join(f"('{g}', {i})" for i, g in enumerate(fv.GROUPS))
-PROGRESS = f"""progress AS (
+_N = len(fv.GROUPS)
+_GROUP_VALUES = ", ".join(f"('{g}', {i + 1})" for i, g in enumerate(fv.GROUPS))
+PROGRESS = f"""sized AS (
+  SELECT *, max(epoch) OVER (PARTITION BY topic, partition) + 1 AS n_epochs FROM ranges),
+progress AS (
   SELECT g.group_id, r.topic, r.partition, r.from_offset, r.until_offset, r.n_records, r.epoch
-  FROM ranges r JOIN (VALUES {_GROUP_VALUES}) g(group_id, last_epoch) ON r.epoch <= g.last_epoch)"""
+  FROM sized r JOIN (VALUES {_GROUP_VALUES}) g(group_id, quarters) ON {_N} * r.epoch < g.quarters * r.n_epochs)"""
 
 POSITIONS = """positions AS (
   SELECT group_id, topic, partition, arg_max(until_offset, epoch) AS until_offset,
@@ -119,6 +122,10 @@ AD_LINE = ("concat_ws(' ', coalesce(CAST(timestamp_ms AS VARCHAR), 'null'), coal
            "coalesce(city, 'null'), coalesce(CAST(user_id AS VARCHAR), 'null'), "
            "coalesce(CAST(ad_id AS VARCHAR), 'null'))")
 
+EVENT_LINE = """concat_ws(' ', coalesce(CAST(epoch_us(ts) // 1000 AS VARCHAR), 'null'),
+              coalesce(CASE WHEN event_id % 2 = 1 THEN props ELSE json_extract_string(props, '$.k') END, 'null'),
+              coalesce(event_type, 'null'), coalesce(CAST(user_id AS VARCHAR), 'null'), CAST(event_id AS VARCHAR))"""
+
 _MAX_STEP = generate.walk_max_step()
 _START_MS = _day_ms(fv.WALK_START_DATE)
 _P_CONTINUE = 1.0 - dict(fv.ACTIONS)["quit"] / sum(w for _, w in fv.ACTIONS)
@@ -155,6 +162,8 @@ def _id_ctes(source_template: str, keys: list[str]) -> str:
 _NON_QUIT = generate.non_quit_actions()
 _SAMPLE_AMOUNT = uniform(1, generate.MAX_IDS_PER_ACTION, "amount", "p_partkey")
 
+_ACTION_ARMS = " ".join(f"WHEN {_lit(e)} THEN {_lit(a)}" for e, a in q.ACTION_OF_EVENT)
+
 ORACLE_SQL: dict[str, str] = {
     # A: keyed counting
     "word_count": f"""
@@ -184,6 +193,13 @@ SELECT word, count(*) AS cnt
 FROM (SELECT unnest({tokens('event_type')}) AS word FROM events)
 GROUP BY word""",
 
+    "group_totals": f"""
+WITH {LOG}, {RANGES}, {PROGRESS}
+SELECT p.group_id, w.word, count(*) AS cnt
+FROM progress p JOIN (SELECT topic, partition, "offset", unnest({tokens('value')}) AS word FROM log) w
+  ON w.topic = p.topic AND w.partition = p.partition AND w."offset" >= p.from_offset AND w."offset" < p.until_offset
+GROUP BY ALL""",
+
     # B: record logs, offsets, progress
     "record_projection": f"""
 WITH {LOG}
@@ -226,12 +242,10 @@ WHERE log."offset" >= coalesce(saved.until_offset, 0)""",
 
     # P: codecs, formats, messages
     "ad_line_encode": f"""
-WITH {AD_CLICKS}
-SELECT event_id, {AD_LINE} AS line FROM clicks""",
+SELECT event_id, {EVENT_LINE} AS line FROM events""",
 
     "ad_line_decode": f"""
-WITH {AD_CLICKS},
-lines AS (SELECT event_id, {AD_LINE} AS line FROM clicks),
+WITH lines AS (SELECT event_id, {EVENT_LINE} AS line FROM events),
 parts AS (SELECT event_id, line, string_split(line, ' ') AS p FROM lines),
 typed AS (SELECT event_id, line, len(p) AS n, TRY_CAST(p[1] AS BIGINT) AS timestamp_ms, p[2] AS area,
                  p[3] AS city, TRY_CAST(p[4] AS INTEGER) AS user_id, TRY_CAST(p[5] AS INTEGER) AS ad_id
@@ -287,6 +301,12 @@ SELECT o_orderkey, step_ms, strftime(ts, '%Y-%m-%d %H:%M:%S') AS action_time,
        strftime(ts, '%Y-%m-%d') AS date
 FROM w""",
 
+    "running_total": """
+WITH c AS (SELECT o_orderkey, o_orderdate, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders)
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date, cents,
+       CAST(sum(cents) OVER (ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_cents
+FROM c""",
+
     "session_expand": f"""
 WITH s AS (SELECT c_custkey, {uuid('session', 'c_custkey')} AS session_id,
                   {geometric(_P_CONTINUE, 'length', 'c_custkey')} AS len
@@ -295,7 +315,7 @@ a AS (SELECT c_custkey, session_id, unnest(range(1, len + 1)) AS i FROM s)
 SELECT c_custkey, session_id, CAST(i AS BIGINT) AS action_index FROM a""",
 
     "action_dispatch": f"""
-WITH e AS (SELECT event_id, {weighted(_NON_QUIT, 'action', 'event_id')} AS action FROM events),
+WITH e AS (SELECT event_id, CASE event_type {_ACTION_ARMS} END AS action FROM events),
 {_id_ctes("(SELECT event_id FROM e WHERE action = '{action}')", ['event_id'])}
 SELECT e.event_id, e.action,
     {_action_columns(['e.event_id'])}
@@ -316,7 +336,7 @@ SELECT p_partkey + 1 AS product_id, '{fv.PRODUCT_NAME_PREFIX}' || CAST(p_partkey
 FROM part""",
 
     "city_dim": f"""
-WITH h AS (SELECT c_custkey, {uniform(1, len(fv.CITIES), 'home_city', 'c_custkey')} AS city_id FROM customer)
+WITH h AS (SELECT c_custkey, CAST(c_nationkey AS BIGINT) + 1 AS city_id FROM customer)
 SELECT h.city_id, h.c_custkey, d.city_name, d.area
 FROM h LEFT JOIN (VALUES {_CITY_VALUES}) d(city_id, city_name, area) ON h.city_id = d.city_id""",
 

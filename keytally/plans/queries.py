@@ -9,20 +9,22 @@ Shared views:
 * **log view** — ``events`` as a record log: topic ``wc``, ``partition = event_id % 4``,
   ``offset = event_id div 4``, key null, value ``event_type``;
 * **batched log** — the log view cut into batches of 500 offsets (``epoch = offset div 500``);
-* **progress** — offset ranges of the batched log as committed by four consumer
-  groups; group *i* (``bigdata2`` .. ``bigdata5``) has committed epochs ``<= i``.
+* **progress** — offset ranges of the batched log as committed by four consumer groups;
+  of each partition's epochs group *i* (``bigdata2`` .. ``bigdata5``) has committed the first
+  ``(i + 1) / 4``, rounded up, so its progress grows with the log.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from keytally import fixed_values as fv
 from keytally.functions import codecs, seeded
 from keytally.functions.tokens import split_tokens, token_count
 from keytally.operators import counting, generate, offsets
+from keytally.operators.running_sum import running_sum
 from keytally.schemas import INPUT_TABLES
 from keytally.sources import recordlog, tables
 
@@ -31,6 +33,8 @@ LOG_BATCH_SIZE = 500
 RESUME_GROUP = "bigdata4"
 UNSAVED_PARTITION = 3  # resume_filter: this partition has no saved position (earliest)
 SEED = seeded.DEFAULT_SEED
+#: Action that an event of each type stands for; other types have none.
+ACTION_OF_EVENT = [("view", "search"), ("click", "click"), ("purchase", "order"), ("signup", "pay")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str, spread: bool = False) -> DataFrame:
@@ -57,15 +61,20 @@ def batched_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recordlog.with_batches(events_log(spark, sf_dir), LOG_BATCH_SIZE)
 
 
+def committed(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``epoch`` and ``n_epochs`` of their partition, once for each group that committed them."""
+    groups = F.array(*[F.struct(F.lit(g).alias("group_id"), F.lit(i + 1).alias("quarters"))
+                       for i, g in enumerate(fv.GROUPS)])
+    return (rows.withColumn("_g", F.explode(groups))
+            .filter(F.lit(len(fv.GROUPS)) * F.col("epoch") < F.col("_g.quarters") * F.col("n_epochs"))
+            .withColumn("group_id", F.col("_g.group_id")))
+
+
 def group_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Progress rows of the four groups (group i committed epochs 0..i)."""
+    """Progress rows of the four groups."""
     ranges = offsets.offset_ranges(batched_log(spark, sf_dir))
-    groups = F.array(*[F.struct(F.lit(g).alias("group_id"), F.lit(i).alias("last_epoch"))
-                       for i, g in enumerate(fv.GROUPS)])
-    return (ranges.withColumn("_g", F.explode(groups))
-            .filter(F.col("epoch") <= F.col("_g.last_epoch"))
-            .select(F.col("_g.group_id").alias("group_id"), "topic", "partition", "from_offset",
-                    "until_offset", "n_records", "epoch"))
+    sized = ranges.withColumn("n_epochs", F.max("epoch").over(Window.partitionBy("topic", "partition")) + F.lit(1))
+    return committed(sized).select("group_id", "topic", "partition", "from_offset", "until_offset", "n_records", "epoch")
 
 
 # --- A: keyed counting ---------------------------------------------------------------------
@@ -98,6 +107,15 @@ def q_accumulate_counts(spark, sf_dir):
     return counting.accumulate_counts(deltas, ("word",))
 
 
+def q_group_totals(spark, sf_dir):
+    """Totals of every consumer group: the words of the batches that the group committed."""
+    deltas = counting.batch_word_counts(batched_log(spark, sf_dir), "epoch", "value", keys=("topic", "partition"))
+    ends = (offsets.offset_ranges(batched_log(spark, sf_dir)).groupBy("topic", "partition")
+            .agg((F.max("epoch") + F.lit(1)).alias("n_epochs")))  # one row per partition
+    sized = deltas.join(offsets.bounded_broadcast(ends), ["topic", "partition"])
+    return counting.accumulate_counts(committed(sized).select("group_id", "word", "cnt"), ("group_id", "word"))
+
+
 # --- B: record logs, offsets, progress -------------------------------------------------------
 
 def q_record_projection(spark, sf_dir):
@@ -147,7 +165,11 @@ def _ad_clicks_of_events(spark, sf_dir):
 
 
 def q_ad_line_encode(spark, sf_dir):
-    return _ad_clicks_of_events(spark, sf_dir).select("event_id", generate.ad_line().alias("line"))
+    """Lines of the events' own columns; ``props`` holds a space, so odd events make corrupt lines."""
+    ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "props")
+    area = F.when(F.col("event_id") % 2 == 1, F.col("props")).otherwise(F.get_json_object("props", "$.k"))
+    return ev.select("event_id", codecs.encode_ad_line(codecs.ntz_to_millis("ts"), area, "event_type", "user_id", "event_id")
+                     .alias("line"))
 
 
 def q_ad_line_decode(spark, sf_dir):
@@ -215,6 +237,14 @@ def q_event_time_walk(spark, sf_dir):
                          codecs.format_date("event_ts").alias("date"))
 
 
+def q_running_total(spark, sf_dir):
+    """Running total of order prices in cents, by date and key."""
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate", "o_totalprice")
+    cents = orders.select("o_orderkey", "o_orderdate", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    return running_sum(cents, "cents", "o_orderdate", "running_cents", tie_cols=("o_orderkey",)) \
+        .select("o_orderkey", codecs.format_date("o_orderdate").alias("date"), "cents", "running_cents")
+
+
 def q_session_expand(spark, sf_dir):
     cust = table(spark, sf_dir, "customer", "c_custkey", spread=True)
     return generate.expand_sessions(cust, "c_custkey", SEED).select("c_custkey", "session_id", "action_index") \
@@ -222,9 +252,13 @@ def q_session_expand(spark, sf_dir):
 
 
 def q_action_dispatch(spark, sf_dir):
-    ev = table(spark, sf_dir, "events", "event_id", spread=True)
-    drawn = ev.withColumn("action", seeded.weighted_choice(generate.non_quit_actions(), SEED, "action", "event_id"))
-    return drawn.select("event_id", "action", *generate.action_columns(F.col("action"), SEED, "event_id"))
+    """Each event's action comes from its type; the action decides which columns are set."""
+    ev = table(spark, sf_dir, "events", "event_id", "event_type", spread=True)
+    action = F.when(F.lit(False), F.lit(""))
+    for event_type, name in ACTION_OF_EVENT:
+        action = action.when(F.col("event_type") == F.lit(event_type), F.lit(name))
+    read = ev.withColumn("action", action)
+    return read.select("event_id", "action", *generate.action_columns(F.col("action"), SEED, "event_id"))
 
 
 def q_gen_user_info(spark, sf_dir):
@@ -236,9 +270,8 @@ def q_gen_product_info(spark, sf_dir):
 
 
 def q_city_dim(spark, sf_dir):
-    cust = table(spark, sf_dir, "customer", "c_custkey")
-    homes = cust.select("c_custkey", seeded.uniform_int(1, len(fv.CITIES), SEED, "home_city", "c_custkey")
-                        .alias("city_id"))
+    cust = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    homes = cust.select("c_custkey", (F.col("c_nationkey").cast("bigint") + F.lit(1)).alias("city_id"))
     return generate.with_city(homes, "city_id")
 
 

@@ -78,14 +78,13 @@ def test_walk_max_step_uses_integer_average():
         generate.walk_max_step(approx_count=10 ** 9)
 
 
-@pytest.mark.parametrize("block_size,max_top_rows", [(4, 1), (4, 2), (3, 3), (2, 1), (1 << 16, 1 << 16)])
-def test_running_sum_matches_brute_force(spark, block_size, max_top_rows):
+@pytest.mark.parametrize("range_rows", [1, 4, 7, 1 << 20])
+def test_running_sum_matches_brute_force(spark, range_rows):
     # negative and positive keys, ties broken by a second column, uneven blocks
     rows = [(k, t, (k * 7 + t * 3) % 11 - 4) for k, t in itertools.product(range(-23, 41, 3), range(3))]
     df = spark.createDataFrame(rows, "k long, t long, v long")
     got = {(r["k"], r["t"]): r["running"] for r in
-           running_sum(df, "v", "k", "running", tie_cols=("t",), block_size=block_size,
-                       max_top_rows=max_top_rows).collect()}
+           running_sum(df, "v", "k", "running", tie_cols=("t",), range_rows=range_rows).collect()}
     acc, want = 0, {}
     for k, t, v in sorted(rows):
         acc += v
@@ -178,13 +177,12 @@ def test_parse_date_is_midnight(spark):
 @settings(max_examples=4, deadline=None)
 @given(st.lists(st.tuples(st.integers(-10 ** 6, 10 ** 6), st.integers(0, 3), st.integers(-50, 50)),
                 min_size=1, max_size=300, unique_by=lambda r: (r[0], r[1])),
-       st.sampled_from([2, 3, 16, 1000]), st.sampled_from([1, 2, 8]))
-def test_running_sum_property(spark, rows, block_size, max_top_rows):
-    """Random sparse keys with ties, any block size and top bound: equals a sequential sum."""
+       st.sampled_from([3, 16, 1000]))
+def test_running_sum_property(spark, rows, range_rows):
+    """Random sparse keys with ties, any range size: equals a sequential sum."""
     df = spark.createDataFrame(rows, "k long, t long, v long")
     got = {(r["k"], r["t"]): r["running"] for r in
-           running_sum(df, "v", "k", "running", tie_cols=("t",), block_size=block_size,
-                       max_top_rows=max_top_rows).collect()}
+           running_sum(df, "v", "k", "running", tie_cols=("t",), range_rows=range_rows).collect()}
     acc, want = 0, {}
     for k, t, v in sorted(rows):
         acc += v
@@ -192,14 +190,12 @@ def test_running_sum_property(spark, rows, block_size, max_top_rows):
     assert got == want
 
 
-@pytest.mark.parametrize("max_top_rows", [1, 1 << 16])
-def test_running_sum_splits_hot_key(spark, max_top_rows):
-    """One order value holds most rows: its block is cut into segments by the tie column."""
+def test_running_sum_spreads_a_hot_key(spark):
+    """One order value holds most rows: they are spread over many ranges."""
     hot = [(7, t, (t * 5) % 9 - 3) for t in range(3000)]
     rest = [(k, t, (k + t) % 7 - 2) for k in range(-40, 60) if k != 7 for t in range(3)]
     df = spark.createDataFrame(hot + rest, "k long, t int, v long")
-    out = running_sum(df, "v", "k", "running", tie_cols=("t",), block_size=16, max_block_rows=200,
-                      max_top_rows=max_top_rows)
+    out = running_sum(df, "v", "k", "running", tie_cols=("t",), range_rows=200)
     got = {(r["k"], r["t"]): r["running"] for r in out.collect()}
     acc, want = 0, {}
     for k, t, v in sorted(hot + rest):
@@ -208,16 +204,33 @@ def test_running_sum_splits_hot_key(spark, max_top_rows):
     assert got == want
 
 
-def test_running_sum_refuses_unsplittable_hot_key(spark):
-    from keytally.operators.running_sum import HotBlockError
-    dup = spark.range(5000).select(F.lit(7).cast("long").alias("k"), F.lit(1).cast("long").alias("v"))
-    with pytest.raises(HotBlockError):  # no tie column: the order is not total
-        running_sum(dup, "v", "k", max_block_rows=1000)
-    same_tie = dup.withColumn("t", F.lit(0))
-    with pytest.raises(HotBlockError):  # one (key, tie) pair holds every row
-        running_sum(same_tie, "v", "k", tie_cols=("t",), max_block_rows=1000)
+def test_running_sum_with_ties_in_all_order_columns(spark):
+    """No tie column: the tied rows get the sums of some order of them, each once."""
+    dup = spark.range(5000).select(F.lit(7).cast("long").alias("k"), (F.col("id") % 3).alias("v"), "id")
+    got = sorted(r["running"] for r in running_sum(dup, "v", "k", range_rows=500).collect())
+    values = [i % 3 for i in range(5000)]
+    assert got[-1] == sum(values) and len(got) == 5000 and all(0 <= b - a <= 2 for a, b in zip(got, got[1:]))
 
 
+@pytest.mark.parametrize("kind,keys", [("double", [2.5, -1.0, None, 0.25, 1e300, None]), ("string", ["b", None, "", "a", "ab", "é"]),
+                                       ("date", [None, "2024-01-02", "1999-12-31", "2024-01-01"]),
+                                       ("long", [2 ** 62, -(2 ** 62), None, 0, 7])])
+@pytest.mark.parametrize("range_rows", [2, 1000])
+def test_running_sum_of_any_orderable_key_keeps_nulls(spark, kind, keys, range_rows):
+    rows = [(i, None if k is None else str(k), (i * 7) % 5) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "i long, k string, v long").withColumn("k", F.col("k").cast(kind))
+    got = running_sum(df, "v", "k", tie_cols=("i",), range_rows=range_rows).collect()
+    order = sorted(got, key=lambda r: (r["k"] is not None, r["k"] if r["k"] is not None else 0, r["i"]))
+    assert len(got) == len(keys)
+    assert [r["running"] for r in order] == list(itertools.accumulate(r["v"] for r in order))
+
+
+def test_running_sum_of_null_values_and_no_rows(spark):
+    df = spark.createDataFrame([(1, None), (2, 3), (3, None), (4, 4)], "k long, v long")
+    got = [r["running"] for r in running_sum(df, "v", "k", range_rows=1).orderBy("k").collect()]
+    assert got == [None, 3, 3, 7]
+    assert running_sum(df.limit(0), "v", "k").collect() == []
+
 
 def test_write_ecommerce_tables(spark, capsys):
     sessions = spark.range(200).withColumnRenamed("id", "s")
@@ -230,8 +243,8 @@ def test_write_ecommerce_tables(spark, capsys):
     assert "city_name" in capsys.readouterr().out
 
 
-def test_generation_is_independent_of_partitioning_and_block_size(spark):
-    """Same keys, different partitioning and walk block sizes: identical rows. A lost
+def test_generation_is_independent_of_partitioning(spark):
+    """Same keys, different partitioning: identical rows. A lost
     partition recomputed anywhere yields what it held before."""
     keys = spark.range(400).withColumnRenamed("id", "s")
     one = keys.coalesce(1)
@@ -241,8 +254,8 @@ def test_generation_is_independent_of_partitioning_and_block_size(spark):
     a = rows(generate.user_visit_actions(one, "s"))
     b = rows(generate.user_visit_actions(many, "s"))
     assert a == b and len(a) > 0
-    walk_small = generate.event_time_walk(many, "s", block_size=3).select("s", "event_ts").collect()
-    walk_large = generate.event_time_walk(one, "s", block_size=1 << 20).select("s", "event_ts").collect()
+    walk_small = generate.event_time_walk(many, "s").select("s", "event_ts").collect()
+    walk_large = generate.event_time_walk(one, "s").select("s", "event_ts").collect()
     assert sorted(walk_small) == sorted(walk_large)
 
 

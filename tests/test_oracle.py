@@ -6,12 +6,13 @@ from tests.conftest import SF_SMALL
 from tests.oracle_harness import compare, duckdb_con
 
 from __spark_entry__ import oracle_sql, queries
+from keytally.plans.queries import QUERIES
 
-NAMES = sorted(queries())
+NAMES = sorted(QUERIES)
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) <= set(oracle_sql()) and set(QUERIES) <= set(queries())
 
 
 @pytest.fixture(scope="module")
@@ -40,10 +41,19 @@ def con_oracle_scale():
     return duckdb_con(SF_ORACLE)
 
 
-@pytest.mark.parametrize("name", ["word_count", "accumulate_counts", "resume_filter", "event_time_walk",
+@pytest.mark.parametrize("name", ["word_count", "accumulate_counts", "resume_filter", "event_time_walk", "group_totals",
+                                  "latest_offsets", "running_total",
                                   "gen_user_visit_action", "starting_offsets"])
 def test_key_queries_match_oracle_at_driver_scale(spark, con_oracle_scale, name):
     """The driver's correctness gate runs at sf0.01: check the headline queries there too."""
     from tests.conftest import SF_ORACLE
     result = compare(spark, name, SF_ORACLE, con_oracle_scale)
     assert result["match"], result
+
+
+@pytest.mark.parametrize("name", ["latest_offsets", "progress_lookup", "starting_offsets", "group_totals"])
+def test_progress_follows_the_whole_log(spark, name):
+    """Positions depend on all epochs: they differ between table sizes."""
+    from tests.conftest import SF_ORACLE
+    rows = [sorted(map(str, QUERIES[name](spark, sf).collect())) for sf in (SF_SMALL, SF_ORACLE)]
+    assert rows[0] != rows[1]

