@@ -6,26 +6,25 @@ gap)``. A round
 
 1. range-sorts items and gaps together by size, items before gaps of the same size, ties in
    hash order, so that a size that a third of all items have is spread over many tasks;
-2. sweeps each range: every gap takes the largest waiting item that fits, its predecessor, so
+2. sweeps each range: every gap takes the largest waiting items that fit, its predecessors, so
    each item goes to its successor among the gaps; what a range cannot match is numbered;
 3. matches the rest across ranges by rank: the driver sees two counts per range and pairs runs
    of numbers, and a join on the pair's number does the rest;
 4. updates the gaps. No item fits any more: the largest items open new sequences, as many as
    the waiting tokens need at least.
-
-Pieces below ``capacity / 32`` are first bundled, neighbours in size order, up to that size, so
-that the number of rounds does not grow with the number of tiny documents in a sequence.
 """
 
 from __future__ import annotations
 
 import math
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from keytally.llm.common import parts_for, shared_table, tokenizer_from, tokenizer_json
@@ -35,38 +34,131 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 #: Items and gaps in one range of the sweep.
 RANGE_ROWS = 200_000
-#: Words whose ids a task remembers.
-CACHE_WORDS = 300_000
+#: Words of a generation; a Python worker remembers two generations, about 200 bytes a word.
+CACHE_WORDS = 250_000
 LONGEST_CACHED = 48
 
 
 class WordIds:
     """Token ids of texts, word by word: no token of this vocabulary spans white space.
 
-    Texts with special strings go to the tokenizer whole.
+    Texts are split, in ASCII lower case (which the vocabulary has anyway), into codes of their
+    distinct words by Arrow; only distinct words are looked up, and numpy lays out their ids. The
+    Python worker remembers words in two generations, so that those in use stay. A word of
+    letters with punctuation behind it has the ids of both; unknown words of letters go to the
+    tokenizer together, with a mark between them that is a token of its own. Texts with special
+    strings go to the tokenizer whole.
     """
 
+    TAIL = b".,;:!?$%&*#|"
+    MARK = "|"
+
     def __init__(self, spec: str):
-        self.tokenizer, self.cache = tokenizer_from(spec), {}
-
-    def ids(self, text: str) -> bytes:
-        """The ids as little-endian 32-bit numbers."""
-        if "<|" in text:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words, cache = text.encode("utf-8", "surrogatepass").split(), self.cache  # splits at ASCII white space
-        new = [w for w in set(words) if w not in cache]
-        if new:
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
-                new = list(set(words))
-            encoded = self.tokenizer.encode_batch([w.decode("utf-8", "surrogatepass") for w in new], add_special_tokens=False)
-            cache.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in encoded)))
-        out = b"".join(map(cache.__getitem__, words))
-        for w in new:
-            if len(w) > LONGEST_CACHED:
-                del cache[w]
+        import tokenizers
+
+        self.tokenizer = tokenizer_from(spec)
+        # [words in use, words of the generation before]
+        self.known: list[dict[bytes, bytes]] = vars(tokenizers).setdefault("_keytally_word_ids", {}).setdefault(hash(spec), [{}, {}])
+        (self.mark,) = self._encode([self.MARK])[0]
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def ids(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text as little-endian 32-bit numbers."""
+        texts = pc.fill_null(texts, "")
+        special = pc.match_substring(texts, "<|")
+        words = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(special, "", texts)))
+        coded = words.flatten().dictionary_encode()
+        distinct = self._of(coded.dictionary.cast(pa.binary()).to_pylist())
+        raw = np.frombuffer(b"".join(distinct), "<u4")
+        size = np.fromiter(map(len, distinct), np.int32, len(distinct)) // 4
+        code = coded.indices.to_numpy()
+        each = size[code]
+        ends = np.concatenate([[0], np.cumsum(each)])  # after each word
+        start = ((np.cumsum(size) - size)[code] - ends[:-1]).astype(np.int32)  # from a place in the output to one in raw
+        out = raw[np.repeat(start, each) + np.arange(ends[-1], dtype=np.int32)]
+        at = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy())])]
+        for k, whole in enumerate(special.to_pylist()):
+            if whole:
+                yield np.array(self.tokenizer.encode(texts[k].as_py(), add_special_tokens=False).ids, "<u4").tobytes()
+            else:
+                yield out[at[k]:at[k + 1]].tobytes()
+
+    def _of(self, words: list[bytes]) -> list[bytes]:
+        if len(self.known[0]) > CACHE_WORDS:
+            self.known[:] = {}, self.known[0]
+        used, before = self.known
+        out = list(map(used.get, words))
+        unknown = [k for k, ids in enumerate(out) if ids is None]
+        new = []
+        for k in unknown:
+            w = words[k]
+            if w in before:
+                used[w] = before[w]
+            else:
+                new.append(w)
+        long = self.learn(new)
+        for k in unknown:
+            out[k] = used[words[k]]
+        for w in long:
+            used.pop(w, None)
         return out
 
+    def learn(self, new: list[bytes]) -> list[bytes]:
+        """Remember the ids of words; gives those too long to be kept."""
+        cache, split, plain, other = self.known[0], [], set(), set()
+        for w in new:
+            if w.isalpha():  # ASCII letters
+                plain.add(w)
+                continue
+            stem = w.rstrip(self.TAIL)
+            if not self._letters(stem):
+                other.add(w)
+                continue
+            if stem not in cache:
+                plain.add(stem)
+            if len(stem) < len(w):
+                tail = w[len(stem):]
+                split.append((w, stem, tail))
+                if tail not in cache:
+                    other.add(tail)
+        if plain:
+            names = list(plain)
+            stream = np.array(self._encode([f" {self.MARK} ".join(w.decode("utf-8") for w in names)])[0], "<u4")
+            ends = np.append(np.flatnonzero(stream == self.mark), len(stream)).tolist()
+            raw, at = stream.tobytes(), 0
+            for w, end in zip(names, ends):
+                cache[w], at = raw[4 * at:4 * end], end + 1
+        if other:
+            names = list(other)
+            cache.update(zip(names, (np.array(ids, "<u4").tobytes() for ids in self._encode([w.decode("utf-8", "surrogatepass") for w in names]))))
+        for w, stem, tail in split:
+            cache[w] = cache[stem] + cache[tail]
+        return [w for w in (*new, *plain) if len(w) > LONGEST_CACHED]
+
+    @staticmethod
+    def _letters(stem: bytes) -> bool:
+        """Whether the tokenizer sees letters only, normalised and in lower case."""
+        if stem.isalpha():  # ASCII
+            return True
+        try:
+            text = stem.decode("utf-8")
+        except UnicodeDecodeError:
+            return False
+        return text.isalpha() and unicodedata.normalize("NFC", text).lower().isalpha()
+
+
+def grouped(texts: pa.Array, size: int = 1 << 23) -> Iterator[pa.Array]:
+    """Neighbouring texts together, about ``size`` bytes at a time."""
+    lengths = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        held = lengths[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(lengths, held + size)))
+        yield texts.slice(start, end - start)
+        start = end
+
 
 def token_pieces(df: DataFrame, id_col: str, text_col: str, capacity: int, tokenizer: str, keep_ids: bool = False) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` (and ``ids``): a row per piece, in parallel over the texts."""
@@ -77,8 +169,9 @@ def token_pieces(df: DataFrame, id_col: str, text_col: str, capacity: int, token
         words = WordIds(spec)
         for b in batches:
             rows: list[tuple] = []
-            for i, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                ids = words.ids(text or "") + end
+            ids_of = (x for group in grouped(b.column("text")) for x in words.ids(group))
+            for i, ids in zip(b.column("doc_id").to_pylist(), ids_of):
+                ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     rows.append((i, piece, at // 4, len(part) // 4, zlib.crc32(part), part if keep_ids else None))
@@ -92,53 +185,60 @@ def token_pieces(df: DataFrame, id_col: str, text_col: str, capacity: int, token
     return pieces if keep_ids else pieces.drop("ids")
 
 
-def bundle(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Neighbours in size order together, up to ``most`` tokens: ``uid, item, inside, length``."""
-    item, filled = -1, most + 1
-    for b in batches:
-        items, inside = [], []
-        uids, lengths = b.column("uid").to_pylist(), b.column("length").to_pylist()
-        for uid, n in zip(uids, lengths):
-            if filled + n > most:
-                item, filled = uid, 0
-            items.append(item)
-            inside.append(filled)
-            filled += n
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (uids, items, inside, lengths)],
-                                         ["uid", "item", "inside", "length"])
-
-
-MATCHED, FREE_GAP, WAITING = 0, 1, 2
+MATCHED, FREE_GAP, WAITING, USED_GAP, PAIRED = range(5)
 SWEPT = "part int, what int, idx long, id long, size long, bin long, gap long"
 
 
+def _rows(found: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*found)) or [()] * 7
+    types = (pa.int32(), pa.int32(), *[pa.int64()] * 5)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], [x.split()[0] for x in SWEPT.split(", ")])
+
+
 def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Match one range, sorted by size: each gap takes the largest item before it that is left."""
+    """Match one range, sorted by size: each gap takes the largest items before it that are left, while they fit.
+
+    Rows are ``(part, what, idx, id, size, bin, gap)``: a match with the gap before it, a gap that
+    found no item (numbered by ``idx``), an item that no gap took (numbered), what is left of a gap.
+    """
     from pyspark import TaskContext
 
     part = TaskContext.get().partitionId()
     waiting: list[tuple[int, int]] = []
     free = 0
-
-    def rows(found: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*found)) or [()] * 7
-        types = (pa.int32(), pa.int32(), *[pa.int64()] * 5)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], [x.split()[0] for x in SWEPT.split(", ")])
-
     for b in batches:
         found: list[tuple] = []
         for size, kind, ident in zip(b.column("size").to_pylist(), b.column("kind").to_pylist(), b.column("id").to_pylist()):
             if kind == 0:
-                waiting.append((ident, size))
+                waiting.append((size, ident))
             elif waiting:
-                item, fits = waiting.pop()
-                found.append((part, MATCHED, 0, item, fits, ident, size))
+                while waiting and waiting[-1][0] <= size:
+                    fits, item = waiting.pop()
+                    found.append((part, MATCHED, 0, item, fits, ident, size))
+                    size -= fits
+                if size:
+                    found.append((part, USED_GAP, 0, None, None, ident, size))
             else:
                 found.append((part, FREE_GAP, free, None, None, ident, size))
                 free += 1
-        yield rows(found)
+        yield _rows(found)
     for at in range(0, len(waiting), 10_000):
-        yield rows([(part, WAITING, at + k, item, size, None, None) for k, (item, size) in enumerate(waiting[at:at + 10_000])])
+        yield _rows([(part, WAITING, at + k, item, size, None, None) for k, (size, item) in enumerate(waiting[at:at + 10_000])])
+
+
+def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number of rows of each kind and range that a task reads, and the smallest item: a few rows a task."""
+    seen: dict[tuple[int, int], list[int]] = {}
+    for b in batches:
+        parts, what = b.column("part").to_numpy(), b.column("what").to_numpy()
+        sizes = b.column("size").fill_null(0).to_numpy()
+        for p, w in np.unique(np.stack([parts, what]), axis=1).T.tolist():
+            at = (parts == p) & (what == w)
+            n, least = seen.get((p, w), (0, 1 << 62))
+            seen[p, w] = [n + int(at.sum()), min(least, int(sizes[at].min()))]
+    if seen:
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*((p, w, n, least) for (p, w), (n, least) in seen.items()))],
+                                         ["part", "what", "n", "least"])
 
 
 def runs_across(free: dict[int, int], waiting: dict[int, int]) -> list[tuple[int, int, int, int, int, int]]:
@@ -204,16 +304,14 @@ def opening(sizes: dict[int, int], least: int) -> tuple[int, int]:
 def pack(items: DataFrame, capacity: int = CAPACITY, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Best-fit of items ``(id, size)``, sizes 1 .. capacity, ids unique: ``id, bin, at``."""
     spark = items.sparkSession
-    waiting, gaps, placed = items.select("id", "size"), None, []
-    hashed = F.xxhash64("id", F.lit(7))
-    first = True
-    while True:
-        sizes = {r["size"]: r["n"] for r in waiting.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
-        if not sizes:
-            break
-        if gaps is None:  # open sequences: as many as the tokens need, at first also all that cannot share one
+    waiting, gaps, placed, left = items.select("id", "size"), None, [], -1
+    while left:
+        if gaps is None:  # open sequences: as many as the tokens need, at first also for all that cannot share one
+            sizes = {r["size"]: r["n"] for r in waiting.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
+            if not sizes:
+                break
             least = math.ceil(sum(s * n for s, n in sizes.items()) / capacity)
-            if first:
+            if not placed:
                 least = max(least, sum(n for s, n in sizes.items() if 2 * s > capacity))
             size, n = opening(sizes, least)
             # Which items of that one size: the hash classes that hold n of them at most, or one class.
@@ -226,32 +324,38 @@ def pack(items: DataFrame, capacity: int = CAPACITY, range_rows: int = RANGE_ROW
                 last = r["c"]
             opens = (F.col("size") > size) | ((F.col("size") == size) & (of_class <= F.lit(last)))
             state = shared_table(waiting.withColumn("opens", opens), "opened")
-            seeds = state.filter("opens")
-            placed.append(seeds.select("id", F.col("id").alias("bin"), F.lit(0).cast("long").alias("at")))
-            gaps = seeds.select(F.col("id").alias("bin"), (F.lit(capacity) - F.col("size")).alias("gap"))
+            placed.append(state.filter("opens").select("id", F.col("id").alias("bin"), F.lit(0).cast("long").alias("at")))
+            gaps = state.filter("opens").select(F.col("id").alias("bin"), (F.lit(capacity) - F.col("size")).alias("gap"))
             waiting = state.filter(~F.col("opens")).select("id", "size")
-            first = False
-            smallest = min(sizes)
+            left, smallest = sum(sizes.values()), min(sizes)
         events = (waiting.select("size", F.lit(0).alias("kind"), "id")
                   .unionByName(gaps.filter(F.col("gap") >= smallest).select(F.col("gap").alias("size"), F.lit(1).alias("kind"), F.col("bin").alias("id"))))
-        rows = sum(sizes.values())
-        ranged = events.withColumn("h", hashed).repartitionByRange(parts_for(2 * rows, range_rows), "size", "kind", "h") \
+        ranged = events.withColumn("h", F.xxhash64("id", F.lit(7))).repartitionByRange(parts_for(2 * left, range_rows), "size", "kind", "h") \
             .sortWithinPartitions("size", "kind", "h", "id")
         swept = shared_table(ranged.drop("h").mapInArrow(sweep, SWEPT), "swept")
-        seen = swept.groupBy("part", "what").agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("least")).collect()
-        counts = [{r["part"]: r["n"] for r in seen if r["what"] == w} for w in (MATCHED, FREE_GAP, WAITING)]
+        seen = swept.select("part", "what", "size").mapInArrow(summary, "part long, what long, n long, least long").collect()
+        counts: list[dict[int, int]] = [{}, {}, {}, {}]
+        for r in seen:
+            counts[r["what"]][r["part"]] = counts[r["what"]].get(r["part"], 0) + r["n"]
         runs = runs_across(counts[FREE_GAP], counts[WAITING])
-        if runs:
-            free = numbered(swept.filter(F.col("what") == FREE_GAP), runs, True).select("pair", "bin", "gap")
-            left = numbered(swept.filter(F.col("what") == WAITING), runs, False).select("pair", "id", "size")
-            paired = free.join(left, "pair", "full_outer").select("id", "size", "bin", "gap")
-            swept = shared_table(swept.filter(F.col("what") == MATCHED).select("id", "size", "bin", "gap").unionByName(paired), "matched")
-        matched = swept.filter(F.col("id").isNotNull() & F.col("bin").isNotNull())
-        n_matched = sum(counts[MATCHED].values()) + sum(r[4] for r in runs)
+        if runs:  # both sides of a pair have its number, rows without a pair have none and stay where they are
+            marked = numbered(swept.filter(F.col("what") == FREE_GAP), runs, True) \
+                .unionByName(numbered(swept.filter(F.col("what") == WAITING), runs, False))
+            paired = (marked.filter(F.col("pair").isNotNull()).groupBy("pair")
+                      .agg(*[F.max(c).alias(c) for c in ("id", "size", "bin", "gap")]).drop("pair"))
+            alone = marked.filter(F.col("pair").isNull()).unionByName(
+                swept.filter(F.col("what").isin(MATCHED, USED_GAP)).withColumn("pair", F.lit(None).cast("long")))
+            swept = shared_table(
+                alone.select("what", "id", "size", "bin", "gap").unionByName(paired.withColumn("what", F.lit(PAIRED))), "matched")
+        both = swept.filter(F.col("id").isNotNull() & F.col("bin").isNotNull())
+        crossed = sum(r[4] for r in runs)
+        left = sum(counts[WAITING].values()) - crossed
         waiting = swept.filter(F.col("bin").isNull()).select("id", "size")
-        if n_matched:
-            placed.append(matched.select("id", "bin", (F.lit(capacity) - F.col("gap")).alias("at")))
-            gaps = swept.filter(F.col("bin").isNotNull()).select("bin", (F.col("gap") - F.coalesce("size", F.lit(0))).alias("gap"))
+        if sum(counts[MATCHED].values()) + crossed:
+            placed.append(both.select("id", "bin", (F.lit(capacity) - F.col("gap")).alias("at")))
+            # A gap goes on as it is, as what its matches left of it, or less the item of its pair.
+            gaps = swept.filter(F.col("bin").isNotNull() & (F.col("what") != MATCHED)) \
+                .select("bin", (F.col("gap") - F.coalesce("size", F.lit(0))).alias("gap"))
             smallest = min([r["least"] for r in seen if r["what"] == WAITING], default=1)
         else:
             gaps = None
@@ -275,19 +379,8 @@ def best_fit_packing(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to pieces with a unique ``uid`` and a ``length``."""
-    tiny = max(1, capacity // 32)
-    counts = pieces.agg(F.count_if(F.col("length") <= tiny).alias("tiny")).first()["tiny"]
-    bundled = shared_table(
-        pieces.filter(F.col("length") <= tiny).select("uid", "length").withColumn("h", F.xxhash64("uid"))
-        .repartitionByRange(parts_for(counts, RANGE_ROWS), "length", "h").sortWithinPartitions("length", "h").drop("h")
-        .mapInArrow(lambda it: bundle(it, tiny), "uid long, item long, inside long, length long"), "bundles")
-    items = (bundled.groupBy("item").agg(F.sum("length").alias("size")).withColumnRenamed("item", "id")
-             .unionByName(pieces.filter((F.col("length") > tiny) & (F.col("length") < capacity))
-                          .select(F.col("uid").alias("id"), F.col("length").alias("size"))))
-    placed = pack(shared_table(items, "items"), capacity)
-    members = bundled.select("uid", "item", "inside")
-    whole = pieces.filter(F.col("length") > tiny).select("uid", F.col("uid").alias("item"), F.lit(0).cast("long").alias("inside"))
-    located = (members.unionByName(whole).join(placed.withColumnRenamed("id", "item"), "item", "left")
-               .select("uid", F.coalesce("bin", "item").alias("sequence_id"), (F.coalesce("at", F.lit(0)) + F.col("inside")).alias("offset")))
-    return pieces.join(located, "uid")
+    """Add ``sequence_id`` and ``offset`` to pieces with a unique ``uid`` and a ``length``; full pieces stand alone."""
+    items = pieces.filter(F.col("length") < capacity).select(F.col("uid").alias("id"), F.col("length").alias("size"))
+    placed = pack(items, capacity).toDF("uid", "bin", "at")
+    return (pieces.join(placed, "uid", "left")
+            .withColumns({"sequence_id": F.coalesce("bin", "uid"), "offset": F.coalesce("at", F.lit(0).cast("long"))}).drop("bin", "at"))
