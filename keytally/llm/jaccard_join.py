@@ -9,12 +9,14 @@ differ, which gives the prefix of a class.
   follows it in its set, and the prefix is extended: of a set that lacks ``e`` tokens of the other
   and meets ``f`` new ones, at most ``e + min(frequent, e + f)`` keys differ, so a prefix with one
   key more shares a key with every set it links to.
+  Which tokens are frequent is counted over first prefixes, and again over the extended ones.
 * Keys shuffle once and are read in sorted runs. A run of few classes gives its pairs, those that
   the length filter leaves. A longer run (classes alike in nearly everything) gives a star, by
   which its classes are gathered into dense groups.
-* Pairs pass a filter on 32 token counts per class, which bounds the distance from below, and are
-  verified on whole sets. Dense groups are verified block against block, each block of bounded
-  size, and give a spanning forest of their links instead of all links.
+* Pairs pass a filter on 128 token counts per class, which bounds the distance from below, and are
+  verified on whole sets. Dense groups are cut into bands of set sizes, of which only neighbours
+  can link, and bands into blocks of bounded size; block against block is verified, and gives a
+  spanning forest of its links instead of all links.
 * Links make components. Nothing is capped: every link lies in a pair or in a dense group.
 """
 
@@ -30,15 +32,20 @@ from pyspark.sql import DataFrame, functions as F
 
 from keytally.llm.common import parts_for, shared_table, shuffle_partitions
 from keytally.llm.components import connected_components
+from keytally.operators.offsets import bounded_broadcast
 
 #: A token is frequent in more than so many prefixes; for very large corpora in more than
-#: postings / 2**20, so that the broadcast set of frequent tokens has at most 2**20 members.
+#: postings / 2**20, so that each count adds at most 2**20 tokens (4 bytes each) to the broadcast set.
 FREQUENT, MOST_FREQUENT = 64, 1 << 20
+#: Counts of frequent tokens; the first is over the prefixes without extension.
+COUNTS = 2
 #: Classes of a run up to which its pairs are listed.
 RUN = 64
 #: Classes of a block in a dense group, and tokens handled at once there.
 BLOCK, VOCABULARY = 512, 8192
-BUCKETS = 32
+BUCKETS = 128
+#: Most document keys that are broadcast to fetch texts (about 40 bytes each).
+MOST_BROADCAST = 1 << 20
 
 
 class Rule:
@@ -112,7 +119,7 @@ def classes(df: DataFrame, id_col: str, text_col: str, rule: Rule, row_col: str
                 if n and s not in met and rule.lacks(n) + rule.adds(n) > 0:
                     met.add(s)
                     prefix.append(t[:rule.longest(n)].view(np.int64))
-                    counts.append(np.minimum(np.bincount(t >> np.uint64(59), minlength=BUCKETS), 255).astype(np.uint8).tobytes())
+                    counts.append(np.minimum(np.bincount(t >> np.uint64(57), minlength=BUCKETS), 255).astype(np.uint8).tobytes())
                 else:
                     prefix.append(None)
                     counts.append(None)
@@ -127,16 +134,23 @@ def classes(df: DataFrame, id_col: str, text_col: str, rule: Rule, row_col: str
         describe, "doc_id long, row_id long, text_hash long, sid long, n long, prefix array<long>, counts binary"), "classes")
 
 
-def keys_of(prefix: np.ndarray, n: int, frequent: np.ndarray, rule: Rule) -> np.ndarray:
-    """Keys of one class: rare tokens, and frequent ones combined with the next, as far as needed."""
+def upper_half(tokens: np.ndarray) -> np.ndarray:
+    """What tokens are counted by: half of the hash, which any two documents see alike."""
+    return (tokens >> np.uint64(32)).astype(np.uint32)
+
+
+def keys_of(prefix: np.ndarray, n: int, frequent: np.ndarray, rule: Rule, rare_only: bool = False) -> np.ndarray:
+    """Keys of one class: rare tokens, and (unless ``rare_only``) frequent ones combined with the next, as far as needed."""
     tokens = prefix.view(np.uint64)
     lacks, adds = rule.lacks(n), rule.adds(n)
     if not len(frequent):
         return tokens[:lacks + 1]
-    at = np.searchsorted(frequent, tokens)
-    hot = frequent[np.minimum(at, len(frequent) - 1)] == tokens
+    upper = upper_half(tokens)
+    hot = frequent[np.minimum(np.searchsorted(frequent, upper), len(frequent) - 1)] == upper
     enough = np.arange(1, len(tokens) + 1) >= lacks + np.minimum(np.cumsum(hot), lacks + adds) + 1
     length = int(np.argmax(enough)) + 1 if enough.any() else len(tokens)
+    if rare_only:
+        return tokens[:length][~hot[:length]]
     following = np.append(tokens[1:], np.uint64(0))[:length]
     tokens, hot = tokens[:length], hot[:length]
     with np.errstate(over="ignore"):
@@ -260,26 +274,36 @@ def links(df: DataFrame, described: DataFrame, id_col: str, text_col: str, rule:
     spark = df.sparkSession
     heads = described.filter(F.col("prefix").isNotNull())
     lacks = F.col("n") - F.ceil(F.col("n") * rule.num / F.lit(rule.den))
-    base = heads.select(F.explode(F.slice("prefix", F.lit(1), (lacks + 1).cast("int"))).alias("token"))
-    frequent = np.zeros(0, np.uint64)
+
+    def keys(frequent, rare_only: bool):
+        """A function that gives the keys of classes, with the set of frequent tokens broadcast."""
+        shipped = spark.sparkContext.broadcast(frequent)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                prefixes = b.column("prefix")
+                found = [keys_of(prefixes[i].values.to_numpy(), n, shipped.value, rule, rare_only) for i, n in enumerate(b.column("n").to_pylist())]
+                lengths = np.array([len(x) for x in found], int)
+                flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
+                if rare_only:
+                    yield pa.RecordBatch.from_arrays([pa.array(upper_half(flat).view(np.int32))], ["key"])
+                    continue
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(flat.view(np.int64)), pa.array(np.repeat(b.column("n").to_numpy(), lengths)), pa.array(np.repeat(b.column("sid").to_numpy(), lengths))],
+                    ["key", "n", "sid"])
+
+        return run
+
+    frequent = np.zeros(0, np.uint32)
     if rule.combine:
         postings = heads.agg(F.sum(lacks + 1).alias("n")).first()["n"] or 0
         above = max(FREQUENT, math.ceil(postings / MOST_FREQUENT))
-        hot = base.groupBy("token").count().filter(F.col("count") > above).select("token").toArrow().column("token").to_numpy()
-        frequent = np.sort(hot.astype(np.int64).view(np.uint64))
-    shipped = spark.sparkContext.broadcast(frequent)
-
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            prefixes = b.column("prefix")
-            found = [keys_of(prefixes[i].values.to_numpy(), n, shipped.value, rule) for i, n in enumerate(b.column("n").to_pylist())]
-            lengths = np.array([len(x) for x in found], int)
-            flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(flat), pa.array(np.repeat(b.column("n").to_numpy(), lengths)), pa.array(np.repeat(b.column("sid").to_numpy(), lengths))],
-                ["key", "n", "sid"])
+        for _ in range(COUNTS):
+            tokens = heads.select("sid", "n", "prefix").mapInArrow(keys(frequent, True), "key int")
+            hot = tokens.groupBy("key").count().filter(F.col("count") > above).select("key").toArrow().column("key").to_numpy()
+            frequent = np.union1d(frequent, hot.astype(np.int32).view(np.uint32))
 
-    posted = heads.select("sid", "n", "prefix").mapInArrow(keys, "key long, n long, sid long")
+    posted = heads.select("sid", "n", "prefix").mapInArrow(keys(frequent, False), "key long, n long, sid long")
     runs = posted.repartition(shuffle_partitions(spark), "key").sortWithinPartitions("key", "n", "sid")
     found = shared_table(runs.mapInArrow(lambda it: read_runs(it, rule, RUN), "a long, b long, dense boolean"), "runs")
 
@@ -303,7 +327,8 @@ def links(df: DataFrame, described: DataFrame, id_col: str, text_col: str, rule:
     some = (described.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.min(F.struct("text_hash", "doc_id")).alias("d"))
             .select(F.col("d.text_hash").alias("h"), F.col("d.doc_id").alias("i")))
     texts = df.select(F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(id_col).cast("long").alias("doc_id"))
-    texts = texts.join(some.distinct(), (F.col("text_hash") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("i"))).select("text")
+    few = bounded_broadcast(some.distinct(), MOST_BROADCAST)  # counted first; beyond the bound the texts shuffle
+    texts = texts.join(few, (F.col("text_hash") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("i"))).select("text")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -325,16 +350,22 @@ def links(df: DataFrame, described: DataFrame, id_col: str, text_col: str, rule:
     verified = (pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
                 .select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"))
 
-    blocks = dense.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    units = (dense.join(blocks, "component").withColumn("own", own)
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-             .select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.col("node").alias("sid"), "own")
-             .join(sets, "sid"))
+    # Sizes of linked sets differ by a factor of den / num at most, so by one band.
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(max(1e-6, math.log(rule.den / rule.num) * (1 + 1e-9))))
+    banded = dense.join(summary.select(F.col("sid").alias("node"), "n"), "node").select("component", F.col("node").alias("sid"), band.alias("band"))
+    blocks = banded.groupBy("component", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    own = banded.join(blocks, ["component", "band"]).select(
+        "component", "sid", F.struct("band", F.pmod(F.xxhash64("sid"), F.col("blocks")).alias("block")).alias("own"),
+        F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
+    units = (own.join(blocks, ["component", "band"])
+             .withColumn("other", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
+                                                        lambda k: F.struct(F.col("band"), k.alias("block")))))
+             .select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "sid",
+                     (F.col("own") <= F.col("other")).alias("first")).join(sets, "sid"))
 
     def solve(unit: pa.Table) -> pa.Table:
-        sids, of = unit.column("sid").to_numpy(), unit.column("own").to_numpy()
-        alone = unit.column("i")[0] != unit.column("j")[0] and of.min() == of.max()  # the other block is empty
+        sids, of = unit.column("sid").to_numpy(), unit.column("first").to_numpy().astype(int)
+        alone = unit.column("i")[0].as_py() != unit.column("j")[0].as_py() and of.min() == of.max()  # the other block is empty
         rows = [] if alone else block_links([np.frombuffer(x, np.uint64) for x in unit.column("tokens").to_pylist()], of, rule)
         a, b = (np.array([r[k] for r in rows], int) for k in (0, 1))
         return pa.table([pa.array(sids[a], pa.int64()), pa.array(sids[b], pa.int64())], names=["a", "b"])
