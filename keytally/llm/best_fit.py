@@ -34,8 +34,9 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 #: Items and gaps in one range of the sweep.
 RANGE_ROWS = 200_000
-#: Words of a generation; a Python worker remembers two generations, about 200 bytes a word.
-CACHE_WORDS = 250_000
+#: Words of a generation, beside those of one group of texts; a Python worker remembers two
+#: generations while it tokenises and one afterwards, at about 200 bytes a word.
+CACHE_WORDS = 100_000
 LONGEST_CACHED = 48
 
 
@@ -85,6 +86,10 @@ class WordIds:
             else:
                 yield out[at[k]:at[k + 1]].tobytes()
 
+    def rest(self) -> None:
+        """Keep less while the worker does other things."""
+        self.known[1] = {}
+
     def _of(self, words: list[bytes]) -> list[bytes]:
         if len(self.known[0]) > CACHE_WORDS:
             self.known[:] = {}, self.known[0]
@@ -149,7 +154,7 @@ class WordIds:
         return text.isalpha() and unicodedata.normalize("NFC", text).lower().isalpha()
 
 
-def grouped(texts: pa.Array, size: int = 1 << 23) -> Iterator[pa.Array]:
+def grouped(texts: pa.Array, size: int = 1 << 22) -> Iterator[pa.Array]:
     """Neighbouring texts together, about ``size`` bytes at a time."""
     lengths = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
     start = 0
@@ -177,6 +182,7 @@ def token_pieces(df: DataFrame, id_col: str, text_col: str, capacity: int, token
                     rows.append((i, piece, at // 4, len(part) // 4, zlib.crc32(part), part if keep_ids else None))
             columns = list(zip(*rows)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+        words.rest()
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
