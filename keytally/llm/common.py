@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -15,20 +17,43 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_table(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+_TEMPORARY: list[list[str]] = []
+
+
+def shared_table(df: DataFrame, name: str, compression: str = "zstd", keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it again.
 
     Cuts the lineage with files every executor can read, so a lost executor costs only its
-    running tasks. The folder goes when the driver's JVM ends.
+    running tasks. The folder goes when the driver's JVM ends, or with the ``temporary_tables``
+    block it was written in, unless ``keep`` is set.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/keytally-llm/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    at, fs = _hadoop(spark, path)
+    fs.deleteOnExit(at)
+    if _TEMPORARY and not keep:
+        _TEMPORARY[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are deleted at the end; what is to outlive them is written with ``keep``."""
+    _TEMPORARY.append([])
+    try:
+        yield
+    finally:
+        for path in _TEMPORARY.pop():
+            at, fs = _hadoop(spark, path)
+            fs.delete(at, True)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(col, UPPER, LOWER)

@@ -42,7 +42,7 @@ COUNTS = 2
 #: Classes of a run up to which its pairs are listed.
 RUN = 64
 #: Classes of a block in a dense group, and tokens handled at once there.
-BLOCK, VOCABULARY = 512, 8192
+BLOCK, VOCABULARY = 1024, 8192
 BUCKETS = 128
 #: Most document keys that are broadcast to fetch texts (about 40 bytes each).
 MOST_BROADCAST = 1 << 20
