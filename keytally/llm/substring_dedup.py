@@ -1,4 +1,4 @@
-"""Substring dedup by line or paragraph hashing.
+"""Substring dedup by line or paragraph hashing, and by hashed runs of words inside and across lines.
 
 Documents are cut into units (lines, or paragraphs between blank lines). A unit is normalised
 (lower case, white space runs to one space) and hashed; digests are grouped over the whole
@@ -6,9 +6,15 @@ corpus, the occurrence that ranks first stays, and the rest are cut from their d
 Occurrences rank by ``doc_id`` (null last), then by place in the document. Units of fewer than
 ``min_words`` words are never cut, nor counted.
 
-Only digests, ids and offsets shuffle for the grouping (partially aggregated, so a line that a
-third of all documents share is one row a task); the join back is by digest, where a hot digest's
-side can be split, and the texts shuffle once, to meet their cuts.
+A passage need not fill whole units: every run of ``passage`` words that occurs twice stays where
+it ranks first and is cut elsewhere, wherever in a line it begins and ends. Hashing every run would take a row a word, so runs are found in two steps: the
+smallest of each ``passage - GRAM + 1`` neighbouring hashes of ``GRAM`` words are the prints of a
+document, and two equal runs have a print in common; only runs that hold a print found in two
+places are then hashed as a whole and grouped like units.
+
+Only digests, prints, ids and offsets shuffle for the groupings (partially aggregated, so a line
+that a third of all documents share is one row a task); the joins back are by digest or print,
+where a hot one's side can be split. The texts shuffle twice, to meet their prints and their cuts.
 """
 
 from __future__ import annotations
@@ -17,6 +23,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -24,15 +31,140 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from keytally.llm.common import shared_table
 
 MIN_WORDS = 5
+#: Words of a run that is left in one place only.
+PASSAGE = 50
+#: Words of a hash that prints are chosen from.
+GRAM = 25
 UNITS = {"line": re.compile(r"[^\n]*(?:\n|\Z)"), "paragraph": re.compile(r"(?s).+?(?:\n[^\S\n]*\n\s*|\Z)")}
+TOKEN = re.compile(r"\S+")
+FACTOR = 0x9E3779B97F4A7C15
+#: Words whose hash a Python worker remembers.
+REMEMBERED = 200_000
+
+
+def words_of(text: str) -> list[str]:
+    return text.lower().split()
+
+
+def digest_of(words: list[str]) -> bytes:
+    return hashlib.md5(" ".join(words).encode("utf-8", "surrogatepass")).digest()
+
+
+def pieces_of(text: str, unit: str, min_words: int) -> Iterator[tuple[list[str], bytes | None, int, int]]:
+    """``(words, digest, start, end)`` of each unit, in code points; no digest if it does not count."""
+    for m in UNITS[unit].finditer(text):
+        words = words_of(m.group())
+        yield words, digest_of(words) if len(words) >= min_words else None, m.start(), m.end()
 
 
 def units_of(text: str, unit: str, min_words: int) -> Iterator[tuple[bytes, int, int]]:
     """``(digest, start, end)`` of each unit that counts, line break included, in code points."""
-    for m in UNITS[unit].finditer(text):
-        words = m.group().lower().split()
-        if len(words) >= min_words:
-            yield hashlib.md5(" ".join(words).encode("utf-8", "surrogatepass")).digest(), m.start(), m.end()
+    for _, digest, start, end in pieces_of(text, unit, min_words):
+        if digest is not None:
+            yield digest, start, end
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, the same in every worker."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        h = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+        self[word] = h
+        return h
+
+
+def over_runs(values: np.ndarray, n: int, join) -> np.ndarray:
+    """``join`` over each run of ``n`` neighbours, by doubling; ``join(a, b, k)`` gets ``k``, the values in ``b``."""
+    def both(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
+        m = min(len(a), len(b))
+        return join(a[:m], b[:m], k)
+
+    out, done, block, size = None, 0, values, 1
+    while True:
+        if n & size:
+            out = block if out is None else both(out, block[done:], size)
+            done += size
+        if 2 * size > n:
+            return out
+        block, size = both(block, block[size:], size), 2 * size
+
+
+def grams(words: list[str], hashes: WordHashes) -> np.ndarray:
+    """A hash of each run of ``GRAM`` words."""
+    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    h = over_runs(h, GRAM, lambda a, b, k: a * np.uint64(pow(FACTOR, k, 1 << 64)) + b)
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(FACTOR)
+    return h ^ (h >> np.uint64(29))
+
+
+def is_print(h: np.ndarray, passage: int) -> np.ndarray:
+    """Whether a hash is the smallest of a run of ``passage - GRAM + 1`` of them (all that tie)."""
+    n = passage - GRAM + 1
+    least = over_runs(h, n, lambda a, b, _: np.minimum(a, b))
+    around = np.zeros(n - 1, np.uint64)
+    return over_runs(np.concatenate((around, least, around)), n, lambda a, b, _: np.maximum(a, b)) == h
+
+
+def prints_of(text: str, unit: str, min_words: int, passage: int, own: int, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """The prints of a text, and the home of each.
+
+    Runs that hold a print reach ``passage - GRAM`` words before it and as many behind it. Where all
+    units they touch count, these units and the place in them are its home: every unit is left in
+    one place, so prints with one home alone are no repeat. Other homes are of the document
+    (``own``).
+    """
+    pieces = [p for p in pieces_of(text, unit, min_words) if p[0]]
+    lengths = np.array([len(p[0]) for p in pieces], np.int64)
+    n = int(lengths.sum())
+    if n < passage:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    h = grams([w for p in pieces for w in p[0]], hashes)
+    at = np.flatnonzero(is_print(h, passage))
+    begins = np.cumsum(lengths) - lengths
+    first = np.searchsorted(begins, np.maximum(at - (passage - GRAM), 0), "right") - 1
+    last = np.searchsorted(begins, np.minimum(at + passage, n) - 1, "right")
+    mask, sums, powers, uncounted = (1 << 64) - 1, [0], [1], [0]
+    for _, digest, _, _ in pieces:
+        sums.append((sums[-1] * FACTOR + int.from_bytes((digest or b"")[:8], "little")) & mask)
+        powers.append(powers[-1] * FACTOR & mask)
+        uncounted.append(uncounted[-1] + (digest is None))
+    sums, powers, uncounted = np.array(sums, np.uint64), np.array(powers, np.uint64), np.array(uncounted)
+    of_units = (sums[last] - sums[first] * powers[last - first]).view(np.int64) + (at - begins[first])
+    home = np.where(uncounted[last] == uncounted[first], of_units, np.int64(own) + at)
+    return h[at].view(np.int64), home
+
+
+def passages_of(text: str, prints: list[int], cuts: list[dict] | None, passage: int, hashes: WordHashes) -> Iterator[tuple[bytes, int, int]]:
+    """``(digest, start, end)`` of each run of ``passage`` words that holds a print and is not cut as a whole.
+
+    A run ends where its last word's successor begins if that stands in the same line.
+    """
+    spans = [m.span() for m in TOKEN.finditer(text)]
+    words = [text[s:e].lower() for s, e in spans]
+    h = grams(words, hashes)
+    runs = over_runs(np.isin(h, np.array(prints, np.int64).view(np.uint64)), passage - GRAM + 1, lambda a, b, _: a | b)
+    starts = np.array([s for s, _ in spans], np.int64)
+    gone = np.zeros(len(spans), bool)
+    for cut in cuts or ():
+        gone[np.searchsorted(starts, cut["start"]):np.searchsorted(starts, cut["end"])] = True
+    runs &= ~over_runs(gone, passage, lambda a, b, _: a & b)
+    for i in np.flatnonzero(runs).tolist():
+        end = spans[i + passage - 1][1]
+        after = spans[i + passage][0] if i + passage < len(spans) else len(text)
+        yield digest_of(words[i:i + passage]), spans[i][0], end if "\n" in text[end:after] else after
+
+
+def merged(cuts: list[dict] | None) -> list[dict]:
+    """Cuts in order, those that overlap made one."""
+    out: list[dict] = []
+    for cut in sorted(cuts or (), key=lambda c: (c["start"], c["end"])):
+        if out and cut["start"] < out[-1]["end"]:
+            out[-1]["end"] = max(out[-1]["end"], cut["end"])
+        else:
+            out.append({"start": cut["start"], "end": cut["end"]})
+    return out
 
 
 def without(text: str, cuts: list[dict] | None) -> tuple[str, list[dict]]:
@@ -47,17 +179,36 @@ def without(text: str, cuts: list[dict] | None) -> tuple[str, list[dict]]:
     return "".join(text[k["start"]:k["end"]] for k in kept), kept
 
 
+def repeats(units: DataFrame) -> DataFrame:
+    """The places ``(doc_id, text_hash, start, end)`` of ``units`` whose digest stands in an earlier place.
+
+    Where a repeat overlaps the place that stays (runs of words that repeat themselves), only
+    what lies behind that is a repeat.
+    """
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "start", "end")
+    groups = (units.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+              .filter(F.col("first") != F.col("last")).select("digest", "first"))
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    return (units.join(groups, "digest").filter(place != F.col("first"))
+            .select("doc_id", "text_hash", F.when(same, F.greatest("start", "first.end")).otherwise(F.col("start")).alias("start"), "end")
+            .filter(F.col("start") < F.col("end")))
+
+
 def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "line",
-                    min_words: int = MIN_WORDS) -> DataFrame:
+                    min_words: int = MIN_WORDS, passage: int = PASSAGE) -> DataFrame:
     """One row per document: ``doc_id, text, n_units, n_removed, removed, kept``.
 
     ``text`` is what is left; ``removed`` and ``kept`` are arrays of ``(start, end)`` in the
-    original text, in code points; ``n_units`` counts the units that count. Null text counts as
+    original text, in code points; ``n_units`` counts the units that count, ``n_removed`` the
+    units and the stretches of repeated words cut. Null text counts as
     empty and stays empty. A unit repeated inside a document is cut like any other. Rows that
     agree in id and text are one document and fare alike; rows with equal ids and different
-    texts are documents of their own, ranked by a hash of their text. An empty input gives an
-    empty result.
+    texts are documents of their own, ranked by a hash of their text. No run of ``passage`` words
+    (at least ``GRAM``) of the originals is left in two places. An empty input gives an empty
+    result.
     """
+    if passage < GRAM:
+        raise ValueError(f"passage must be at least {GRAM}")
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
         .withColumn("text_hash", F.xxhash64("text"))
 
@@ -70,26 +221,58 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     unit_names = ["doc_id", "text_hash", "digest", "start", "end"]
     unit_types = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32()]
-    units = shared_table(docs.mapInArrow(cut_up, "doc_id long, text_hash long, digest binary, start int, end int"), "units")
+    unit_schema = "doc_id long, text_hash long, digest binary, start int, end int"
+    units = shared_table(docs.mapInArrow(cut_up, unit_schema), "units")
 
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "start")
-    groups = (units.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-              .filter(F.col("first") != F.col("last")).select("digest", "first"))
-    repeats = units.join(groups, "digest").filter(place != F.col("first"))
     # doc_id 0 and no id must not meet: a null id has a key of its own
     key = [F.coalesce("doc_id", F.lit(0)).alias("id_key"), F.col("doc_id").isNull().alias("no_id"), "text_hash"]
-    cuts = (repeats.select(*key, "start", "end").groupBy("id_key", "no_id", "text_hash")
-            .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("cuts")))
-    counted = docs.select("doc_id", "text", *key).join(cuts, ["id_key", "no_id", "text_hash"], "left") \
-        .select("doc_id", "text", "cuts")
+    keys = ["id_key", "no_id", "text_hash"]
+
+    def by_document(places: DataFrame, name: str) -> DataFrame:
+        return (places.select(*key, "start", "end").groupBy(*keys)
+                .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias(name)))
+
+    unit_cuts = shared_table(by_document(repeats(units), "cuts"), "cuts")
+
+    def print_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for b in batches:
+            ids, owns = b.column("doc_id"), b.column("text_hash")
+            found = [prints_of(t, unit, min_words, passage, own, hashes)
+                     for t, own in zip(b.column("text").to_pylist(), owns.to_pylist())]
+            row = pa.array(np.repeat(np.arange(len(found)), [len(f) for f, _ in found]))
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(row), owns.take(row), *(pa.array(np.concatenate([f[k] for f in found] or [np.empty(0, np.int64)]), pa.int64())
+                                                  for k in (0, 1))], ["doc_id", "text_hash", "print", "home"])
+
+    prints = shared_table(docs.mapInArrow(print_all, "doc_id long, text_hash long, print long, home long"), "prints")
+    twice = (prints.groupBy("print").agg(F.min("home").alias("a"), F.max("home").alias("b")).filter("a <> b").select("print"))
+    printed = prints.join(twice, "print").select(*key, "print").groupBy(*keys).agg(F.collect_set("print").alias("prints"))
+    searched = docs.select("doc_id", "text", *key).join(printed, keys).join(unit_cuts, keys, "left") \
+        .select("doc_id", "text_hash", "text", "prints", "cuts")
+
+    def find_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for b in batches:
+            for i, h, t, prints, cuts in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text_hash", "text", "prints", "cuts"))):
+                columns = list(zip(*passages_of(t, prints, cuts, passage, hashes)))
+                if columns:
+                    n = len(columns[0])
+                    columns = [[i] * n, [h] * n, *columns]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, unit_types)], unit_names)
+
+    passages = shared_table(searched.mapInArrow(find_passages, unit_schema), "passages")
+    counted = docs.select("doc_id", "text", *key).join(unit_cuts, keys, "left") \
+        .join(by_document(repeats(passages), "runs"), keys, "left").select("doc_id", "text", "cuts", "runs")
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for i, t, cuts in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "cuts"))):
-                left, kept = without(t, cuts)
+            for i, t, cuts, runs in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "cuts", "runs"))):
+                gone = merged((cuts or []) + (runs or []))
+                left, kept = without(t, gone)
                 n = sum(1 for _ in units_of(t, unit, min_words))
-                rows.append({"doc_id": i, "text": left, "n_units": n, "n_removed": len(cuts or ()), "removed": cuts or [], "kept": kept})
+                rows.append({"doc_id": i, "text": left, "n_units": n, "n_removed": len(cuts or ()) + len(merged(runs)), "removed": gone, "kept": kept})
             yield pa.RecordBatch.from_pylist(rows, schema=out)
 
     schema = "doc_id long, text string, n_units long, n_removed long, " \

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from keytally.llm.substring_dedup import substring_dedup, units_of
@@ -66,3 +68,49 @@ def test_long_passages_occur_once(spark):
             if len(words) > 50:
                 assert " ".join(words) not in seen
                 seen.add(" ".join(words))
+
+
+def runs_in_two_places(rows, n):
+    """Runs of ``n`` words of the texts that stand in two places."""
+    seen, twice = set(), set()
+    for _, text in rows:
+        w = (text or "").lower().split()
+        for i in range(len(w) - n + 1):
+            run = " ".join(w[i:i + n])
+            (twice if run in seen else seen).add(run)
+    return twice
+
+
+def test_passages_inside_lines(spark):
+    """A passage that begins and ends inside lines is cut whole where it stands again, and nothing else."""
+    rng = random.Random(8)
+    def prose(n):
+        return " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+
+    passages = [prose(n) for n in (50, 57, 80, 400)]
+    short = prose(30)
+    rows, want = [], {}
+    for i in range(40):
+        a, b, c = prose(rng.randrange(3, 90)), prose(rng.randrange(3, 90)), prose(20)
+        p = passages[i % 4]
+        laid = p if i % 3 else "\n".join(" ".join(p.split()[k:k + 7]) for k in range(0, len(p.split()), 7))
+        rows.append((i, f"{a} {laid.upper() if i % 5 == 0 else laid} {b}\n{c} {short} {a[::-1]}"))
+        want[i] = rows[-1][1] if i < 4 else f"{a} {b}\n{c} {short} {a[::-1]}"
+    got = {r.doc_id: r for r in substring_dedup(documents(spark, rows).repartition(4)).collect()}
+    assert runs_in_two_places(rows, 50) and not runs_in_two_places([(i, r.text) for i, r in got.items()], 50)
+    for i, text in rows:
+        assert got[i].text.split() == want[i].split()
+        assert "".join(text[k.start:k.end] for k in got[i].kept) == got[i].text
+
+
+def test_runs_that_repeat_themselves(spark):
+    rows = [(1, "la " * 300), (2, "so " + "la " * 70), (None, "so it goes"), (0, None)]
+    got = {r.doc_id: r.text.split() for r in substring_dedup(documents(spark, rows)).collect()}
+    assert got == {1: ["la"] * 50, 2: ["so"], None: ["so", "it", "goes"], 0: []}
+
+
+def test_long_runs_of_the_given_documents_stand_once(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    before = runs_in_two_places([(r.doc_id, r.text) for r in docs.collect()], 50)
+    after = runs_in_two_places([(r.doc_id, r.text) for r in substring_dedup(docs).collect()], 50)
+    assert before and not before & after
