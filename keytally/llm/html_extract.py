@@ -1,8 +1,9 @@
 """Main text of web pages by tree scoring.
 
 A page is parsed into a light tree; elements that are never article text (scripts, styles,
-navigation, forms, asides, adverts, notices, reader comments; by tag, role, class or id) are
-left out while it is built. Every paragraph then gives points for its length and its commas to
+navigation, asides; by tag or role) are left out while it is built. Adverts, notices, reader
+comments (by class or id) and forms are left out then, unless they hold the article; if no text
+is left, names are not asked. Every paragraph then gives points for its length and its commas to
 its parent and, halved and less, to the ancestors above. A container's score is its points
 times one minus its link density. The best container is kept, with the siblings that score
 well themselves or are plain paragraphs of text. Block texts are joined in page order.
@@ -50,31 +51,35 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "points", "chars", "linked", "bonus")
+    __slots__ = ("tag", "parent", "children", "points", "chars", "linked", "bonus", "doubtful")
 
     def __init__(self, tag: str, parent: Node | None, bonus: float = 0.0):
         self.tag, self.parent, self.bonus = tag, parent, bonus
         self.children: list[Node | str] = []
         self.points = 0.0
         self.chars = self.linked = 0
+        self.doubtful = False  # its name, or being a form, speaks against it
 
 
-def unlikely(tag: str, attrs: list[tuple[str, str | None]], inside_article: bool) -> bool:
-    if tag in SKIP:
+def unlikely(tag: str, attrs: list[tuple[str, str | None]], inside_article: bool) -> bool | None:
+    """Whether an element is never article text; None if only its name or being a form says so."""
+    if tag in SKIP and tag != "form":
         return True
     if tag == "header" and not inside_article:
         return True
     if not attrs or tag in ("html", "body", "article", "main"):
-        return False
+        return None if tag == "form" else False
     found = dict(attrs)
     if "hidden" in found or (found.get("aria-hidden") or "").lower() == "true" or HIDDEN.search(found.get("style") or ""):
         return True
     if (found.get("role") or "").strip().lower() in UNLIKELY_ROLES:
         return True
+    if tag == "form":
+        return None
     if tag in HEADINGS or tag in ("a", "b", "i", "em", "strong", "span", "p") and inside_article and "id" not in found and "class" not in found:
         return False
     names = re.sub(r"([a-z])([A-Z])", r"\1-\2", f"{found.get('class') or ''} {found.get('id') or ''}")
-    return bool(names.strip() and UNLIKELY.search(names))
+    return None if names.strip() and UNLIKELY.search(names) else False
 
 
 class TreeBuilder(HTMLParser):
@@ -104,16 +109,20 @@ class TreeBuilder(HTMLParser):
             if tag not in ("input", "embed"):
                 self.at.children.append(Node(tag, self.at))
             return
-        if unlikely(tag, attrs, self.articles > 0):
+        verdict = unlikely(tag, attrs, self.articles > 0)
+        if verdict:
             self.skipping.append(tag)
             if tag in BLOCK or tag in SKIP:
                 self.at.children.append(Node("hr", self.at))  # still breaks the text around it
             return
+        if tag == "form" and self._is_open("form"):
+            return  # forms do not nest
         bonus = 0.0
         if attrs and tag in ("div", "section", "td"):
             names = " ".join(v or "" for k, v in attrs if k in ("class", "id"))
             bonus = 25.0 if LIKELY.search(names) else 0.0
         node = Node(tag, self.at, bonus)
+        node.doubtful = verdict is None
         self.at.children.append(node)
         self.at = node
         self.articles += tag in ("article", "main")
@@ -178,6 +187,56 @@ def in_order(root: Node) -> Iterator[tuple[Node | str, Node, bool]]:
             stack.extend((c, item, False) for c in reversed(item.children))
 
 
+def prune(root: Node, by_name: bool = True) -> None:
+    """Leave out elements that their name speaks against, and forms, unless they hold the article.
+
+    Such an element stays if an article, a main element or a container with a likely name is
+    inside it, if it is a heading's wrapper in an article, or if most of the page's paragraph text
+    is. Without ``by_name`` only forms without such content go.
+    """
+    if not any(isinstance(n, Node) and n.doubtful for n, _, ends in in_order(root) if not ends):
+        return
+    text: dict[int, int] = {}  # characters of paragraphs in an element
+    holds: set[int] = set()  # elements with an article, a main element or a likely name inside
+    titles: set[int] = set()  # elements with a h1 inside
+    paragraph = articles = 0
+    in_article: set[int] = set()
+    for item, parent, ends in in_order(root):
+        if isinstance(item, str):
+            if paragraph:
+                text[id(parent)] = text.get(id(parent), 0) + len("".join(item.split()))
+            continue
+        if not ends:
+            paragraph += item.tag == "p"
+            if articles:
+                in_article.add(id(item))
+            articles += item.tag in ("article", "main")
+            continue
+        paragraph -= item.tag == "p"
+        articles -= item.tag in ("article", "main")
+        if item is root:
+            continue
+        text[id(parent)] = text.get(id(parent), 0) + text.get(id(item), 0)
+        if id(item) in holds or item.tag in ("article", "main") or item.bonus and not item.doubtful:
+            holds.add(id(parent))
+        if id(item) in titles or item.tag == "h1":
+            titles.add(id(parent))
+    most = text.get(id(root), 0) / 2
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        for k, child in enumerate(node.children):
+            if not isinstance(child, Node):
+                continue
+            inside = id(child) in in_article
+            stays = id(child) in holds and not inside or text.get(id(child), 0) > most > 0 \
+                or id(child) in titles and (inside or child.bonus > 0)
+            if child.doubtful and not stays and (by_name or child.tag == "form"):
+                node.children[k] = Node("hr" if child.tag in BLOCK or child.tag in SKIP else "wbr", node)
+            else:
+                stack.append(child)
+
+
 def score(root: Node) -> None:
     """Fill in points, characters and linked characters of every element."""
     link = 0
@@ -285,9 +344,14 @@ def main_text(html: str | None) -> str:
     """The article of a page, blocks joined by two line feeds; empty if there is none."""
     if not html:
         return ""
-    root = parse(html)
-    score(root)
-    return "\n\n".join(t for node in chosen(root) for t in block_texts(node))
+    for by_name in (True, False):  # names are not asked again if nothing is left
+        root = parse(html)
+        prune(root, by_name)
+        score(root)
+        text = "\n\n".join(t for node in chosen(root) for t in block_texts(node))
+        if text:
+            break
+    return text
 
 
 def html_extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -63,3 +63,25 @@ def test_given_pages_give_their_articles(spark):
         inner = source[r.page_id].split("<article>")[1].split("</article>")[0]
         blocks = [" ".join(html.unescape(re.sub("<b>|<br>", "", x)).split()) for x in re.split("</?p>|</?h1>", inner)]
         assert r.text == "\n\n".join(b for b in blocks if b)
+
+
+BODY = f"<article><h1>Title</h1><p>{LONG}</p><p>{LONG} end</p></article>"
+
+
+@pytest.mark.parametrize("name", ["content-with-sidebar", "site has-sidebar", "layout no-sidebar", "header-fixed",
+                                  "main-content nav-open", "post comments-open"])
+@pytest.mark.parametrize("inner", [BODY, f"<div class='story'>{BODY[9:-10]}</div>", BODY[9:-10]])
+def test_wrappers_with_unlikely_names_stay(name, inner):
+    page = f"<body><div class='{name}'>{inner}<div class='sidebar'><p>{LONG[:60]}</p></div></div><div class='ad'>Buy now</div></body>"
+    assert main_text(page) == f"Title\n\n{LONG}\n\n{LONG} end"
+
+
+def test_forms_around_the_page_are_transparent():
+    form = "<form class='search'><p>Search this site</p><input></form>"
+    assert main_text(f"<body>{form}<form action=/><nav>menu</nav>{BODY}</form></body>") == f"Title\n\n{LONG}\n\n{LONG} end"
+    assert main_text(f"<article><p>{LONG}</p><form><p>Your address, please</p></form></article>") == LONG
+
+
+def test_second_try_when_nothing_is_left():
+    assert main_text("<div class='widget'>Only text of the page</div>") == "Only text of the page"
+    assert main_text("<div class='widget'>Only text</div><div class='ad' hidden>Buy</div>") == "Only text"
