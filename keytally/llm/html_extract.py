@@ -5,7 +5,8 @@ navigation, asides; by tag or role) are left out while it is built. Adverts, not
 comments (by class or id) and forms are left out then, unless they hold the article; if no text
 is left, names are not asked. Every paragraph then gives points for its length and its commas to
 its parent and, halved and less, to the ancestors above. A container's score is its points
-times one minus its link density. The best container is kept, with the siblings that score
+times one minus its link density. The best container is kept (as a whole the article or main element it
+stands in), with the siblings that score
 well themselves or are plain paragraphs of text. Block texts are joined in page order.
 """
 
@@ -296,6 +297,11 @@ def chosen(root: Node) -> list[Node]:
     if not containers:
         return [root]
     best = max(containers, key=total)
+    around = [best]
+    while around[-1].parent is not None:
+        around.append(around[-1].parent)
+    # An article or main element with the best container in it is kept as a whole.
+    best = next((n for tag in ("article", "main") for n in reversed(around) if n.tag == tag), best)
     if best.parent is None:
         return [best]
     least = max(10.0, 0.2 * total(best))
@@ -306,14 +312,31 @@ def chosen(root: Node) -> list[Node]:
         paragraph = s.tag == "p" and link_density(s) < 0.25 and (s.chars > 80 or s.chars > 0 and s.linked == 0)
         if s is best or paragraph or (s.points > 0 and total(s) >= least and s.tag not in HEADINGS) or s.tag == "h1":
             kept.append(s)
+        elif s.tag not in HEADINGS:
+            kept.extend(n for n, _, ends in in_order(s) if isinstance(n, Node) and n.tag == "h1" and not ends)
     return kept
 
 
 def block_texts(root: Node) -> list[str]:
-    """Texts of the blocks under ``root``; lists that are mostly links are menus and left out."""
+    """Texts of the blocks under ``root``; lists that are mostly links are menus and left out.
+
+    In an article or main element only lists of nothing but links are menus.
+    """
     out: list[str] = []
     now: list[str] = []
     menu: Node | None = None
+    inside = 0
+    node: Node | None = root.parent
+    while node is not None:
+        inside += node.tag in ("article", "main")
+        node = node.parent
+
+    def is_menu(item: Node) -> bool:
+        if item.tag not in ("ul", "ol", "dl", "table") or sum(isinstance(c, Node) for c in item.children) <= 2:
+            return False
+        if inside:
+            return item.tag in ("ul", "ol") and item.linked == item.chars > 0
+        return link_density(item) > 0.8
 
     def flush() -> None:
         text = " ".join("".join(now).split())
@@ -330,11 +353,12 @@ def block_texts(root: Node) -> list[str]:
             flush()
         elif item.tag == "br" and not ends:
             now.append(" ")
+        if item.tag in ("article", "main"):
+            inside += -1 if ends else 1
         if ends:
             if item is menu:
                 menu = None
-        elif menu is None and item.tag in ("ul", "ol", "dl", "table") and link_density(item) > 0.8 \
-                and sum(isinstance(c, Node) for c in item.children) > 2:
+        elif menu is None and is_menu(item):
             menu = item
     flush()
     return out

@@ -85,3 +85,23 @@ def test_forms_around_the_page_are_transparent():
 def test_second_try_when_nothing_is_left():
     assert main_text("<div class='widget'>Only text of the page</div>") == "Only text of the page"
     assert main_text("<div class='widget'>Only text</div><div class='ad' hidden>Buy</div>") == "Only text"
+
+
+def test_titles_in_entry_headers_stay():
+    inner = f"<div class='entry-header'><h1>Title</h1></div><div class='entry-content'><p>{LONG}</p></div>"
+    assert main_text(f"<article>{inner}</article>") == f"Title\n\n{LONG}"
+    assert main_text(f"<div class='post'>{inner}</div>") == f"Title\n\n{LONG}"
+
+
+def test_articles_are_kept_whole():
+    """Short sections, headings, lists, tables and bare text beside the best container of an article."""
+    p = "Some words, that make, a paragraph, of text, which is long enough. " * 4
+    p = p.strip()
+    page = (f"<body><article><h1>T</h1>bare text<section><h2>A</h2>{f'<p>{p}</p>' * 10}</section><section><h2>B</h2><p>{p}</p></section>"
+            "<h3>Notes</h3><ul><li>one</li><li>two</li></ul><table><tr><td>cell</td></tr></table>"
+            "<ul>" + "".join(f"<li><a href=/{i}>A long title of the work that is referred to, number {i}</a>, 19{i}</li>" for i in range(10, 14)) + "</ul>"
+            f"<dl>{''.join(f'<dt><a href=#{i}>term {i}</a></dt>' for i in range(3))}</dl></article><div><p>{LONG[:40]}</p></div></body>")
+    want = ["T", "bare text", "A", *[p] * 10, "B", p, "Notes", "one", "two", "cell",
+            *[f"A long title of the work that is referred to, number {i}, 19{i}" for i in range(10, 14)], "term 0", "term 1", "term 2"]
+    assert main_text(page).split("\n\n") == want
+    assert main_text(page.replace("article>", "main>")).split("\n\n") == want
