@@ -1,7 +1,8 @@
 """Secret scan with a random forest that removes false positives.
 
-1. Patterns find candidates in whole texts: assigned values, provider formats, key blocks and
-   any long run of key characters, far more than are secrets.
+1. Patterns find candidates in whole texts: values assigned to names such as password or token
+   (of any length, with or without digits), passwords in URLs, provider formats, key blocks and
+   any long run of key characters, far more than are secrets. Punctuation behind them is not theirs.
 2. A candidate is described by its length, the transitions between character classes, the
    share of it that dictionary words cover, its path, and the words around it.
 3. A random forest, trained on labelled findings (a bounded number of each label), gives each
@@ -36,15 +37,29 @@ REPORT_AT = 0.5
 AROUND, PATHS = 48, 8
 
 SECRET_NAME = r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential|private[_-]?key)"
+FORMATS = (r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|github_pat_[0-9A-Za-z_]{20,}|xox[abprs]-[0-9A-Za-z-]{10,}"
+           r"|sk-[0-9A-Za-z_-]{20,}|AIza[0-9A-Za-z_-]{35}")
+KEY_BLOCK = r"-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----[\s\S]*?-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
 CANDIDATE = re.compile(
-    r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*?-----END [A-Z ]*PRIVATE KEY-----"
+    rf"{KEY_BLOCK}"
     r"|eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,}"
-    rf"|(?<=[\s\"'`=:(<>,])(?=[^\s\"'`]*\d)[\w+/\-.~!#$%^&*]{{16,}}={{0,2}}"
+    rf"|(?<![A-Za-z0-9])(?:{FORMATS})(?![A-Za-z0-9])"
+    r"|(?<=[\s\"'`=:(<>,])(?=[^\s\"'`]*\d)[\w+/\-.~!#$%^&*]{16,}={0,2}"
     r"|(?<![A-Za-z0-9+/_\-.@])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{12,}={0,2}(?![\w.@])")
+#: What assigns a value, what stands before it, and the value: quoted, or up to a space or the next assignment.
+ASSIGNS = re.compile(r"=>|:=|={1,3}|:")
+NAMED = re.compile(rf"(?i){SECRET_NAME}[\w-]{{0,24}}[\"'`\]]{{0,2}}\s*\Z")
+VALUE = re.compile(r"[^\S\n]*(?:\"([^\"\n]+)\"|'([^'\n]+)'|`([^`\n]+)`|((?:(?![,;&]\s*(?:\s|\Z|[\w.-]+=))[^\s\"'`<>])+))")
+URL_PASSWORD = re.compile(r"://[^\s:/@\"'<>]*:([^\s/@\"'<>]+)@")
+BEFORE_URL_PASSWORD = re.compile(r"://[^\s:/@\"'<>]*:\Z")
+TRAILING = ".,;:!?)]}"
 ASSIGNED = re.compile(rf"(?i){SECRET_NAME}[\"']?\s*(?:=|:|=>|is)?\s*[\"'`]?$")
+#: An assignment that leaves no doubt: of a quoted value, or by an equals sign.
+CLEAR = re.compile(rf"(?i){SECRET_NAME}[\"']?\s*(?:[=:]\s*[\"'`]|=\s*)\Z")
+#: Values that stand for another one.
+PLACEHOLDER = re.compile(r"(?i)\A(?:[$%<{]|your|x{3,}|\*{3,}|none\Z|null\Z|true\Z|false\Z|os\.|process\.|example|change)")
 PROVIDER = re.compile(
-    r"(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|xox[abprs]-[0-9A-Za-z-]{10,}|sk-[0-9A-Za-z_-]{20,}"
-    r"|AIza[0-9A-Za-z_-]{35}|eyJ[\w-]+\.[\w-]+\.[\w-]+|-----BEGIN [\s\S]*)\Z")
+    rf"(?:{FORMATS}|eyJ[\w-]+\.[\w-]+\.[\w-]+|-----BEGIN [\s\S]*)\Z")
 ORDINARY = re.compile(r"(?i)(?:https?|www\.|\.(?:com|org|net|html?)\b|@)|^[\W\d_]*$|^[\d.,:/+-]+$")
 WORDS = re.compile(r"[a-z]{4,}")
 
@@ -100,13 +115,36 @@ def features_of(candidate: str, path: str | None, before: str, after: str, words
     return [float(len(candidate)), distinct, hexadecimal, *(m / n for m in moves), coverage(candidate, words), *around, *where]
 
 
+def spans(text: str) -> list[tuple[int, int]]:
+    """Where the candidates of a text are, in its order; two may overlap."""
+    found = set()
+    for m in CANDIDATE.finditer(text):
+        key = m.group().rstrip(TRAILING)
+        found.add((m.start(), m.start() + len(key)))
+    for m in ASSIGNS.finditer(text):
+        if NAMED.search(text[max(0, m.start() - 64):m.start()]) and (value := VALUE.match(text, m.end())):
+            k = value.lastindex
+            end = value.end(k) if k < 4 else value.start(k) + len(value.group(k).rstrip(TRAILING))
+            found.add((value.start(k), end))
+    if "://" in text:
+        found.update(m.span(1) for m in URL_PASSWORD.finditer(text))
+    return sorted((s, e) for s, e in found if s < e)
+
+
 def rule_label(candidate: str, before: str, after: str) -> int | None:
     """1 for the clearest secrets, 0 for the clearest other things, None for the rest."""
     if PROVIDER.match(candidate):
         return 1
     mixed = any(c.isdigit() for c in candidate) and any(c.isalpha() for c in candidate)
+    if after.startswith("@") and BEFORE_URL_PASSWORD.search(before):
+        return 1 if mixed and len(candidate) >= 6 else None
     if ASSIGNED.search(before):
-        return 1 if mixed and len(candidate) >= 16 else None
+        if mixed and len(candidate) >= 16:
+            return 1
+        if PLACEHOLDER.search(candidate):
+            return 0
+        plain = candidate.isalpha() or any(c.isspace() for c in candidate)
+        return 1 if CLEAR.search(before) and (len(candidate) >= 6 and not plain or len(candidate) >= 12 and candidate.isalpha()) else None
     if ORDINARY.search(candidate) or ORDINARY.search(before[-8:]) or after.startswith("@") or not mixed:
         return 0
     return 0 if sum(c.isdigit() for c in candidate) <= 2 else None
@@ -127,10 +165,10 @@ def candidates(df: DataFrame, words: set[str], id_col: str = "doc_id", text_col:
         for b in batches:
             rows = []
             for i, text, path in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "path"))):
-                for m in CANDIDATE.finditer(text or ""):
-                    before, after = text[max(0, m.start() - 40):m.start()], text[m.end():m.end() + 24]
-                    rows.append((i, m.start(), m.end(), m.group(), features_of(m.group(), path, before, after, known.value),
-                                 rule_label(m.group(), before, after)))
+                for start, end in spans(text or ""):
+                    candidate, before, after = text[start:end], text[max(0, start - 40):start], text[end:end + 24]
+                    rows.append((i, start, end, candidate, features_of(candidate, path, before, after, known.value),
+                                 rule_label(candidate, before, after)))
             columns = list(zip(*rows)) or [()] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
