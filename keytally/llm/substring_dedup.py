@@ -4,7 +4,9 @@ Documents are cut into units (lines, or paragraphs between blank lines). A unit
 (lower case, white space runs to one space) and hashed; digests are grouped over the whole
 corpus, the occurrence that ranks first stays, and the rest are cut from their documents.
 Occurrences rank by ``doc_id`` (null last), then by place in the document. Units of fewer than
-``min_words`` words are never cut, nor counted.
+``min_words`` words count in groups of neighbours that have as many (verse, lists, narrow
+wrapping); what is short even so is never cut, nor counted. Characters of scripts without spaces
+count as half a word each, long words as several.
 
 A passage need not fill whole units: every run of ``passage`` words that occurs twice stays where
 it ranks first and is cut elsewhere, wherever in a line it begins and ends. Hashing every run would take a row a word, so runs are found in two steps: the
@@ -36,14 +38,25 @@ PASSAGE = 50
 #: Words of a hash that prints are chosen from.
 GRAM = 25
 UNITS = {"line": re.compile(r"[^\n]*(?:\n|\Z)"), "paragraph": re.compile(r"(?s).+?(?:\n[^\S\n]*\n\s*|\Z)")}
-TOKEN = re.compile(r"\S+")
+#: Characters of scripts written without spaces (Thai, Lao, Burmese, Khmer, kana, Han): a token each, half a word.
+SPACELESS = "฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U00020000-\U0003ffff"
+ANY_SPACELESS = re.compile(f"[{SPACELESS}]")
+TOKEN = re.compile(rf"[{SPACELESS}]|[^\s{SPACELESS}]+")
+#: Characters of a token beyond which it counts as several words.
+LONG_WORD = 16
 FACTOR = 0x9E3779B97F4A7C15
 #: Words whose hash a Python worker remembers.
 REMEMBERED = 200_000
 
 
 def words_of(text: str) -> list[str]:
-    return text.lower().split()
+    text = text.lower()
+    return text.split() if text.isascii() or not ANY_SPACELESS.search(text) else TOKEN.findall(text)
+
+
+def measure(words: list[str]) -> float:
+    """How many words the tokens count as."""
+    return sum(0.5 if ANY_SPACELESS.match(w) else 1 + len(w) // LONG_WORD for w in words)
 
 
 def digest_of(words: list[str]) -> bytes:
@@ -51,17 +64,48 @@ def digest_of(words: list[str]) -> bytes:
 
 
 def pieces_of(text: str, unit: str, min_words: int) -> Iterator[tuple[list[str], bytes | None, int, int]]:
-    """``(words, digest, start, end)`` of each unit, in code points; no digest if it does not count."""
+    """``(words, digest, start, end)`` of each unit, in code points; no digest if it is short."""
+    plain = text.isascii() or not ANY_SPACELESS.search(text)
     for m in UNITS[unit].finditer(text):
         words = words_of(m.group())
-        yield words, digest_of(words) if len(words) >= min_words else None, m.start(), m.end()
+        counts = plain and len(words) >= min_words or bool(words) and measure(words) >= min_words
+        yield words, digest_of(words) if counts else None, m.start(), m.end()
+
+
+def groups_of(short: list[tuple[list[str], int, int]], min_words: int) -> Iterator[tuple[bytes, int, int]]:
+    """``(digest, start, end)`` of the neighbours that count together: the fewest from each on, and up to each."""
+    sizes = [measure(words) for words, _, _ in short]
+    found, i, total = set(), 0, 0.0
+    for j, size in enumerate(sizes):
+        total += size
+        before = i
+        while total - sizes[i] >= min_words:
+            total -= sizes[i]
+            i += 1
+        if total >= min_words:
+            found.add((i, j))
+            found.update((k, j) for k in range(before, i) if sum(sizes[k:j]) < min_words)
+    for i, j in sorted(found):
+        yield digest_of([w for words, _, _ in short[i:j + 1] for w in words]), short[i][1], short[j][2]
 
 
 def units_of(text: str, unit: str, min_words: int) -> Iterator[tuple[bytes, int, int]]:
-    """``(digest, start, end)`` of each unit that counts, line break included, in code points."""
-    for _, digest, start, end in pieces_of(text, unit, min_words):
-        if digest is not None:
-            yield digest, start, end
+    """``(digest, start, end)`` of each unit that counts, line break included, in code points.
+
+    Neighbouring short units (blank ones between them passed over) count in groups, which overlap.
+    """
+    short: list[tuple[list[str], int, int]] = []
+    for words, digest, start, end in pieces_of(text, unit, min_words):
+        if digest is None:
+            if words:
+                short.append((words, start, end))
+            continue
+        if len(short) > 1:
+            yield from groups_of(short, min_words)
+        short = []
+        yield digest, start, end
+    if len(short) > 1:
+        yield from groups_of(short, min_words)
 
 
 class WordHashes(dict):

@@ -114,3 +114,21 @@ def test_long_runs_of_the_given_documents_stand_once(spark):
     before = runs_in_two_places([(r.doc_id, r.text) for r in docs.collect()], 50)
     after = runs_in_two_places([(r.doc_id, r.text) for r in substring_dedup(docs).collect()], 50)
     assert before and not before & after
+
+
+def test_short_lines_and_text_without_spaces(spark):
+    verse = "a rose is\na rose\n\nthat grows\nby night\nalone"
+    chinese, thai = "这是一段在许多文件里重复出现的文字没有空格", "ข้อความนี้ซ้ำกันในหลายเอกสาร"
+    rows = [(1, f"first title\n{verse}\nThis line is of its own here\n{chinese}\n{thai}"),
+            (2, f"{verse.upper()}\nother\n{chinese}\n{thai}"), (3, f"你好\n{verse}"), (4, "a rose\n你好\nx" + "y" * 100), (5, "x" + "y" * 100)]
+    got = {r.doc_id: r.text for r in substring_dedup(documents(spark, rows)).collect()}
+    assert got == {1: rows[0][1], 2: "other\n", 3: "你好\n", 4: rows[3][1], 5: ""}
+
+
+def test_groups_cover_repeated_short_lines():
+    rng = random.Random(4)
+    for _ in range(200):
+        lines = [" ".join(f"q{rng.randrange(10**6)}" for _ in range(rng.randrange(1, 5))) for _ in range(12)]
+        units = list(units_of("\n".join(lines), "line", 5))
+        assert {d for d, _, _ in units} <= {d for d, _, _ in units_of("\n".join(["before", *lines, "after it"]), "line", 5)}
+        assert min(s for _, s, _ in units) == 0 and max(e for _, _, e in units) == len("\n".join(lines))
