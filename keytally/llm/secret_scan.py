@@ -181,15 +181,19 @@ def candidates(df: DataFrame, words: set[str], id_col: str = "doc_id", text_col:
 def train(labelled: DataFrame, per_label: int = PER_LABEL) -> RandomForestClassificationModel | None:
     """A forest on labelled findings ``(features, label)``, at most ``per_label`` of each label.
 
-    None unless both labels occur. Findings are taken in order of a hash of what they are.
+    None unless both labels occur. Equal findings are one, with their number as its weight;
+    distinct ones are taken in order of a hash of what they are.
     """
-    parts = [labelled.filter(F.col("label") == v).orderBy(F.xxhash64("candidate", "features"), "doc_id", "start").limit(per_label)
+    distinct = labelled.filter(F.col("label").isin(0, 1)).groupBy("label", "candidate", "features").agg(F.count(F.lit(1)).alias("n"))
+    parts = [distinct.filter(F.col("label") == v).orderBy(F.xxhash64("candidate", "features"), "candidate").limit(per_label)
              for v in (0, 1)]
-    sample = shared_table(parts[0].unionByName(parts[1]).select("label", "features"), "findings")
+    sample = shared_table(parts[0].unionByName(parts[1]).select("label", "features", "n"), "findings")
     if sample.select("label").distinct().count() < 2:
         return None
-    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="v", labelCol="y", subsamplingRate=0.8)
-    return forest.fit(sample.coalesce(4).select(F.col("label").cast("double").alias("y"), array_to_vector("features").alias("v")))
+    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="v", labelCol="y", weightCol="w",
+                                    subsamplingRate=0.8)
+    return forest.fit(sample.coalesce(4).select(F.col("label").cast("double").alias("y"), F.col("n").cast("double").alias("w"),
+                                                 array_to_vector("features").alias("v")))
 
 
 def secret_scan(df: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",

@@ -93,3 +93,21 @@ def test_short_secrets_are_reported(spark):
         wanted.add((i, len(left) + 1 + len(before), len(left) + 1 + len(before) + len(secret)))
     found = {(r.doc_id, r.start, r.end) for r in ss.secret_scan(documents(spark, rows)).collect() if r.secret}
     assert len(found & wanted) >= 0.95 * len(wanted)
+
+
+def test_copies_do_not_fill_the_training_sample(spark):
+    """Equal findings are one of the sample, however often they occur."""
+    rows, _ = planted(4, 100)
+    found = ss.candidates(documents(spark, rows), set()).filter("label is not null")
+    one = found.filter("label = 1").orderBy(ss.F.xxhash64("candidate", "features")).limit(1)
+    copies = one.crossJoin(spark.range(300).select(ss.F.col("id").alias("copy"))).drop("copy")
+    seen = []
+    fit = ss.RandomForestClassifier.fit
+    try:
+        ss.RandomForestClassifier.fit = lambda self, df: seen.extend(df.collect()) or fit(self, df)
+        ss.train(found.unionByName(copies), per_label=20)
+    finally:
+        ss.RandomForestClassifier.fit = fit
+    distinct = {(r.y, tuple(r.v)) for r in seen}
+    assert len([r for r in seen if r.y == 1]) == 20 and len([y for y, _ in distinct if y == 1]) > 15
+    assert max(r.w for r in seen) == 301
