@@ -106,3 +106,41 @@ def test_pipeline_on_empty_tables(spark, tmp_path):
     documents(spark, [], clashing=False).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_quality_stage_rejects_what_a_plain_recomputation_rejects(spark, tmp_path):
+    """Poor and toxic labels: the ids that go are those whose tail probability is below ``SELECT_AT``."""
+    from keytally.llm import quality
+    rng = random.Random(6)
+    kinds = ["w", "toxic", "junk"]
+    rows = [(i, " ".join(f"{kinds[i % 3]}{rng.randrange(30)}" for _ in range(rng.randrange(5, 60))), "a") for i in range(150)]
+    labels = [(i, 0 if i % 3 == 2 else 1, 1 if i % 3 == 1 else 0) for i in range(90)]
+    docs = documents(spark, rows, clashing=False).repartition(3)
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    grades = spark.createDataFrame([(i, 0 if not q else 1 if t else 2) for i, q, t in labels], "doc_id long, grade int")
+    model = quality.train(docs, grades)
+
+    def tail(text):
+        z = sum(float(model.weights[p]) for t in quality.tokens_of(text) for p in quality.places(t, model.bits))
+        return quality.sigmoid(z - model.cuts[1])
+
+    rejected = {i for i, text, _ in rows if tail(text) < quality.SELECT_AT}
+    kept = {r.doc_id for r in corpus_pipeline.quality_stage(spark, docs, str(tmp_path)).collect()}
+    assert {i for i, _, _ in rows} - kept == rejected
+    assert len(rejected & {i for i in range(150) if i % 3}) > 90 and len(kept) > 40
+
+
+def test_mixing_stage_takes_words_in_order_and_as_often_as_due(spark):
+    rng = random.Random(7)
+    rows = [(i, words(rng, rng.randrange(1, 400)), rng.choice("abbbb")) for i in range(120)]
+    text, source, taken = {r[0]: r[1] for r in rows}, {r[0]: r[2] for r in rows}, {}
+    for r in corpus_pipeline.mixing_stage(spark, documents(spark, rows, clashing=False).repartition(3), "").collect():
+        rest = iter(text[r.doc_id].split())
+        assert all(w in rest for w in r.text.split())  # words of the document in their order
+        taken.setdefault(r.doc_id, []).append(len(r.text.split()))
+    sizes = {s: sum(len(t.split()) for i, t in text.items() if source[i] == s) for s in "ab"}
+    for s, want in test_source_mix.targets(sizes).items():
+        got = sum(sum(n) for i, n in taken.items() if source[i] == s)
+        assert abs(got - want) <= 2 * 64 + 0.01 * want
+    for i, n in taken.items():
+        assert len(n) <= 3 and all(k <= len(text[i].split()) for k in n)
