@@ -52,3 +52,29 @@ walk AS (
 SELECT sh.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id
 FROM sh JOIN least ON least.node = sh.doc_id
 """
+
+#: Terms with their counts, weights from counts over all documents, integer scores, the 20 best of each item.
+ORACLE_SQL["op12_lexical_search"] = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), d AS (SELECT r, doc_id, w, len(w) AS n FROM words WHERE len(w) > 0),
+c AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM d),
+tf AS (SELECT r, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(w) AS term FROM d) GROUP BY r, term),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf, c GROUP BY term
+), v AS (
+  SELECT r, doc_id, term, (1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms)) AS x FROM tf, c
+), q AS (
+  SELECT i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS i, item_id, text FROM benchmark)
+), s AS (
+  SELECT i, any_value(item_id) AS item_id, r, any_value(doc_id) AS doc_id, CAST(sum(w * x) AS BIGINT) AS score
+  FROM q JOIN weight USING (term) JOIN v USING (term) GROUP BY i, r
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM s WHERE score > 0)
+WHERE rank <= 20
+"""

@@ -9,8 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keytally.llm import (best_fit, exact_dedup, html_extract, jaccard_join, quality, secret_scan, source_mix,
-                          substring_dedup, token_counts, topk_search)
+from keytally.llm import (best_fit, exact_dedup, html_extract, jaccard_join, lexical_search, quality, secret_scan, simhash,
+                          source_mix, substring_dedup, token_counts, topk_search, whitening)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,18 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op11_simhash_dedup(spark, sf_dir):
+    return simhash.simhash_dedup(table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark, sf_dir):
+    return lexical_search.lexical_search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in list(globals().items()) if name.startswith("op") and callable(fn)
 }
