@@ -21,22 +21,35 @@ import argparse
 import json
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 from keytally import fixed_values as fv
 from keytally.operators import generate
 from keytally.session import get_spark
+from keytally.sources.appendlog import AppendLog
+from keytally.sources.folders import Folders
 from keytally.sources.kafka import kafka_sink_options, kafka_source_options
 from keytally.sources.recordlog import read_record_stream
 from keytally.streaming import feeds, jobs
 from keytally.streaming.exactly_once import COMPACT_EVERY, ExactlyOnceCounter, NoSuchStore
+from keytally.streaming.saved_positions import SavedPositions
 
 
 def _trigger(args) -> dict:
     return {"availableNow": True} if args.available_now else {"processingTime": args.interval}
 
 
-def _records(spark: SparkSession, args, counter: ExactlyOnceCounter | None = None):
+def _saved(spark: SparkSession, args, store):
+    """Saved positions on the subscribed topics for a query without a checkpoint; None if there are none."""
+    if store is None or Folders(spark, args.checkpoint).names(f"{args.checkpoint}/offsets"):
+        return None
+    try:
+        return store.positions(spark).filter(F.col("topic").isin(args.topics))
+    except NoSuchStore:
+        return None
+
+
+def _records(spark: SparkSession, args, counter: ExactlyOnceCounter | SavedPositions | None = None):
     if args.format == "kafka":
         # Split large offset ranges over several tasks, so a hot topic partition is not
         # read by one task per micro-batch.
@@ -49,7 +62,13 @@ def _records(spark: SparkSession, args, counter: ExactlyOnceCounter | None = Non
             opts = kafka_source_options(args.bootstrap, args.topics, min_partitions=min_partitions)
         return read_record_stream(spark, "kafka", options=opts)
     options = {"maxFilesPerTrigger": str(args.max_files)} if args.max_files else {}
-    return read_record_stream(spark, args.format, args.path, options, topics=args.topics)
+    log, saved, path = AppendLog(spark, args.path, args.format), _saved(spark, args, counter), args.path
+    if saved is not None and log.exists():  # appends that lie below the positions are not opened
+        path = log.stream_path(saved)
+    records = read_record_stream(spark, args.format, path, options, topics=args.topics)
+    if saved is not None and isinstance(counter, SavedPositions):
+        return counter.resume(records)
+    return records
 
 
 def _wait(query, args) -> None:
@@ -68,7 +87,7 @@ def _run_tables(spark: SparkSession, args) -> dict:
 
 
 def _store_options(args) -> dict:
-    return {"allow_gaps": args.allow_gaps, "compact_every": args.compact_every}
+    return {"allow_gaps": args.allow_gaps, "any_order": args.any_order, "compact_every": args.compact_every}
 
 
 def _run_counter(spark: SparkSession, args, counter: ExactlyOnceCounter) -> dict:
@@ -81,8 +100,9 @@ def _run_counter(spark: SparkSession, args, counter: ExactlyOnceCounter) -> dict
 
 
 def _run_print(spark: SparkSession, args) -> dict:
-    query = jobs.print_batch_counts(_records(spark, args), args.checkpoint, _trigger(args), out=args.out,
-                                    out_format=args.out_format, sample=args.preview)
+    saved = SavedPositions(args.root, args.group) if args.root else None
+    query = jobs.print_batch_counts(_records(spark, args, saved), args.checkpoint, _trigger(args), out=args.out,
+                                    out_format=args.out_format, sample=args.preview, saved=saved)
     _wait(query, args)
     return {}
 
@@ -141,6 +161,8 @@ def build_parser() -> argparse.ArgumentParser:
             p.add_argument("--group", default=default_group)
             p.add_argument("--allow-gaps", action="store_true",
                            help="accept missing offsets (compacted or transactional topics)")
+            p.add_argument("--any-order", action="store_true",
+                           help="count batches that come out of offset order (files by modification time)")
             p.add_argument("--compact-every", type=int, default=COMPACT_EVERY,
                            help="epochs after which totals and positions are folded into a snapshot (0: never)")
 
@@ -150,6 +172,8 @@ def build_parser() -> argparse.ArgumentParser:
     h.add_argument("--hash-name", default=fv.HASH_NAME)
     c = sub.add_parser("count-print", help="put out each micro-batch's word counts, all of them")
     log_args(c, False)
+    c.add_argument("--root", help="save the group's positions below this folder after each batch")
+    c.add_argument("--group", default=fv.GROUPS[-1])
     c.add_argument("--out", help="write the counts below this folder instead of printing them")
     c.add_argument("--out-format", default="json", choices=["json", "parquet", "csv"])
     c.add_argument("--preview", type=int, default=0, help="with --out: also print a sample of so many rows")

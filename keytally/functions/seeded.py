@@ -97,6 +97,34 @@ def distinct_sample(low: int, high_exclusive: int, amount: Column | int, seed: i
     return F.array_sort(F.transform(chosen, lambda s: s["x"]))
 
 
+def sample_of_range(low: int, high_exclusive: int, amount: Column | int, seed: int, salt: str,
+                    *keys: Column | str | int) -> Column:
+    """``amount`` distinct integers from ``[low, high_exclusive)``, ascending (array<bigint>), for ranges of any size.
+
+    Floyd's sampling: for ``j`` from ``width - amount`` on, a draw from ``[0, j]``, or ``j`` itself if
+    the draw was taken before. Every subset is equally likely; the cost goes by the amount, not by
+    the range. Null amounts give null; an amount beyond the range fails the row.
+    """
+    width = high_exclusive - low
+    if not 0 < width <= U_RANGE:
+        raise ValueError(f"range [{low}, {high_exclusive}) must hold 1 to 2**{U_BITS} values")
+    if isinstance(amount, int):
+        if amount > width:
+            raise ValueError(f"cannot draw {amount} distinct values from {width}")
+        amount = F.lit(amount)
+    amount = amount.cast("bigint")
+    steps = (F.when(amount > width, F.raise_error(F.lit(f"sample_of_range: amount exceeds the {width} values of the range")).cast("array<bigint>"))
+             .when(amount > 0, F.sequence(F.lit(width) - amount, F.lit(width - 1).cast("bigint")))
+             .when(amount.isNotNull(), F.array().cast("array<bigint>")))
+
+    def take(chosen: Column, j: Column) -> Column:
+        t = draw(seed, salt, *keys, j) % (j + F.lit(1))
+        return F.concat(chosen, F.array(F.when(F.array_contains(chosen, t), j).otherwise(t)))
+
+    chosen = F.aggregate(steps, F.array().cast("array<bigint>"), take)
+    return F.array_sort(F.transform(chosen, lambda x: x + F.lit(low)))
+
+
 def repeat_sample(low: int, high_exclusive: int, amount: Column | int, seed: int, salt: str,
                   *keys: Column | str | int) -> Column:
     """``amount`` integers from ``[low, high_exclusive)`` with repeats, in draw order."""

@@ -373,3 +373,55 @@ SELECT * FROM orders ORDER BY o_orderkey LIMIT 100""",
 }
 
 assert max_geometric_length(_P_CONTINUE) > 0
+
+
+# --- offset sets, keyed placement, samples of large ranges, weights from a table ---------------------
+
+_LOG = f"""(SELECT '{fv.TOPIC}' AS topic, CAST(event_id % {q.LOG_PARTITIONS} AS INTEGER) AS partition,
+  event_id // {q.LOG_PARTITIONS} AS "offset", CAST(NULL AS VARCHAR) AS key, event_type AS value FROM events)"""
+
+ORACLE_SQL["offset_runs"] = f"""
+WITH k AS (SELECT *, "offset" - row_number() OVER (PARTITION BY topic, partition ORDER BY "offset") AS island
+           FROM {_LOG} WHERE value <> 'error')
+SELECT topic, partition, min("offset") AS from_offset, max("offset") + 1 AS until_offset FROM k GROUP BY topic, partition, island
+"""
+
+ORACLE_SQL["offset_gaps"] = f"""
+WITH k AS (SELECT topic, partition, "offset" + 1 AS from_offset, lead("offset") OVER (PARTITION BY topic, partition ORDER BY "offset") AS until_offset
+           FROM {_LOG} WHERE value <> 'error')
+SELECT topic, partition, from_offset, until_offset, until_offset - from_offset AS n_missing FROM k WHERE until_offset > from_offset
+"""
+
+ORACLE_SQL["offset_repeats"] = f"""
+SELECT topic, partition, "offset", count(*) AS n
+FROM (SELECT * FROM {_LOG} UNION ALL SELECT * FROM {_LOG} WHERE value = 'purchase') GROUP BY topic, partition, "offset" HAVING count(*) > 1
+"""
+
+ORACLE_SQL["uncounted"] = f"""
+SELECT topic, partition, "offset", key, value FROM {_LOG} WHERE value NOT IN ('click', 'view')
+"""
+
+ORACLE_SQL["keyed_log"] = f"""
+WITH k AS (SELECT *, CAST(CAST('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 13) AS BIGINT) % {q.LOG_PARTITIONS} AS INTEGER) AS partition FROM events)
+SELECT '{fv.TOPIC}' AS topic, partition, row_number() OVER (PARTITION BY partition ORDER BY event_id) - 1 AS "offset",
+       CAST(user_id AS VARCHAR) AS key, event_type AS value FROM k
+"""
+
+ORACLE_SQL["sample_range"] = f"""
+WITH RECURSIVE f AS (
+  SELECT p_partkey, CAST({q.SAMPLE_RANGE - q.SAMPLE_AMOUNT} AS BIGINT) AS j, CAST([] AS BIGINT[]) AS s FROM part
+  UNION ALL
+  SELECT p_partkey, j + 1, list_append(s, CASE WHEN list_contains(s, t) THEN j ELSE t END)
+  FROM (SELECT *, {draw('range', 'p_partkey', 'j')} % (j + 1) AS t FROM f WHERE j < {q.SAMPLE_RANGE})
+)
+SELECT p_partkey, array_to_string(list_sort(list_transform(s, lambda x: x + 1)), ',') AS ids FROM f WHERE j = {q.SAMPLE_RANGE}
+"""
+
+ORACLE_SQL["weighted_nation"] = f"""
+WITH w AS (SELECT c_mktsegment, c_nationkey, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
+c AS (SELECT *, CAST(sum(n) OVER (PARTITION BY c_mktsegment ORDER BY c_nationkey) AS BIGINT) AS high,
+             CAST(sum(n) OVER (PARTITION BY c_mktsegment) AS BIGINT) AS total FROM w),
+d AS (SELECT c_custkey, c_mktsegment, {draw('nation', 'c_custkey')} AS draw FROM customer)
+SELECT c_custkey, d.c_mktsegment, c_nationkey AS nation
+FROM d LEFT JOIN c ON d.c_mktsegment = c.c_mktsegment AND draw % total < high AND draw % total >= high - n
+"""

@@ -23,16 +23,17 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from keytally import fixed_values as fv
 from keytally.functions import codecs, seeded
 from keytally.functions.tokens import split_tokens, token_count
-from keytally.operators import counting, generate, offsets
+from keytally.operators import counting, generate, offset_sets, offsets, weighted
 from keytally.operators.running_sum import running_sum
 from keytally.schemas import INPUT_TABLES
-from keytally.sources import recordlog, tables
+from keytally.sources import recordlog, sinks, tables
 
 LOG_PARTITIONS = 4
 LOG_BATCH_SIZE = 500
 RESUME_GROUP = "bigdata4"
 UNSAVED_PARTITION = 3  # resume_filter: this partition has no saved position (earliest)
 SEED = seeded.DEFAULT_SEED
+SAMPLE_RANGE, SAMPLE_AMOUNT = 10 ** 9, 10
 #: Action that an event of each type stands for; other types have none.
 ACTION_OF_EVENT = [("view", "search"), ("click", "click"), ("purchase", "order"), ("signup", "pay")]
 
@@ -157,6 +158,40 @@ def q_resume_filter(spark, sf_dir):
     return offsets.resume_filter(events_log(spark, sf_dir), positions)
 
 
+def kept_log(spark, sf_dir):
+    """The log as a topic without its errors has it: their offsets are holes."""
+    return events_log(spark, sf_dir).filter(F.col("value") != F.lit("error"))
+
+
+def q_offset_runs(spark, sf_dir):
+    return offset_sets.offset_runs(offset_sets.offset_bitmaps(kept_log(spark, sf_dir)))
+
+
+def q_offset_gaps(spark, sf_dir):
+    return offset_sets.offset_gaps(offset_sets.offset_bitmaps(kept_log(spark, sf_dir)))
+
+
+def q_offset_repeats(spark, sf_dir):
+    """Offsets that come more than once when purchases are delivered again."""
+    log = events_log(spark, sf_dir)
+    delivered = log.unionByName(log.filter(F.col("value") == F.lit("purchase")))
+    return offset_sets.repeated_offsets(delivered, offset_sets.offset_bitmaps(delivered))
+
+
+def q_uncounted(spark, sf_dir):
+    """Records outside a set of counted ranges: those of all clicks and views."""
+    log = events_log(spark, sf_dir)
+    counted = offset_sets.offset_runs(offset_sets.offset_bitmaps(log.filter(F.col("value").isin("click", "view"))))
+    return offset_sets.without_ranges(log, counted)
+
+
+def q_keyed_log(spark, sf_dir):
+    """Events as a log keyed by user, in event order."""
+    events = table(spark, sf_dir, "events", "event_id", "user_id", "event_type")
+    records = events.select(F.lit(fv.TOPIC).alias("topic"), F.col("user_id").cast("string").alias("key"), F.col("event_type").alias("value"), "event_id")
+    return sinks.place_by_key(records, LOG_PARTITIONS, order_cols=("event_id",))
+
+
 # --- P: line codec, time formats, messages ----------------------------------------------------
 
 def _ad_clicks_of_events(spark, sf_dir):
@@ -230,6 +265,23 @@ def q_sample_ids_repeat(spark, sf_dir):
     return part.select("p_partkey", _sample_amount().alias("amount"), seeded.join_ids(ids).alias("ids"))
 
 
+def q_sample_range(spark, sf_dir):
+    """Ten of a thousand million ids for each part."""
+    part = table(spark, sf_dir, "part", "p_partkey", spread=True)
+    ids = seeded.sample_of_range(1, SAMPLE_RANGE + 1, SAMPLE_AMOUNT, SEED, "range", "p_partkey")
+    return part.select("p_partkey", seeded.join_ids(ids).alias("ids"))
+
+
+def q_weighted_nation(spark, sf_dir):
+    """A nation for each customer, by the number of orders that its market segment has from each nation."""
+    customer = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
+    orders = table(spark, sf_dir, "orders", "o_custkey")
+    weights = (orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
+               .groupBy("c_mktsegment", "c_nationkey").agg(F.count(F.lit(1)).alias("orders")))
+    return weighted.weighted_choice_from(customer.select("c_custkey", "c_mktsegment"), weights, "c_mktsegment", "c_nationkey", "orders",
+                                         "nation", SEED, "nation", "c_custkey")
+
+
 def q_event_time_walk(spark, sf_dir):
     keys = table(spark, sf_dir, "orders", "o_orderkey")
     walked = generate.event_time_walk(keys, "o_orderkey", seed=SEED)

@@ -1,16 +1,21 @@
 """Record-log and console sinks.
 
 A broker assigns a record's partition and offset; files have none, so the file sink writes
-them: a task's rows are a partition of the log, numbered on from what the log holds. So what
-is written can be counted by the stream jobs.
+them, numbered on from what the log holds: with a number of partitions, records with equal keys
+go to one partition as a broker's do (:func:`place_by_key`); without, a task's rows are a
+partition of the log. So what is written can be counted by the stream jobs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from keytally.operators.running_sum import RANGE_ROWS, running_sum
 from keytally.schemas import RECORD_LOG
+from keytally.sources.folders import Folders, numbers
 
 RECORDS = [f.name for f in RECORD_LOG.fields]
 _NEXT = "topic string, partition int, next bigint"
@@ -32,18 +37,52 @@ def with_positions(records: DataFrame, after: DataFrame | None = None) -> DataFr
     return placed.select(*RECORDS)
 
 
+def key_partition(key: Column | str, partitions: int) -> Column:
+    """The partition of a key: 52 bits of its MD5, which any engine has, by the number of partitions; null without a key."""
+    bits = F.conv(F.substring(F.md5(F.col(key) if isinstance(key, str) else key), 1, 13), 16, 10).cast("bigint")
+    return (bits % F.lit(partitions)).cast("int")
+
+
+def place_by_key(records: DataFrame, partitions: int, after: DataFrame | None = None, order_cols: Sequence[str] = (),
+                 range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Records with a partition by key and dense offsets from ``after (topic, partition, next)``.
+
+    Equal keys share a partition, records without a key are spread; a partition's records are in
+    ``order_cols`` order, or in that of the frame. Numbered in two levels: a running count over
+    ranges of (partition, order), so that a hot key's records are numbered by many tasks, less
+    the least count of their partition (a row each, broadcast). One topic per frame.
+    """
+    if partitions < 1:
+        raise ValueError("partitions must be >= 1")
+    row = F.monotonically_increasing_id()
+    given = records.select("topic", "key", "value", *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order_cols)])
+    order = [f"_order{i}" for i in range(len(order_cols))]
+    spread = F.pmod(F.xxhash64(*order) if order else row, F.lit(partitions)).cast("int")
+    placed = given.withColumns({"partition": F.coalesce(key_partition("key", partitions), spread), "_row": row, "_one": F.lit(1).cast("bigint")})
+    counted = running_sum(placed, "_one", "partition", "_n", tie_cols=[*order, "_row"], range_rows=range_rows)
+    first = counted.groupBy("partition").agg(F.min("_n").alias("_first"))  # a row per partition
+    offset = F.col("_n") - F.col("_first")
+    counted = counted.join(F.broadcast(first), "partition")
+    if after is not None:
+        counted = counted.join(F.broadcast(after), ["topic", "partition"], "left")
+        offset = offset + F.coalesce("next", F.lit(0))
+    return counted.withColumn("offset", offset).select(*RECORDS)
+
+
 def next_offsets(log: DataFrame) -> DataFrame:
     """``(topic, partition, next)``: one past the last offset of each partition of a log."""
     return log.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next"))
 
 
 def write_records(records: DataFrame, fmt: str, path: str | None = None,
-                  options: dict[str, str] | None = None, mode: str = "append") -> None:
+                  options: dict[str, str] | None = None, mode: str = "append", partitions: int | None = None) -> None:
     """Write ``(topic, key, value)`` records (see :func:`keytally.sources.recordlog.to_records`).
 
     ``fmt="kafka"`` sends them with the given producer options (``kafka_sink_options``:
     ``acks=all`` by default; each task flushes and awaits its sends before it succeeds). Any
-    file format appends record files with partitions and offsets under ``path``; one writer.
+    file format appends record files with partitions and offsets under ``path``; one writer. A
+    failed append can leave files; :class:`keytally.sources.appendlog.AppendLog` appends at once
+    and once only.
     """
     if fmt == "kafka":
         records.select("topic", "key", "value").write.format("kafka").options(**(options or {})).save()
@@ -52,7 +91,8 @@ def write_records(records: DataFrame, fmt: str, path: str | None = None,
     if mode == "append" and _has_files(records.sparkSession, path):
         log = records.sparkSession.read.format(fmt).schema(RECORD_LOG).options(**(options or {})).load(path)
         after = records.sparkSession.createDataFrame(next_offsets(log).collect(), _NEXT)  # a row per partition
-    with_positions(records, after).write.format(fmt).options(**(options or {})).mode(mode).save(path)
+    placed = with_positions(records, after) if partitions is None else place_by_key(records, partitions, after)
+    placed.write.format(fmt).options(**(options or {})).mode(mode).save(path)
 
 
 def _has_files(spark: SparkSession, path: str) -> bool:
@@ -62,11 +102,12 @@ def _has_files(spark: SparkSession, path: str) -> bool:
 
 
 def stream_records(records: DataFrame, fmt: str, checkpoint_location: str, path: str | None = None,
-                   options: dict[str, str] | None = None) -> DataStreamWriter:
+                   options: dict[str, str] | None = None, partitions: int | None = None) -> DataStreamWriter:
     """Streaming writer of records (``fmt="kafka"`` or a file format); call ``.start()``.
 
     Files go to ``path/batch=<id>`` (a replayed batch overwrites its own), next offsets to
-    ``path/_next/batch=<id>``; one query per path.
+    ``path/_next/batch=<id>``, of which the last two stay; one query per path. ``partitions``
+    places records by key.
     """
     if fmt == "kafka":
         return (records.select("topic", "key", "value").writeStream.format("kafka")
@@ -76,10 +117,15 @@ def stream_records(records: DataFrame, fmt: str, checkpoint_location: str, path:
         spark = batch.sparkSession
         after = spark.read.schema(_NEXT).parquet(f"{path}/_next/batch={batch_id - 1}") if batch_id else spark.createDataFrame([], _NEXT)
         out = f"{path}/batch={batch_id}"
-        with_positions(batch, after).write.format(fmt).options(**(options or {})).mode("overwrite").save(out)
+        placed = with_positions(batch, after) if partitions is None else place_by_key(batch, partitions, after)
+        placed.write.format(fmt).options(**(options or {})).mode("overwrite").save(out)
         written = spark.read.format(fmt).schema(RECORD_LOG).options(**(options or {})).load(out)
         ends = next_offsets(written).unionByName(after).groupBy("topic", "partition").agg(F.max("next").alias("next"))
         ends.coalesce(1).write.mode("overwrite").parquet(f"{path}/_next/batch={batch_id}")
+        folders = Folders(spark, path)
+        for old in numbers(folders.names(f"{path}/_next"), "batch="):
+            if old < batch_id - 1:
+                folders.delete(f"{path}/_next/batch={old}")
 
     return records.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint_location)
 

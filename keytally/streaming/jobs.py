@@ -4,7 +4,8 @@ All four read a record log and count per micro-batch; they differ in how results
 progress are committed:
 
 * :func:`print_batch_counts` — all word counts of each batch printed or written, then the
-  batch is committed by Spark's checkpoint (commit after output: at-least-once — a crash
+  batch is committed by Spark's checkpoint, and the group's positions are saved
+  (:mod:`keytally.streaming.saved_positions`; commit after output: at-least-once — a crash
   between the two puts the batch out again);
 * :func:`exactly_once_word_totals` — counts and positions committed together per
   micro-batch, restart from the saved positions (:mod:`keytally.streaming.exactly_once`);
@@ -24,9 +25,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from keytally import fixed_values as fv
 from keytally.operators import counting, offsets
+from keytally.sources.folders import Folders
 from keytally.sources.kafka import kafka_partitions, kafka_source_options
 from keytally.sources.sinks import console
-from keytally.streaming.exactly_once import ExactlyOnceCounter, Folders, NoSuchStore, value_counts, word_counts
+from keytally.streaming.exactly_once import ExactlyOnceCounter, NoSuchStore, value_counts, word_counts
+from keytally.streaming.saved_positions import SavedPositions
 
 
 def _trigger(writer, trigger: dict | None):
@@ -34,15 +37,22 @@ def _trigger(writer, trigger: dict | None):
 
 
 def print_batch_counts(records: DataFrame, checkpoint_location: str, trigger: dict | None = None,
-                       out: str | None = None, out_format: str = "json", sample: int = 0, sink=None) -> StreamingQuery:
+                       out: str | None = None, out_format: str = "json", sample: int = 0, sink=None,
+                       saved: SavedPositions | None = None) -> StreamingQuery:
     """Put out each micro-batch's word counts, all of them; Spark commits the batch afterwards.
 
     With ``out`` they are written to ``out/query=<id>/batch=<id>`` (the query id lives in the
     checkpoint, so a lost checkpoint starts a folder of its own), and ``sample`` rows are
     printed besides, named as a sample. Without it every row is printed, a partition at a time.
-    ``sink(df, batch_id)`` replaces both.
+    ``sink(df, batch_id)`` replaces both. ``saved`` takes the group's positions after the output;
+    ``saved.resume(records)`` starts a fresh checkpoint from them.
     """
     def body(batch: DataFrame, batch_id: int) -> None:
+        put_out(batch, batch_id)
+        if saved is not None:
+            saved.save(batch)
+
+    def put_out(batch: DataFrame, batch_id: int) -> None:
         counts = counting.word_count(batch, "value")
         if sink is not None:
             sink(counts, batch_id)

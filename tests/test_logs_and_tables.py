@@ -1,0 +1,301 @@
+"""Appends at once and once only, files skipped by position, keyed placement, saved positions, table switches."""
+
+import json
+import os
+import random
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from keytally.cli import main
+from keytally.sources import recordlog, sinks, tables
+from keytally.sources.appendlog import AppendConflict, AppendLog, numbers_from
+from keytally.sources.folders import Folders
+from keytally.streaming import jobs
+from keytally.streaming.exactly_once import ExactlyOnceCounter, WriterConflict
+from keytally.streaming.saved_positions import SavedPositions
+
+POSITIONS = "topic string, partition int, until_offset long"
+
+
+def records(spark, values, keyed=False):
+    return recordlog.to_records(spark.createDataFrame([(v,) for v in values], "v string"), "v", keyed=keyed)
+
+
+def placed(df):
+    return sorted((r["partition"], r["offset"], r["key"], r["value"]) for r in df.collect())
+
+
+# --- keyed placement ---------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("range_rows", [7, 1 << 20])
+def test_equal_keys_share_a_partition_and_offsets_are_dense(spark, range_rows):
+    rng = random.Random(1)
+    values = [rng.choice(["hot"] * 20 + [f"k{i}" for i in range(9)]) for _ in range(300)]  # one key has over half of the records
+    df = records(spark, values, keyed=True).repartition(5)
+    after = spark.createDataFrame([("wc", 0, 100), ("wc", 2, 7), ("other", 1, 3)], "topic string, partition int, next long")
+    got = placed(sinks.place_by_key(df, 3, after, range_rows=range_rows))
+    assert sorted(v for *_, v in got) == sorted(values)
+    of = {}
+    for p, _, k, _ in got:
+        assert of.setdefault(k, p) == p and 0 <= p < 3
+    start = {0: 100, 1: 0, 2: 7}
+    for p in set(of.values()):
+        offsets = [o for q, o, _, _ in got if q == p]
+        assert offsets == list(range(start[p], start[p] + len(offsets)))
+
+
+def test_keys_keep_their_order_and_null_keys_are_spread(spark):
+    df = spark.range(0, 400, 1, 4).select(F.lit("wc").alias("topic"), F.when(F.col("id") % 2 == 0, F.lit("k")).alias("key"), F.col("id").cast("string").alias("value"))
+    got = placed(sinks.place_by_key(df, 4, range_rows=50))
+    keyed = [int(v) for _, _, k, v in got if k == "k"]
+    assert keyed == sorted(keyed) and len({p for p, _, k, _ in got if k is None}) == 4
+    ordered = placed(sinks.place_by_key(df.withColumn("n", -F.col("value").cast("long")), 1, order_cols=["n"]))
+    assert [int(v) for *_, v in ordered] == list(range(399, -1, -1))
+    assert sinks.place_by_key(df.limit(0), 4).collect() == []
+
+
+def test_a_hot_key_is_numbered_by_many_tasks(spark):
+    df = spark.range(0, 4000, 1, 4).select(F.lit("wc").alias("topic"), F.lit("k").alias("key"), F.col("id").cast("string").alias("value"))
+    got = sinks.place_by_key(df, 4, range_rows=500)
+    tasks = got.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    assert len(tasks) >= 3 and max(r["count"] for r in tasks) < 3000
+
+
+# --- idempotent appends ------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_appends_are_visible_at_once_and_once_only(spark, scratch_dir, fmt):
+    log = AppendLog(spark, os.path.join(scratch_dir, "log"), fmt)
+    assert not log.exists() and log.read().collect() == []
+    assert log.append(records(spark, "abc").coalesce(1), "w", 1)
+    assert not log.append(records(spark, "abc"), "w", 1)  # repeated
+    assert log.append(records(spark, "de").coalesce(1), "w", 2) and not log.append(records(spark, "zz"), "w", 1)
+    assert log.append(records(spark, "f").coalesce(1), "other", 1)
+    assert [(o, v) for _, o, _, v in placed(log.read())] == list(enumerate("abcdef"))
+
+
+@pytest.mark.parametrize("point", ["written", "committed"])
+def test_killed_and_retried(spark, scratch_dir, point):
+    """Killed between data and commit, or between commit and rename: after the retry each record once."""
+    class Killed(AppendLog):
+        def _commit(self, *args):
+            if point == "written":
+                raise KeyboardInterrupt
+            return super()._commit(*args)
+
+        def _finish(self, n, entry):
+            if point == "committed" and n == 1:
+                raise KeyboardInterrupt
+            super()._finish(n, entry)
+
+    path = os.path.join(scratch_dir, "log")
+    AppendLog(spark, path).append(records(spark, "ab").coalesce(1), "w", 1)
+    with pytest.raises(KeyboardInterrupt):
+        Killed(spark, path).append(records(spark, "cd").coalesce(1), "w", 2)
+    log = AppendLog(spark, path)
+    if point == "written":
+        assert [v for *_, v in placed(log.read())] == ["a", "b"]
+    assert log.append(records(spark, "cd").coalesce(1), "w", 2) == (point == "written")
+    assert [(o, v) for _, o, _, v in placed(log.read())] == list(enumerate("abcd"))
+    left = [n for n in os.listdir(path) if n.startswith("_attempt-")]
+    assert len(left) == (point == "written") and log.vacuum() == [] and sorted(log.vacuum(older_than=-1)) == left
+    assert [v for *_, v in placed(log.read())] == list("abcd")
+
+
+def test_two_writers_of_a_log(spark, scratch_dir):
+    """The second to commit places its records behind the first's."""
+    path = os.path.join(scratch_dir, "log")
+    a, b = AppendLog(spark, path), AppendLog(spark, path)
+    commit, ahead = a._commit, iter([["x", 1], ["y", 2]])
+
+    def other_first(*args):
+        for value, sequence in ahead:
+            b.append(records(spark, [value]).coalesce(1), "b", sequence)
+            break
+        return commit(*args)
+
+    a._commit = other_first
+    assert a.append(records(spark, "cd").coalesce(1), "a", 1)
+    assert [(o, v) for _, o, _, v in placed(a.read())] == list(enumerate("xycd"))
+    a._commit = lambda *args: False
+    with pytest.raises(AppendConflict):
+        a.append(records(spark, "z"), "a", 2)
+    assert len(placed(b.read())) == 4
+
+
+# --- files skipped by position -------------------------------------------------------------------------
+
+def test_numbers_from():
+    import fnmatch
+    for first in (0, 7, 9, 10, 42, 99, 1999, 12_345):
+        alternatives = numbers_from(first)[1:-1].split(",")
+        for n in (0, 1, first - 1, first, first + 1, first + 9, 10 * first + 3, 123_456, 9_999_999_999):
+            if n >= 0:
+                assert any(fnmatch.fnmatch(f"{n:010d}", a) for a in alternatives) == (n >= first), (first, n)
+
+
+def keyed_log(spark, path, appends=12):
+    log = AppendLog(spark, path, "json")
+    for i in range(appends):
+        log.append(records(spark, [f"v{i}"] * 3).coalesce(1), "w", i)
+    return log
+
+
+def test_only_files_above_the_positions_are_opened(spark, scratch_dir):
+    log = keyed_log(spark, os.path.join(scratch_dir, "log"))
+    saved = lambda n: spark.createDataFrame([("wc", 0, n)], POSITIONS)
+    for n, opened in ((0, 12), (3, 11), (4, 11), (30, 2), (36, 0), (100, 0)):
+        got = log.read(saved(n))
+        assert len({f.split("append=")[1][:10] for f in got.inputFiles()}) == opened
+        assert got.filter(F.col("offset") >= n).count() == max(0, 36 - n)
+    assert log.read(spark.createDataFrame([("wc", 1, 50)], POSITIONS)).count() == 36  # another partition's position
+
+
+def test_a_lost_checkpoint_opens_only_new_appends(spark, scratch_dir):
+    path, store = os.path.join(scratch_dir, "log"), os.path.join(scratch_dir, "store")
+    log = keyed_log(spark, path, 6)
+    run = lambda c: main(["count-exactly-once", "--format", "json", "--path", path, "--root", store, "--available-now",
+                          "--group", "g", "--checkpoint", os.path.join(scratch_dir, c)], spark=spark)
+    run("c1")
+    log.append(records(spark, ["new"]).coalesce(1), "w", 99)
+    run("c2")  # a fresh checkpoint
+    seen = []
+    for name in os.listdir(os.path.join(scratch_dir, "c2", "sources", "0")):
+        if name.isdigit():
+            with open(os.path.join(scratch_dir, "c2", "sources", "0", name)) as f:
+                seen += [json.loads(line)["path"] for line in f if line.startswith("{")]
+    assert len(seen) == 1 and "append=0000000006" in seen[0]
+    totals = {r["word"]: r["cnt"] for r in ExactlyOnceCounter(store, "g").totals(spark).collect()}
+    assert totals == {**{f"v{i}": 3 for i in range(6)}, "new": 1}
+    log.append(records(spark, ["later"]).coalesce(1), "w", 100)
+    run("c2")  # the same checkpoint goes on
+    assert ExactlyOnceCounter(store, "g").total_of(spark, "later").first()["cnt"] == 1
+
+
+# --- positions after the output ----------------------------------------------------------------------
+
+def _print(spark, scratch_dir, saved, seen, checkpoint, crash=None):
+    def sink(counts, batch_id):
+        seen.append({r["word"]: r["cnt"] for r in counts.collect()})
+        if crash == "after output":
+            raise RuntimeError("crash")
+
+    stream = recordlog.read_record_stream(spark, "json", os.path.join(scratch_dir, "log"), {"maxFilesPerTrigger": "1"})
+    q = jobs.print_batch_counts(saved.resume(stream), os.path.join(scratch_dir, checkpoint), {"availableNow": True}, sink=sink, saved=saved)
+    try:
+        q.awaitTermination(120)
+    finally:
+        q.stop()
+
+
+def test_positions_follow_the_output(spark, scratch_dir):
+    os.makedirs(os.path.join(scratch_dir, "log"))
+
+    def add(name, offsets):
+        with open(os.path.join(scratch_dir, "log", f"{name}.json"), "w") as f:
+            f.writelines(json.dumps({"topic": "wc", "partition": 0, "offset": o, "value": f"w{o}"}) + "\n" for o in offsets)
+
+    saved, seen = SavedPositions(os.path.join(scratch_dir, "positions"), "g"), []
+    at = lambda: {r["partition"]: r["until_offset"] for r in saved.positions(spark).collect()}
+    assert at() == {}
+    add("a", [0, 1])
+    _print(spark, scratch_dir, saved, seen, "c1")
+    assert seen == [{"w0": 1, "w1": 1}] and at() == {0: 2}
+    add("b", [2, 3])
+    with pytest.raises(StreamingQueryException):
+        _print(spark, scratch_dir, saved, seen, "c1", crash="after output")
+    assert at() == {0: 2}  # put out, not saved
+    _print(spark, scratch_dir, saved, seen, "c1")
+    assert seen[1:] == [{"w2": 1, "w3": 1}] * 2 and at() == {0: 4}  # repeated, not lost
+    add("c", [4])
+    _print(spark, scratch_dir, saved, seen, "c2")  # a fresh checkpoint starts at the positions
+    assert [s for s in seen[3:] if s] == [{"w4": 1}] and at() == {0: 5}
+    assert json.loads(jobs.kafka_resume_offsets(spark, saved, "wc", {"wc": 2})) == {"wc": {"0": 5, "1": -2}}
+
+
+def test_positions_never_go_back_and_one_query_saves(spark, scratch_dir):
+    a, b = (SavedPositions(scratch_dir, "g/x") for _ in range(2))
+    df = lambda *offsets: spark.createDataFrame([("wc", 0, o) for o in offsets], "topic string, partition int, offset long")
+    for o in range(12):
+        a.save(df(o))
+    a.save(df(3))
+    assert [r["until_offset"] for r in b.positions(spark).collect()] == [12] and len(os.listdir(b.group_path)) <= 9
+    newest = a._newest
+    a._newest = lambda s: (newest(s), b.save(df(20)))[0]
+    with pytest.raises(WriterConflict):
+        a.save(df(30))
+    assert [r["until_offset"] for r in b.positions(spark).collect()] == [21]
+
+
+def test_count_print_saves_positions(spark, scratch_dir, capsys):
+    keyed_log(spark, os.path.join(scratch_dir, "log"), 2)
+    run = lambda c: main(["count-print", "--format", "json", "--path", os.path.join(scratch_dir, "log"), "--available-now", "--group", "g",
+                          "--root", os.path.join(scratch_dir, "p"), "--checkpoint", os.path.join(scratch_dir, c)], spark=spark)
+    run("c1")
+    assert "v1\t3" in capsys.readouterr().out
+    run("c2")
+    assert "v1" not in capsys.readouterr().out
+
+
+# --- table switches ------------------------------------------------------------------------------------
+
+def test_a_reader_finishes_during_replacements(spark):
+    tables.replace_table(spark.range(5), "kt_pinned")
+    with tables.snapshot(spark, "kt_pinned") as pinned:
+        for n in (7, 8, 9):
+            tables.replace_table(spark.range(n), "kt_pinned")
+        assert pinned.count() == 5
+        assert tables.scan_table(spark, "kt_pinned").count() == 9 == spark.table("kt_pinned").count()
+    assert tables.clean_table(spark, "kt_pinned") != []
+    folder = tables.table_folder(spark, "kt_pinned")
+    assert len([n for n in Folders(spark, folder).names(folder) if n.startswith("v=")]) == 2
+    with pytest.raises(FileNotFoundError):
+        with tables.snapshot(spark, "kt_never"):
+            pass
+
+
+def test_a_dead_readers_pin_ends(spark):
+    tables.replace_table(spark.range(5), "kt_leases")
+    lease = tables.snapshot(spark, "kt_leases", seconds=-1)
+    lease.__enter__()  # never left
+    for n in (2, 3):
+        tables.replace_table(spark.range(n), "kt_leases")
+    folder = tables.table_folder(spark, "kt_leases")
+    names = Folders(spark, folder).names(folder)
+    assert len([n for n in names if n.startswith("v=")]) == 2 and not [n for n in names if n.startswith("_pin-")]
+
+
+def test_two_writers_of_a_table(spark, monkeypatch):
+    base = tables.replace_table(spark.range(1), "kt_writers")
+    tables.replace_table(spark.range(2), "kt_writers")
+    with pytest.raises(tables.TableConflict):  # its rows were made from a version that is not the newest
+        tables.replace_table(spark.range(3), "kt_writers", since=base)
+    current = tables.current_version
+
+    def other_first(*args, **kwargs):
+        monkeypatch.setattr(tables, "current_version", current)
+        found = current(*args, **kwargs)
+        tables.replace_table(spark.range(20), "kt_writers")
+        return found
+
+    monkeypatch.setattr(tables, "current_version", other_first)
+    with pytest.raises(tables.TableConflict):
+        tables.replace_table(spark.range(4), "kt_writers")
+    assert tables.scan_table(spark, "kt_writers").count() == 20
+    for _ in range(3):
+        tables.replace_table(spark.range(30), "kt_writers")
+    with pytest.raises(tables.TableConflict):  # the pointer's name is free again
+        tables.replace_table(spark.range(3), "kt_writers", since=base)
+    assert tables.scan_table(spark, "kt_writers").count() == 30
+
+
+def test_a_stale_catalog_entry_is_passed_over(spark):
+    tables.replace_table(spark.range(5), "kt_stale")
+    old = f"{tables.table_folder(spark, 'kt_stale')}/{tables.current_version(spark, 'kt_stale').folder}"
+    tables.replace_table(spark.range(6), "kt_stale")
+    spark.sql(f"ALTER TABLE kt_stale SET LOCATION '{old}'")  # as another process's catalog has it
+    assert tables.scan_table(spark, "kt_stale").count() == 6
+    tables.replace_table(spark.range(3).select(F.col("id").cast("string").alias("other")), "kt_stale")  # other columns
+    assert spark.table("kt_stale").columns == ["other"] and tables.scan_table(spark, "kt_stale").count() == 3

@@ -1,0 +1,102 @@
+"""Exact sets of offsets against Python sets."""
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from keytally.operators import offset_sets as os_
+
+SCHEMA = "topic string, partition int, offset long, key string, value string"
+B = os_.BUCKET
+
+
+def log(spark, offsets, partition=0, topic="wc"):
+    return spark.createDataFrame([(topic, partition, o, None, "v") for o in offsets], SCHEMA)
+
+
+def runs_of(offsets):
+    out = []
+    for o in sorted(set(offsets)):
+        if out and out[-1][1] == o:
+            out[-1][1] = o + 1
+        else:
+            out.append([o, o + 1])
+    return [tuple(r) for r in out]
+
+
+def ranges(df):
+    return sorted((r["topic"], r["partition"], r["from_offset"], r["until_offset"]) for r in df.collect())
+
+
+CASES = {
+    "dense": list(range(500)),
+    "repeats as many as holes": [0, 1, 1, 4, 5, 5, 6, 6, 8],
+    "holes": [0, 3, 3, 9],
+    "edges": [0, B - 1, B, 2 * B - 1, 2 * B, 5 * B + 7],
+    "across buckets": [*range(B - 3, B + 3), *range(2 * B, 2 * B + 2)],
+    "single": [7 * B + 13],
+    "every bit of a word": [*range(64, 128), 130, 191, 192, 255, 257],
+    "large": [10 ** 12, 10 ** 12 + 1, 10 ** 12 + 40],
+}
+
+
+def test_runs_gaps_and_repeats(spark):
+    """Every case is a partition of one log."""
+    records = spark.createDataFrame([("wc", p, o, None, name) for p, (name, offsets) in enumerate(CASES.items()) for o in offsets], SCHEMA).repartition(3)
+    bitmaps = os_.offset_bitmaps(records).cache()
+    runs = [runs_of(offsets) for offsets in CASES.values()]
+    assert ranges(os_.offset_runs(bitmaps)) == [("wc", p, *r) for p, own in enumerate(runs) for r in own]
+    assert ranges(os_.offset_gaps(bitmaps)) == [("wc", p, a[1], b[0]) for p, own in enumerate(runs) for a, b in zip(own, own[1:])]
+    repeated = {(r["partition"], r["offset"]): r["n"] for r in os_.repeated_offsets(records, bitmaps).collect()}
+    assert repeated == {(p, o): n for p, offsets in enumerate(CASES.values()) for o, n in Counter(offsets).items() if n > 1}
+
+
+def test_random_sets_of_several_partitions(spark):
+    rng = random.Random(3)
+    sets = {p: [rng.randrange(0, 3 * B) // rng.choice([1, 1, 50]) for _ in range(3000)] + list(range(B - 40, B + 900)) for p in range(3)}
+    records = spark.createDataFrame([("wc", p, o, None, "v") for p, s in sets.items() for o in s], SCHEMA).repartition(5)
+    half = records.withColumn("h", F.rand(1) < 0.5).cache()
+    # the union of two halves' bitmaps is the bitmap of the whole
+    bitmaps = os_.union_bitmaps(os_.offset_bitmaps(half.filter("h")).unionByName(os_.offset_bitmaps(half.filter("not h"))))
+    assert ranges(os_.offset_runs(bitmaps)) == sorted(("wc", p, *r) for p, s in sets.items() for r in runs_of(s))
+    gaps = [("wc", p, a[1], b[0]) for p, s in sets.items() for a, b in zip(runs_of(s), runs_of(s)[1:])]
+    assert ranges(os_.offset_gaps(bitmaps)) == sorted(gaps)
+
+
+def test_merge_ranges(spark):
+    rng = random.Random(5)
+    rows = [("t", p, a, a + rng.randrange(1, 9)) for p in range(3) for a in (rng.randrange(200) for _ in range(40))]
+    df = spark.createDataFrame(rows, "topic string, partition int, from_offset long, until_offset long")
+    covered = {p: {o for _, q, a, b in rows if q == p for o in range(a, b)} for p in range(3)}
+    assert ranges(os_.merge_ranges(df)) == sorted(("t", p, *r) for p, s in covered.items() for r in runs_of(s))
+    assert os_.merge_ranges(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("limit", [0, 100_000])
+def test_without_ranges(spark, limit):
+    held = [("wc", 0, 0, 50), ("wc", 0, 60, 70), ("wc", 0, B - 5, 2 * B + 5), ("wc", 1, 10, 20)]
+    rows = [("wc", p, o, None, "v") for p in (0, 1, 2) for o in [*range(0, 100), *range(B - 10, B + 10), *range(2 * B, 2 * B + 10)]]
+    df = spark.createDataFrame(held, "topic string, partition int, from_offset long, until_offset long")
+    got = {(r["partition"], r["offset"]) for r in os_.without_ranges(spark.createDataFrame(rows, SCHEMA), df, limit).collect()}
+    assert got == {(p, o) for _, p, o, _, _ in rows if not any(q == p and a <= o < b for _, q, a, b in held)}
+
+
+def test_records_without_a_place_and_empty_logs(spark):
+    rows = [("wc", 0, 1, None, "v"), ("wc", 0, None, None, "v"), ("wc", None, 2, None, "v"), (None, 0, 3, None, "v")]
+    bitmaps = os_.offset_bitmaps(spark.createDataFrame(rows, SCHEMA))
+    assert ranges(os_.offset_runs(bitmaps)) == [("wc", 0, 1, 2)]
+    empty = os_.offset_bitmaps(spark.createDataFrame([], SCHEMA))
+    assert os_.offset_runs(empty).collect() == os_.offset_gaps(empty).collect() == []
+
+
+def test_a_hot_partition_is_aggregated_by_bucket(spark):
+    """What shuffles is a row per bucket and task, not per record."""
+    records = spark.range(0, 6 * B, 1, 4).select(F.lit("wc").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"),
+                                                  F.lit(None).cast("string").alias("key"), F.lit("v").alias("value"))
+    bitmaps = os_.offset_bitmaps(records)
+    assert bitmaps.count() == 6
+    plan = bitmaps._jdf.queryExecution().executedPlan().toString()
+    assert "partial_bitmap_construct_agg" in plan and plan.count("Exchange") == 1
+    assert ranges(os_.offset_runs(bitmaps)) == [("wc", 0, 0, 6 * B)]
