@@ -17,7 +17,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
+from bisect import bisect_left
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,16 +40,21 @@ AROUND, PATHS = 48, 8
 SECRET_NAME = r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential|private[_-]?key)"
 FORMATS = (r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|github_pat_[0-9A-Za-z_]{20,}|xox[abprs]-[0-9A-Za-z-]{10,}"
            r"|sk-[0-9A-Za-z_-]{20,}|AIza[0-9A-Za-z_-]{35}")
-KEY_BLOCK = r"-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----[\s\S]*?-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
-CANDIDATE = re.compile(
-    rf"{KEY_BLOCK}"
-    r"|eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,}"
-    rf"|(?<![A-Za-z0-9])(?:{FORMATS})(?![A-Za-z0-9])"
-    r"|(?<=[\s\"'`=:(<>,])(?=[^\s\"'`]*\d)[\w+/\-.~!#$%^&*]{16,}={0,2}"
-    r"|(?<![A-Za-z0-9+/_\-.@])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{12,}={0,2}(?![\w.@])")
+KEY_BEGIN = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----")
+KEY_END = re.compile(r"-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----")
+#: A token of three parts: what it begins with, a part, the least length of one (of the first, behind the beginning).
+TOKEN_BEGIN, TOKEN_PART, TOKEN_LEAST = "eyJ", re.compile(r"[\w-]*"), 8
+_RUN = r"(?<![A-Za-z0-9+/_\-.@])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{12,}={0,2}(?![\w.@])"
+RUN = re.compile(_RUN)
+#: Formats and runs of key characters; the group counts only if a digit comes before the next space or quote.
+KEYS = re.compile(rf"(?<![A-Za-z0-9])(?:{FORMATS})(?![A-Za-z0-9])|(?<=[\s\"'`=:(<>,])([\w+/\-.~!#$%^&*]{{16,}}={{0,2}})|{_RUN}")
+DIGIT, BREAK = re.compile(r"\d"), re.compile(r"[\s\"'`]")
 #: What assigns a value, what stands before it, and the value: quoted, or up to a space or the next assignment.
 ASSIGNS = re.compile(r"=>|:=|={1,3}|:")
+NAME_BEGINS = re.compile(rf"(?i)(?={SECRET_NAME})")
 NAMED = re.compile(rf"(?i){SECRET_NAME}[\w-]{{0,24}}[\"'`\]]{{0,2}}\s*\Z")
+NAME_HINTS = ("pass", "pwd", "secret", "token", "key", "auth", "bearer", "credential")  # one is in every name
+NAME_REACH = 64  # characters before the assignment that a name begins within
 VALUE = re.compile(r"[^\S\n]*(?:\"([^\"\n]+)\"|'([^'\n]+)'|`([^`\n]+)`|((?:(?![,;&]\s*(?:\s|\Z|[\w.-]+=))[^\s\"'`<>])+))")
 URL_PASSWORD = re.compile(r"://[^\s:/@\"'<>]*:([^\s/@\"'<>]+)@")
 BEFORE_URL_PASSWORD = re.compile(r"://[^\s:/@\"'<>]*:\Z")
@@ -115,17 +121,89 @@ def features_of(candidate: str, path: str | None, before: str, after: str, words
     return [float(len(candidate)), distinct, hexadecimal, *(m / n for m in moves), coverage(candidate, words), *around, *where]
 
 
+class NextPlace:
+    """Where a pattern is found next; asked for rising places, so that a text is searched once."""
+
+    def __init__(self, pattern: re.Pattern, text: str):
+        self.pattern, self.text, self.at = pattern, text, -1
+
+    def __call__(self, start: int) -> int:
+        if self.at < start:
+            m = self.pattern.search(self.text, start)
+            self.at = m.start() if m else len(self.text)
+        return self.at
+
+
+def key_blocks(text: str) -> list[tuple[int, int]]:
+    """From each beginning mark to the first ending mark behind it; a mark without one is none."""
+    ends = [m.span() for m in KEY_END.finditer(text)] if "-----BEGIN " in text else []
+    if not ends:
+        return []
+    starts = [e[0] for e in ends]
+    return [(m.start(), ends[k][1]) for m in KEY_BEGIN.finditer(text) if (k := bisect_left(starts, m.end())) < len(ends)]
+
+
+def three_part_tokens(text: str) -> list[tuple[int, int]]:
+    """Three runs of word characters joined by dots, of which the first begins as tokens do; a run is judged once."""
+    found, at = [], text.find(TOKEN_BEGIN)
+    while at >= 0:
+        ends = [TOKEN_PART.match(text, at).end()]
+        long = ends[0] - at - len(TOKEN_BEGIN) >= TOKEN_LEAST
+        while long and len(ends) < 3 and text[ends[-1]:ends[-1] + 1] == ".":
+            begin = ends[-1] + 1
+            ends.append(TOKEN_PART.match(text, begin).end())
+            long = ends[-1] - begin >= TOKEN_LEAST
+        if long and len(ends) == 3:
+            found.append((at, ends[2]))
+        at = text.find(TOKEN_BEGIN, ends[0])
+    return found
+
+
+def keys_in(text: str) -> Iterator[tuple[int, int]]:
+    """Key blocks, tokens, formats and runs of key characters, from the left, none overlapping another."""
+    digit, stop = NextPlace(DIGIT, text), NextPlace(BREAK, text)
+
+    def plain(at: int) -> tuple[int, int] | None:
+        while m := KEYS.search(text, at):
+            if not m.lastindex or digit(m.start()) < stop(m.start()):
+                return m.span()
+            if run := RUN.match(text, m.start()):
+                return run.span()
+            at = m.start() + 1
+        return None
+
+    known = [deque(key_blocks(text)), deque(three_part_tokens(text)), deque(x for x in [plain(0)] if x)]
+    while any(known):
+        start, end = min((k[0] for k in known if k), key=lambda x: x[0])  # of equal starts the first kind
+        yield start, end
+        for k in known[:2]:
+            while k and k[0][0] < end:
+                k.popleft()
+        if known[2] and known[2][0][0] < end:
+            known[2] = deque(x for x in [plain(end)] if x)
+
+
 def spans(text: str) -> list[tuple[int, int]]:
-    """Where the candidates of a text are, in its order; two may overlap."""
-    found = set()
-    for m in CANDIDATE.finditer(text):
-        key = m.group().rstrip(TRAILING)
-        found.add((m.start(), m.start() + len(key)))
-    for m in ASSIGNS.finditer(text):
-        if NAMED.search(text[max(0, m.start() - 64):m.start()]) and (value := VALUE.match(text, m.end())):
-            k = value.lastindex
-            end = value.end(k) if k < 4 else value.start(k) + len(value.group(k).rstrip(TRAILING))
-            found.add((value.start(k), end))
+    """Where the candidates of a text are, in its order; two may overlap. Takes time in proportion to the text."""
+    found = {(s, s + len(text[s:e].rstrip(TRAILING))) for s, e in keys_in(text)}
+    bare = (0, 0)  # the last value without quotes: what is assigned inside it ends where it does
+    lower = text.lower()
+    names = [m.start() for m in NAME_BEGINS.finditer(text)] if any(h in lower for h in NAME_HINTS) else []
+    for m in ASSIGNS.finditer(text) if names else ():
+        near = names[bisect_left(names, m.start() - NAME_REACH):bisect_left(names, m.start())]
+        if not any(NAMED.match(text, n, m.start()) for n in reversed(near)):
+            continue
+        start, k = m.end(), 4
+        if not bare[0] < start < bare[1]:
+            if not (value := VALUE.match(text, start)):
+                continue
+            start, k = value.start(value.lastindex), value.lastindex
+            end = value.end(k)
+            if k == 4:
+                bare = (start, end)
+        else:
+            end = bare[1]
+        found.add((start, end if k < 4 else start + len(text[start:end].rstrip(TRAILING))))
     if "://" in text:
         found.update(m.span(1) for m in URL_PASSWORD.finditer(text))
     return sorted((s, e) for s, e in found if s < e)
