@@ -2,8 +2,10 @@
 
 A page is parsed into a light tree; elements that are never article text (scripts, styles,
 navigation, asides; by tag or role) are left out while it is built. Adverts, notices, reader
-comments (by class or id) and forms are left out then, unless they hold the article; if no text
-is left, names are not asked. Every paragraph then gives points for its length and its commas to
+comments (by class or id) and forms are left out then, unless they hold the article. Inside an
+article or main element a name alone says little: reader comments go, what is named an advert or
+a share bar if it has little text or mostly links, what has another unlikely name if it is mostly
+links. If no text is left, names are not asked. Every paragraph then gives points for its length and its commas to
 its parent and, halved and less, to the ancestors above. A container's score is its points
 times one minus its link density. The best container is kept (as a whole the article or main element it
 stands in), with the siblings that score
@@ -13,6 +15,7 @@ well themselves or are plain paragraphs of text. Block texts are joined in page
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -40,6 +43,17 @@ UNLIKELY = re.compile(
     r"consent|cookies?|disqus|disclaimer|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|"
     r"notification|outbrain|overlay|pager|pagination|popup|promos?|recommended|related|remark|replies|respond|search|share|"
     r"sharing|sidebar|signup|social|sponsor|sponsored|subscribe|taboola|toolbar|widget|alert|login|skip)(?:$|[\s_-]|\d)", re.I)
+#: A class or id that is the name of reader comments, as a whole.
+COMMENTS = re.compile(r"(?:(?:reader|user|post|article|page|blog|all|the)[-_])?(?:comment-?list|comments?|responses?|repl(?:y|ies)|discussions?|reactions?|"
+                      r"disqus)(?:[-_](?:list|area|section|container|wrapper|wrap|thread|block|box|body|item|content|inner|\d+))*", re.I)
+#: Words of names that leave little doubt even inside an article.
+STRONG = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|banners?|breadcrumbs?|consent|cookies?|gdpr|login|modal|newsletter|"
+                    r"outbrain|overlay|pager|pagination|popup|promos?|share|sharing|signup|skip|sponsor|sponsored|subscribe|taboola|toolbar)(?:$|[\s_-]|\d)", re.I)
+#: Characters of a text below which it is little.
+LITTLE = 200
+#: Titles of lists of links that are no part of the article above them.
+RELATED = re.compile(r"(?i)\b(?:related|read (?:more|next)|more (?:from|stories|articles)|you (?:may|might)|recommended|popular|latest|trending|share|follow us|"
+                     r"tags|categories)\b")
 LIKELY = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|post|story|text)(?:$|[\s_-])", re.I)
 #: Marked sections, which pages treat as comments up to the next ``>``.
 ODD_DECLARATION = re.compile(r"<!\[[^>]*>?")
@@ -49,10 +63,14 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 START = {"article": 25.0, "main": 15.0, "section": 3.0, "div": 5.0, "blockquote": 3.0, "pre": 3.0, "td": 3.0,
          "ul": -3.0, "ol": -3.0, "dl": -3.0, "li": -3.0, "form": -3.0, "th": -5.0, "body": 0.0}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Ancestors of a paragraph that it gives points.
+ANCESTORS = 64
+#: How much a name speaks against an element.
+WEAK, SURE, READERS = 1, 2, 3
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "points", "chars", "linked", "bonus", "doubtful")
+    __slots__ = ("tag", "parent", "children", "points", "chars", "linked", "bonus", "doubtful", "sign")
 
     def __init__(self, tag: str, parent: Node | None, bonus: float = 0.0):
         self.tag, self.parent, self.bonus = tag, parent, bonus
@@ -60,6 +78,16 @@ class Node:
         self.points = 0.0
         self.chars = self.linked = 0
         self.doubtful = False  # its name, or being a form, speaks against it
+        self.sign = 0  # how much its name does
+
+
+def sign_of(attrs: list[tuple[str, str | None]]) -> int:
+    """How much an element's class and id speak against it."""
+    names = [n for k, v in attrs if k in ("class", "id") for n in (v or "").split()]
+    if any(COMMENTS.fullmatch(n) for n in names):
+        return READERS
+    words = re.sub(r"([a-z])([A-Z])", r"\1-\2", " ".join(names))
+    return SURE if STRONG.search(words) else WEAK if UNLIKELY.search(words) else 0
 
 
 def unlikely(tag: str, attrs: list[tuple[str, str | None]], inside_article: bool) -> bool | None:
@@ -68,6 +96,8 @@ def unlikely(tag: str, attrs: list[tuple[str, str | None]], inside_article: bool
         return True
     if tag == "header" and not inside_article:
         return True
+    if attrs and tag == "article" and inside_article and sign_of(attrs) == READERS:
+        return None
     if not attrs or tag in ("html", "body", "article", "main"):
         return None if tag == "form" else False
     found = dict(attrs)
@@ -79,8 +109,7 @@ def unlikely(tag: str, attrs: list[tuple[str, str | None]], inside_article: bool
         return None
     if tag in HEADINGS or tag in ("a", "b", "i", "em", "strong", "span", "p") and inside_article and "id" not in found and "class" not in found:
         return False
-    names = re.sub(r"([a-z])([A-Z])", r"\1-\2", f"{found.get('class') or ''} {found.get('id') or ''}")
-    return None if names.strip() and UNLIKELY.search(names) else False
+    return None if sign_of(attrs) else False
 
 
 class TreeBuilder(HTMLParser):
@@ -91,6 +120,7 @@ class TreeBuilder(HTMLParser):
         self.root = self.at = Node("html", None)
         self.skipping: list[str] = []  # open elements from the first skipped one on
         self.articles = 0
+        self.open: Counter[str] = Counter()  # open elements by name
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if self.skipping:
@@ -124,8 +154,10 @@ class TreeBuilder(HTMLParser):
             bonus = 25.0 if LIKELY.search(names) else 0.0
         node = Node(tag, self.at, bonus)
         node.doubtful = verdict is None
+        node.sign = sign_of(attrs) if node.doubtful and attrs else 0
         self.at.children.append(node)
         self.at = node
+        self.open[tag] += 1
         self.articles += tag in ("article", "main")
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -149,30 +181,44 @@ class TreeBuilder(HTMLParser):
         if not self.skipping:
             self.at.children.append(data)
 
+    def parse_comment(self, i: int, report: int = 1) -> int:
+        """A comment that is never closed goes to the end of the page."""
+        end = self.rawdata.find("-->", i + 2)
+        return len(self.rawdata) if end < 0 else end + 3
+
     def _is_open(self, tag: str) -> bool:
-        node = self.at
-        while node is not None and node.tag != tag:
-            node = node.parent
-        return node is not None
+        return self.open[tag] > 0
+
+    def _close(self) -> None:
+        self.open[self.at.tag] -= 1
+        self.articles -= self.at.tag in ("article", "main")
+        self.at = self.at.parent
 
     def _end_open(self, tag: str, scope: frozenset[str]) -> None:
         """Close the innermost open ``tag``, unless an element of ``scope`` is open inside it."""
+        if not self._is_open(tag):
+            return
         node = self.at
-        while node.parent is not None and node.tag != tag:
+        while node.tag != tag:
             if node.tag in scope:
                 return
             node = node.parent
-        if node.parent is not None:
-            while self.at is not node:
-                self.articles -= self.at.tag in ("article", "main")
-                self.at = self.at.parent
-            self.articles -= node.tag in ("article", "main")
-            self.at = node.parent
+        while self.at is not node:
+            self._close()
+        self._close()
+
+
+#: What opens a tag, comment or declaration.
+OPENS = re.compile(r"<[A-Za-z/!?]")
 
 
 def parse(html: str) -> Node:
     builder = TreeBuilder()
-    builder.feed(ODD_DECLARATION.sub("", html) if "<![" in html else html)
+    html = ODD_DECLARATION.sub("", html) if "<![" in html else html
+    end = html.rfind(">") + 1  # nothing that opens behind it ends
+    builder.feed(html[:end])
+    rest = OPENS.search(html, end)
+    builder.feed(html[end:rest.start() if rest else len(html)])
     builder.close()
     return builder.root
 
@@ -193,46 +239,66 @@ def prune(root: Node, by_name: bool = True) -> None:
 
     Such an element stays if an article, a main element or a container with a likely name is
     inside it, if it is a heading's wrapper in an article, or if most of the page's paragraph text
-    is. Without ``by_name`` only forms without such content go.
+    is. Reader comments stay only if there is hardly any text beside them. Inside an article or
+    main element names count as :func:`against` says. Without ``by_name`` only forms go.
     """
     if not any(isinstance(n, Node) and n.doubtful for n, _, ends in in_order(root) if not ends):
         return
     text: dict[int, int] = {}  # characters of paragraphs in an element
+    size: dict[int, int] = {}  # all characters
+    links: dict[int, int] = {}  # characters of links
+    link = 0
     holds: set[int] = set()  # elements with an article, a main element or a likely name inside
     titles: set[int] = set()  # elements with a h1 inside
     paragraph = articles = 0
     in_article: set[int] = set()
     for item, parent, ends in in_order(root):
         if isinstance(item, str):
+            n = len("".join(item.split()))
+            size[id(parent)] = size.get(id(parent), 0) + n
+            if link:
+                links[id(parent)] = links.get(id(parent), 0) + n
             if paragraph:
-                text[id(parent)] = text.get(id(parent), 0) + len("".join(item.split()))
+                text[id(parent)] = text.get(id(parent), 0) + n
             continue
         if not ends:
+            link += item.tag == "a"
             paragraph += item.tag == "p"
             if articles:
                 in_article.add(id(item))
             articles += item.tag in ("article", "main")
             continue
+        link -= item.tag == "a"
         paragraph -= item.tag == "p"
         articles -= item.tag in ("article", "main")
         if item is root:
             continue
-        text[id(parent)] = text.get(id(parent), 0) + text.get(id(item), 0)
+        for counted in (text, size, links):
+            counted[id(parent)] = counted.get(id(parent), 0) + counted.get(id(item), 0)
         if id(item) in holds or item.tag in ("article", "main") or item.bonus and not item.doubtful:
             holds.add(id(parent))
         if id(item) in titles or item.tag == "h1":
             titles.add(id(parent))
-    most = text.get(id(root), 0) / 2
+    most, everything = text.get(id(root), 0) / 2, size.get(id(root), 0)
+
+    def against(child: Node, inside: bool) -> bool:
+        """Whether a doubtful element goes."""
+        chars, linked = size.get(id(child), 0), links.get(id(child), 0)
+        if child.sign == READERS:
+            return everything - chars >= LITTLE / 2
+        if id(child) in titles and (inside or child.bonus > 0):
+            return False
+        if inside and child.tag != "form":
+            return linked > chars / 2 or child.sign == SURE and chars < LITTLE
+        return not (id(child) in holds and not inside or text.get(id(child), 0) > most > 0)
+
     stack = [root]
     while stack:
         node = stack.pop()
         for k, child in enumerate(node.children):
             if not isinstance(child, Node):
                 continue
-            inside = id(child) in in_article
-            stays = id(child) in holds and not inside or text.get(id(child), 0) > most > 0 \
-                or id(child) in titles and (inside or child.bonus > 0)
-            if child.doubtful and not stays and (by_name or child.tag == "form"):
+            if child.doubtful and (by_name or child.tag == "form") and against(child, id(child) in in_article):
                 node.children[k] = Node("hr" if child.tag in BLOCK or child.tag in SKIP else "wbr", node)
             else:
                 stack.append(child)
@@ -254,7 +320,7 @@ def score(root: Node) -> None:
             points *= 0.2
         # Text of a paragraph counts for what holds it; text right inside a container for itself.
         node, level = (block.parent if block.tag in ("p", "pre", "li", "td", "blockquote", "dd") else block), 0
-        while node is not None:
+        while node is not None and level < ANCESTORS:
             node.points += points / (1, 2)[level] if level < 2 else points / (3 * level)
             node, level = node.parent, level + 1
 
@@ -320,10 +386,12 @@ def chosen(root: Node) -> list[Node]:
 def block_texts(root: Node) -> list[str]:
     """Texts of the blocks under ``root``; lists that are mostly links are menus and left out.
 
-    In an article or main element only lists of nothing but links are menus.
+    In an article or main element only lists of nothing but links are menus, and only if nothing
+    introduces them: a heading that does not speak of related pages, or a line that ends in a colon.
     """
     out: list[str] = []
     now: list[str] = []
+    last = ("", "")  # the last text and the element it is of
     menu: Node | None = None
     inside = 0
     node: Node | None = root.parent
@@ -331,26 +399,32 @@ def block_texts(root: Node) -> list[str]:
         inside += node.tag in ("article", "main")
         node = node.parent
 
+    def introduced() -> bool:
+        tag, said = last
+        return said.endswith(":") or tag in HEADINGS and tag != "h1" and not RELATED.search(said)
+
     def is_menu(item: Node) -> bool:
         if item.tag not in ("ul", "ol", "dl", "table") or sum(isinstance(c, Node) for c in item.children) <= 2:
             return False
         if inside:
-            return item.tag in ("ul", "ol") and item.linked == item.chars > 0
+            return item.tag in ("ul", "ol") and item.linked == item.chars > 0 and not introduced()
         return link_density(item) > 0.8
 
-    def flush() -> None:
+    def flush(tag: str) -> None:
+        nonlocal last
         text = " ".join("".join(now).split())
         now.clear()
         if text:
             out.append(text)
+            last = tag, text
 
-    for item, _, ends in in_order(root):
+    for item, parent, ends in in_order(root):
         if isinstance(item, str):
             if menu is None:
                 now.append(item)
             continue
         if item.tag in BLOCK:
-            flush()
+            flush(item.tag if ends else parent.tag)
         elif item.tag == "br" and not ends:
             now.append(" ")
         if item.tag in ("article", "main"):
@@ -360,7 +434,7 @@ def block_texts(root: Node) -> list[str]:
                 menu = None
         elif menu is None and is_menu(item):
             menu = item
-    flush()
+    flush(root.tag)
     return out
 
 

@@ -105,3 +105,48 @@ def test_articles_are_kept_whole():
             *[f"A long title of the work that is referred to, number {i}, 19{i}" for i in range(10, 14)], "term 0", "term 1", "term 2"]
     assert main_text(page).split("\n\n") == want
     assert main_text(page.replace("article>", "main>")).split("\n\n") == want
+
+
+FAR = f"<p>{LONG}</p>" * 3
+
+
+@pytest.mark.parametrize("part,text", [
+    ("<section id='social'><h2>Social life</h2><p>It was lively, then as now.</p></section>", "Social life\n\nIt was lively, then as now."),
+    ("<div class='notice-board-history'><p>The board was put up in 1900.</p></div>", "The board was put up in 1900."),
+    ("<p class='related'>A related matter.</p>", "A related matter."),
+    (f"<section class='sharing-economy'>{FAR}</section>", "\n\n".join([LONG] * 3)),
+    ("<h2>Glossary</h2><ul><li><a href=#a>alpha</a></li><li><a href=#b>beta</a></li><li><a href=#c>gamma</a></li></ul>", "Glossary\n\nalpha\n\nbeta\n\ngamma"),
+    ("<p>The parts are:</p><ul><li><a href=#a>alpha</a></li><li><a href=#b>beta</a></li><li><a href=#c>gamma</a></li></ul>", "The parts are:\n\nalpha\n\nbeta\n\ngamma"),
+    ("<h3>Related stories</h3><ul><li><a href=/a>one</a></li><li><a href=/b>two</a></li><li><a href=/c>three</a></li></ul>", "Related stories"),
+    ("<div class='related'><a href=/a>One more story</a> <a href=/b>Another</a></div>", ""),
+    ("<div class='ad-box'>Buy now</div>", ""), ("<div class='share-bar'><a href=x>Post</a></div>", ""),
+    (f"<section class='responses'><h2>Responses</h2><article><p>{LONG}</p></article><article>{FAR}</article></section>", ""),
+    (f"<section id='comments'>{FAR * 5}</section>", ""), (f"<ol class='comment-list'><li><article class='comment-body'>{FAR}</article></li></ol>", ""),
+    (f"<article class='reply'>{FAR}</article>", ""),
+])
+def test_names_inside_an_article(part, text):
+    """Only a strong sign, or a name with mostly links, takes text out of an article; reader comments always go."""
+    got = main_text(f"<body><article><h1>Title</h1><p>{LONG} one</p>{part}<p>{LONG} end</p></article></body>")
+    assert got == "\n\n".join(x for x in ("Title", f"{LONG} one", text, f"{LONG} end") if x)
+
+
+def test_comments_behind_the_article_go():
+    comments = f"<div id='comments'>{''.join(f'<article class=comment>{FAR}</article>' for _ in range(4))}</div>"
+    assert main_text(f"<body>{BODY}{comments}</body>") == f"Title\n\n{LONG}\n\n{LONG} end"
+    assert main_text(f"<body class='comments'>{BODY}</body>") == f"Title\n\n{LONG}\n\n{LONG} end"
+    assert main_text(f"<div class='comments'>{BODY}</div>") == f"Title\n\n{LONG}\n\n{LONG} end"
+
+
+@pytest.mark.parametrize("page,text", [("<p>a</p><!-- b <p>c</p>", "a"), ("<p>a</p><!--><p>b</p>", "a\n\nb"), ("<p>a</p> b <i", "a\n\nb"),
+                                       ("<p>a</p> 1 < 2", "a\n\n1 < 2"), ("<script>'<!--'</script><p>a</p>", "a")])
+def test_ends_of_pages(page, text):
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize("piece", ["<!--", "<!-- >", "<form>", "</x>", "</div>", "</p>", "<b>", "<div>a", "<![", "<?", "</a ", "<li>", "<a ", "<p>x</i>"])
+def test_time_grows_with_the_page(piece):
+    import time
+    page = f"<article><p>{LONG}</p>" + piece * (200_000 // len(piece))
+    began = time.process_time()
+    main_text(page)
+    assert time.process_time() - began < 15
