@@ -9,7 +9,7 @@ gap)``. A round
 2. sweeps each range: every gap takes the largest waiting items that fit, its predecessors, so
    each item goes to its successor among the gaps; what a range cannot match is numbered;
 3. matches the rest across ranges by rank: the driver sees two counts per range and pairs runs
-   of numbers, and a join on the pair's number does the rest;
+   of numbers; a join with these runs gives both sides of a pair its number, by which they meet;
 4. updates the gaps. No item fits any more: the largest items open new sequences, as many as
    the waiting tokens need at least.
 """
@@ -232,21 +232,6 @@ def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _rows([(part, WAITING, at + k, item, size, None, None) for k, (size, item) in enumerate(waiting[at:at + 10_000])])
 
 
-def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number of rows of each kind and range that a task reads, and the smallest item: a few rows a task."""
-    seen: dict[tuple[int, int], list[int]] = {}
-    for b in batches:
-        parts, what = b.column("part").to_numpy(), b.column("what").to_numpy()
-        sizes = b.column("size").fill_null(0).to_numpy()
-        for p, w in np.unique(np.stack([parts, what]), axis=1).T.tolist():
-            at = (parts == p) & (what == w)
-            n, least = seen.get((p, w), (0, 1 << 62))
-            seen[p, w] = [n + int(at.sum()), min(least, int(sizes[at].min()))]
-    if seen:
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*((p, w, n, least) for (p, w), (n, least) in seen.items()))],
-                                         ["part", "what", "n", "least"])
-
-
 def runs_across(free: dict[int, int], waiting: dict[int, int]) -> list[tuple[int, int, int, int, int, int]]:
     """Pair ranges' free gaps with waiting items of lower ranges, largest first.
 
@@ -269,33 +254,13 @@ def runs_across(free: dict[int, int], waiting: dict[int, int]) -> list[tuple[int
     return runs
 
 
-def numbered(df: DataFrame, runs: list[tuple[int, int, int, int, int, int]], gaps: bool) -> DataFrame:
-    """Add the pair's number to free gaps or waiting items; null where a row has no pair."""
-    by_part: dict[int, list[tuple[int, int, int]]] = {}  # part: (first idx, end idx, number of the first or last)
-    for g_part, g_at, i_part, i_end, n, number in runs:
-        if gaps:
-            by_part.setdefault(g_part, []).append((g_at, g_at + n, number))
-        else:
-            by_part.setdefault(i_part, []).append((i_end - n, i_end, number))
-    by_part = {p: sorted(x) for p, x in by_part.items()}
+PAIRS = "part int, what int, low long, high long, base long, step int"
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            parts, idx = b.column("part").to_numpy(), b.column("idx").to_numpy()
-            out = np.full(len(parts), -1, np.int64)
-            for p in np.unique(parts):
-                known = by_part.get(int(p))
-                if not known:
-                    continue
-                first, end, number = (np.array(c) for c in zip(*known))
-                rows = np.flatnonzero(parts == p)
-                at = np.searchsorted(first, idx[rows], side="right") - 1
-                hit = (at >= 0) & (idx[rows] < end[np.maximum(at, 0)])
-                at, rows = at[hit], rows[hit]
-                out[rows] = number[at] + (idx[rows] - first[at] if gaps else end[at] - 1 - idx[rows])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, mask=out < 0)], [*b.schema.names, "pair"])
-
-    return df.mapInArrow(add, SWEPT + ", pair long")
+
+def numbers(runs: list[tuple[int, int, int, int, int, int]]) -> list[tuple[int, int, int, int, int, int]]:
+    """For each run and side a row ``PAIRS``: of rows ``low <= idx < high`` the pair's number is ``base + step * idx``."""
+    return [row for g_part, g_at, i_part, i_end, n, number in runs for row in (
+        (g_part, FREE_GAP, g_at, g_at + n, number - g_at, 1), (i_part, WAITING, i_end - n, i_end, number + i_end - 1, -1))]
 
 
 def opening(sizes: dict[int, int], least: int) -> tuple[int, int]:
@@ -339,18 +304,19 @@ def pack(items: DataFrame, capacity: int = CAPACITY, range_rows: int = RANGE_ROW
         ranged = events.withColumn("h", F.xxhash64("id", F.lit(7))).repartitionByRange(parts_for(2 * left, range_rows), "size", "kind", "h") \
             .sortWithinPartitions("size", "kind", "h", "id")
         swept = shared_table(ranged.drop("h").mapInArrow(sweep, SWEPT), "swept")
-        seen = swept.select("part", "what", "size").mapInArrow(summary, "part long, what long, n long, least long").collect()
+        seen = swept.groupBy("part", "what").agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("least")).collect()  # four rows a range at most
         counts: list[dict[int, int]] = [{}, {}, {}, {}]
         for r in seen:
-            counts[r["what"]][r["part"]] = counts[r["what"]].get(r["part"], 0) + r["n"]
+            counts[r["what"]][r["part"]] = r["n"]
         runs = runs_across(counts[FREE_GAP], counts[WAITING])
         if runs:  # both sides of a pair have its number, rows without a pair have none and stay where they are
-            marked = numbered(swept.filter(F.col("what") == FREE_GAP), runs, True) \
-                .unionByName(numbered(swept.filter(F.col("what") == WAITING), runs, False))
+            pairs = spark.createDataFrame(numbers(runs), PAIRS)  # two rows a run, of which there are at most two a range
+            marked = (swept.join(F.broadcast(pairs.withColumnsRenamed({"part": "p", "what": "w"})),
+                                 (F.col("part") == F.col("p")) & (F.col("what") == F.col("w")) & F.col("idx").between(F.col("low"), F.col("high") - 1), "left")
+                      .withColumn("pair", F.col("base") + F.col("step") * F.col("idx")))
             paired = (marked.filter(F.col("pair").isNotNull()).groupBy("pair")
                       .agg(*[F.max(c).alias(c) for c in ("id", "size", "bin", "gap")]).drop("pair"))
-            alone = marked.filter(F.col("pair").isNull()).unionByName(
-                swept.filter(F.col("what").isin(MATCHED, USED_GAP)).withColumn("pair", F.lit(None).cast("long")))
+            alone = marked.filter(F.col("pair").isNull())
             swept = shared_table(
                 alone.select("what", "id", "size", "bin", "gap").unionByName(paired.withColumn("what", F.lit(PAIRED))), "matched")
         both = swept.filter(F.col("id").isNotNull() & F.col("bin").isNotNull())
