@@ -14,16 +14,19 @@ smallest of each ``passage - GRAM + 1`` neighbouring hashes of ``GRAM`` words ar
 document, and two equal runs have a print in common; only runs that hold a print found in two
 places are then hashed as a whole and grouped like units.
 
-Only digests, prints, ids and offsets shuffle for the groupings (partially aggregated, so a line
-that a third of all documents share is one row a task); the joins back are by digest or print,
-where a hot one's side can be split. The texts shuffle twice, to meet their prints and their cuts.
+One pass over the texts writes them with their units and prints; the later passes read texts again
+only to look at documents with repeated prints, and to cut. Digests, prints, ids and offsets
+shuffle for the groupings (partially aggregated, so a line that a third of all documents share is
+one row a task). What stands twice is written and then joined back: broadcast if it is counted to
+be small, else by a join of two written tables, in which a hot digest's side can be split. Texts
+shuffle only where the cuts, or the prints that stand twice, are too many to be broadcast.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from keytally.llm.common import shared_table
+from keytally.operators.offsets import bounded_broadcast
 
 MIN_WORDS = 5
 #: Words of a run that is left in one place only.
@@ -47,6 +51,11 @@ LONG_WORD = 16
 FACTOR = 0x9E3779B97F4A7C15
 #: Words whose hash a Python worker remembers.
 REMEMBERED = 200_000
+#: Most repeated digests or prints, and most cuts or prints of documents, that are broadcast (up to about 64 bytes each).
+MOST_BROADCAST, MOST_ITEMS = 1 << 19, 1 << 21
+
+
+Piece = tuple[list[str], bytes | None, int, int]
 
 
 def words_of(text: str) -> list[str]:
@@ -63,7 +72,7 @@ def digest_of(words: list[str]) -> bytes:
     return hashlib.md5(" ".join(words).encode("utf-8", "surrogatepass")).digest()
 
 
-def pieces_of(text: str, unit: str, min_words: int) -> Iterator[tuple[list[str], bytes | None, int, int]]:
+def pieces_of(text: str, unit: str, min_words: int) -> Iterator[Piece]:
     """``(words, digest, start, end)`` of each unit, in code points; no digest if it is short."""
     plain = text.isascii() or not ANY_SPACELESS.search(text)
     for m in UNITS[unit].finditer(text):
@@ -90,12 +99,17 @@ def groups_of(short: list[tuple[list[str], int, int]], min_words: int) -> Iterat
 
 
 def units_of(text: str, unit: str, min_words: int) -> Iterator[tuple[bytes, int, int]]:
-    """``(digest, start, end)`` of each unit that counts, line break included, in code points.
+    """``(digest, start, end)`` of each unit that counts, line break included, in code points."""
+    return units_in(pieces_of(text, unit, min_words), min_words)
+
+
+def units_in(pieces: Iterable[Piece], min_words: int) -> Iterator[tuple[bytes, int, int]]:
+    """The units that count among a text's pieces.
 
     Neighbouring short units (blank ones between them passed over) count in groups, which overlap.
     """
     short: list[tuple[list[str], int, int]] = []
-    for words, digest, start, end in pieces_of(text, unit, min_words):
+    for words, digest, start, end in pieces:
         if digest is None:
             if words:
                 short.append((words, start, end))
@@ -151,7 +165,7 @@ def is_print(h: np.ndarray, passage: int) -> np.ndarray:
     return over_runs(np.concatenate((around, least, around)), n, lambda a, b, _: np.maximum(a, b)) == h
 
 
-def prints_of(text: str, unit: str, min_words: int, passage: int, own: int, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+def prints_in(pieces: list[Piece], passage: int, own: int, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     """The prints of a text, and the home of each.
 
     Runs that hold a print reach ``passage - GRAM`` words before it and as many behind it. Where all
@@ -159,7 +173,7 @@ def prints_of(text: str, unit: str, min_words: int, passage: int, own: int, hash
     one place, so prints with one home alone are no repeat. Other homes are of the document
     (``own``).
     """
-    pieces = [p for p in pieces_of(text, unit, min_words) if p[0]]
+    pieces = [p for p in pieces if p[0]]
     lengths = np.array([len(p[0]) for p in pieces], np.int64)
     n = int(lengths.sum())
     if n < passage:
@@ -232,6 +246,7 @@ def repeats(units: DataFrame) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "start", "end")
     groups = (units.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
               .filter(F.col("first") != F.col("last")).select("digest", "first"))
+    groups = bounded_broadcast(shared_table(groups, "repeated"), MOST_BROADCAST)
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
     return (units.join(groups, "digest").filter(place != F.col("first"))
             .select("doc_id", "text_hash", F.when(same, F.greatest("start", "first.end")).otherwise(F.col("start")).alias("start"), "end")
@@ -256,17 +271,29 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
         .withColumn("text_hash", F.xxhash64("text"))
 
-    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["doc_id", "text", "text_hash", "n_units", "digest", "start", "end", "print", "home"]
+    types = [pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for b in batches:
-            found = [(i, h, *u) for i, h, t in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text_hash", "text")))
-                     for u in units_of(t, unit, min_words)]
-            columns = list(zip(*found)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, unit_types)], unit_names)
+            columns: list[list] = [[] for _ in types]
+            for text, own in zip(b.column("text").to_pylist(), b.column("text_hash").to_pylist()):
+                pieces = list(pieces_of(text, unit, min_words))
+                for c, x in zip(columns, (*(list(zip(*units_in(pieces, min_words))) or ((), (), ())), *prints_in(pieces, passage, own, hashes))):
+                    c.append(x)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), b.column("text"), b.column("text_hash"), pa.array(map(len, columns[0]), pa.int64()),
+                 *(pa.array(c, t) for c, t in zip(columns, types))], names)
+
+    parsed = shared_table(docs.mapInArrow(
+        parse, "doc_id long, text string, text_hash long, n_units long, digest array<binary>, start array<int>, end array<int>, "
+               "print array<long>, home array<long>"), "parsed")
+    units = parsed.select("doc_id", "text_hash", F.inline(F.arrays_zip("digest", "start", "end")))
 
     unit_names = ["doc_id", "text_hash", "digest", "start", "end"]
     unit_types = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32()]
     unit_schema = "doc_id long, text_hash long, digest binary, start int, end int"
-    units = shared_table(docs.mapInArrow(cut_up, unit_schema), "units")
 
     # doc_id 0 and no id must not meet: a null id has a key of its own
     key = [F.coalesce("doc_id", F.lit(0)).alias("id_key"), F.col("doc_id").isNull().alias("no_id"), "text_hash"]
@@ -276,24 +303,19 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return (places.select(*key, "start", "end").groupBy(*keys)
                 .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias(name)))
 
-    unit_cuts = shared_table(by_document(repeats(units), "cuts"), "cuts")
+    def joined_with(texts: DataFrame, rows: DataFrame, name: str, how: str) -> DataFrame:
+        """Texts with the arrays ``name`` of their documents, a written table, which is broadcast if it holds few items."""
+        items = rows.agg(F.sum(F.size(name) + 2)).first()[0] or 0
+        return texts.join(F.broadcast(rows) if items <= MOST_ITEMS else rows, keys, how)
 
-    def print_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for b in batches:
-            ids, owns = b.column("doc_id"), b.column("text_hash")
-            found = [prints_of(t, unit, min_words, passage, own, hashes)
-                     for t, own in zip(b.column("text").to_pylist(), owns.to_pylist())]
-            row = pa.array(np.repeat(np.arange(len(found)), [len(f) for f, _ in found]))
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(row), owns.take(row), *(pa.array(np.concatenate([f[k] for f in found] or [np.empty(0, np.int64)]), pa.int64())
-                                                  for k in (0, 1))], ["doc_id", "text_hash", "print", "home"])
+    unit_cuts = shared_table(by_document(repeats(units), "cuts"), "cuts")
 
-    prints = shared_table(docs.mapInArrow(print_all, "doc_id long, text_hash long, print long, home long"), "prints")
-    twice = (prints.groupBy("print").agg(F.min("home").alias("a"), F.max("home").alias("b")).filter("a <> b").select("print"))
-    printed = prints.join(twice, "print").select(*key, "print").groupBy(*keys).agg(F.collect_set("print").alias("prints"))
-    searched = docs.select("doc_id", "text", *key).join(printed, keys).join(unit_cuts, keys, "left") \
-        .select("doc_id", "text_hash", "text", "prints", "cuts")
+    prints = parsed.select("doc_id", "text_hash", F.inline(F.arrays_zip("print", "home")))
+    twice = prints.groupBy("print").agg(F.min("home").alias("a"), F.max("home").alias("b")).filter("a <> b").select("print")
+    twice = bounded_broadcast(shared_table(twice, "twice"), MOST_BROADCAST)
+    printed = shared_table(prints.join(twice, "print").select(*key, "print").groupBy(*keys).agg(F.collect_set("print").alias("prints")), "printed")
+    texts = parsed.select("doc_id", "text", "n_units", *key)
+    searched = joined_with(joined_with(texts, printed, "prints", "inner"), unit_cuts, "cuts", "left").select("doc_id", "text_hash", "text", "prints", "cuts")
 
     def find_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -306,18 +328,18 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, unit_types)], unit_names)
 
     passages = shared_table(searched.mapInArrow(find_passages, unit_schema), "passages")
-    counted = docs.select("doc_id", "text", *key).join(unit_cuts, keys, "left") \
-        .join(by_document(repeats(passages), "runs"), keys, "left").select("doc_id", "text", "cuts", "runs")
+    runs = shared_table(by_document(repeats(passages), "runs"), "runs")
+    counted = joined_with(joined_with(texts, unit_cuts, "cuts", "left"), runs, "runs", "left").select("doc_id", "text", "n_units", "cuts", "runs")
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for i, t, cuts, runs in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "cuts", "runs"))):
+            for i, t, n, cuts, runs in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "n_units", "cuts", "runs"))):
                 gone = merged((cuts or []) + (runs or []))
                 left, kept = without(t, gone)
-                n = sum(1 for _ in units_of(t, unit, min_words))
-                rows.append({"doc_id": i, "text": left, "n_units": n, "n_removed": len(cuts or ()) + len(merged(runs)), "removed": gone, "kept": kept})
-            yield pa.RecordBatch.from_pylist(rows, schema=out)
+                rows.append((i, left, n, len(cuts or ()) + len(merged(runs)), gone, kept))
+            columns = list(zip(*rows)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out)], schema=out)
 
     schema = "doc_id long, text string, n_units long, n_removed long, " \
              "removed array<struct<start:int,end:int>>, kept array<struct<start:int,end:int>>"
