@@ -14,10 +14,16 @@ differ, which gives the prefix of a class.
   the length filter leaves. A longer run (classes alike in nearly everything) gives a star, by
   which its classes are gathered into dense groups.
 * Pairs pass a filter on 128 token counts per class, which bounds the distance from below, and are
-  verified on whole sets. Dense groups are cut into bands of set sizes, of which only neighbours
-  can link, and bands into blocks of bounded size; block against block is verified, and gives a
-  spanning forest of its links instead of all links.
+  verified on whole sets: first one pair of each class, then those of the others whose classes
+  these links have not connected yet.
+* Dense groups are cut into bands of set sizes, of which only neighbours can link, and bands into
+  blocks of bounded size; block against block is verified, and gives a spanning forest of its links
+  instead of all links. What is sent to the blocks is not a class's set but its difference from the
+  set of one class of the group: of sets ``A`` and ``B`` that lack ``a`` and ``b`` tokens of the set
+  ``R``, ``|A and B| = |R| - a - b + |(A xor R) and (B xor R)|``, exactly.
 * Links make components. Nothing is capped: every link lies in a pair or in a dense group.
+* Class ids are 64 bits of a 128-bit hash of the set. Two sets with one id would show by the other
+  64 bits; the ids are then made anew with another seed.
 """
 
 from __future__ import annotations
@@ -46,6 +52,8 @@ BLOCK, VOCABULARY = 1024, 8192
 BUCKETS = 128
 #: Most document keys that are broadcast to fetch texts (about 40 bytes each).
 MOST_BROADCAST = 1 << 20
+#: Most tokens of the dense groups' sets to compare with that are broadcast (8 bytes each).
+MOST_TOKENS = 1 << 22
 
 
 class Rule:
@@ -93,28 +101,41 @@ def token_set(text: str | None, shingle: int) -> np.ndarray:
     return np.unique(x)
 
 
-def class_id(tokens: np.ndarray) -> int:
-    return int.from_bytes(xxhash.xxh3_64_digest(tokens.tobytes()), "big", signed=True)
+def class_id(tokens: np.ndarray, seed: int = 0) -> tuple[int, int]:
+    """The id of a set, and 64 more bits that tell whether two sets share it."""
+    digest = xxhash.xxh3_128_digest(tokens.tobytes(), seed)
+    return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
 
 
-def classes(df: DataFrame, id_col: str, text_col: str, rule: Rule, row_col: str | None) -> DataFrame:
-    """``doc_id, row_id, text_hash, sid, n, prefix, counts``: a row per document.
+def classes(df: DataFrame, id_col: str, text_col: str, rule: Rule, row_col: str | None) -> tuple[DataFrame, int]:
+    """``doc_id, row_id, text_hash, sid, n, prefix, counts``, a row per document, and the seed of the ids.
 
     ``prefix`` and ``counts`` are given for a task's first document of each class, and only for
     sets large enough to link to a different set.
     """
-    names = ["doc_id", "row_id", "text_hash", "sid", "n", "prefix", "counts"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+    seed = 0
+    while True:
+        described = described_by(df, id_col, text_col, rule, row_col, seed)
+        shared = described.groupBy("sid").agg(F.min("other").alias("a"), F.max("other").alias("b")).filter("a <> b")
+        if not shared.limit(1).count():
+            return described.drop("other"), seed
+        seed += 1
+
+
+def described_by(df: DataFrame, id_col: str, text_col: str, rule: Rule, row_col: str | None, seed: int) -> DataFrame:
+    names = ["doc_id", "row_id", "text_hash", "sid", "other", "n", "prefix", "counts"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
         for b in batches:
-            sid, size, prefix, counts = [], [], [], []
+            sid, other, size, prefix, counts = [], [], [], [], []
             for text in b.column("text").to_pylist():
                 t = token_set(text, rule.shingle)
                 n = len(t)
-                s = class_id(t) if n else None
+                s, more = class_id(t, seed) if n else (None, None)
                 sid.append(s)
+                other.append(more)
                 size.append(n)
                 if n and s not in met and rule.lacks(n) + rule.adds(n) > 0:
                     met.add(s)
@@ -125,13 +146,13 @@ def classes(df: DataFrame, id_col: str, text_col: str, rule: Rule, row_col: str
                     counts.append(None)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("row_id"), b.column("text_hash"),
-                 *(pa.array(c, t) for c, t in zip((sid, size, prefix, counts), types[3:]))], names)
+                 *(pa.array(c, t) for c, t in zip((sid, other, size, prefix, counts), types[3:]))], names)
 
     row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     frame = df.select(F.col(id_col).cast("long").alias("doc_id"), row.alias("row_id"),
                       F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
     return shared_table(frame.mapInArrow(
-        describe, "doc_id long, row_id long, text_hash long, sid long, n long, prefix array<long>, counts binary"), "classes")
+        describe, "doc_id long, row_id long, text_hash long, sid long, other long, n long, prefix array<long>, counts binary"), "classes")
 
 
 def upper_half(tokens: np.ndarray) -> np.ndarray:
@@ -240,11 +261,14 @@ def spanning(links: Iterator[tuple[int, int]], size: int) -> list[tuple[int, int
     return out
 
 
-def block_links(sets: list[np.ndarray], of: np.ndarray, rule: Rule) -> list[tuple[int, int]]:
-    """A spanning forest of the links among ``sets``; with two blocks in ``of``, links across only."""
-    n = np.array([len(x) for x in sets])
-    tokens = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), n)
+def block_links(differ: list[np.ndarray], of: np.ndarray, rule: Rule, n: np.ndarray, lacks: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links among sets; with two blocks in ``of``, links across only.
+
+    A set of ``n`` tokens is given by the tokens in which it differs from a common set of
+    ``size`` tokens, of which it ``lacks`` so many.
+    """
+    tokens = np.concatenate(differ)
+    owner = np.repeat(np.arange(len(differ)), [len(x) for x in differ])
     _, code, times = np.unique(tokens, return_inverse=True, return_counts=True)
     shared = times > 1
     column = np.cumsum(shared) - 1
@@ -253,7 +277,7 @@ def block_links(sets: list[np.ndarray], of: np.ndarray, rule: Rule) -> list[tupl
     order = np.argsort(code, kind="stable")
     code, owner = code[order], owner[order]
     left, right = (np.flatnonzero(of == of.min()), np.flatnonzero(of == of.max()))
-    row_l, row_r = np.full(len(sets), -1), np.full(len(sets), -1)
+    row_l, row_r = np.full(len(differ), -1), np.full(len(differ), -1)
     row_l[left], row_r[right] = np.arange(len(left)), np.arange(len(right))
     inter = np.zeros((len(left), len(right)), np.float32)
     for lo in range(0, int(shared.sum()), VOCABULARY):
@@ -263,13 +287,13 @@ def block_links(sets: list[np.ndarray], of: np.ndarray, rule: Rule) -> list[tupl
             at = rows[owner[a:b]]
             m[at[at >= 0], code[a:b][at >= 0] - lo] = 1
         inter += x @ y.T
-    inter = np.rint(inter).astype(np.int64)
+    inter = np.rint(inter).astype(np.int64) + size - lacks[left][:, None] - lacks[right][None, :]
     i, j = np.nonzero(rule.link(inter, n[left][:, None], n[right][None, :]))
     i, j = left[i], right[j]
-    return spanning(zip(i[i != j].tolist(), j[i != j].tolist()), len(sets))
+    return spanning(zip(i[i != j].tolist(), j[i != j].tolist()), len(differ))
 
 
-def links(df: DataFrame, described: DataFrame, id_col: str, text_col: str, rule: Rule) -> DataFrame:
+def links(df: DataFrame, described: DataFrame, seed: int, id_col: str, text_col: str, rule: Rule) -> DataFrame:
     """Links ``(a, b)`` between classes that connect what all links connect."""
     spark = df.sparkSession
     heads = described.filter(F.col("prefix").isNotNull())
@@ -324,19 +348,22 @@ def links(df: DataFrame, described: DataFrame, id_col: str, text_col: str, rule:
 
     # Whole sets of the classes concerned, from one document each.
     wanted = (pairs.select(F.explode(F.array("a", "b")).alias("sid")).unionByName(dense.select(F.col("node").alias("sid"))).distinct())
-    some = (described.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.min(F.struct("text_hash", "doc_id")).alias("d"))
+    of_class = described.join(wanted, "sid", "left_semi")
+    some = (of_class.groupBy("sid").agg(F.min(F.struct("text_hash", "doc_id")).alias("d"))
             .select(F.col("d.text_hash").alias("h"), F.col("d.doc_id").alias("i")))
     texts = df.select(F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(id_col).cast("long").alias("doc_id"))
     few = bounded_broadcast(some.distinct(), MOST_BROADCAST)  # counted first; beyond the bound the texts shuffle
-    texts = texts.join(few, (F.col("text_hash") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("i"))).select("text")
+    texts = texts.join(few, (F.col("text_hash") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("i")))
+    if of_class.groupBy("text_hash", "doc_id").count().filter("count > 1").limit(1).count():  # repeated rows: one of each
+        texts = texts.dropDuplicates(["text_hash", "doc_id"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [token_set(t, rule.shingle) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([class_id(t) for t in sets], pa.int64()), pa.array([t.tobytes() for t in sets], pa.binary())],
+            yield pa.RecordBatch.from_arrays([pa.array([class_id(t, seed)[0] for t in sets], pa.int64()), pa.array([t.tobytes() for t in sets], pa.binary())],
                                              ["sid", "tokens"])
 
-    sets = shared_table(texts.mapInArrow(whole, "sid long, tokens binary").dropDuplicates(["sid"]), "sets")
+    sets = shared_table(texts.select("text").mapInArrow(whole, "sid long, tokens binary"), "sets")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -347,12 +374,42 @@ def links(df: DataFrame, described: DataFrame, id_col: str, text_col: str, rule:
                     keep.append(r)
             yield pa.RecordBatch.from_arrays([b.column("a").take(pa.array(keep, pa.int64())), b.column("b").take(pa.array(keep, pa.int64()))], ["a", "b"])
 
-    verified = (pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-                .select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"))
+    def verified(some: DataFrame) -> DataFrame:
+        return (some.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"))
+
+    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    first_links = shared_table(verified(first), "links")
+    met = shared_table(connected_components(first_links), "met")
+    left = (pairs.join(first, ["a", "b"], "left_anti")
+            .join(met.toDF("a", "with_a"), "a", "left").join(met.toDF("b", "with_b"), "b", "left")
+            .filter(F.coalesce("with_a", "a") != F.coalesce("with_b", "b")).select("a", "b"))
+    found_links = first_links.unionByName(verified(left))
+
+    # Each class of a dense group by its difference from the set of the group's least class.
+    heads_of = dense.filter(F.col("node") == F.col("component")).select(F.col("node").alias("sid"))
+    held = heads_of.join(summary, "sid").agg(F.sum("n").alias("n")).first()["n"] or 0
+    common = sets.join(bounded_broadcast(heads_of, MOST_BROADCAST), "sid").toDF("component", "common")
+    members = sets.join(bounded_broadcast(dense.withColumnRenamed("node", "sid"), MOST_BROADCAST), "sid")
+    members = members.join(F.broadcast(common) if held <= MOST_TOKENS else common, "component")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for mine, theirs in zip(b.column("tokens").to_pylist(), b.column("common").to_pylist()):
+                mine, theirs = np.frombuffer(mine, np.uint64), np.frombuffer(theirs, np.uint64)
+                differ = np.setxor1d(mine, theirs, assume_unique=True)
+                rows.append((len(mine), (len(differ) + len(theirs) - len(mine)) // 2, len(theirs), differ.tobytes()))
+            columns = list(zip(*rows)) or [()] * 4
+            yield pa.RecordBatch.from_arrays(
+                [b.column("component"), b.column("sid"), *(pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 3 + [pa.binary()]))],
+                ["component", "sid", "n", "lacks", "size", "differ"])
+
+    dense_sets = shared_table(members.select("component", "sid", "tokens", "common")
+                              .mapInArrow(compare, "component long, sid long, n long, lacks long, size long, differ binary"), "differences")
 
     # Sizes of linked sets differ by a factor of den / num at most, so by one band.
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(max(1e-6, math.log(rule.den / rule.num) * (1 + 1e-9))))
-    banded = dense.join(summary.select(F.col("sid").alias("node"), "n"), "node").select("component", F.col("node").alias("sid"), band.alias("band"))
+    banded = dense_sets.select("component", "sid", band.alias("band"))
     blocks = banded.groupBy("component", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     own = banded.join(blocks, ["component", "band"]).select(
         "component", "sid", F.struct("band", F.pmod(F.xxhash64("sid"), F.col("blocks")).alias("block")).alias("own"),
@@ -361,16 +418,17 @@ def links(df: DataFrame, described: DataFrame, id_col: str, text_col: str, rule:
              .withColumn("other", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
                                                         lambda k: F.struct(F.col("band"), k.alias("block")))))
              .select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "sid",
-                     (F.col("own") <= F.col("other")).alias("first")).join(sets, "sid"))
+                     (F.col("own") <= F.col("other")).alias("first")).join(dense_sets.drop("component"), "sid"))
 
     def solve(unit: pa.Table) -> pa.Table:
         sids, of = unit.column("sid").to_numpy(), unit.column("first").to_numpy().astype(int)
         alone = unit.column("i")[0].as_py() != unit.column("j")[0].as_py() and of.min() == of.max()  # the other block is empty
-        rows = [] if alone else block_links([np.frombuffer(x, np.uint64) for x in unit.column("tokens").to_pylist()], of, rule)
+        rows = [] if alone else block_links([np.frombuffer(x, np.uint64) for x in unit.column("differ").to_pylist()], of, rule,
+                                            unit.column("n").to_numpy(), unit.column("lacks").to_numpy(), unit.column("size")[0].as_py())
         a, b = (np.array([r[k] for r in rows], int) for k in (0, 1))
         return pa.table([pa.array(sids[a], pa.int64()), pa.array(sids[b], pa.int64())], names=["a", "b"])
 
-    return verified.unionByName(units.groupBy("component", "i", "j").applyInArrow(solve, "a long, b long"))
+    return found_links.unionByName(units.groupBy("component", "i", "j").applyInArrow(solve, "a long, b long"))
 
 
 def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, num: int = 90, den: int = 100,
@@ -384,8 +442,8 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Repeated rows belong to one class. An empty input gives an empty result.
     """
     rule = Rule(shingle, num, den)
-    described = classes(df, id_col, text_col, rule, row_col)
-    joined = connected_components(links(df, described, id_col, text_col, rule))
+    described, seed = classes(df, id_col, text_col, rule, row_col)
+    joined = connected_components(links(df, described, seed, id_col, text_col, rule))
     per_class = (described.filter(F.col("sid").isNotNull()).groupBy("sid").agg(F.min("doc_id").alias("least"))
                  .join(joined.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid")))
     ids = per_class.groupBy("component").agg(F.min("least").alias("component_id"))
