@@ -236,13 +236,17 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
           select_grade: int = 2, select_at: float = SELECT_AT, keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, expected_grade, tail_probability, selected`` and the columns ``keep`` of each row.
 
-    ``selected`` is ``tail_probability >= select_at``. Null text counts as empty. Without a model
+    Columns of ``keep`` that are named like one of these give way to it. ``selected`` is ``tail_probability >= select_at``. Null text counts as empty. Without a model
     (nothing was rated) the scores are null and every document is selected.
     """
-    frame = docs.select(F.col(id_col).alias("doc_id"), *keep, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    keep = tuple(c for c in keep if c.lower() not in ("doc_id", "expected_grade", "tail_probability", "selected"))
+    held = [f"__keep_{i}" for i in range(len(keep))]
+    frame = docs.select(F.col(id_col).alias("doc_id"), *[F.col(c).alias(h) for c, h in zip(keep, held)],
+                        F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    result = ["doc_id", *keep, "expected_grade", "tail_probability", "selected"]
     if model is None:
-        return frame.select("doc_id", *keep, F.lit(None).cast("double").alias("expected_grade"),
-                            F.lit(None).cast("double").alias("tail_probability"), F.lit(True).alias("selected"))
+        return frame.select("doc_id", *held, F.lit(None).cast("double").alias("expected_grade"),
+                            F.lit(None).cast("double").alias("tail_probability"), F.lit(True).alias("selected")).toDF(*result)
     shipped = docs.sparkSession.sparkContext.broadcast((model.weights, model.cuts, model.bits))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,14 +265,14 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
             at_least = sigmoid(z[:, None] - cuts[None, :]) if len(z) else np.zeros((0, len(cuts)))
             tail = at_least[:, select_grade - 1]
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in ("doc_id", *keep)), pa.array(at_least.sum(axis=1)), pa.array(tail), pa.array(tail >= select_at)],
+                [*(b.column(c) for c in ("doc_id", *held)), pa.array(at_least.sum(axis=1)), pa.array(tail), pa.array(tail >= select_at)],
                 schema=out)
 
     from pyspark.sql.pandas.types import to_arrow_schema
 
     schema = frame.drop("__text").withColumns({"expected_grade": F.lit(0.0), "tail_probability": F.lit(0.0), "selected": F.lit(True)}).schema
     out = to_arrow_schema(schema)
-    return frame.mapInArrow(scored, schema)
+    return frame.mapInArrow(scored, schema).toDF(*result)
 
 
 def grades_from_labels(labels: DataFrame) -> DataFrame:

@@ -162,19 +162,21 @@ def source_mix(df: DataFrame, **options) -> DataFrame:
 def mixed_documents(df: DataFrame, text_col: str = "text", row_col: str = "row_id", **options) -> DataFrame:
     """The mix as documents: for each epoch in which a document is taken, a row with the words taken.
 
-    The row has the document's columns and ``epoch``; its text is the document's if taken whole,
-    else its taken words with the white space after them.
+    The row has the document's columns and ``epoch`` (a column of that name gives way to it); its
+    text is the document's if taken whole, else its taken words with the white space after them.
     """
     m = mix(df, text_col=text_col, row_col=row_col, **options)
     copies = (m.taken.groupBy("row_id", "epoch")
               .agg(F.sort_array(F.collect_list(F.struct("from_word", "words"))).alias("pieces"), F.sum("words").alias("words"))
               .join(m.sizes.select("row_id", "size"), "row_id")
-              .select(F.col("row_id").alias(row_col), "epoch",
-                      F.when(F.col("words") < F.col("size"), F.col("pieces")).alias("pieces")))
-    words = F.regexp_extract_all(F.col(text_col), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-    cut = F.aggregate("pieces", F.lit(""), lambda text, p: F.concat(
-        text, F.array_join(F.slice(F.col("__words"), (p["from_word"] + 1).cast("int"), p["words"].cast("int")), "")))
-    return (df.join(copies, row_col)
-            .withColumn("__words", F.when(F.col("pieces").isNotNull(), words))
-            .withColumn(text_col, F.when(F.col("pieces").isNull(), F.col(text_col)).otherwise(cut))
-            .drop("__words", "pieces"))
+              .select("row_id", "epoch", F.when(F.col("words") < F.col("size"), F.col("pieces")).alias("pieces")))
+    columns = [c for c in df.columns if c.lower() != "epoch"]
+    held = {c: f"__doc_{i}" for i, c in enumerate(columns)}
+    text, rows = F.col(held[text_col]), df.select(*[F.col(c).alias(h) for c, h in held.items()])
+    words = F.regexp_extract_all(text, F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
+    cut = F.aggregate("pieces", F.lit(""), lambda made, p: F.concat(
+        made, F.array_join(F.slice(F.col("words"), (p["from_word"] + 1).cast("int"), p["words"].cast("int")), "")))
+    mixed = (rows.join(copies, rows[held[row_col]] == copies["row_id"])
+             .withColumn("words", F.when(F.col("pieces").isNotNull(), words))
+             .withColumn(held[text_col], F.when(F.col("pieces").isNull(), text).otherwise(cut)))
+    return mixed.select(*held.values(), "epoch").toDF(*columns, "epoch")

@@ -136,7 +136,7 @@ def on_spark(spark: SparkSession, matrix: np.ndarray) -> Callable[[list[tuple[in
 
         out = [np.zeros_like(s) for s in spaces]
         tasks = spark.range(0, len(points), 1, len(points))
-        for r in tasks.mapInArrow(solve, "interval int, part binary").toLocalIterator():
+        for r in tasks.mapInArrow(solve, "interval int, part binary").collect():
             out[r["interval"]] += np.frombuffer(r["part"]).reshape(out[r["interval"]].shape)
         return out
 

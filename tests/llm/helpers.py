@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use inside; as extra columns they must do no harm.
-CLASHING = ["row_id", "digest", "size", "sid", "n", "kept", "key", "start", "unit", "src", "bucket", "pair", "uid", "__text", "a", "b"]
+CLASHING = ["row_id", "digest", "size", "sid", "n", "kept", "key", "start", "unit", "src", "bucket", "pair", "uid", "__text", "a", "b",
+            "selected", "tail_probability", "expected_grade", "epoch", "pieces", "words", "__row", "__words", "fp", "codes", "other", "component"]
 
 
 def documents(spark, rows, clashing=True):

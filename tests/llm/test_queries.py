@@ -51,7 +51,7 @@ def corpus(spark, tmp_path_factory):
         edited = base.split()
         edited[len(edited) // 2] = "edited"
         rows += [(1000 + 10 * i, base, "a"), (1001 + 10 * i, base.upper(), "b"), (1002 + 10 * i, " ".join(edited), rng.choice("abc"))]
-    documents(spark, rows, clashing=False).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    documents(spark, rows).repartition(3).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([(1, 1, 0), (None, 0, 1), (1000, 1, 0), (1010, 1, 0), (1021, None, 1)], "doc_id long, quality int, toxic int") \
         .write.parquet(f"{folder}/labels.parquet")
     return folder
@@ -103,7 +103,7 @@ def test_pipeline_on_given_data(spark):
 
 
 def test_pipeline_on_empty_tables(spark, tmp_path):
-    documents(spark, [], clashing=False).write.parquet(f"{tmp_path}/documents.parquet")
+    documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
@@ -115,7 +115,7 @@ def test_quality_stage_rejects_what_a_plain_recomputation_rejects(spark, tmp_pat
     kinds = ["w", "toxic", "junk"]
     rows = [(i, " ".join(f"{kinds[i % 3]}{rng.randrange(30)}" for _ in range(rng.randrange(5, 60))), "a") for i in range(150)]
     labels = [(i, 0 if i % 3 == 2 else 1, 1 if i % 3 == 1 else 0) for i in range(90)]
-    docs = documents(spark, rows, clashing=False).repartition(3)
+    docs = documents(spark, rows).repartition(3)
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     grades = spark.createDataFrame([(i, 0 if not q else 1 if t else 2) for i, q, t in labels], "doc_id long, grade int")
     model = quality.train(docs, grades)
@@ -134,7 +134,7 @@ def test_mixing_stage_takes_words_in_order_and_as_often_as_due(spark):
     rng = random.Random(7)
     rows = [(i, words(rng, rng.randrange(1, 400)), rng.choice("abbbb")) for i in range(120)]
     text, source, taken = {r[0]: r[1] for r in rows}, {r[0]: r[2] for r in rows}, {}
-    for r in corpus_pipeline.mixing_stage(spark, documents(spark, rows, clashing=False).repartition(3), "").collect():
+    for r in corpus_pipeline.mixing_stage(spark, documents(spark, rows).repartition(3), "").collect():
         rest = iter(text[r.doc_id].split())
         assert all(w in rest for w in r.text.split())  # words of the document in their order
         taken.setdefault(r.doc_id, []).append(len(r.text.split()))
