@@ -17,9 +17,9 @@ places are then hashed as a whole and grouped like units.
 One pass over the texts writes them with their units and prints; the later passes read texts again
 only to look at documents with repeated prints, and to cut. Digests, prints, ids and offsets
 shuffle for the groupings (partially aggregated, so a line that a third of all documents share is
-one row a task). What stands twice is written and then joined back: broadcast if it is counted to
-be small, else by a join of two written tables, in which a hot digest's side can be split. Texts
-shuffle only where the cuts, or the prints that stand twice, are too many to be broadcast.
+one row a task). What stands twice is written and then joined back: a join of two written tables,
+in which a hot digest's side can be split. The texts shuffle to meet their repeated prints and their
+cuts.
 """
 
 from __future__ import annotations
@@ -34,7 +34,6 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from keytally.llm.common import shared_table
-from keytally.operators.offsets import bounded_broadcast
 
 MIN_WORDS = 5
 #: Words of a run that is left in one place only.
@@ -46,13 +45,12 @@ UNITS = {"line": re.compile(r"[^\n]*(?:\n|\Z)"), "paragraph": re.compile(r"(?s).
 SPACELESS = "฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U00020000-\U0003ffff"
 ANY_SPACELESS = re.compile(f"[{SPACELESS}]")
 TOKEN = re.compile(rf"[{SPACELESS}]|[^\s{SPACELESS}]+")
+LINE_BREAK = re.compile("\n")
 #: Characters of a token beyond which it counts as several words.
 LONG_WORD = 16
-FACTOR = 0x9E3779B97F4A7C15
+FACTOR, MIXER = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
 #: Words whose hash a Python worker remembers.
 REMEMBERED = 200_000
-#: Most repeated digests or prints, and most cuts or prints of documents, that are broadcast (up to about 64 bytes each).
-MOST_BROADCAST, MOST_ITEMS = 1 << 19, 1 << 21
 
 
 Piece = tuple[list[str], bytes | None, int, int]
@@ -149,9 +147,8 @@ def over_runs(values: np.ndarray, n: int, join) -> np.ndarray:
         block, size = both(block, block[size:], size), 2 * size
 
 
-def grams(words: list[str], hashes: WordHashes) -> np.ndarray:
-    """A hash of each run of ``GRAM`` words."""
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+def gram_hashes(h: np.ndarray) -> np.ndarray:
+    """A hash of each run of ``GRAM`` words, by their hashes."""
     h = over_runs(h, GRAM, lambda a, b, k: a * np.uint64(pow(FACTOR, k, 1 << 64)) + b)
     h = (h ^ (h >> np.uint64(31))) * np.uint64(FACTOR)
     return h ^ (h >> np.uint64(29))
@@ -178,7 +175,7 @@ def prints_in(pieces: list[Piece], passage: int, own: int, hashes: WordHashes) -
     n = int(lengths.sum())
     if n < passage:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    h = grams([w for p in pieces for w in p[0]], hashes)
+    h = gram_hashes(np.fromiter((hashes[w] for p in pieces for w in p[0]), np.uint64, n))
     at = np.flatnonzero(is_print(h, passage))
     begins = np.cumsum(lengths) - lengths
     first = np.searchsorted(begins, np.maximum(at - (passage - GRAM), 0), "right") - 1
@@ -194,24 +191,42 @@ def prints_in(pieces: list[Piece], passage: int, own: int, hashes: WordHashes) -
     return h[at].view(np.int64), home
 
 
-def passages_of(text: str, prints: list[int], cuts: list[dict] | None, passage: int, hashes: WordHashes) -> Iterator[tuple[bytes, int, int]]:
-    """``(digest, start, end)`` of each run of ``passage`` words that holds a print and is not cut as a whole.
+def run_digests(h: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """128 bits of each run of ``n`` word hashes that begins at ``at``, as rows of 16 bytes: two sums by powers of two factors.
+
+    The second is over the hashes' own hashes, so that it goes its own way.
+    """
+    def sums(x: np.ndarray, factor: int) -> np.ndarray:
+        return over_runs(x, n, lambda a, b, k: a * np.uint64(pow(factor, k, 1 << 64)) + b)[at]
+
+    mixed = (h ^ (h >> np.uint64(29))) * np.uint64(MIXER)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(FACTOR)
+    return np.ascontiguousarray(np.column_stack([sums(h, FACTOR), sums(mixed ^ (mixed >> np.uint64(31)), MIXER)])).view(np.uint8).reshape(-1, 16)
+
+
+def passages_of(text: str, prints: list[int], cuts: list[dict] | None, passage: int,
+                hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Digests, starts and ends of the runs of ``passage`` words that hold a print and are not cut as a whole.
 
     A run ends where its last word's successor begins if that stands in the same line.
     """
-    spans = [m.span() for m in TOKEN.finditer(text)]
-    words = [text[s:e].lower() for s, e in spans]
-    h = grams(words, hashes)
-    runs = over_runs(np.isin(h, np.array(prints, np.int64).view(np.uint64)), passage - GRAM + 1, lambda a, b, _: a | b)
-    starts = np.array([s for s, _ in spans], np.int64)
+    spans = np.array([m.span() for m in TOKEN.finditer(text)], np.int64).reshape(-1, 2)
+    words = words_of(text)
+    if len(words) != len(spans):  # lower case parted a word
+        words = [text[s:e].lower() for s, e in spans.tolist()]
+    starts, ends = spans[:, 0], spans[:, 1]
+    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    runs = over_runs(np.isin(gram_hashes(h), np.array(prints, np.int64).view(np.uint64)), passage - GRAM + 1, lambda a, b, _: a | b)
     gone = np.zeros(len(spans), bool)
     for cut in cuts or ():
         gone[np.searchsorted(starts, cut["start"]):np.searchsorted(starts, cut["end"])] = True
-    runs &= ~over_runs(gone, passage, lambda a, b, _: a & b)
-    for i in np.flatnonzero(runs).tolist():
-        end = spans[i + passage - 1][1]
-        after = spans[i + passage][0] if i + passage < len(spans) else len(text)
-        yield digest_of(words[i:i + passage]), spans[i][0], end if "\n" in text[end:after] else after
+    at = np.flatnonzero(runs & ~over_runs(gone, passage, lambda a, b, _: a & b))
+    if not len(at):
+        return None
+    end, after = ends[at + passage - 1], np.append(starts, len(text))[at + passage]
+    breaks = np.array([m.start() for m in LINE_BREAK.finditer(text)], np.int64)
+    same_line = np.searchsorted(breaks, end) == np.searchsorted(breaks, after)
+    return run_digests(h, at, passage), starts[at], np.where(same_line, after, end)
 
 
 def merged(cuts: list[dict] | None) -> list[dict]:
@@ -246,7 +261,7 @@ def repeats(units: DataFrame) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "start", "end")
     groups = (units.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
               .filter(F.col("first") != F.col("last")).select("digest", "first"))
-    groups = bounded_broadcast(shared_table(groups, "repeated"), MOST_BROADCAST)
+    groups = shared_table(groups, "repeated")
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
     return (units.join(groups, "digest").filter(place != F.col("first"))
             .select("doc_id", "text_hash", F.when(same, F.greatest("start", "first.end")).otherwise(F.col("start")).alias("start"), "end")
@@ -303,33 +318,29 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return (places.select(*key, "start", "end").groupBy(*keys)
                 .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias(name)))
 
-    def joined_with(texts: DataFrame, rows: DataFrame, name: str, how: str) -> DataFrame:
-        """Texts with the arrays ``name`` of their documents, a written table, which is broadcast if it holds few items."""
-        items = rows.agg(F.sum(F.size(name) + 2)).first()[0] or 0
-        return texts.join(F.broadcast(rows) if items <= MOST_ITEMS else rows, keys, how)
-
     unit_cuts = shared_table(by_document(repeats(units), "cuts"), "cuts")
 
     prints = parsed.select("doc_id", "text_hash", F.inline(F.arrays_zip("print", "home")))
     twice = prints.groupBy("print").agg(F.min("home").alias("a"), F.max("home").alias("b")).filter("a <> b").select("print")
-    twice = bounded_broadcast(shared_table(twice, "twice"), MOST_BROADCAST)
-    printed = shared_table(prints.join(twice, "print").select(*key, "print").groupBy(*keys).agg(F.collect_set("print").alias("prints")), "printed")
+    printed = prints.join(shared_table(twice, "twice"), "print").select(*key, "print").groupBy(*keys).agg(F.collect_set("print").alias("prints"))
     texts = parsed.select("doc_id", "text", "n_units", *key)
-    searched = joined_with(joined_with(texts, printed, "prints", "inner"), unit_cuts, "cuts", "left").select("doc_id", "text_hash", "text", "prints", "cuts")
+    searched = texts.join(printed, keys).join(unit_cuts, keys, "left").select("doc_id", "text_hash", "text", "prints", "cuts")
 
     def find_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for b in batches:
             for i, h, t, prints, cuts in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text_hash", "text", "prints", "cuts"))):
-                columns = list(zip(*passages_of(t, prints, cuts, passage, hashes)))
-                if columns:
-                    n = len(columns[0])
-                    columns = [[i] * n, [h] * n, *columns]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, unit_types)], unit_names)
+                found = passages_of(t, prints, cuts, passage, hashes)
+                if found is not None:
+                    digests, starts, ends = found
+                    n = len(starts)
+                    binary = pa.Array.from_buffers(pa.binary(16), n, [None, pa.py_buffer(digests.tobytes())]).cast(pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array([i] * n, pa.int64()), pa.array(np.full(n, h)), binary,
+                                                      pa.array(starts.astype(np.int32)), pa.array(ends.astype(np.int32))], unit_names)
 
     passages = shared_table(searched.mapInArrow(find_passages, unit_schema), "passages")
-    runs = shared_table(by_document(repeats(passages), "runs"), "runs")
-    counted = joined_with(joined_with(texts, unit_cuts, "cuts", "left"), runs, "runs", "left").select("doc_id", "text", "n_units", "cuts", "runs")
+    counted = (texts.join(unit_cuts, keys, "left").join(by_document(repeats(passages), "runs"), keys, "left")
+               .select("doc_id", "text", "n_units", "cuts", "runs"))
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
