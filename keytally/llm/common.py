@@ -18,18 +18,25 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 _TEMPORARY: list[list[str]] = []
+#: Makes Spark delete a query's shuffle files when the query has ended, instead of some time after.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_table(df: DataFrame, name: str, compression: str = "zstd", keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it again.
 
     Cuts the lineage with files every executor can read, so a lost executor costs only its
-    running tasks. The folder goes when the driver's JVM ends, or with the ``temporary_tables``
+    running tasks; the shuffles behind the table are not needed again and go with the write. The folder goes when the driver's JVM ends, or with the ``temporary_tables``
     block it was written in, unless ``keep`` is set.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/keytally-llm/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     at, fs = _hadoop(spark, path)
     fs.deleteOnExit(at)
     if _TEMPORARY and not keep:
