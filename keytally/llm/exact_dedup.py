@@ -3,8 +3,11 @@
 Texts are compared by the SHA-256 of their ASCII-lower-cased UTF-8 bytes. The digests are
 written once (about 50 bytes a row, no text) and then
 
-1. a Misra-Gries summary of every task, merged, names the candidates: every digest with
-   more than ``N / (counters + 1)`` rows is among them;
+1. a Misra-Gries summary of every task, merged, names the candidates, the ``counters`` largest.
+   Summaries miss at most ``N / (counters + 1)`` rows of a digest, and fewer than ``counters``
+   digests can hold over ``N / counters`` of the merged counts each, so every digest with
+   ``2 N / counters`` rows is among them: with the default share, every heavy one. With a smaller
+   ``heavy_share`` some heavy digests may be missed; they take the ordinary shuffle;
 2. the candidates are counted exactly (partial aggregation: a row per candidate and task);
    those with at least ``heavy_share`` of all rows are heavy, with their winner;
 3. rows with a heavy digest are decided map-side against the broadcast winners (at most

@@ -88,3 +88,49 @@ def test_nothing_rated(spark):
     got = quality.quality_classifier(docs, labels).collect()
     assert sorted((r.doc_id, r.expected_grade, r.selected) for r in got) == [(1, None, True), (2, None, True)]
     assert quality.quality_classifier(documents(spark, []), spark.read.parquet(f"{SF}/labels.parquet")).collect() == []
+
+
+def test_fit_is_the_optimum_of_a_plain_objective():
+    """Against plain gradient descent on the likelihood written out, without the fit's own gradient."""
+    rng = np.random.default_rng(5)
+    n, size = 240, 12
+    grades = rng.integers(0, 3, n)
+    shown = rng.random((n, size)) < 0.25
+    for k in range(3):  # places that go with a grade
+        shown[:, k] |= (grades == k) & (rng.random(n) < 0.6)
+    x, weights = shown.astype(float), rng.random(n) + 0.5
+    features = [np.flatnonzero(row) for row in shown]
+    kept = quality.telling(features, grades, 3, size, quality.MIN_DOCUMENTS)
+
+    def loss(w, t):
+        z = x @ np.where(kept, w, 0)
+        at_least = np.column_stack([np.ones(n), *(1 / (1 + np.exp(-(z - c))) for c in t), np.zeros(n)])
+        p = at_least[np.arange(n), grades] - at_least[np.arange(n), grades + 1]
+        return -(weights * np.log(p)).sum() / weights.sum() + 0.5 * quality.PENALTY * (np.where(kept, w, 0) ** 2).sum()
+
+    w, t = np.zeros(size), np.array([-0.5, 0.5])
+    both, velocity = np.concatenate([w, t]), 0.0
+    for _ in range(1500):
+        g = np.array([(loss(*np.split(both + s, [size])) - loss(*np.split(both - s, [size]))) / 2e-6 for s in np.eye(size + 2) * 1e-6])
+        velocity = 0.9 * velocity - 0.5 * g
+        both = both + velocity
+    plain_w, plain_t = np.split(both, [size])
+    w, cuts = quality.fit(features, grades, weights, 3, size)
+    assert kept[:3].all() and (np.diff(cuts) > 0).all()
+    assert loss(w, cuts) <= loss(plain_w, plain_t) + 1e-5
+    assert np.abs(x @ w - cuts[1] - (x @ np.where(kept, plain_w, 0) - plain_t[1])).max() < 0.05
+
+
+def test_query_on_given_data_against_plain_scores(spark):
+    from keytally.llm import queries
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = quality.train(docs, quality.grades_from_labels(spark.read.parquet(f"{sf}/labels.parquet")))
+    got = {r.doc_id: r for r in queries.op4_quality_classifier(spark, sf).collect()}
+    rows = docs.collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        z = sum(float(model.weights[p]) for t in quality.tokens_of(r.text or "") for p in quality.places(t, model.bits))
+        at_least = [1 / (1 + np.exp(c - z)) for c in model.cuts]
+        assert abs(got[r.doc_id].tail_probability - at_least[1]) < 1e-5 and abs(got[r.doc_id].expected_grade - sum(at_least)) < 1e-5
+        assert got[r.doc_id].selected == (got[r.doc_id].tail_probability >= quality.SELECT_AT)

@@ -131,3 +131,46 @@ def test_patterns_do_not_hide_one_another():
     got = [text[a:b] for a, b in ss.spans(text)]
     assert f"-----BEGIN PRIVATE KEY----- {block}" in got and token in got and "AKIA" + "A1" * 8 in got and "0123456789abcdefgh" in got and f"eyJ{token}" in got
     assert all(a[1] <= b[0] for a, b in zip(sorted(ss.spans(text)), sorted(ss.spans(text))[1:]))
+
+
+def plain_spans(text):
+    """The candidates by one search with all patterns, and every assignment looked at by itself."""
+    import re
+    block = r"-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----[\s\S]*?-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
+    token = r"eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,}"
+    keys = ss.KEYS.pattern.replace("([\\w+/", "(?=[^\\s\"'`]*\\d)([\\w+/")
+    found = {(m.start(), m.start() + len(m.group().rstrip(ss.TRAILING))) for m in re.finditer(f"{block}|{token}|{keys}", text)}
+    for m in ss.ASSIGNS.finditer(text):
+        value = ss.VALUE.match(text, m.end())
+        if value and ss.NAMED.search(text[max(0, m.start() - 64):m.start()]):
+            k = value.lastindex
+            found.add((value.start(k), value.end(k) if k < 4 else value.start(k) + len(value.group(k).rstrip(ss.TRAILING))))
+    found |= {m.span(1) for m in ss.URL_PASSWORD.finditer(text)}
+    return sorted((a, b) for a, b in found if a < b)
+
+
+def test_query_on_given_data_against_plain_search(spark):
+    from keytally.llm import queries
+    sf = "/root/testdata/sf0.001"
+    got = queries.op3_secret_scan(spark, sf).collect()
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    want = sorted((i, a, b, t[a:b]) for i, t in texts.items() for a, b in plain_spans(t))
+    assert sorted((r.doc_id, r.start, r.end, r.candidate) for r in got) == want and len(want) > 10
+    sure = 0
+    for r in got:
+        assert r.secret == (r.probability >= ss.REPORT_AT)
+        t = texts[r.doc_id]
+        label = ss.rule_label(r.candidate, t[max(0, r.start - 40):r.start], t[r.end:r.end + 24])
+        if label is not None:  # the forest agrees with the findings it was trained on
+            sure += 1
+            assert r.secret == bool(label), r
+    assert sure > 10
+
+
+def test_plain_search_of_odd_texts():
+    rng = random.Random(1)
+    pieces = ["eyJ", "abcdefgh", ".", " ", "=", ":", "token", "password", "a1", "0123456789abcdef", "-", "_", '"', "'", ",", "-----BEGIN PRIVATE KEY-----",
+              "-----END PRIVATE KEY-----", "://", "@", "~", "AKIA" + "A" * 16, "sk-" + "x" * 20, "\n", "é", "=="]
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 25)))
+        assert ss.spans(text) == plain_spans(text), text
