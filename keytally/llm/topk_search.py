@@ -5,14 +5,17 @@ coordinate, ``sqrt(M^2 - |v|^2)`` with ``M`` the largest norm, and every query a
 ``|q - v|^2 = |q|^2 + M^2 - 2 q.v``. In that space
 
 1. data and queries are assigned to their nearest pivot (a bounded number of vectors, by hash);
-2. summaries of the cells (counts, largest distance to the pivot, the k + 1 smallest) bound for
-   each query cell the distance ``theta`` within which all its queries have k neighbours;
+2. ``theta`` bounds for each query cell the distance within which all its queries have k neighbours:
+   by summaries of the cells (counts, largest distance to the pivot, the k + 1 smallest), and by
+   the queries' own distances to the pivots, which are vectors of the data (the k + 1 smallest, as
+   one may be the query itself); the smaller bound holds;
 3. query cells are grouped; by the triangle inequality a vector of cell ``j`` at distance ``d``
    from its pivot can matter to group ``g`` only if ``d`` lies within the group's interval for
    that cell, so data are replicated only to the groups that may need them;
 4. each group is solved in units of at most about ``group_queries`` queries and ``block_rows``
    vectors (dealt by hash, so many equal vectors are dealt too); a query's best k of every
-   unit are merged.
+   unit are merged. Units are as large as leaves every core some, up to ``BLOCK_ROWS`` vectors, so
+   that vectors are sent as few times as can be.
 
 Distances decide only what is replicated, with a margin for rounding; scores are exact integers
 and ties go to the smaller id.
@@ -31,7 +34,7 @@ from keytally.llm.common import parts_for, shared_table
 SCALE, K, EVERY = 256, 5, 50
 #: Most pivots, and most groups of query cells: what the driver holds and ships is bounded by them.
 PIVOTS, GROUPS = 512, 64
-GROUP_QUERIES, BLOCK_ROWS = 1024, 2048
+GROUP_QUERIES, BLOCK_ROWS, LEAST_ROWS = 4096, 16384, 2048
 #: Rounding margin of distances, as a share of M.
 MARGIN = 1e-5
 RESULT = "query_id long, rank int, vec_id long, score long"
@@ -73,15 +76,16 @@ class Bounds:
     def __init__(self, pivots, cells, nearest, query_cells, k: int, groups: int):
         m = len(pivots)
         between = distances(pivots[:, :-1], True, pivots, float(np.sqrt((pivots * pivots).sum(axis=1).max())) if m else 0.0)
-        ids = np.array([c for c, _, _ in query_cells], int)
-        count = np.array([n for _, n, _ in query_cells], float)
-        reach = np.array([r for _, _, r in query_cells])
+        ids = np.array([c[0] for c in query_cells], int)
+        count = np.array([c[1] for c in query_cells], float)
+        reach = np.array([c[2] for c in query_cells])
+        by_pivots = np.array([c[3] if len(c) > 3 else np.inf for c in query_cells])
         near_cell = np.array([c for c, _ in nearest], int)
         near_d = np.array([d for _, d in nearest])
         theta = np.empty(len(ids))
         for at, i in enumerate(ids):
             upper = reach[at] + between[i, near_cell] + near_d
-            theta[at] = np.partition(upper, k)[k] if len(upper) > k else np.inf
+            theta[at] = min(np.partition(upper, k)[k] if len(upper) > k else np.inf, by_pivots[at])
         # Group query cells around the pivots of the fullest ones.
         centres = ids[np.argsort(-count, kind="stable")[:groups]]
         self.group_of = dict(zip(ids.tolist(), np.argmin(between[ids][:, centres], axis=1).tolist()))
@@ -104,7 +108,7 @@ def best(scores: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> np.nd
 
 def topk_search(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K, every: int = EVERY,
                 scale: int = SCALE, pivots: int = PIVOTS, groups: int = GROUPS, group_queries: int = GROUP_QUERIES,
-                block_rows: int = BLOCK_ROWS) -> DataFrame:
+                block_rows: int | None = None) -> DataFrame:
     """The ``k`` best rows for each row whose id is divisible by ``every``: ``query_id, rank, vec_id, score``.
 
     Vectors are null-free, finite and quantised to ``floor(scale * x)``; rows with a null id, a
@@ -138,23 +142,27 @@ def topk_search(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
             cell = d.argmin(axis=1)
             query = ids % every == 0
             qd = distances(points[query], False, centre, top)
-            qcell, qdist = np.full(len(ids), -1), np.full(len(ids), np.nan)
+            qcell, qdist, bound = np.full(len(ids), -1), np.full(len(ids), np.nan), np.full(len(ids), np.inf)
             if len(qd):
                 qcell[query], qdist[query] = qd.argmin(axis=1), qd.min(axis=1)
+                if qd.shape[1] > k:
+                    bound[query] = np.partition(qd, k, axis=1)[:, k]
             packed = v.astype("<i4") if small else v.astype("<i8")
             yield pa.RecordBatch.from_arrays(
                 [b.column("vec_id"), b.column("row_id"), pa.array([r.tobytes() for r in packed], pa.binary()), pa.array(cell, pa.int32()),
-                 pa.array(d.min(axis=1) if len(ids) else np.zeros(0)), pa.array(qcell, pa.int32()), pa.array(qdist)],
-                ["vec_id", "row_id", "v", "cell", "dist", "qcell", "qdist"])
+                 pa.array(d.min(axis=1) if len(ids) else np.zeros(0)), pa.array(qcell, pa.int32()), pa.array(qdist), pa.array(bound)],
+                ["vec_id", "row_id", "v", "cell", "dist", "qcell", "qdist", "bound"])
 
     assigned = shared_table(vectors.mapInArrow(
-        assign, "vec_id long, row_id long, v binary, cell int, dist double, qcell int, qdist double"), "assigned")
+        assign, "vec_id long, row_id long, v binary, cell int, dist double, qcell int, qdist double, bound double"), "assigned")
     cells = [tuple(r) for r in assigned.groupBy("cell").agg(F.count(F.lit(1)), F.max("dist")).collect()]
     nearest = [tuple(r) for r in assigned.withColumn("r", F.row_number().over(Window.partitionBy("cell").orderBy("dist", "row_id")))
                .filter(F.col("r") <= k + 1).select("cell", "dist").collect()]
-    query_cells = [tuple(r) for r in assigned.filter("qcell >= 0").groupBy("qcell").agg(F.count(F.lit(1)), F.max("qdist")).collect()]
+    query_cells = [tuple(r) for r in assigned.filter("qcell >= 0").groupBy("qcell").agg(F.count(F.lit(1)), F.max("qdist"), F.max("bound")).collect()]
     bounds = Bounds(centre, cells, nearest, query_cells, k, min(groups, parts_for(stats["q"], group_queries)))
 
+    if block_rows is None:
+        block_rows = min(BLOCK_ROWS, max(LEAST_ROWS, n // (2 * spark.sparkContext.defaultParallelism)))
     blocks = parts_for(n, block_rows)
     sections = np.maximum(1, np.ceil(bounds.queries / group_queries)).astype(int)  # of a group's queries
     first_unit = np.concatenate([[0], np.cumsum(sections * blocks)])

@@ -73,3 +73,16 @@ def test_pivots_leave_data_out():
     for g, own in ((bounds.group_of[0], 0), (bounds.group_of[1], 1)):
         assert bounds.low[g, own] <= 0 <= bounds.high[g, own]
         assert bounds.low[g, 1 - own] > 1.0  # beyond the other cell's largest distance
+
+
+def test_distances_to_pivots_tighten_the_bounds():
+    """A cell whose queries lie near enough pivots needs less than the cells' summaries say, and never less than that."""
+    import numpy as np
+
+    from keytally.llm.topk_search import Bounds
+    pivots = np.array([[100.0, 0.0, 0.0], [0.0, 100.0, 0.0]])
+    cells, nearest = [(0, 10, 30.0), (1, 10, 30.0)], [(c, 20.0) for c in (0, 1) for _ in range(6)]
+    loose, tight = (Bounds(pivots, cells, nearest, [(0, 3, 9.0, b), (1, 3, 9.0, b)], 5, 2) for b in (np.inf, 12.0))
+    assert (tight.high < loose.high).all() and (tight.low > loose.low).all()
+    g = tight.group_of[0]
+    assert tight.high[g, 0] == 9.0 + 12.0  # the cell's reach and the bound
