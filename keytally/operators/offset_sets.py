@@ -55,10 +55,11 @@ def bucket_runs(bitmaps: DataFrame) -> DataFrame:
     whole = F.bitmap_count("bitmap") == F.col("high") - F.col("low") + 1
     keys = [F.col(k) for k in BUCKET_KEYS]
     plain = bitmaps.filter(whole).select(*keys, F.col("low").alias("from_offset"), (F.col("high") + 1).alias("until_offset"))
-    bits = F.array_join(F.transform(
+    # Ends with a one, so that every stretch is a match: zeros behind it would be tried again and again.
+    bits = F.rtrim(F.array_join(F.transform(
         F.sequence(F.lit(0), F.lit(BUCKET // _WORD - 1)),
-        lambda k: F.lpad(F.conv(F.hex(F.substring("bitmap", k * (_WORD // 8) + 1, F.lit(_WORD // 8))), 16, 2), _WORD, "0")), "")
-    stretches = F.expr("regexp_extract_all(bits, '0*1+', 0)")
+        lambda k: F.lpad(F.conv(F.hex(F.substring("bitmap", k * (_WORD // 8) + 1, F.lit(_WORD // 8))), 16, 2), _WORD, "0")), ""), F.lit("0"))
+    stretches = F.expr("regexp_extract_all(bits, '0*+1++', 0)")
     cut = (bitmaps.filter(~whole).select(*keys, bits.alias("bits")).select(*keys, F.posexplode(stretches).alias("k", "stretch"))
            .select(*keys, "k", F.length("stretch").alias("n"), F.length(F.ltrim(F.col("stretch"), F.lit("0"))).alias("ones")))
     until = F.col("bucket") * BUCKET + F.sum("n").over(Window.partitionBy(*BUCKET_KEYS).orderBy("k"))

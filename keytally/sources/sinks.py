@@ -8,12 +8,13 @@ partition of the log. So what is written can be counted by the stream jobs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from keytally.operators.running_sum import RANGE_ROWS, running_sum
+from keytally.operators.running_sum import MAX_RANGES, RANGE_ROWS, _written
 from keytally.schemas import RECORD_LOG
 from keytally.sources.folders import Folders, numbers
 
@@ -48,25 +49,29 @@ def place_by_key(records: DataFrame, partitions: int, after: DataFrame | None =
     """Records with a partition by key and dense offsets from ``after (topic, partition, next)``.
 
     Equal keys share a partition, records without a key are spread; a partition's records are in
-    ``order_cols`` order, or in that of the frame. Numbered in two levels: a running count over
-    ranges of (partition, order), so that a hot key's records are numbered by many tasks, less
-    the least count of their partition (a row each, broadcast). One topic per frame.
+    ``order_cols`` order, or in that of the frame. Numbered in two levels: rows are written in ranges
+    of (partition, order) of about ``range_rows``, so that a hot key's records are many ranges; the
+    counts per partition and range, at most a row for each of both, are summed up and broadcast;
+    then rows are numbered inside their range. One topic per frame.
     """
-    if partitions < 1:
-        raise ValueError("partitions must be >= 1")
-    row = F.monotonically_increasing_id()
-    given = records.select("topic", "key", "value", *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order_cols)])
+    if partitions < 1 or range_rows < 1:
+        raise ValueError("partitions and range_rows must be >= 1")
     order = [f"_order{i}" for i in range(len(order_cols))]
+    row = F.monotonically_increasing_id()
     spread = F.pmod(F.xxhash64(*order) if order else row, F.lit(partitions)).cast("int")
-    placed = given.withColumns({"partition": F.coalesce(key_partition("key", partitions), spread), "_row": row, "_one": F.lit(1).cast("bigint")})
-    counted = running_sum(placed, "_one", "partition", "_n", tie_cols=[*order, "_row"], range_rows=range_rows)
-    first = counted.groupBy("partition").agg(F.min("_n").alias("_first"))  # a row per partition
-    offset = F.col("_n") - F.col("_first")
-    counted = counted.join(F.broadcast(first), "partition")
+    given = records.select("topic", "key", "value", *[F.col(c).alias(o) for c, o in zip(order_cols, order)])
+    placed = given.withColumns({"partition": F.coalesce(key_partition("key", partitions), spread), "_row": row})
+    ranges = min(MAX_RANGES, max(1, math.ceil(records.count() / range_rows)))
+    ranged = _written(placed.repartitionByRange(ranges, "partition", *order, "_row").withColumn("_range", F.spark_partition_id()))
+    counts = ranged.groupBy("partition", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("partition", "_range", (F.sum("_n").over(Window.partitionBy("partition").orderBy("_range")) - F.col("_n")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("partition", "_range").orderBy(*order, "_row"))
+    numbered = ranged.withColumn("_k", inside).join(F.broadcast(before), ["partition", "_range"])
+    offset = F.col("_before") + F.col("_k") - F.lit(1)
     if after is not None:
-        counted = counted.join(F.broadcast(after), ["topic", "partition"], "left")
+        numbered = numbered.join(F.broadcast(after), ["topic", "partition"], "left")
         offset = offset + F.coalesce("next", F.lit(0))
-    return counted.withColumn("offset", offset).select(*RECORDS)
+    return numbered.withColumn("offset", offset).select(*RECORDS)
 
 
 def next_offsets(log: DataFrame) -> DataFrame:
