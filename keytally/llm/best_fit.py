@@ -34,6 +34,8 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 #: Items and gaps in one range of the sweep.
 RANGE_ROWS = 200_000
+#: Most pairs of a round whose items are broadcast to meet their gaps (24 bytes each).
+MOST_BROADCAST = 1 << 18
 #: Words of a generation, beside those of one group of texts; a Python worker remembers two
 #: generations while it tokenises and one afterwards, at about 200 bytes a word.
 CACHE_WORDS = 250_000
@@ -191,7 +193,7 @@ def token_pieces(df: DataFrame, id_col: str, text_col: str, capacity: int, token
     return pieces if keep_ids else pieces.drop("ids")
 
 
-MATCHED, FREE_GAP, WAITING, USED_GAP, PAIRED = range(5)
+MATCHED, FREE_GAP, WAITING, USED_GAP, PAIRED, COUNTED = range(6)
 SWEPT = "part int, what int, idx long, id long, size long, bin long, gap long"
 
 
@@ -205,13 +207,14 @@ def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Match one range, sorted by size: each gap takes the largest items before it that are left, while they fit.
 
     Rows are ``(part, what, idx, id, size, bin, gap)``: a match with the gap before it, a gap that
-    found no item (numbered by ``idx``), an item that no gap took (numbered), what is left of a gap.
+    found no item (numbered by ``idx``), an item that no gap took (numbered), what is left of a gap;
+    last, for each of these kinds (``idx``), their number (``id``) and least item (``size``).
     """
     from pyspark import TaskContext
 
     part = TaskContext.get().partitionId()
     waiting: list[tuple[int, int]] = []
-    free = 0
+    free = matched = 0
     for b in batches:
         found: list[tuple] = []
         for size, kind, ident in zip(b.column("size").to_pylist(), b.column("kind").to_pylist(), b.column("id").to_pylist()):
@@ -227,9 +230,12 @@ def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 found.append((part, FREE_GAP, free, None, None, ident, size))
                 free += 1
+        matched += sum(r[1] == MATCHED for r in found)
         yield _rows(found)
     for at in range(0, len(waiting), 10_000):
         yield _rows([(part, WAITING, at + k, item, size, None, None) for k, (size, item) in enumerate(waiting[at:at + 10_000])])
+    counts = ((MATCHED, matched, None), (FREE_GAP, free, None), (WAITING, len(waiting), min(waiting)[0] if waiting else None))
+    yield _rows([(part, COUNTED, kind, n, least, None, None) for kind, n, least in counts if n])
 
 
 def runs_across(free: dict[int, int], waiting: dict[int, int]) -> list[tuple[int, int, int, int, int, int]]:
@@ -304,18 +310,21 @@ def pack(items: DataFrame, capacity: int = CAPACITY, range_rows: int = RANGE_ROW
         ranged = events.withColumn("h", F.xxhash64("id", F.lit(7))).repartitionByRange(parts_for(2 * left, range_rows), "size", "kind", "h") \
             .sortWithinPartitions("size", "kind", "h", "id")
         swept = shared_table(ranged.drop("h").mapInArrow(sweep, SWEPT), "swept")
-        seen = swept.groupBy("part", "what").agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("least")).collect()  # four rows a range at most
-        counts: list[dict[int, int]] = [{}, {}, {}, {}]
-        for r in seen:
-            counts[r["what"]][r["part"]] = r["n"]
+        seen = swept.filter(F.col("what") == COUNTED).select("part", "idx", "id", "size").collect()  # three rows a range at most
+        swept = swept.filter(F.col("what") != COUNTED)
+        counts: list[dict[int, int]] = [{}, {}, {}]
+        for part, kind, n, _ in seen:
+            counts[kind][part] = n
         runs = runs_across(counts[FREE_GAP], counts[WAITING])
         if runs:  # both sides of a pair have its number, rows without a pair have none and stay where they are
             pairs = spark.createDataFrame(numbers(runs), PAIRS)  # two rows a run, of which there are at most two a range
             marked = (swept.join(F.broadcast(pairs.withColumnsRenamed({"part": "p", "what": "w"})),
                                  (F.col("part") == F.col("p")) & (F.col("what") == F.col("w")) & F.col("idx").between(F.col("low"), F.col("high") - 1), "left")
                       .withColumn("pair", F.col("base") + F.col("step") * F.col("idx")))
-            paired = (marked.filter(F.col("pair").isNotNull()).groupBy("pair")
-                      .agg(*[F.max(c).alias(c) for c in ("id", "size", "bin", "gap")]).drop("pair"))
+            gap_side = marked.filter((F.col("what") == FREE_GAP) & F.col("pair").isNotNull()).select("pair", "bin", "gap")
+            item_side = marked.filter((F.col("what") == WAITING) & F.col("pair").isNotNull()).select("pair", "id", "size")
+            few = sum(r[4] for r in runs) <= MOST_BROADCAST  # pairs, which have been counted
+            paired = gap_side.join(F.broadcast(item_side) if few else item_side, "pair").select("id", "size", "bin", "gap")
             alone = marked.filter(F.col("pair").isNull())
             swept = shared_table(
                 alone.select("what", "id", "size", "bin", "gap").unionByName(paired.withColumn("what", F.lit(PAIRED))), "matched")
@@ -328,7 +337,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, range_rows: int = RANGE_ROW
             # A gap goes on as it is, as what its matches left of it, or less the item of its pair.
             gaps = swept.filter(F.col("bin").isNotNull() & (F.col("what") != MATCHED)) \
                 .select("bin", (F.col("gap") - F.coalesce("size", F.lit(0))).alias("gap"))
-            smallest = min([r["least"] for r in seen if r["what"] == WAITING], default=1)
+            smallest = min([least for _, kind, _, least in seen if kind == WAITING], default=1)
         else:
             gaps = None
     if not placed:
