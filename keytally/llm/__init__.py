@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus operators and the queries that apply them.
+"""Training-data operators: thirteen corpus operators and the queries that apply them.
 
 Nothing else in the library imports this package; ``__spark_entry__`` adds its queries
 when it can be imported. Every operator takes a DataFrame and column names, selects only
