@@ -20,6 +20,10 @@ from keytally.operators.offsets import MAX_BROADCAST_POSITIONS, PARTITION_KEYS,
 BUCKET = 32_768
 BUCKET_KEYS = (*PARTITION_KEYS, "bucket")
 _WORD = 64  # bits read at once
+#: Buckets and words as powers of two: offsets are shifted, which rounds down below zero too.
+_BUCKET_SHIFT, _WORD_SHIFT = BUCKET.bit_length() - 1, _WORD.bit_length() - 1
+#: Most buckets of :func:`range_masks` that are broadcast (4 KB each).
+MAX_BROADCAST_BUCKETS = 8_192
 
 
 def bucket_of(offset: Column | str) -> Column:
@@ -120,24 +124,59 @@ def repeated_offsets(records: DataFrame, bitmaps: DataFrame, max_broadcast_rows:
     return looked.groupBy(*PARTITION_KEYS, "offset").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
+def _pieces(ranges: DataFrame, shift: int, number: str) -> DataFrame:
+    """A row for each stretch of ``2 ** shift`` offsets that a range meets; ``from_offset`` and ``until_offset`` stay those of the range."""
+    at = F.sequence(F.shiftright("from_offset", shift), F.shiftright(F.col("until_offset") - 1, shift))
+    return ranges.withColumn(number, F.explode(at))
+
+
+def range_masks(ranges: DataFrame) -> DataFrame:
+    """Ranges as bits: ``topic, partition, _bucket, _words``, by offset of the bucket.
+
+    ``_words`` is an array of :data:`BUCKET` bits in 64-bit words, so that a record needs one look;
+    it is null for a bucket that one range covers as a whole. A range gives a row per bucket, and
+    in buckets that it covers in part a row per word.
+    """
+    by_bucket = _pieces(ranges.select(*PARTITION_KEYS, "from_offset", "until_offset"), _BUCKET_SHIFT, "_bucket")
+    start = F.shiftleft("_bucket", _BUCKET_SHIFT)
+    by_bucket = by_bucket.select(*PARTITION_KEYS, "_bucket", F.greatest("from_offset", start).alias("from_offset"),
+                                 F.least("until_offset", start + BUCKET).alias("until_offset"))
+    covered = F.col("until_offset") - F.col("from_offset") == BUCKET
+    whole = by_bucket.filter(covered).select(*PARTITION_KEYS, "_bucket", F.lit(None).cast("array<bigint>").alias("_words"))
+    part = by_bucket.filter(~covered)
+    begin = F.shiftleft("_word", _WORD_SHIFT)
+    low, high = F.greatest(F.col("from_offset") - begin, F.lit(0)), F.least(F.col("until_offset") - begin, F.lit(_WORD))
+    ones = F.call_function("shiftrightunsigned", F.lit(-1).cast("bigint"), (F.lit(_WORD) - (high - low)).cast("int"))
+    masks = (_pieces(part, _WORD_SHIFT, "_word")
+             .select(*PARTITION_KEYS, "_bucket", "_word", F.call_function("shiftleft", ones, low.cast("int")).alias("_mask")))
+    # Every word of a bucket has a row, so that the sorted masks are the array.
+    first = F.shiftleft("_bucket", _BUCKET_SHIFT - _WORD_SHIFT)
+    empty = (part.select(*PARTITION_KEYS, "_bucket").distinct()
+             .select(*PARTITION_KEYS, "_bucket", F.explode(F.sequence(first, first + (BUCKET // _WORD - 1))).alias("_word"), F.lit(0).cast("bigint").alias("_mask")))
+    words = masks.unionByName(empty).groupBy(*PARTITION_KEYS, "_bucket", "_word").agg(F.bit_or("_mask").alias("_mask"))
+    arrays = words.groupBy(*PARTITION_KEYS, "_bucket").agg(F.sort_array(F.collect_list(F.struct("_word", "_mask"))).alias("_sorted"))  # 512 of a bucket
+    return whole.unionByName(arrays.select(*PARTITION_KEYS, "_bucket", F.col("_sorted._mask").alias("_words")))
+
+
 def without_ranges(records: DataFrame, ranges: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_POSITIONS) -> DataFrame:
     """Records whose offset is in none of the ``ranges (topic, partition, from_offset, until_offset)``, which do not overlap.
 
     The first range of a partition, which holds nearly all of a log that was read in order, is
-    compared; the others are cut at bucket edges and looked up by bucket, so neither a hot
-    partition nor one with many ranges is a join key of its own. The range tables are broadcast
-    if they are counted to be small.
+    compared; the others are bits of buckets, in which a record is looked up at one place however
+    many ranges its bucket has. So neither a hot partition nor one with many ranges is a join key
+    of its own. The tables are broadcast if they are counted to be small.
     """
-    ordered = ranges.withColumn("_k", F.row_number().over(Window.partitionBy(*PARTITION_KEYS).orderBy("from_offset")))
-    first = ordered.filter("_k = 1").select(*PARTITION_KEYS, F.col("from_offset").alias("_first_from"), F.col("until_offset").alias("_first_until"))
-    kept = (records.join(bounded_broadcast(first, max_broadcast_rows), list(PARTITION_KEYS), "left")
+    first = (ranges.groupBy(*PARTITION_KEYS).agg(F.min(F.struct("from_offset", "until_offset")).alias("_first"))
+             .select(*PARTITION_KEYS, F.col("_first.from_offset").alias("_first_from"), F.col("_first.until_offset").alias("_first_until")))
+    first = bounded_broadcast(first, max_broadcast_rows)
+    kept = (records.join(first, list(PARTITION_KEYS), "left")
             .filter(F.col("_first_from").isNull() | F.col("offset").isNull() | ~F.col("offset").between(F.col("_first_from"), F.col("_first_until") - 1))
             .drop("_first_from", "_first_until"))
-    later = ordered.filter("_k > 1")
+    later = ranges.join(first, list(PARTITION_KEYS)).filter(F.col("from_offset") > F.col("_first_from"))
     if later.isEmpty():
         return kept
-    held = (later.withColumn("_bucket", F.explode(F.sequence(bucket_of("from_offset"), bucket_of(F.col("until_offset") - 1))))
-            .groupBy(*PARTITION_KEYS, "_bucket").agg(F.collect_list(F.struct("from_offset", "until_offset")).alias("_held")))  # of one bucket
-    inside = F.exists("_held", lambda r: F.col("offset").between(r["from_offset"], r["until_offset"] - 1))
-    return (kept.withColumn("_bucket", bucket_of("offset")).join(bounded_broadcast(held, max_broadcast_rows), [*PARTITION_KEYS, "_bucket"], "left")
-            .filter(~F.coalesce(inside, F.lit(False))).drop("_bucket", "_held"))
+    held = bounded_broadcast(range_masks(later).withColumn("_held", F.lit(True)), min(max_broadcast_rows, MAX_BROADCAST_BUCKETS))
+    word = F.get("_words", F.shiftright("offset", _WORD_SHIFT).bitwiseAND(F.lit(BUCKET // _WORD - 1)).cast("int"))
+    inside = F.coalesce("_held", F.lit(False)) & (F.col("_words").isNull() | (F.getbit(word, F.col("offset").bitwiseAND(F.lit(_WORD - 1)).cast("int")) == 1))
+    return (kept.withColumn("_bucket", F.shiftright("offset", _BUCKET_SHIFT)).join(held, [*PARTITION_KEYS, "_bucket"], "left")
+            .filter(~inside).drop("_bucket", "_words", "_held"))

@@ -26,6 +26,7 @@ from keytally.functions.tokens import split_tokens, token_count
 from keytally.operators import counting, generate, offset_sets, offsets, weighted
 from keytally.operators.running_sum import running_sum
 from keytally.schemas import INPUT_TABLES
+from keytally.session import checkpoint_root
 from keytally.sources import recordlog, sinks, tables
 
 LOG_PARTITIONS = 4
@@ -182,7 +183,9 @@ def q_uncounted(spark, sf_dir):
     """Records outside a set of counted ranges: those of all clicks and views."""
     log = events_log(spark, sf_dir)
     counted = offset_sets.offset_runs(offset_sets.offset_bitmaps(log.filter(F.col("value").isin("click", "view"))))
-    return offset_sets.without_ranges(log, counted)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
+    return offset_sets.without_ranges(log, counted.checkpoint())  # read several times
 
 
 def q_keyed_log(spark, sf_dir):

@@ -100,3 +100,33 @@ def test_a_hot_partition_is_aggregated_by_bucket(spark):
     plan = bitmaps._jdf.queryExecution().executedPlan().toString()
     assert "partial_bitmap_construct_agg" in plan and plan.count("Exchange") == 1
     assert ranges(os_.offset_runs(bitmaps)) == [("wc", 0, 0, 6 * B)]
+
+
+@pytest.mark.parametrize("limit", [0, 100_000])
+def test_without_random_ranges_below_zero_across_words_and_whole_buckets(spark, limit):
+    rng = random.Random(11)
+    held, rows = [], []
+    for p in range(3):
+        at = -2 * B
+        while at < 4 * B:
+            n = rng.choice([1, 1, 2, 63, 64, 65, 400, B, 2 * B + 1])
+            held.append(("wc", p, at, at + n))
+            at += n + rng.choice([1, 1, 2, 64, 700])
+        rows += [("wc", p, o, None, "v") for o in rng.sample(range(-2 * B - 9, 4 * B + 9), 4000)]
+    odd = [("wc", None, 5, None, "v"), ("wc", 0, None, None, "v"), (None, 0, 5, None, "v"), ("other", 0, 5, None, "v")]
+    df = spark.createDataFrame(held, "topic string, partition int, from_offset long, until_offset long").repartition(3)
+    got = [(r["topic"], r["partition"], r["offset"]) for r in os_.without_ranges(spark.createDataFrame(rows + odd, SCHEMA).repartition(3), df, limit).collect()]
+    covered = {p: {o for _, q, a, b in held if q == p for o in range(a, b)} for p in range(3)}
+    want = [r[:3] for r in rows if r[2] not in covered[r[1]]] + [r[:3] for r in odd]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_a_record_is_looked_up_at_one_place_among_many_ranges(spark):
+    """A bucket of many ranges is a bitmap of fixed size, no list of ranges that every record tries."""
+    every_other = [("wc", 0, o, o + 1) for o in range(0, B, 2)]
+    df = spark.createDataFrame(every_other, "topic string, partition int, from_offset long, until_offset long")
+    (row,) = os_.range_masks(df).collect()
+    assert len(row["_words"]) == B // 64 and set(row["_words"]) == {0x5555555555555555}
+    got = os_.without_ranges(log(spark, range(B)), df)
+    assert "exists(" not in got._jdf.queryExecution().analyzed().toString()
+    assert sorted(r["offset"] for r in got.collect()) == list(range(1, B, 2))
