@@ -1,8 +1,15 @@
-"""Best-fit packing in bulk-synchronous rounds.
+"""Best-fit packing: largest items first, each into the smallest gap that holds it.
 
 Pieces (a document's token ids, cut at the sequence length only) are packed into sequences of at
-most ``capacity`` tokens. State is two tables, waiting items ``(id, size)`` and gaps ``(bin,
-gap)``. A round
+most ``capacity`` tokens. Items of one size are alike, so what best fit does with them follows from
+their numbers: items are range-sorted by size (ties in hash order, so that a size that a third of
+all items have is spread over many tasks), the driver sees how many of each size each range has,
+plans by these counts which of a size's items go to which sequences (:func:`plan`), and every item
+finds its place in the plan by its number. There are at most ``capacity`` sizes, however many items.
+
+With more sizes than :data:`MOST_SIZES` (a capacity far beyond that of training sequences) packing
+goes in bulk-synchronous rounds instead. State is two tables, waiting items ``(id, size)`` and gaps
+``(bin, gap)``. A round
 
 1. range-sorts items and gaps together by size, items before gaps of the same size, ties in
    hash order, so that a size that a third of all items have is spread over many tasks;
@@ -16,11 +23,13 @@ gap)``. A round
 
 from __future__ import annotations
 
+import bisect
 import math
 import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +41,9 @@ from keytally.llm.common import parts_for, shared_table, tokenizer_from, tokeniz
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
-#: Items and gaps in one range of the sweep.
+#: Most sizes whose counts the driver plans by (at most some ten steps of the plan each, 48 bytes a step).
+MOST_SIZES = 1 << 14
+#: Items (and gaps) in one range of the sort.
 RANGE_ROWS = 200_000
 #: Most pairs of a round whose items are broadcast to meet their gaps (24 bytes each).
 MOST_BROADCAST = 1 << 18
@@ -278,9 +289,87 @@ def opening(sizes: dict[int, int], least: int) -> tuple[int, int]:
     return 0, 0
 
 
+def plan(sizes: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
+    """Sequential best-fit of ``sizes[size]`` items of each size, largest first, all alike ones at a time.
+
+    Steps ``(size, low, bin, each, at)``: of the size's items those from number ``low`` on (to the
+    next step's) fill the sequences from ``bin`` on, ``each`` of them in one, from offset ``at``.
+    """
+    steps, opened = [], 0
+    alike: dict[int, list[tuple[int, int]]] = {}  # by gap: sequences (first, number)
+    gaps: list[int] = []  # in order
+
+    def keep(gap: int, first: int, n: int) -> None:
+        if gap and n:
+            if gap not in alike:
+                bisect.insort(gaps, gap)
+            alike.setdefault(gap, []).append((first, n))
+
+    for size in sorted(sizes, reverse=True):
+        low, n = 0, sizes[size]
+        while low < n:
+            at = bisect.bisect_left(gaps, size)
+            if at < len(gaps):
+                gap = gaps[at]
+                first, bins = alike[gap].pop()
+                if not alike[gap]:
+                    del alike[gap], gaps[at]
+            else:
+                gap, first, bins = capacity, opened, -(-(n - low) // (capacity // size))
+                opened += bins
+            each = gap // size  # what one item leaves of the smallest gap is the smallest again, if another fits
+            taken = min(n - low, bins * each)
+            full, rest = divmod(taken, each)
+            steps.append((size, low, first, each, capacity - gap))
+            keep(gap - each * size, first, full)
+            keep(gap - rest * size, first + full, 1 if rest else 0)
+            keep(gap, first + full + (rest > 0), bins - full - (rest > 0))
+            low += taken
+    return steps
+
+
 def pack(items: DataFrame, capacity: int = CAPACITY, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Best-fit of items ``(id, size)``, sizes 1 .. capacity, ids unique: ``id, bin, at``."""
     spark = items.sparkSession
+    sized = items.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("size").alias("sizes")).first()
+    if not sized["n"]:
+        return spark.createDataFrame([], "id long, bin long, at long")
+    if sized["sizes"] > MOST_SIZES:
+        return pack_in_rounds(items, capacity, range_rows)
+    ranged = (items.select("id", "size", F.xxhash64("id", F.lit(7)).alias("h")).repartitionByRange(parts_for(sized["n"], range_rows), "size", "h")
+              .sortWithinPartitions("size", "h", "id"))
+    # The number of a row: its range in the upper bits, its place in the range in the lower 33.
+    numbered = shared_table(ranged.select("id", "size", F.monotonically_increasing_id().alias("number")), "numbered")
+    seen = numbered.groupBy("size", F.shiftright("number", 33).alias("part")).agg(F.min("number").alias("first"), F.count(F.lit(1)).alias("n"))
+    seen = sorted(tuple(r) for r in seen.collect())  # a row per size, and one more per range
+    sizes: dict[int, int] = {}
+    firsts, shifts = [], []  # of a range's items of one size: the first number, what makes numbers those among all items
+    for total, (size, _, first, n) in zip(accumulate((r[3] for r in seen), initial=0), seen):
+        sizes[size] = sizes.get(size, 0) + n
+        firsts.append(first)
+        shifts.append(total - first)
+    steps = np.array(plan(sizes, capacity), np.int64)
+    held = np.array(sorted(sizes))
+    begins = dict(zip(held.tolist(), accumulate((sizes[x] for x in held.tolist()), initial=0)))
+    steps[:, 1] += np.array([begins[x] for x in steps[:, 0].tolist()])
+    order, runs = np.argsort(firsts), np.array([firsts, shifts], np.int64)
+    shipped = spark.sparkContext.broadcast((runs[:, order], steps[np.argsort(steps[:, 1])]))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (first, shift), planned = shipped.value
+        for b in batches:
+            number, size = b.column("number").to_numpy(), b.column("size").to_numpy()
+            number = number + shift[np.searchsorted(first, number, "right") - 1]
+            _, low, bin_, each, at = planned[np.searchsorted(planned[:, 1], number, "right") - 1].T
+            row, place = np.divmod(number - low, each)
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(bin_ + row), pa.array(at + place * size)], ["id", "bin", "at"])
+
+    return numbered.select("id", F.col("size").cast("long").alias("size"), "number").mapInArrow(placed, "id long, bin long, at long")
+
+
+def pack_in_rounds(items: DataFrame, capacity: int, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """As :func:`pack`, where the sizes are too many to plan by."""
+    spark = items.sparkSession
     waiting, gaps, placed, left = items.select("id", "size"), None, [], -1
     while left:
         if gaps is None:  # open sequences: as many as the tokens need, at first also for all that cannot share one
@@ -360,8 +449,6 @@ def best_fit_packing(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to pieces with a unique ``uid`` and a ``length``; full pieces stand alone."""
-    items = pieces.filter(F.col("length") < capacity).select(F.col("uid").alias("id"), F.col("length").alias("size"))
-    placed = pack(items, capacity).toDF("uid", "bin", "at")
-    return (pieces.join(placed, "uid", "left")
-            .withColumns({"sequence_id": F.coalesce("bin", "uid"), "offset": F.coalesce("at", F.lit(0).cast("long"))}).drop("bin", "at"))
+    """Add ``sequence_id`` and ``offset`` to pieces with a unique ``uid`` and a ``length``."""
+    placed = pack(pieces.select(F.col("uid").alias("id"), F.col("length").alias("size")), capacity)
+    return pieces.join(placed.toDF("uid", "sequence_id", "offset"), "uid")

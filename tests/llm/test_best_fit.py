@@ -90,3 +90,43 @@ def test_runs_across_pair_every_gap_with_the_largest_items_left_of_it():
 
 def test_empty_table(spark):
     assert best_fit.best_fit_packing(documents(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("kind", ["uniform", "small", "halves", "one size"])
+def test_packs_exactly_as_sequential_best_fit_in_a_fixed_number_of_passes(spark, monkeypatch, kind):
+    monkeypatch.setattr(best_fit.pack, "__defaults__", (best_fit.CAPACITY, 300))
+    written = []
+    monkeypatch.setattr(best_fit, "shared_table", lambda df, name, table=best_fit.shared_table: written.append(name) or table(df, name))
+    rng = random.Random(kind)
+    draw = {"uniform": lambda: rng.randrange(1, 513), "small": lambda: rng.randrange(1, 60), "halves": lambda: rng.choice((255, 256, 257, 512)), "one size": lambda: 130}[kind]
+    lengths = [draw() for _ in range(1500)]
+    pieces = spark.createDataFrame([(i * 7 - 900, x) for i, x in enumerate(lengths)], "uid long, length long").repartition(4)
+    got = best_fit.place(pieces, 512).collect()
+    assert sorted((r.uid, r.length) for r in got) == [(i * 7 - 900, x) for i, x in enumerate(lengths)]
+    assert check_places(got, 512) == reference(lengths, 512)
+    assert len(written) <= 1  # no table per round
+
+
+def test_the_plan_puts_each_size_where_sequential_best_fit_does():
+    rng = random.Random(5)
+    for _ in range(300):
+        capacity = rng.randrange(3, 60)
+        sizes = {rng.randrange(1, capacity + 1): rng.randrange(1, 30) for _ in range(rng.randrange(1, 15))}
+        steps = best_fit.plan(sizes, capacity)
+        filled, number = {}, {}
+        for k, (size, low, first, each, at) in enumerate(steps):
+            assert low == number.get(size, 0)
+            until = steps[k + 1][1] if k + 1 < len(steps) and steps[k + 1][0] == size else sizes[size]
+            for i in range(until - low):
+                b = first + i // each
+                assert filled.get(b, 0) == at + i % each * size
+                filled[b] = at + i % each * size + size
+            number[size] = until
+        assert number == sizes and max(filled.values()) <= capacity
+        assert len(filled) == reference([s for s, n in sizes.items() for _ in range(n)], capacity)
+
+
+@pytest.mark.parametrize("kind", ["uniform", "third", "large"])
+def test_more_sizes_than_can_be_planned_are_packed_in_rounds(spark, monkeypatch, kind):
+    monkeypatch.setattr(best_fit, "MOST_SIZES", 0)
+    test_packs_about_as_well_as_sequential_best_fit(spark, monkeypatch, kind, 300)
