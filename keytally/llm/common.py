@@ -20,6 +20,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 _TEMPORARY: list[list[str]] = []
 #: Makes Spark delete a query's shuffle files when the query has ended, instead of some time after.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Bytes of rows that go to a Python worker at once, in place of Spark's 64 MB: both sides hold a
+#: batch several times over, a JVM outside its heap.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
 
 
 def shared_table(df: DataFrame, name: str, compression: str = "zstd", keep: bool = False) -> DataFrame:
@@ -31,12 +34,15 @@ def shared_table(df: DataFrame, name: str, compression: str = "zstd", keep: bool
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/keytally-llm/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    meanwhile = {CLEANUP: "true", BATCH: BATCH_BYTES}
+    before = {k: spark.conf.get(k, None) for k in meanwhile}
     try:
+        for k, v in meanwhile.items():
+            spark.conf.set(k, v)
         df.write.option("compression", compression).parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     at, fs = _hadoop(spark, path)
     fs.deleteOnExit(at)
     if _TEMPORARY and not keep:

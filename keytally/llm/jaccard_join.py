@@ -47,6 +47,8 @@ FREQUENT, MOST_FREQUENT = 64, 1 << 20
 COUNTS = 2
 #: Classes of a run up to which its pairs are listed.
 RUN = 64
+#: Candidates that a task gathers before it hands them on (about 200 bytes each, twice that meanwhile).
+DRAIN = 100_000
 #: Classes of a block in a dense group, and tokens handled at once there.
 BLOCK, VOCABULARY = 1024, 8192
 BUCKETS = 128
@@ -139,7 +141,7 @@ def described_by(df: DataFrame, id_col: str, text_col: str, rule: Rule, row_col:
                 size.append(n)
                 if n and s not in met and rule.lacks(n) + rule.adds(n) > 0:
                     met.add(s)
-                    prefix.append(t[:rule.longest(n)].view(np.int64))
+                    prefix.append(t[:rule.longest(n)].view(np.int64).copy())  # not the whole set
                     counts.append(np.minimum(np.bincount(t >> np.uint64(57), minlength=BUCKETS), 255).astype(np.uint8).tobytes())
                 else:
                     prefix.append(None)
@@ -236,7 +238,7 @@ def read_runs(batches: Iterator[pa.RecordBatch], rule: Rule, longest: int) -> It
                     members = []
             else:
                 star(ns, sids)
-        if len(pairs) + len(stars) > 500_000:
+        if len(pairs) + len(stars) > DRAIN:
             yield drain()
     finish()
     yield drain()
@@ -337,7 +339,7 @@ def links(df: DataFrame, described: DataFrame, seed: int, id_col: str, text_col:
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(int) for c in ("counts_a", "counts_b"))
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16) for c in ("counts_a", "counts_b"))
             at_least = np.abs(x - y).sum(axis=1)
             n_a, n_b = (b.column(c).to_numpy() for c in ("n_a", "n_b"))
             keep = np.flatnonzero(at_least <= rule.distance(n_a, n_b))

@@ -212,8 +212,8 @@ def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col:
                                              ["id", "grade", "places"])
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(i, g, np.asarray(p, np.int64)) for b in batches for i, g, p in
-                zip(b.column("id").to_pylist(), b.column("grade").to_pylist(), b.column("places").to_pylist())]
+        rows = [(i, g, p.values.to_numpy()) for b in batches for i, g, p in
+                zip(b.column("id").to_pylist(), b.column("grade").to_pylist(), b.column("places"))]  # no Python number per place
         if not rows:
             return
         rows.sort(key=lambda r: (r[0], r[1]))
