@@ -27,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,8 @@ UNITS = {"line": re.compile(r"[^\n]*(?:\n|\Z)"), "paragraph": re.compile(r"(?s).
 SPACELESS = "฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U00020000-\U0003ffff"
 ANY_SPACELESS = re.compile(f"[{SPACELESS}]")
 TOKEN = re.compile(rf"[{SPACELESS}]|[^\s{SPACELESS}]+")
-LINE_BREAK = re.compile("\n")
+#: Whether a code point is white space; all beyond the last entry are as that one, none.
+SPACES = np.array([chr(c).isspace() for c in range(0x3002)])
 #: Characters of a token beyond which it counts as several words.
 LONG_WORD = 16
 FACTOR, MIXER = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
@@ -126,8 +128,7 @@ class WordHashes(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= REMEMBERED:
             self.clear()
-        h = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-        self[word] = h
+        h = self[word] = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
         return h
 
 
@@ -175,7 +176,7 @@ def prints_in(pieces: list[Piece], passage: int, own: int, hashes: WordHashes) -
     n = int(lengths.sum())
     if n < passage:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    h = gram_hashes(np.fromiter((hashes[w] for p in pieces for w in p[0]), np.uint64, n))
+    h = gram_hashes(np.fromiter(map(hashes.__getitem__, chain.from_iterable(p[0] for p in pieces)), np.uint64, n))
     at = np.flatnonzero(is_print(h, passage))
     begins = np.cumsum(lengths) - lengths
     first = np.searchsorted(begins, np.maximum(at - (passage - GRAM), 0), "right") - 1
@@ -191,6 +192,15 @@ def prints_in(pieces: list[Piece], passage: int, own: int, hashes: WordHashes) -
     return h[at].view(np.int64), home
 
 
+def spans_of(text: str, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of a text's tokens, in code points (``codes``)."""
+    if not text.isascii() and ANY_SPACELESS.search(text):
+        return np.array([m.span() for m in TOKEN.finditer(text)], np.int64).reshape(-1, 2).T
+    inside = np.concatenate(([False], ~SPACES.take(codes, mode="clip"), [False]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges[::2], edges[1::2]
+
+
 def run_digests(h: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     """128 bits of each run of ``n`` word hashes that begins at ``at``, as rows of 16 bytes: two sums by powers of two factors.
 
@@ -210,21 +220,21 @@ def passages_of(text: str, prints: list[int], cuts: list[dict] | None, passage:
 
     A run ends where its last word's successor begins if that stands in the same line.
     """
-    spans = np.array([m.span() for m in TOKEN.finditer(text)], np.int64).reshape(-1, 2)
+    codes = np.frombuffer(text.encode(), np.uint8) if text.isascii() else np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    starts, ends = spans_of(text, codes)
     words = words_of(text)
-    if len(words) != len(spans):  # lower case parted a word
-        words = [text[s:e].lower() for s, e in spans.tolist()]
-    starts, ends = spans[:, 0], spans[:, 1]
+    if len(words) != len(starts):  # lower case parted a word
+        words = [text[s:e].lower() for s, e in zip(starts.tolist(), ends.tolist())]
     h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     runs = over_runs(np.isin(gram_hashes(h), np.array(prints, np.int64).view(np.uint64)), passage - GRAM + 1, lambda a, b, _: a | b)
-    gone = np.zeros(len(spans), bool)
+    gone = np.zeros(len(starts), bool)
     for cut in cuts or ():
         gone[np.searchsorted(starts, cut["start"]):np.searchsorted(starts, cut["end"])] = True
     at = np.flatnonzero(runs & ~over_runs(gone, passage, lambda a, b, _: a & b))
     if not len(at):
         return None
     end, after = ends[at + passage - 1], np.append(starts, len(text))[at + passage]
-    breaks = np.array([m.start() for m in LINE_BREAK.finditer(text)], np.int64)
+    breaks = np.flatnonzero(codes == 10)
     same_line = np.searchsorted(breaks, end) == np.searchsorted(breaks, after)
     return run_digests(h, at, passage), starts[at], np.where(same_line, after, end)
 

@@ -1,7 +1,9 @@
 import random
 
+import numpy as np
 import pytest
 
+from keytally.llm import substring_dedup as substring_dedup_module
 from keytally.llm.substring_dedup import substring_dedup, units_of
 from tests.llm.helpers import awkward_texts, documents
 
@@ -132,3 +134,25 @@ def test_groups_cover_repeated_short_lines():
         units = list(units_of("\n".join(lines), "line", 5))
         assert {d for d, _, _ in units} <= {d for d, _, _ in units_of("\n".join(["before", *lines, "after it"]), "line", 5)}
         assert min(s for _, s, _ in units) == 0 and max(e for _, _, e in units) == len("\n".join(lines))
+
+
+def test_tokens_are_found_without_a_pattern_where_words_have_spaces():
+    rng = random.Random(2)
+    odd = ["a", "É", "İ", "ß", "word", " ", "\n", "\t", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u3000", "\u200b", "\ufeff", "\U0001f600", "\ud800"]
+    texts = [t or "" for _, t, *_ in awkward_texts()] + ["".join(rng.choices(odd, k=rng.randrange(40))) for _ in range(400)]
+    texts += [t + "\u4e2d\u6587 ab\u30ab" for t in texts[-50:]]
+    for text in texts:
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        starts, ends = substring_dedup_module.spans_of(text, codes)
+        assert list(zip(starts, ends)) == [m.span() for m in substring_dedup_module.TOKEN.finditer(text)]
+
+
+def test_no_pattern_runs_over_plain_texts(monkeypatch):
+    """Texts whose words have spaces between them are cut into words by array operations."""
+    monkeypatch.setattr(substring_dedup_module, "TOKEN", None)
+    words = [f"w{i}" for i in range(120)]
+    text = "\n".join(" ".join(words[i:i + 12]) for i in range(0, 120, 12))
+    hashes = substring_dedup_module.WordHashes()
+    h = substring_dedup_module.gram_hashes(np.array([hashes[w] for w in words], np.uint64))
+    digests, starts, ends = substring_dedup_module.passages_of(text, [int(h[40].astype(np.int64))], None, 50, hashes)
+    assert starts.tolist() == [text.index(f"w{i}") for i in range(15, 41)] and len(digests) == len(ends) == 26
