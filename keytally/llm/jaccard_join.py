@@ -13,8 +13,9 @@ differ, which gives the prefix of a class.
 * Keys shuffle once and are read in sorted runs. A run of few classes gives its pairs, those that
   the length filter leaves. A longer run (classes alike in nearly everything) gives a star, by
   which its classes are gathered into dense groups.
-* Pairs pass a filter on 128 token counts per class, which bounds the distance from below, and are
-  verified on whole sets: first one pair of each class, then those of the others whose classes
+* Pairs pass a filter on 128 token counts per class, which bounds the distance from below, and pairs
+  of large sets, of which 128 counts tell little, another on a count for about every four tokens. What
+  is left is verified on whole sets: first one pair of each class, then those of the others whose classes
   these links have not connected yet.
 * Dense groups are cut into bands of set sizes, of which only neighbours can link, and bands into
   blocks of bounded size; block against block is verified, and gives a spanning forest of its links
@@ -52,6 +53,8 @@ DRAIN = 100_000
 #: Classes of a block in a dense group, and tokens handled at once there.
 BLOCK, VOCABULARY = 1024, 8192
 BUCKETS = 128
+#: Most tokens a count; sets of more than ``PER_COUNT * BUCKETS`` tokens get finer counts too.
+PER_COUNT = 4
 #: Most document keys that are broadcast to fetch texts (about 40 bytes each).
 MOST_BROADCAST = 1 << 20
 #: Most tokens of the dense groups' sets to compare with that are broadcast (8 bytes each).
@@ -109,10 +112,30 @@ def class_id(tokens: np.ndarray, seed: int = 0) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
 
 
+def bucket_counts(tokens: np.ndarray, buckets: int = BUCKETS) -> bytes:
+    """Tokens by the upper bits of their hash, 255 at most; ``buckets`` is a power of two."""
+    upper = tokens >> np.uint64(65 - buckets.bit_length())
+    return np.minimum(np.bincount(upper, minlength=buckets), 255).astype(np.uint8).tobytes()
+
+
+def fine_counts(tokens: np.ndarray) -> bytes | None:
+    """Counts in as many buckets as a large set needs; a smaller one has no more than ``BUCKETS``."""
+    buckets = 1 << (-(-len(tokens) // PER_COUNT) - 1).bit_length()
+    return bucket_counts(tokens, buckets) if buckets > BUCKETS else None
+
+
+def differ_at_least(x: bytes, y: bytes) -> int:
+    """Tokens in which two sets differ at least, by counts in buckets of either number."""
+    x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    buckets = min(len(x), len(y))
+    x, y = (v.reshape(buckets, -1).sum(axis=1, dtype=np.int64) for v in (x, y))
+    return int(np.abs(x - y).sum())
+
+
 def classes(df: DataFrame, id_col: str, text_col: str, rule: Rule, row_col: str | None) -> tuple[DataFrame, int]:
-    """``doc_id, row_id, text_hash, sid, n, prefix, counts``, a row per document, and the seed of the ids.
+    """``doc_id, row_id, text_hash, sid, n, prefix, counts, fine``, a row per document, and the seed of the ids.
 
-    ``prefix`` and ``counts`` are given for a task's first document of each class, and only for
+    ``prefix``, ``counts`` and, for large sets, ``fine`` are given for a task's first document of each class, and only for
     sets large enough to link to a different set.
     """
     seed = 0
@@ -125,13 +148,13 @@ def classes(df: DataFrame, id_col: str, text_col: str, rule: Rule, row_col: str
 
 
 def described_by(df: DataFrame, id_col: str, text_col: str, rule: Rule, row_col: str | None, seed: int) -> DataFrame:
-    names = ["doc_id", "row_id", "text_hash", "sid", "other", "n", "prefix", "counts"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+    names = ["doc_id", "row_id", "text_hash", "sid", "other", "n", "prefix", "counts", "fine"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
         for b in batches:
-            sid, other, size, prefix, counts = [], [], [], [], []
+            sid, other, size, prefix, counts, fine = [], [], [], [], [], []
             for text in b.column("text").to_pylist():
                 t = token_set(text, rule.shingle)
                 n = len(t)
@@ -142,19 +165,20 @@ def described_by(df: DataFrame, id_col: str, text_col: str, rule: Rule, row_col:
                 if n and s not in met and rule.lacks(n) + rule.adds(n) > 0:
                     met.add(s)
                     prefix.append(t[:rule.longest(n)].view(np.int64).copy())  # not the whole set
-                    counts.append(np.minimum(np.bincount(t >> np.uint64(57), minlength=BUCKETS), 255).astype(np.uint8).tobytes())
+                    counts.append(bucket_counts(t))
+                    fine.append(fine_counts(t))
                 else:
-                    prefix.append(None)
-                    counts.append(None)
+                    for column in (prefix, counts, fine):
+                        column.append(None)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("row_id"), b.column("text_hash"),
-                 *(pa.array(c, t) for c, t in zip((sid, other, size, prefix, counts), types[3:]))], names)
+                 *(pa.array(c, t) for c, t in zip((sid, other, size, prefix, counts, fine), types[3:]))], names)
 
     row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     frame = df.select(F.col(id_col).cast("long").alias("doc_id"), row.alias("row_id"),
                       F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
     return shared_table(frame.mapInArrow(
-        describe, "doc_id long, row_id long, text_hash long, sid long, other long, n long, prefix array<long>, counts binary"), "classes")
+        describe, "doc_id long, row_id long, text_hash long, sid long, other long, n long, prefix array<long>, counts binary, fine binary"), "classes")
 
 
 def upper_half(tokens: np.ndarray) -> np.ndarray:
@@ -326,7 +350,7 @@ def links(df: DataFrame, described: DataFrame, seed: int, id_col: str, text_col:
         above = max(FREQUENT, math.ceil(postings / MOST_FREQUENT))
         for _ in range(COUNTS):
             tokens = heads.select("sid", "n", "prefix").mapInArrow(keys(frequent, True), "key int")
-            hot = tokens.groupBy("key").count().filter(F.col("count") > above).select("key").toArrow().column("key").to_numpy()
+            hot = shared_table(tokens.groupBy("key").count().filter(F.col("count") > above).select("key"), "frequent").toArrow().column("key").to_numpy()
             frequent = np.union1d(frequent, hot.astype(np.int32).view(np.uint32))
 
     posted = heads.select("sid", "n", "prefix").mapInArrow(keys(frequent, False), "key long, n long, sid long")
@@ -343,9 +367,21 @@ def links(df: DataFrame, described: DataFrame, seed: int, id_col: str, text_col:
             at_least = np.abs(x - y).sum(axis=1)
             n_a, n_b = (b.column(c).to_numpy() for c in ("n_a", "n_b"))
             keep = np.flatnonzero(at_least <= rule.distance(n_a, n_b))
-            yield pa.RecordBatch.from_arrays([b.column("a").take(keep), b.column("b").take(keep)], ["a", "b"])
+            yield b.select(["a", "b", "n_a", "n_b"]).take(keep)
 
-    pairs = shared_table(pairs.select("a", "b", "n_a", "n_b", "counts_a", "counts_b").mapInArrow(near, "a long, b long"), "pairs")
+    def nearer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            most = rule.distance(b.column("n_a").to_numpy(), b.column("n_b").to_numpy()).tolist()
+            keep = [r for r, (x, y, m) in enumerate(zip(b.column("fine_a").to_pylist(), b.column("fine_b").to_pylist(), most)) if differ_at_least(x, y) <= m]
+            yield b.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+
+    near_pairs = shared_table(pairs.select("a", "b", "n_a", "n_b", "counts_a", "counts_b").mapInArrow(near, "a long, b long, n_a long, n_b long"), "near")
+    large = F.least("n_a", "n_b") > PER_COUNT * BUCKETS
+    of_large = near_pairs.filter(large).select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    fine = heads.filter(F.col("fine").isNotNull()).select("sid", "fine").join(bounded_broadcast(of_large, MOST_BROADCAST), "sid", "left_semi").dropDuplicates(["sid"])
+    nearest = (near_pairs.filter(large).join(fine.toDF("a", "fine_a"), "a").join(fine.toDF("b", "fine_b"), "b")
+               .select("a", "b", "n_a", "n_b", "fine_a", "fine_b").mapInArrow(nearer, "a long, b long"))
+    pairs = shared_table(near_pairs.filter(~large).select("a", "b").unionByName(nearest), "pairs")
     dense = connected_components(found.filter("dense").select("a", "b"))
 
     # Whole sets of the classes concerned, from one document each.

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from keytally.llm import jaccard_join as jj
@@ -116,3 +117,31 @@ def test_components_of_random_graphs(spark):
     found = connected_components(spark.createDataFrame(edges, "a long, b long"))
     assert sorted(map(tuple, found.collect())) == want
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_counts_bound_the_distance():
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 1 << 64, 5000, np.uint64)
+    for n, changed in ((40, 3), (513, 100), (1100, 0), (5000, 900), (5000, 5000)):
+        a = np.unique(base[:n])
+        b = np.unique(np.r_[base[changed:n], rng.integers(0, 1 << 64, changed * 5 // 4, np.uint64)])
+        for x in filter(None, (jj.bucket_counts(a), jj.fine_counts(a))):
+            for y in filter(None, (jj.bucket_counts(b), jj.fine_counts(b))):
+                assert jj.differ_at_least(x, y) == jj.differ_at_least(y, x) <= len(np.setxor1d(a, b))
+    assert jj.fine_counts(base[:512]) is None and len(jj.fine_counts(base[:513])) == 256
+
+
+def test_large_texts_that_share_little_send_no_sets(spark, monkeypatch):
+    """128 counts let such pairs pass, and each took a whole set through a shuffle."""
+    rng = random.Random(5)
+    passage = words(rng, 300).split()
+    rows = [(i, " ".join(passage + words(rng, 5000, 100_000).split())) for i in range(8)]
+    edited = rows[0][1].split()
+    edited[1000:1040] = ["other"] * 30
+    rows.append((8, " ".join(edited)))
+    written, keep = {}, jj.shared_table
+    monkeypatch.setattr(jj, "shared_table", lambda df, name, *a, **k: written.setdefault(name, keep(df, name, *a, **k)))
+    options = dict(shingle=5, num=80, den=100)
+    assert got(documents(spark, rows), **options) == brute(rows, 5, 80, 100)
+    assert written["runs"].select("a", "b").distinct().count() > 20  # candidates, nearly every pair
+    assert written["sets"].count() == 2  # the linked ones
