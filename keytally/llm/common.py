@@ -50,6 +50,13 @@ def shared_table(df: DataFrame, name: str, compression: str = "zstd", keep: bool
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a ``shared_table`` that nothing reads any more."""
+    for file in df.inputFiles()[:1]:
+        at, fs = _hadoop(df.sparkSession, file)
+        fs.delete(at.getParent(), True)
+
+
 @contextmanager
 def temporary_tables(spark: SparkSession) -> Iterator[None]:
     """Tables written inside are deleted at the end; what is to outlive them is written with ``keep``."""

@@ -9,10 +9,13 @@ differ, which gives the prefix of a class.
   follows it in its set, and the prefix is extended: of a set that lacks ``e`` tokens of the other
   and meets ``f`` new ones, at most ``e + min(frequent, e + f)`` keys differ, so a prefix with one
   key more shares a key with every set it links to.
-  Which tokens are frequent is counted over first prefixes, and again over the extended ones.
+  Which tokens are frequent is counted over first prefixes, and again over the extended ones. Prefixes
+  hold the upper 40 bits of tokens: where two tokens share them, there are candidates more, not fewer.
 * Keys shuffle once and are read in sorted runs. A run of few classes gives its pairs, those that
   the length filter leaves. A longer run (classes alike in nearly everything) gives a star, by
-  which its classes are gathered into dense groups.
+  which its classes are gathered into dense groups. Long runs also come about by chance, and join ever
+  more classes as the corpus grows: classes of a large group are keyed once more, by their tokens in
+  another order and inside their group only, as long as that makes the groups much smaller.
 * Pairs pass a filter on 128 token counts per class, which bounds the distance from below, and pairs
   of large sets, of which 128 counts tell little, another on a count for about every four tokens. What
   is left is verified on whole sets: first one pair of each class, then those of the others whose classes
@@ -31,19 +34,22 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from keytally.llm.common import parts_for, shared_table, shuffle_partitions
+from keytally.llm.common import drop_table, shared_table, shuffle_partitions
 from keytally.llm.components import connected_components
 from keytally.operators.offsets import bounded_broadcast
 
-#: A token is frequent in more than so many prefixes; for very large corpora in more than
-#: postings / 2**20, so that each count adds at most 2**20 tokens (4 bytes each) to the broadcast set.
+#: A token is frequent in more than so many prefixes. If that are more than 2**20 tokens, a count adds the most
+#: frequent ones only, up to that number (4 bytes each in the broadcast set).
 FREQUENT, MOST_FREQUENT = 64, 1 << 20
+#: Bytes of a token that prefixes hold.
+PREFIX_BYTES = 5
 #: Counts of frequent tokens; the first is over the prefixes without extension.
 COUNTS = 2
 #: Classes of a run up to which its pairs are listed.
@@ -52,6 +58,9 @@ RUN = 64
 DRAIN = 100_000
 #: Classes of a block in a dense group, and tokens handled at once there.
 BLOCK, VOCABULARY = 1024, 8192
+#: Groups of more blocks are keyed once more, until that takes less than a quarter of the classes from them. What
+#: chance joins differs in size, so that fewer blocks are one or two in each band.
+MOST_BLOCKS = 16
 BUCKETS = 128
 #: Most tokens a count; sets of more than ``PER_COUNT * BUCKETS`` tokens get finer counts too.
 PER_COUNT = 4
@@ -106,6 +115,18 @@ def token_set(text: str | None, shingle: int) -> np.ndarray:
     return np.unique(x)
 
 
+def packed(tokens: np.ndarray) -> bytes:
+    """The upper ``PREFIX_BYTES`` bytes of tokens."""
+    return (tokens >> np.uint64(64 - 8 * PREFIX_BYTES)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :PREFIX_BYTES].tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    """Tokens of :func:`packed`, with zeros for their lower bytes."""
+    out = np.zeros((len(raw) // PREFIX_BYTES, 8), np.uint8)
+    out[:, 8 - PREFIX_BYTES:] = np.frombuffer(raw, np.uint8).reshape(-1, PREFIX_BYTES)
+    return out.view("<u8").ravel()
+
+
 def class_id(tokens: np.ndarray, seed: int = 0) -> tuple[int, int]:
     """The id of a set, and 64 more bits that tell whether two sets share it."""
     digest = xxhash.xxh3_128_digest(tokens.tobytes(), seed)
@@ -149,7 +170,7 @@ def classes(df: DataFrame, id_col: str, text_col: str, rule: Rule, row_col: str
 
 def described_by(df: DataFrame, id_col: str, text_col: str, rule: Rule, row_col: str | None, seed: int) -> DataFrame:
     names = ["doc_id", "row_id", "text_hash", "sid", "other", "n", "prefix", "counts", "fine"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), *[pa.binary()] * 3]
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
@@ -164,7 +185,7 @@ def described_by(df: DataFrame, id_col: str, text_col: str, rule: Rule, row_col:
                 size.append(n)
                 if n and s not in met and rule.lacks(n) + rule.adds(n) > 0:
                     met.add(s)
-                    prefix.append(t[:rule.longest(n)].view(np.int64).copy())  # not the whole set
+                    prefix.append(packed(t[:rule.longest(n)]))
                     counts.append(bucket_counts(t))
                     fine.append(fine_counts(t))
                 else:
@@ -178,7 +199,7 @@ def described_by(df: DataFrame, id_col: str, text_col: str, rule: Rule, row_col:
     frame = df.select(F.col(id_col).cast("long").alias("doc_id"), row.alias("row_id"),
                       F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
     return shared_table(frame.mapInArrow(
-        describe, "doc_id long, row_id long, text_hash long, sid long, other long, n long, prefix array<long>, counts binary, fine binary"), "classes")
+        describe, "doc_id long, row_id long, text_hash long, sid long, other long, n long, prefix binary, counts binary, fine binary"), "classes")
 
 
 def upper_half(tokens: np.ndarray) -> np.ndarray:
@@ -186,14 +207,19 @@ def upper_half(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(32)).astype(np.uint32)
 
 
-def keys_of(prefix: np.ndarray, n: int, frequent: np.ndarray, rule: Rule, rare_only: bool = False) -> np.ndarray:
-    """Keys of one class: rare tokens, and (unless ``rare_only``) frequent ones combined with the next, as far as needed."""
-    tokens = prefix.view(np.uint64)
+def keys_of(tokens: np.ndarray, n: int, frequent: np.ndarray | None, rule: Rule, rare_only: bool = False) -> np.ndarray:
+    """Keys of one class: rare tokens, and (unless ``rare_only``) frequent ones combined with the next, as far as needed.
+
+    ``frequent`` is sorted; with None all tokens are frequent.
+    """
     lacks, adds = rule.lacks(n), rule.adds(n)
-    if not len(frequent):
+    if frequent is None:
+        hot = np.ones(len(tokens), bool)
+    elif not len(frequent):
         return tokens[:lacks + 1]
-    upper = upper_half(tokens)
-    hot = frequent[np.minimum(np.searchsorted(frequent, upper), len(frequent) - 1)] == upper
+    else:
+        upper = upper_half(tokens)
+        hot = frequent[np.minimum(np.searchsorted(frequent, upper), len(frequent) - 1)] == upper
     enough = np.arange(1, len(tokens) + 1) >= lacks + np.minimum(np.cumsum(hot), lacks + adds) + 1
     length = int(np.argmax(enough)) + 1 if enough.any() else len(tokens)
     if rare_only:
@@ -206,6 +232,26 @@ def keys_of(prefix: np.ndarray, n: int, frequent: np.ndarray, rule: Rule, rare_o
     return np.where(hot, pair, tokens)
 
 
+def other_order(tokens: np.ndarray, seed: int) -> np.ndarray:
+    """Tokens under other names, sorted by these: in an order that has nothing to do with theirs."""
+    with np.errstate(over="ignore"):
+        x = tokens ^ np.uint64((seed + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+    return np.sort(x)
+
+
+def least_frequent(held: dict[int, int]) -> int:
+    """From how many prefixes on a token is frequent, ``held[n]`` tokens being in ``n`` prefixes each: at most ``MOST_FREQUENT`` are."""
+    least, tokens = FREQUENT + 1, 0
+    for n in sorted(held, reverse=True):
+        tokens += held[n]
+        if tokens > MOST_FREQUENT:
+            return max(least, n + 1)
+    return least
+
+
 def read_runs(batches: Iterator[pa.RecordBatch], rule: Rule, longest: int) -> Iterator[pa.RecordBatch]:
     """Candidates of keys sorted by (key, n, class): ``a, b, dense``; holds at most one short run."""
     pairs: set[tuple[int, int]] = set()
@@ -319,11 +365,46 @@ def block_links(differ: list[np.ndarray], of: np.ndarray, rule: Rule, n: np.ndar
     return spanning(zip(i[i != j].tolist(), j[i != j].tolist()), len(differ))
 
 
-def links(df: DataFrame, described: DataFrame, seed: int, id_col: str, text_col: str, rule: Rule) -> DataFrame:
-    """Links ``(a, b)`` between classes that connect what all links connect."""
-    spark = df.sparkSession
+def runs_of(posted: DataFrame, rule: Rule) -> DataFrame:
+    """Candidates ``a, b, dense`` of keys ``key, n, sid``, written."""
+    longest = RUN
+    runs = posted.repartition(shuffle_partitions(posted.sparkSession), "key").sortWithinPartitions("key", "n", "sid")
+    return shared_table(runs.mapInArrow(lambda it: read_runs(it, rule, longest), "a long, b long, dense boolean"), "runs")
+
+
+def near_pairs(found: DataFrame, summary: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs ``a, b`` among candidates whose counts (``sid, n, counts, fine``) let them link, written."""
+    counted = summary.select("sid", "n", "counts").dropDuplicates(["sid"])
+    pairs = found.filter(~F.col("dense")).select("a", "b").distinct()
+    pairs = (pairs.join(counted.toDF("a", "n_a", "counts_a"), "a").join(counted.toDF("b", "n_b", "counts_b"), "b"))
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16) for c in ("counts_a", "counts_b"))
+            at_least = np.abs(x - y).sum(axis=1)
+            n_a, n_b = (b.column(c).to_numpy() for c in ("n_a", "n_b"))
+            keep = np.flatnonzero(at_least <= rule.distance(n_a, n_b))
+            yield b.select(["a", "b", "n_a", "n_b"]).take(keep)
+
+    def nearer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            most = rule.distance(b.column("n_a").to_numpy(), b.column("n_b").to_numpy()).tolist()
+            keep = [r for r, (x, y, m) in enumerate(zip(b.column("fine_a").to_pylist(), b.column("fine_b").to_pylist(), most)) if differ_at_least(x, y) <= m]
+            yield b.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+
+    close = shared_table(pairs.select("a", "b", "n_a", "n_b", "counts_a", "counts_b").mapInArrow(near, "a long, b long, n_a long, n_b long"), "near")
+    large = F.least("n_a", "n_b") > PER_COUNT * BUCKETS
+    of_large = close.filter(large).select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    fine = summary.filter(F.col("fine").isNotNull()).select("sid", "fine").join(bounded_broadcast(of_large, MOST_BROADCAST), "sid", "left_semi").dropDuplicates(["sid"])
+    nearest = (close.filter(large).join(fine.toDF("a", "fine_a"), "a").join(fine.toDF("b", "fine_b"), "b")
+               .select("a", "b", "n_a", "n_b", "fine_a", "fine_b").mapInArrow(nearer, "a long, b long"))
+    return shared_table(close.filter(~large).select("a", "b").unionByName(nearest), "pairs")
+
+
+def candidates(described: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``a, b`` of classes that may link, and dense groups ``node, component``: every link lies in one of them."""
+    spark = described.sparkSession
     heads = described.filter(F.col("prefix").isNotNull())
-    lacks = F.col("n") - F.ceil(F.col("n") * rule.num / F.lit(rule.den))
 
     def keys(frequent, rare_only: bool):
         """A function that gives the keys of classes, with the set of frequent tokens broadcast."""
@@ -331,8 +412,8 @@ def links(df: DataFrame, described: DataFrame, seed: int, id_col: str, text_col:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                prefixes = b.column("prefix")
-                found = [keys_of(prefixes[i].values.to_numpy(), n, shipped.value, rule, rare_only) for i, n in enumerate(b.column("n").to_pylist())]
+                prefixes = b.column("prefix").to_pylist()
+                found = [keys_of(unpacked(x), n, shipped.value, rule, rare_only) for x, n in zip(prefixes, b.column("n").to_pylist())]
                 lengths = np.array([len(x) for x in found], int)
                 flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
                 if rare_only:
@@ -346,44 +427,62 @@ def links(df: DataFrame, described: DataFrame, seed: int, id_col: str, text_col:
 
     frequent = np.zeros(0, np.uint32)
     if rule.combine:
-        postings = heads.agg(F.sum(lacks + 1).alias("n")).first()["n"] or 0
-        above = max(FREQUENT, math.ceil(postings / MOST_FREQUENT))
         for _ in range(COUNTS):
             tokens = heads.select("sid", "n", "prefix").mapInArrow(keys(frequent, True), "key int")
-            hot = shared_table(tokens.groupBy("key").count().filter(F.col("count") > above).select("key"), "frequent").toArrow().column("key").to_numpy()
+            held = shared_table(tokens.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > FREQUENT), "frequent")
+            least = least_frequent({r["n"]: r["tokens"] for r in held.groupBy("n").agg(F.count(F.lit(1)).alias("tokens")).collect()})
+            hot = held.filter(F.col("n") >= least).select("key").toArrow().column("key").to_numpy()
             frequent = np.union1d(frequent, hot.astype(np.int32).view(np.uint32))
 
-    posted = heads.select("sid", "n", "prefix").mapInArrow(keys(frequent, False), "key long, n long, sid long")
-    runs = posted.repartition(shuffle_partitions(spark), "key").sortWithinPartitions("key", "n", "sid")
-    found = shared_table(runs.mapInArrow(lambda it: read_runs(it, rule, RUN), "a long, b long, dense boolean"), "runs")
+    found = runs_of(heads.select("sid", "n", "prefix").mapInArrow(keys(frequent, False), "key long, n long, sid long"), rule)
+    pairs = near_pairs(found, heads, rule)
+    return pairs, shared_table(connected_components(found.filter("dense").select("a", "b")), "dense")
 
-    summary = heads.select("sid", "n", "counts").dropDuplicates(["sid"])
-    pairs = found.filter(~F.col("dense")).select("a", "b").distinct()
-    pairs = (pairs.join(summary.toDF("a", "n_a", "counts_a"), "a").join(summary.toDF("b", "n_b", "counts_b"), "b"))
 
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16) for c in ("counts_a", "counts_b"))
-            at_least = np.abs(x - y).sum(axis=1)
-            n_a, n_b = (b.column(c).to_numpy() for c in ("n_a", "n_b"))
-            keep = np.flatnonzero(at_least <= rule.distance(n_a, n_b))
-            yield b.select(["a", "b", "n_a", "n_b"]).take(keep)
+def keyed_again(sets: DataFrame, dense: DataFrame, rule: Rule) -> tuple[list[DataFrame], DataFrame]:
+    """Dense groups by keys of other orders of tokens, where they are large: pairs ``a, b`` besides, and smaller groups."""
+    pairs, done, before, seed = [], [], math.inf, 0
+    while True:
+        large = dense.groupBy("component").agg(F.count(F.lit(1)).alias("nodes")).filter(F.col("nodes") > MOST_BLOCKS * BLOCK)
+        nodes = large.agg(F.sum("nodes").alias("n")).first()["n"] or 0
+        if not nodes or 4 * nodes > 3 * before:
+            done.append(dense)
+            break
+        large = bounded_broadcast(large.select("component"), MOST_BROADCAST)
+        done.append(dense.join(large, "component", "left_anti").select("node", "component"))
+        members = dense.join(large, "component", "left_semi").select(F.col("node").alias("sid"), "component")
+        members = sets.join(bounded_broadcast(members, MOST_BROADCAST), "sid").select("sid", "component", "tokens")
+
+        def keys(batches: Iterator[pa.RecordBatch], seed: int = seed) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                sizes, found = [], []
+                for tokens, component in zip(b.column("tokens").to_pylist(), b.column("component").to_numpy().view(np.uint64)):
+                    tokens = other_order(np.frombuffer(tokens, np.uint64), seed)
+                    sizes.append(len(tokens))
+                    found.append(keys_of(tokens[:rule.longest(len(tokens))], len(tokens), None if rule.combine else np.zeros(0, np.uint32), rule) ^ component)
+                lengths = np.array([len(x) for x in found], int)
+                flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(flat.view(np.int64)), pa.array(np.repeat(np.array(sizes, np.int64), lengths)), pa.array(np.repeat(b.column("sid").to_numpy(), lengths))],
+                    ["key", "n", "sid"])
 
-    def nearer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            most = rule.distance(b.column("n_a").to_numpy(), b.column("n_b").to_numpy()).tolist()
-            keep = [r for r, (x, y, m) in enumerate(zip(b.column("fine_a").to_pylist(), b.column("fine_b").to_pylist(), most)) if differ_at_least(x, y) <= m]
-            yield b.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+        def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                own = [np.frombuffer(x, np.uint64) for x in b.column("tokens").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("sid"), pa.array([len(t) for t in own], pa.int64()), pa.array(map(bucket_counts, own), pa.binary()), pa.array(map(fine_counts, own), pa.binary())],
+                    ["sid", "n", "counts", "fine"])
+
+        found = runs_of(members.mapInArrow(keys, "key long, n long, sid long"), rule)
+        summary = shared_table(members.select("sid", "tokens").mapInArrow(summed, "sid long, n long, counts binary, fine binary"), "summary")
+        pairs.append(near_pairs(found, summary, rule))
+        dense = shared_table(connected_components(found.filter("dense").select("a", "b")), "dense")
+        before, seed = nodes, seed + 1
+    return pairs, reduce(DataFrame.unionByName, done)
 
-    near_pairs = shared_table(pairs.select("a", "b", "n_a", "n_b", "counts_a", "counts_b").mapInArrow(near, "a long, b long, n_a long, n_b long"), "near")
-    large = F.least("n_a", "n_b") > PER_COUNT * BUCKETS
-    of_large = near_pairs.filter(large).select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    fine = heads.filter(F.col("fine").isNotNull()).select("sid", "fine").join(bounded_broadcast(of_large, MOST_BROADCAST), "sid", "left_semi").dropDuplicates(["sid"])
-    nearest = (near_pairs.filter(large).join(fine.toDF("a", "fine_a"), "a").join(fine.toDF("b", "fine_b"), "b")
-               .select("a", "b", "n_a", "n_b", "fine_a", "fine_b").mapInArrow(nearer, "a long, b long"))
-    pairs = shared_table(near_pairs.filter(~large).select("a", "b").unionByName(nearest), "pairs")
-    dense = connected_components(found.filter("dense").select("a", "b"))
 
+def links(df: DataFrame, described: DataFrame, pairs: DataFrame, dense: DataFrame, seed: int, id_col: str, text_col: str, rule: Rule) -> DataFrame:
+    """Links ``(a, b)`` between classes that connect what all links connect."""
     # Whole sets of the classes concerned, from one document each.
     wanted = (pairs.select(F.explode(F.array("a", "b")).alias("sid")).unionByName(dense.select(F.col("node").alias("sid"))).distinct())
     of_class = described.join(wanted, "sid", "left_semi")
@@ -402,6 +501,9 @@ def links(df: DataFrame, described: DataFrame, seed: int, id_col: str, text_col:
                                              ["sid", "tokens"])
 
     sets = shared_table(texts.select("text").mapInArrow(whole, "sid long, tokens binary"), "sets")
+    more, dense = keyed_again(sets, dense, rule)
+    if more:
+        pairs = shared_table(reduce(DataFrame.unionByName, [pairs, *more]).distinct(), "pairs")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -425,7 +527,7 @@ def links(df: DataFrame, described: DataFrame, seed: int, id_col: str, text_col:
 
     # Each class of a dense group by its difference from the set of the group's least class.
     heads_of = dense.filter(F.col("node") == F.col("component")).select(F.col("node").alias("sid"))
-    held = heads_of.join(summary, "sid").agg(F.sum("n").alias("n")).first()["n"] or 0
+    held = sets.join(heads_of, "sid").agg(F.sum(F.octet_length("tokens") / 8).alias("n")).first()["n"] or 0
     common = sets.join(bounded_broadcast(heads_of, MOST_BROADCAST), "sid").toDF("component", "common")
     members = sets.join(bounded_broadcast(dense.withColumnRenamed("node", "sid"), MOST_BROADCAST), "sid")
     members = members.join(F.broadcast(common) if held <= MOST_TOKENS else common, "component")
@@ -481,7 +583,10 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rule = Rule(shingle, num, den)
     described, seed = classes(df, id_col, text_col, rule, row_col)
-    joined = connected_components(links(df, described, seed, id_col, text_col, rule))
+    pairs, dense = candidates(described, rule)
+    wide, described = described, shared_table(described.select("doc_id", "row_id", "text_hash", "sid", "n"), "documents")
+    drop_table(wide)  # its prefixes and counts are large
+    joined = connected_components(links(df, described, pairs, dense, seed, id_col, text_col, rule))
     per_class = (described.filter(F.col("sid").isNotNull()).groupBy("sid").agg(F.min("doc_id").alias("least"))
                  .join(joined.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid")))
     ids = per_class.groupBy("component").agg(F.min("least").alias("component_id"))

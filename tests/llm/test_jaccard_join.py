@@ -145,3 +145,42 @@ def test_large_texts_that_share_little_send_no_sets(spark, monkeypatch):
     assert got(documents(spark, rows), **options) == brute(rows, 5, 80, 100)
     assert written["runs"].select("a", "b").distinct().count() > 20  # candidates, nearly every pair
     assert written["sets"].count() == 2  # the linked ones
+
+
+def test_tokens_are_frequent_however_many_postings_there_are(monkeypatch):
+    """A threshold of postings / 2**20 was above the longest run whose pairs are listed: all keys between made dense groups."""
+    monkeypatch.setattr(jj, "MOST_FREQUENT", 1000)
+    assert jj.least_frequent({}) == jj.least_frequent({65: 900, 5000: 100}) == jj.FREQUENT + 1 == jj.RUN + 1
+    assert jj.least_frequent({65: 901, 70: 50, 5000: 50}) == 66  # as many as there may be
+    assert jj.least_frequent({70: 1001, 5000: 50}) == 71
+    assert jj.least_frequent({5000: 1001}) == 5001
+
+
+def test_prefixes_hold_the_upper_bytes_of_tokens():
+    tokens = np.sort(np.random.default_rng(3).integers(0, 1 << 64, 50, np.uint64))
+    short = jj.unpacked(jj.packed(tokens))
+    assert len(jj.packed(tokens)) == 250 and (short == tokens >> np.uint64(24) << np.uint64(24)).all()
+    assert (jj.upper_half(short) == jj.upper_half(tokens)).all() and not len(jj.unpacked(b""))
+
+
+def test_groups_that_long_runs_join_by_chance_come_apart(spark, monkeypatch):
+    """Blocks of such a group were compared with one another, which took the square of its size."""
+    for name, value in (("FREQUENT", 1000), ("RUN", 3), ("BLOCK", 8), ("MOST_BLOCKS", 1)):
+        monkeypatch.setattr(jj, name, value)
+    rng = random.Random(11)
+    rows = [(i, words(rng, 60, 1500)) for i in range(120)]
+    for i in range(12):  # and a group of near copies
+        edited = rows[0][1].split()
+        edited[5 * i % 60] = f"e{i}"
+        rows.append((500 + i, " ".join(edited)))
+    written, keep = {}, jj.shared_table
+
+    def table(df, name):
+        written.setdefault(name, []).append(keep(df, name))
+        return written[name][-1]
+
+    monkeypatch.setattr(jj, "shared_table", table)
+    options = dict(shingle=1, num=80, den=100)
+    assert got(documents(spark, rows), **options) == brute(rows, 1, 80, 100)
+    assert written["runs"][0].filter("dense").select("b").distinct().count() > 60  # joined by chance
+    assert written["differences"][0].count() <= 40
